@@ -190,3 +190,132 @@ FULL OUTER JOIN g USING (tenant_id, session_id, window_end)""")
 def q_feature_set(spark, sf_dir):
     """all components merged per (tenant, session, window_end)."""
     return round_doubles(fs.build_feature_set(signals(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ ingest --
+
+from signalspark.operators import dedup as dd  # noqa: E402
+from signalspark.operators import ingest as ing  # noqa: E402
+from signalspark.operators import quota as qa  # noqa: E402
+from signalspark.operators import sessions as sx  # noqa: E402
+from signalspark.sources.raw import ENTRIES_SQL, load_raw  # noqa: E402
+
+
+def _ingest_sql(body: str) -> str:
+    return with_signals(ENTRIES_SQL + body, recursive=True)
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dd.apply_guard(ing.classify(load_raw(spark, sf_dir)))
+
+
+@query("session_aggregates", with_signals("""
+, o AS (
+  SELECT tenant_id, session_id, ts, fingerprint,
+         CASE WHEN ts - lag(ts) OVER w > INTERVAL 10 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS brk
+  FROM sig WINDOW w AS (PARTITION BY tenant_id, session_id ORDER BY ts)
+), g AS (
+  SELECT *, sum(brk) OVER (PARTITION BY tenant_id, session_id ORDER BY ts
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM o
+)
+SELECT tenant_id, session_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS event_count,
+       count(DISTINCT fingerprint) AS distinct_fingerprints
+FROM g GROUP BY tenant_id, session_id, grp"""))
+def q_sessions(spark, sf_dir):
+    """gap sessions (10 minutes), count, bounds, distinct fingerprints."""
+    return sx.session_aggregates(signals(spark, sf_dir))
+
+
+_GOOD_COLS = ["event_id", "tenant_id", "session_id", "ts", "dt", "os", "ip", "fingerprint", "battery",
+              "geo_lat", "geo_lon", "n_behavioral"]
+
+
+@query("parse_good", _ingest_sql(f"""
+SELECT s.event_id, s.tenant_id, s.session_id,
+       CASE WHEN s.eid % 97 = 7 THEN s.ts + INTERVAL 1 SECOND ELSE s.ts END AS ts,
+       CAST(CASE WHEN s.eid % 97 = 7 THEN s.ts + INTERVAL 1 SECOND ELSE s.ts END AS DATE) AS dt,
+       s.os, s.ip, s.fingerprint, s.battery, s.geo_lat, s.geo_lon, s.n_behavioral
+FROM ent e JOIN sig s ON e.event_id = s.event_id WHERE e.v_outcome = 'accepted'"""))
+def q_parse_good(spark, sf_dir):
+    """V1-V13 + V2: rows that pass every edge rule, as landed (SIGNAL + dt)."""
+    good, _ = ing.parse_and_split(load_raw(spark, sf_dir))
+    return good.select("event_id", "tenant_id", "session_id", "ts", "dt", "device.os", "device.ip",
+                       "device.fingerprint", "device.battery", "device.geo_lat", "device.geo_lon",
+                       F.size("behavioral").alias("n_behavioral"))
+
+
+@query("parse_bad", _ingest_sql("""
+SELECT tenant_id AS tenant_id_hint, v_reason AS reason, ingest_ts FROM ent WHERE v_outcome <> 'accepted'"""))
+def q_parse_bad(spark, sf_dir):
+    """V2 + V5: quarantined rows with the reason (raw text and quarantine time not compared)."""
+    _, bad = ing.parse_and_split(load_raw(spark, sf_dir))
+    return bad.select("tenant_id_hint", "reason", "ingest_ts")
+
+
+@query("validate_errors", _ingest_sql("""
+SELECT stream, entry_id, v_reason AS reason FROM ent WHERE v_outcome = 'invalid_signal'"""))
+def q_validate_errors(spark, sf_dir):
+    """V6 + V7: required fields and clock skew, in the edge's precedence."""
+    c = ing.classify(load_raw(spark, sf_dir))
+    return c.filter(F.col("outcome") == "invalid_signal").select("stream", "entry_id", "reason")
+
+
+@query("unknown_fields", _ingest_sql("""
+SELECT stream, entry_id FROM ent WHERE v_reason = 'unknown_field'"""))
+def q_unknown_fields(spark, sf_dir):
+    """Payloads with a key outside the contract at any level."""
+    c = ing.classify(load_raw(spark, sf_dir))
+    return c.filter(F.col("reason") == "unknown_field").select("stream", "entry_id")
+
+
+@query("outcomes", _ingest_sql("""
+SELECT stream, entry_id, outcome FROM outc"""))
+def q_outcomes(spark, sf_dir):
+    """One outcome per raw entry, replay guard included."""
+    return classified(spark, sf_dir).select("stream", "entry_id", "outcome")
+
+
+@query("outcome_counts", _ingest_sql("""
+SELECT tenant_id, outcome, count(*) AS n FROM outc GROUP BY 1, 2"""))
+def q_outcome_counts(spark, sf_dir):
+    """Entries per (tenant, outcome)."""
+    return ing.outcome_counts(classified(spark, sf_dir))
+
+
+@query("replay_guard", _ingest_sql("""
+SELECT gr.tenant_id, gr.event_id, gr.entry_id, ge.ingest_ts, gr.first_seen
+FROM gr JOIN ge ON gr.entry_id = ge.entry_id AND gr.tenant_id = ge.tenant_id"""))
+def q_replay_guard(spark, sf_dir):
+    """First (tenant, event_id) wins for 24 h; TTL not refreshed by duplicates."""
+    c = ing.classify(load_raw(spark, sf_dir)).filter(F.col("outcome") == "accepted")
+    e = c.select(F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"),
+                 "entry_id", "ingest_ts")
+    return dd.replay_guard(e)
+
+
+QUOTA_RPS, QUOTA_BURST = 0.02, 3.0
+
+
+@query("quota_admission", _ingest_sql(f"""
+, ps AS (
+  SELECT tenant_id, CAST(floor(epoch_us(ingest_ts) / 1000000) AS BIGINT) AS sec, count(*) AS n
+  FROM ent GROUP BY 1, 2
+), po AS (
+  SELECT *, row_number() OVER (PARTITION BY tenant_id ORDER BY sec) AS rn FROM ps
+), qr AS (
+  SELECT tenant_id, rn, sec, n, CAST(least(n, floor({QUOTA_BURST}::DOUBLE)) AS BIGINT) AS admitted,
+         {QUOTA_BURST}::DOUBLE - least(n, floor({QUOTA_BURST}::DOUBLE)) AS tokens
+  FROM po WHERE rn = 1
+  UNION ALL
+  SELECT po.tenant_id, po.rn, po.sec, po.n,
+         CAST(least(po.n, floor(least({QUOTA_BURST}::DOUBLE, qr.tokens + (po.sec - qr.sec) * {QUOTA_RPS}::DOUBLE)))
+              AS BIGINT),
+         least({QUOTA_BURST}::DOUBLE, qr.tokens + (po.sec - qr.sec) * {QUOTA_RPS}::DOUBLE)
+           - least(po.n, floor(least({QUOTA_BURST}::DOUBLE, qr.tokens + (po.sec - qr.sec) * {QUOTA_RPS}::DOUBLE)))
+  FROM qr JOIN po ON po.tenant_id = qr.tenant_id AND po.rn = qr.rn + 1
+)
+SELECT tenant_id, sec, n, admitted FROM qr"""))
+def q_quota(spark, sf_dir):
+    """Token bucket per tenant at 1 s grain (rate 0.02/s, capacity 3, so it binds)."""
+    raw = load_raw(spark, sf_dir).withColumn("tenant_id", ing.tenant_hint("stream"))
+    return qa.per_second_admission(raw, QUOTA_RPS, QUOTA_BURST)

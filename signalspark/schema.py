@@ -81,14 +81,17 @@ SIGNAL = StructType(
 # landed table = signal + partition date; tenant_id and dt are the Hive partitions
 LANDED = StructType(SIGNAL.fields + [StructField("dt", DateType())])
 
-# raw stream entry: stream name (di:signals:{tenant}), payload text, arrival time
+# raw stream entry: stream name (di:signals:{tenant}), entry id (unique within the
+# stream, breaks arrival ties), payload text, arrival time
 RAW = StructType(
     [
         StructField("stream", StringType()),
+        StructField("entry_id", StringType()),
         StructField("data", StringType()),
         StructField("ingest_ts", TimestampType()),
     ]
 )
+RAW_ENVELOPE = RAW
 
 QUARANTINE = StructType(
     [

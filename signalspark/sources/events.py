@@ -111,6 +111,9 @@ ev AS (
          '{FP_PREFIX}' || (k % 4) AS fingerprint,
          CASE WHEN eid % 7 = 0 THEN NULL ELSE CAST((uid * 37 + h * 11) % 181 - 90 AS DOUBLE) END AS geo_lat,
          CASE WHEN eid % 7 = 0 THEN NULL ELSE CAST((uid * 53 + h * 17) % 361 - 180 AS DOUBLE) END AS geo_lon,
+         (k % 101) / 100.0::DOUBLE AS battery,
+         CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 WHEN 'error' THEN 2 WHEN 'view' THEN 0 END
+           AS n_behavioral,
          event_type, eid, uid, k, value
   FROM ev2
 ), beh AS (
@@ -129,10 +132,11 @@ ev AS (
 """
 
 
-def with_signals(body: str) -> str:
+def with_signals(body: str, recursive: bool = False) -> str:
     """Prefix a DuckDB query with the signal CTEs.
 
     ``body`` continues the WITH list (``", x AS (...) SELECT ..."``) or is the
     final ``SELECT``.
     """
-    return f"WITH {SIGNALS_SQL}{body if body.lstrip().startswith(',') else ' ' + body}"
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    return f"{head} {SIGNALS_SQL}{body if body.lstrip().startswith(',') else ' ' + body}"
