@@ -19,6 +19,7 @@ This is exact unless a tenant stays saturated, with no idle gap of
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,14 @@ from signalspark.schema import DEFAULT_QUOTA_BURST, DEFAULT_QUOTA_RPS
 
 SECONDS_PER_DAY = 86_400
 
+# the fold runs in Python workers; ship this module's code with the function so
+# executors need no installed copy of the package
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older pickler: rely on --py-files
+    pass
+
 
 def _fold(secs: np.ndarray, counts: np.ndarray, rps: float, burst: float, tokens: float, last: float | None):
     admitted = np.zeros(len(secs), dtype=np.int64)

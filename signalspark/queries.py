@@ -165,25 +165,49 @@ def q_haversine_prior(spark, sf_dir):
                                   .alias("geo_distance_km_prior")))
 
 
-def _feature_set_sql() -> str:
+def feature_set_ctes(sig: str = "sig", beh: str = "beh", p: str = "") -> str:
+    """DuckDB CTEs ending in ``{p}fs``: the feature set as six full outer joins over ``sig``/``beh``."""
     vel = "".join(f"""
-, v{lbl} AS (SELECT tenant_id, session_id, {window_end_sql('ts', WINDOWS[lbl])} AS window_end,
-                  count(*) AS events_{lbl} FROM sig GROUP BY 1, 2, 3)""" for lbl in WINDOWS)
-    return with_signals(vel + _GEO_CTES + f"""
-, card AS ({_CARD_SQL})
-, typ AS ({_TYPING_SQL})
-, mou AS ({_MOUSE_SQL})
-, g AS (SELECT tenant_id, session_id, window_end, geo_distance_km_prior FROM geo)
-SELECT tenant_id, session_id, window_end, 'session' AS feature_window,
-       events_1m, events_5m, events_1h, distinct_fingerprints, distinct_ips, distinct_os,
-       typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior
-FROM v1m
-FULL OUTER JOIN v5m USING (tenant_id, session_id, window_end)
-FULL OUTER JOIN v1h USING (tenant_id, session_id, window_end)
-FULL OUTER JOIN card USING (tenant_id, session_id, window_end)
-FULL OUTER JOIN typ USING (tenant_id, session_id, window_end)
-FULL OUTER JOIN mou USING (tenant_id, session_id, window_end)
-FULL OUTER JOIN g USING (tenant_id, session_id, window_end)""")
+, {p}v{lbl} AS (SELECT tenant_id, session_id, {window_end_sql('ts', WINDOWS[lbl])} AS window_end,
+                  count(*) AS events_{lbl} FROM {sig} GROUP BY 1, 2, 3)""" for lbl in WINDOWS)
+    return vel + f"""
+, {p}card AS (
+  SELECT tenant_id, session_id, count(DISTINCT fingerprint) AS distinct_fingerprints,
+         count(DISTINCT ip) AS distinct_ips, count(DISTINCT os) AS distinct_os, max(ts) AS window_end
+  FROM {sig} GROUP BY 1, 2
+), {p}typ AS (
+  SELECT tenant_id, session_id, {r6('var_samp(typing_cps)')} AS typing_cps_variance,
+         {r6('avg(typing_cps)')} AS typing_cps_mean, max(ts) AS window_end
+  FROM {beh} WHERE kind = 'type' GROUP BY 1, 2
+), {p}mou AS (
+  SELECT s.tenant_id, s.session_id, {r6('avg(b.mouse_entropy)')} AS mouse_entropy_avg, max(s.ts) AS window_end
+  FROM {sig} s LEFT JOIN {beh} b ON s.event_id = b.event_id GROUP BY 1, 2
+), {p}gs AS (
+  SELECT tenant_id, session_id, min(ts) AS session_start, arg_min(geo_lat, ts) AS lat, arg_min(geo_lon, ts) AS lon
+  FROM {sig} WHERE geo_lat IS NOT NULL AND geo_lon IS NOT NULL GROUP BY 1, 2
+), {p}gp AS (
+  SELECT *, lag(lat) OVER w AS prior_lat, lag(lon) OVER w AS prior_lon
+  FROM {p}gs WINDOW w AS (PARTITION BY tenant_id ORDER BY session_start, session_id)
+), {p}g AS (
+  SELECT tenant_id, session_id, session_start AS window_end,
+         {r6(haversine_sql('prior_lat', 'prior_lon', 'lat', 'lon'))} AS geo_distance_km_prior
+  FROM {p}gp
+), {p}fs AS (
+  SELECT tenant_id, session_id, window_end, 'session' AS feature_window,
+         events_1m, events_5m, events_1h, distinct_fingerprints, distinct_ips, distinct_os,
+         typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior
+  FROM {p}v1m
+  FULL OUTER JOIN {p}v5m USING (tenant_id, session_id, window_end)
+  FULL OUTER JOIN {p}v1h USING (tenant_id, session_id, window_end)
+  FULL OUTER JOIN {p}card USING (tenant_id, session_id, window_end)
+  FULL OUTER JOIN {p}typ USING (tenant_id, session_id, window_end)
+  FULL OUTER JOIN {p}mou USING (tenant_id, session_id, window_end)
+  FULL OUTER JOIN {p}g USING (tenant_id, session_id, window_end)
+)"""
+
+
+def _feature_set_sql() -> str:
+    return with_signals(feature_set_ctes() + " SELECT * FROM fs")
 
 
 @query("feature_set", _feature_set_sql())
@@ -319,3 +343,292 @@ def q_quota(spark, sf_dir):
     """Token bucket per tenant at 1 s grain (rate 0.02/s, capacity 3, so it binds)."""
     raw = load_raw(spark, sf_dir).withColumn("tenant_id", ing.tenant_hint("stream"))
     return qa.per_second_admission(raw, QUOTA_RPS, QUOTA_BURST)
+
+
+# ------------------------------------------------- landing, store and emit --
+
+from signalspark.operators import emit as em  # noqa: E402
+from signalspark.operators import quality as ql  # noqa: E402
+from signalspark.plans import backfill as bf  # noqa: E402
+from signalspark.session import work_dir  # noqa: E402
+from signalspark.sources import feature_store as store  # noqa: E402
+from signalspark.sources import landing as land  # noqa: E402
+from signalspark.sources.raw import read_raw_files, write_raw_files  # noqa: E402
+from signalspark.streaming import features as sf  # noqa: E402
+from signalspark.streaming.landing import start_landing  # noqa: E402
+
+STREAM_TIMEOUT_S = 600
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Land the raw fixture once (batch path) and return the landed table path."""
+    root = work_dir(spark, "landed")
+    land.land_batch(load_raw(spark, sf_dir), f"{root}/landed", f"{root}/bad", batch_id=0)
+    return root
+
+
+_LANDED_COUNTS_SQL = _ingest_sql("""
+SELECT tenant_id, CAST(CASE WHEN eid % 97 = 7 THEN s_ts + INTERVAL 1 SECOND ELSE s_ts END AS DATE) AS dt,
+       count(*) AS n
+FROM (SELECT e.*, s.ts AS s_ts FROM ent e JOIN sig s ON e.event_id = s.event_id WHERE e.v_outcome = 'accepted')
+GROUP BY 1, 2""")
+
+
+@query("landed_counts_by_partition", _LANDED_COUNTS_SQL)
+def q_landed_counts(spark, sf_dir):
+    """S5 + S1: land good rows partitioned by tenant_id/dt, read back with the explicit schema."""
+    root = _landed(spark, sf_dir)
+    return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("quarantine_replay", _ingest_sql("""
+SELECT tenant_id AS tenant_id_hint, v_reason AS reason, v_outcome AS outcome, count(*) AS n
+FROM ent WHERE v_outcome <> 'accepted' GROUP BY 1, 2, 3"""))
+def q_quarantine_replay(spark, sf_dir):
+    """S6 + V23: read the JSON quarantine back and classify the kept raw text again."""
+    root = _landed(spark, sf_dir)
+    bad = land.read_quarantine(spark, f"{root}/bad")
+    again = ing.classify(bad.select(
+        F.concat(F.lit("di:signals:"), "tenant_id_hint").alias("stream"), F.lit("q").alias("entry_id"),
+        F.col("raw").alias("data"), "ingest_ts"))
+    return again.groupBy("tenant_id_hint", F.col("reason").alias("reason"), "outcome") \
+        .agg(F.count(F.lit(1)).alias("n")).select("tenant_id_hint", "reason", "outcome", "n")
+
+
+@query("stream_landing", _LANDED_COUNTS_SQL)
+def q_stream_landing(spark, sf_dir):
+    """File-source stream -> classify -> foreachBatch(landed, quarantine) with checkpoint."""
+    root = work_dir(spark, "stream-landing")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2),
+                      f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint")
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _signals_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Signals written as landed files, then read back as a stream."""
+    land.write_landed(signals(spark, sf_dir).withColumn("dt", F.to_date("ts")), f"{root}/landed", 0)
+    return sf.read_landed_stream(spark, f"{root}/landed")
+
+
+@query("stream_velocity", with_signals(f"""
+SELECT tenant_id, session_id, {window_end_sql('ts', '5 minutes')} AS window_end, count(*) AS events_5m
+FROM sig GROUP BY 1, 2, 3
+HAVING {window_end_sql('ts', '5 minutes')} <= (SELECT max(ts) FROM sig) - INTERVAL 10 MINUTE"""))
+def q_stream_velocity(spark, sf_dir):
+    """F2 on a stream: 5-minute counts, 10-minute watermark, closed windows appended."""
+    root = work_dir(spark, "stream-velocity")
+    q = sf.start_velocity(_signals_files(spark, sf_dir, root), WINDOWS["5m"], f"{root}/out", f"{root}/_ck")
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_sessions", with_signals("""
+, o AS (
+  SELECT tenant_id, session_id, ts, fingerprint,
+         CASE WHEN ts - lag(ts) OVER w > INTERVAL 10 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS brk
+  FROM sig WINDOW w AS (PARTITION BY tenant_id, session_id ORDER BY ts)
+), g AS (
+  SELECT *, sum(brk) OVER (PARTITION BY tenant_id, session_id ORDER BY ts
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM o
+), a AS (
+  SELECT tenant_id, session_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS event_count,
+         count(DISTINCT fingerprint) AS distinct_fingerprints
+  FROM g GROUP BY tenant_id, session_id, grp
+)
+SELECT * FROM a WHERE session_end + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM sig) - INTERVAL 10 MINUTE"""))
+def q_stream_sessions(spark, sf_dir):
+    """F10 on a stream: session_window, 10-minute watermark, closed sessions appended."""
+    root = work_dir(spark, "stream-sessions")
+    q = sf.start_sessions(_signals_files(spark, sf_dir, root), f"{root}/out", f"{root}/_ck")
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """V14 stream form (dropDuplicatesWithinWatermark, 24 h); close to the fold: rows-only check."""
+    root = work_dir(spark, "stream-dedup")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    c = ing.classify(read_raw_files(spark, f"{root}/raw", stream=True)).filter(F.col("outcome") == "accepted")
+    e = c.select(F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"),
+                 "entry_id", "ingest_ts")
+    q = sf.start_append(dd.replay_guard_stream(e), f"{root}/out", f"{root}/_ck")
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/out")
+
+
+BACKFILL_TENANT = "t1"
+
+
+@query("backfill_slice", with_signals(feature_set_ctes() + f"""
+SELECT * FROM fs WHERE tenant_id = '{BACKFILL_TENANT}'"""))
+def q_backfill_slice(spark, sf_dir):
+    """one tenant, one dt range, read from the landed table with look-back."""
+    root = _landed(spark, sf_dir)
+    # the landed fixture keeps every accepted raw entry; feature inputs are the signals themselves
+    landed = signals(spark, sf_dir).withColumn("dt", F.to_date("ts"))
+    land.write_landed(landed, f"{root}/signals", 0)
+    src = land.read_landed(spark, f"{root}/signals")
+    days = src.agg(F.min("dt"), F.max("dt")).first()
+    return round_doubles(bf.backfill_features(src, days[0], days[1], BACKFILL_TENANT))
+
+
+UPSERT_CUT = "2024-01-01 07:00:00"
+
+
+@query("upsert_features", with_signals(
+    f", sigp AS (SELECT * FROM sig WHERE ts < TIMESTAMP '{UPSERT_CUT}')"
+    f", behp AS (SELECT * FROM beh WHERE ts < TIMESTAMP '{UPSERT_CUT}')"
+    + feature_set_ctes() + feature_set_ctes("sigp", "behp", "p_") + """
+SELECT *, CAST(window_end AS DATE) AS dt FROM fs
+UNION ALL
+SELECT *, CAST(window_end AS DATE) AS dt FROM p_fs
+WHERE NOT EXISTS (SELECT 1 FROM fs WHERE fs.tenant_id = p_fs.tenant_id AND fs.session_id = p_fs.session_id
+                  AND fs.window_end = p_fs.window_end AND fs.feature_window = p_fs.feature_window)"""))
+def q_upsert(spark, sf_dir):
+    """Upsert features of the first 7 hours, then of the whole day, into one table."""
+    root = work_dir(spark, "features")
+    sig = signals(spark, sf_dir)
+    early = fs.build_feature_set(sig.filter(F.col("ts") < F.lit(UPSERT_CUT).cast("timestamp")))
+    store.write_features(early, f"{root}/table", fmt="parquet")
+    store.write_features(fs.build_feature_set(sig), f"{root}/table", fmt="parquet")
+    return round_doubles(store.read_features(spark, f"{root}/table"))
+
+
+EMIT_SINCE, EMIT_LIMIT = "2024-01-01 06:00:00", 1000
+_EMIT_CTES = feature_set_ctes() + f"""
+, newer AS (SELECT * FROM fs WHERE window_end > TIMESTAMP '{EMIT_SINCE}')
+, cut AS (SELECT max(window_end) AS c FROM (SELECT window_end FROM newer ORDER BY window_end LIMIT {EMIT_LIMIT}))
+, emitted AS (SELECT * FROM newer WHERE window_end <= (SELECT c FROM cut))"""
+
+
+def _emitted(spark, sf_dir):
+    feats = fs.build_feature_set(signals(spark, sf_dir))
+    return em.read_since(feats, EMIT_SINCE, EMIT_LIMIT)
+
+
+@query("emit_since", with_signals(_EMIT_CTES + " SELECT * FROM emitted"))
+def q_emit_since(spark, sf_dir):
+    """A1 + A2: rows newer than the cursor, first 1000 by window_end, ties kept."""
+    return round_doubles(_emitted(spark, sf_dir))
+
+
+@query("decision_payload", with_signals(_EMIT_CTES + """
+SELECT tenant_id, session_id, window_end, feature_window, '1.0.0' AS schema_version,
+       events_1m, events_5m, events_1h, distinct_fingerprints, distinct_ips, distinct_os,
+       typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior
+FROM emitted"""))
+def q_decision_payload(spark, sf_dir):
+    """A3 + S13: JSON payloads written as text, read back and compared field by field."""
+    root = work_dir(spark, "payloads")
+    em.to_payload_json(em.payload_struct(_emitted(spark, sf_dir))).select("value").write.text(root)
+    schema = "tenant_id string, session_id string, window_end timestamp, feature_window string, " \
+             "features struct<events_1m:bigint, events_5m:bigint, events_1h:bigint, " \
+             "distinct_fingerprints:bigint, distinct_ips:bigint, distinct_os:bigint, " \
+             "typing_cps_variance:double, typing_cps_mean:double, mouse_entropy_avg:double, " \
+             "geo_distance_km_prior:double>, schema_version string, emitted_at timestamp"
+    p = spark.read.text(root).select(F.from_json("value", schema, {"timestampFormat": em.PAYLOAD_TS_FORMAT})
+                                     .alias("p"))
+    return round_doubles(p.select("p.tenant_id", "p.session_id", "p.window_end", "p.feature_window",
+                                  "p.schema_version", "p.features.*"))
+
+
+@query("cursor_next", with_signals(_EMIT_CTES + f"""
+SELECT greatest(max(window_end), TIMESTAMP '{EMIT_SINCE}') AS cursor FROM emitted"""))
+def q_cursor_next(spark, sf_dir):
+    """A4: next cursor = newest emitted window_end (never moves back)."""
+    return em.next_cursor(_emitted(spark, sf_dir), EMIT_SINCE)
+
+
+@query("emit_ticks")
+def q_emit_ticks(spark, sf_dir):
+    """A5 + A6: ticks of 1000 from a committed cursor until nothing is left; payloads read back."""
+    root = work_dir(spark, "emit")
+    store.write_features(fs.build_feature_set(signals(spark, sf_dir)), f"{root}/table", fmt="parquet")
+    feats = store.read_features(spark, f"{root}/table")
+    while em.emit_since(spark, feats, f"{root}/cursor", f"{root}/out", limit=EMIT_LIMIT) > 0:
+        pass
+    return spark.read.text(f"{root}/out")
+
+
+@query("exported_rows")
+def q_exported_rows(spark, sf_dir):
+    """Feature rows exported as JSON lines (plus a blank and a broken line), read back."""
+    root = work_dir(spark, "export")
+    feats = fs.build_feature_set(signals(spark, sf_dir))
+    exp = feats.select("tenant_id", "session_id", "window_end", "feature_window",
+                       F.struct(*[c for c in feats.columns if c.startswith(("events_", "distinct_", "typing_",
+                                                                            "mouse_", "geo_"))]).alias("features"))
+    exp.select(F.to_json(F.struct("*"), {"timestampFormat": em.PAYLOAD_TS_FORMAT}).alias("v")) \
+        .unionByName(spark.range(1).select(F.lit("").alias("v"))) \
+        .unionByName(spark.range(1).select(F.lit("{broken").alias("v"))) \
+        .write.text(f"{root}/x.jsonl")
+    return em.flatten_exported(em.read_exported(spark, root))
+
+
+# ----------------------------------------------------------------- quality --
+
+@query("dwell_histogram", with_signals("""
+, d AS (SELECT tenant_id, dwell_ms / 1000.0::DOUBLE AS v FROM beh WHERE dwell_ms IS NOT NULL)
+, b AS (SELECT unnest([0.001, 0.002, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]::DOUBLE[]) AS le)
+SELECT d.tenant_id, b.le, count(*) FILTER (WHERE d.v <= b.le) AS cum_count, (SELECT """
+    + r6("sum(v)") + """ FROM d d2 WHERE d2.tenant_id = d.tenant_id) AS sum
+FROM d, b GROUP BY d.tenant_id, b.le
+UNION ALL
+SELECT tenant_id, NULL, count(*), """ + r6("sum(v)") + """ FROM d GROUP BY tenant_id"""))
+def q_dwell_histogram(spark, sf_dir):
+    """Fixed-boundary cumulative histogram of dwell time (seconds) per tenant."""
+    x = fx.explode_behavioral(signals(spark, sf_dir)).select(
+        "tenant_id", (F.col("b.dwell_ms") / F.lit(1000.0)).alias("v"))
+    return round_doubles(ql.fixed_histogram(x, "v"))
+
+
+@query("contract_violations", _ingest_sql("""
+SELECT stream, entry_id, CASE eid % 97 WHEN 3 THEN 'session_id_length' WHEN 11 THEN 'event_id_required'
+                                       WHEN 7 THEN 'ts_required' END AS violation
+FROM ent WHERE v_outcome NOT IN ('payload_too_large', 'empty_body', 'invalid_json') AND eid % 97 IN (3, 7, 11)
+  AND entry_id LIKE '%-0'"""))
+def q_contract(spark, sf_dir):
+    """Published-contract violations of every well-formed payload, one row per violation."""
+    raw = load_raw(spark, sf_dir)
+    c = ing.classify(raw).filter(~F.col("outcome").isin("payload_too_large", "empty_body", "invalid_json"))
+    parsed = c.withColumn("p", F.from_json("data", ing.PARSE_SCHEMA, ing.PARSE_OPTS))
+    return parsed.select("stream", "entry_id", F.explode(ql.contract_violations(parsed, "p")).alias("violation"))
+
+
+@query("ops_rates", _ingest_sql(f"""
+SELECT tenant_id, time_bucket(INTERVAL 5 MINUTE, ingest_ts) AS window_start,
+       time_bucket(INTERVAL 5 MINUTE, ingest_ts) + INTERVAL 5 MINUTE AS window_end,
+       count(*) AS n, count(*) FILTER (WHERE outcome NOT IN ('accepted', 'duplicate')) AS rejected,
+       count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates,
+       {r6("count(*) FILTER (WHERE outcome NOT IN ('accepted', 'duplicate')) / count(*)")} AS reject_rate,
+       {r6("count(*) FILTER (WHERE outcome = 'duplicate') / count(*)")} AS duplicate_ratio,
+       count(*) FILTER (WHERE outcome NOT IN ('accepted', 'duplicate')) / count(*) > 0.005 AS reject_alert,
+       count(*) FILTER (WHERE outcome = 'duplicate') / count(*) > 0.05 AS duplicate_alert
+FROM outc GROUP BY 1, 2, 3"""))
+def q_ops_rates(spark, sf_dir):
+    """Per tenant and 5 minutes: rejected and duplicate shares with alert flags."""
+    c = classified(spark, sf_dir)
+    return round_doubles(ql.ops_rates(c))
+
+
+@query("version_share", _ingest_sql("""
+SELECT tenant_id, '1.0.0' AS schema_version, count(*) AS n, 1.0::DOUBLE AS share FROM ent GROUP BY 1"""))
+def q_version_share(spark, sf_dir):
+    """Traffic per schema version and tenant with its share (one version on the wire)."""
+    c = ing.classify(load_raw(spark, sf_dir)).withColumn("tenant_id", F.col("tenant_id_hint"))
+    return round_doubles(ql.version_share(c, by=["tenant_id"]))
+
+
+RETAIN_N = 1000
+
+
+@query("retain_last_n", _ingest_sql(f"""
+SELECT stream, entry_id, ingest_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY stream ORDER BY ingest_ts DESC, entry_id DESC) AS rn FROM ent)
+WHERE rn <= {RETAIN_N}"""))
+def q_retain(spark, sf_dir):
+    """Newest 1000 entries per tenant stream (exact trim)."""
+    return ql.retain_last_n(load_raw(spark, sf_dir), RETAIN_N).select("stream", "entry_id", "ingest_ts")
