@@ -42,9 +42,12 @@ def _unknown(keys: Column, known: list[str]) -> Column:
                     lambda k: ~F.array_contains(allowed, F.lower(k)))
 
 
-def unknown_fields(data: Column) -> Column:
-    """True if any object level carries a key outside the contract."""
-    top = F.from_json(data, "map<string,string>")
+def unknown_fields(top: Column) -> Column:
+    """True if any object level carries a key outside the contract.
+
+    ``top`` is the payload parsed as ``map<string,string>``; nested objects
+    arrive as their JSON text and are parsed only here (they are small).
+    """
     dev = F.from_json(top["device"], "map<string,string>")
     beh = F.from_json(top["behavioral"], "array<map<string,string>>")
     return (_unknown(F.map_keys(top), TOP_KEYS)
@@ -52,6 +55,19 @@ def unknown_fields(data: Column) -> Column:
             | F.coalesce(F.exists(beh, lambda m: _unknown(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
 
 
+def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
+    """Add ``_p`` (typed parse with corrupt-record flag) and ``_top`` (key map).
+
+    Both parses sit in one ``Generate`` (inline of a one-element array): later
+    filters and projections refer to its output and are never pushed below
+    it, so each payload is parsed exactly twice however many rules use it.
+    """
+    d = F.col(data)
+    parsed = F.struct(F.from_json(d, PARSE_SCHEMA, PARSE_OPTS).alias("_p"),
+                      F.from_json(d, "map<string,string>").alias("_top"))
+    return raw.select("*", F.inline(F.array(parsed)))
+
+
 def _blank(c: Column) -> Column:
     return c.isNull() | (c == "")
 
@@ -81,16 +97,14 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
     clock, so a replay classifies exactly as the first run did.
     """
     data = F.col("data")
-    hint = tenant_hint("stream")
-    p = F.from_json(data, PARSE_SCHEMA, PARSE_OPTS)
-    df = raw.withColumn("tenant_id_hint", hint).withColumn("_p", p)
-    p = F.col("_p")
+    df = parse_once(raw.withColumn("tenant_id_hint", tenant_hint("stream")))
+    p, top = F.col("_p"), F.col("_top")
     trimmed = F.trim(data)
     is_null_literal = trimmed == "null"  # decodes to an empty signal, no error
     too_large = F.octet_length(data) > MAX_PAYLOAD_BYTES
     empty = data.isNull() | (trimmed == "")
-    not_object = F.json_object_keys(data).isNull() & ~is_null_literal
-    bad_json = not_object | p[CORRUPT].isNotNull() | unknown_fields(data)
+    not_object = top.isNull() & ~is_null_literal
+    bad_json = not_object | p[CORRUPT].isNotNull() | unknown_fields(top)
     raw_ts = p["ts"]
     ts = F.when(raw_ts.isNull() | (raw_ts == F.lit(ZERO_TS).cast("timestamp")), F.col("ingest_ts")) \
         .otherwise(raw_ts)  # V12
@@ -117,7 +131,8 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
                    p["device"].alias("device"), p["behavioral"].alias("behavioral"))
     if wire_compat:
         sig = wire_normalise(sig)
-    return df.withColumn("sig", sig).withColumn("outcome", outcome).withColumn("reason", reason).drop("_p")
+    return df.withColumn("sig", sig).withColumn("outcome", outcome).withColumn("reason", reason) \
+        .drop("_p", "_top")
 
 
 def parse_and_split(raw: DataFrame, strict: bool = True, wire_compat: bool = False):

@@ -36,6 +36,7 @@ from signalspark.operators.features import (
     velocity_counts,
 )
 from signalspark.schema import FEATURE_VALUE_COLUMNS
+from signalspark.session import checkpoint_root
 
 KEYS = ["tenant_id", "session_id", "window_end"]
 FEATURE_WINDOW = "session"
@@ -60,8 +61,29 @@ def velocity_rows(events: DataFrame) -> DataFrame:
                     *[F.when(F.col("l.lvl") == lbl, F.col("n")).alias(f"events_{lbl}") for lbl in WINDOWS])
 
 
+def session_distincts(events: DataFrame, exact: bool = True) -> DataFrame:
+    """Distinct fingerprint / ip / os per session, in an aggregate of its own.
+
+    Three exact distinct counts make Spark ``Expand`` every input row per
+    distinct column; kept apart from the other aggregates, the expanded rows
+    carry only the key and one small value, and map-side partial aggregation
+    de-duplicates them before the shuffle.
+    """
+    cnt = F.count_distinct if exact else F.approx_count_distinct
+    return events.groupBy(*SESSION_KEYS).agg(
+        cnt("device.fingerprint").alias("distinct_fingerprints"),
+        cnt("device.ip").alias("distinct_ips"),
+        cnt("device.os").alias("distinct_os"))
+
+
 def session_rollup(events: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per session with every non-velocity component's inputs."""
+    """One row per session with every non-velocity component's inputs.
+
+    Two session-level aggregates (distinct counts; everything else) joined on
+    the session key; both are hash-partitioned on that key already, so the
+    join adds no exchange of its own (AQE may broadcast one side when its
+    runtime size is under the threshold). Session keys must be non-null.
+    """
     ms, mn = _mouse_parts(events)
     zipped = F.arrays_zip(F.col("behavioral.kind").alias("kind"),
                           F.col("behavioral.typing_cps").alias("typing_cps"))
@@ -69,20 +91,14 @@ def session_rollup(events: DataFrame, exact: bool = True) -> DataFrame:
     geo_ok = F.col("device.geo_lat").isNotNull() & F.col("device.geo_lon").isNotNull()
     base = events.select(
         *SESSION_KEYS, "ts", "event_id",
-        F.col("device.fingerprint").alias("fp"), F.col("device.ip").alias("ip"),
-        F.col("device.os").alias("os"),
         F.when(geo_ok, F.struct(F.col("device.geo_lat").alias("lat"),
                                 F.col("device.geo_lon").alias("lon"))).alias("geo"),
         ms.alias("ms"), mn.alias("mn"),
         F.posexplode_outer(typed).alias("pos", "t"),
     )
     first = F.col("pos").isNull() | (F.col("pos") == 0)
-    cnt = F.count_distinct if exact else F.approx_count_distinct
     agg = base.groupBy(*SESSION_KEYS).agg(
         F.max("ts").alias("last_ts"),
-        cnt("fp").alias("distinct_fingerprints"),
-        cnt("ip").alias("distinct_ips"),
-        cnt("os").alias("distinct_os"),
         F.sum(F.when(first, F.col("ms"))).alias("_ms"),
         F.sum(F.when(first, F.col("mn"))).alias("_mn"),
         F.var_samp("t.typing_cps").alias("typing_cps_variance"),
@@ -91,6 +107,10 @@ def session_rollup(events: DataFrame, exact: bool = True) -> DataFrame:
         F.min(F.when(F.col("geo").isNotNull(), F.col("ts"))).alias("geo_start"),
         F.min_by("geo", F.when(F.col("geo").isNotNull(), F.struct("ts", "event_id"))).alias("_pt"),
     )
+    # plain equality keeps the existing hash partitioning (a null-safe join
+    # would re-shuffle both sides on coalesced keys); keys are non-null after
+    # strict landing
+    agg = agg.join(session_distincts(events, exact), SESSION_KEYS, "inner")
     return agg.select(
         *SESSION_KEYS, "last_ts", "distinct_fingerprints", "distinct_ips", "distinct_os",
         F.when(F.col("_mn") > 0, F.col("_ms") / F.col("_mn")).alias("mouse_entropy_avg"),
@@ -107,11 +127,20 @@ def _pad(df: DataFrame) -> DataFrame:
 
 
 def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "hour",
-                      persist_sessions: bool = False) -> DataFrame:
-    """F9 (union form). Same rows and values as the outer-join form."""
+                      materialize: bool = True) -> DataFrame:
+    """F9 (union form). Same rows and values as the outer-join form.
+
+    The session roll-up feeds three consumers (cardinality/mouse, typing, geo
+    with its bucketed lag). Column pruning gives each a slightly different plan,
+    so Spark would recompute the roll-up, and scan the events, once per
+    consumer. ``materialize`` runs it once and checkpoints it to the shared
+    ``spark.checkpoint.dir`` (one row per session, far smaller than the
+    events); every consumer then reads that copy, and lineage stays short.
+    """
     sessions = session_rollup(events, exact)
-    if persist_sessions:
-        sessions = sessions.persist()
+    if materialize and not events.isStreaming:
+        checkpoint_root(events.sparkSession)
+        sessions = sessions.checkpoint(eager=True)
     card_mouse = sessions.select(
         *SESSION_KEYS, F.col("last_ts").alias("window_end"),
         "distinct_fingerprints", "distinct_ips", "distinct_os", "mouse_entropy_avg")
