@@ -104,7 +104,8 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
     too_large = F.octet_length(data) > MAX_PAYLOAD_BYTES
     empty = data.isNull() | (trimmed == "")
     not_object = top.isNull() & ~is_null_literal
-    bad_json = not_object | p[CORRUPT].isNotNull() | unknown_fields(top)
+    corrupt = p[CORRUPT].isNotNull() & ~is_null_literal
+    bad_json = not_object | corrupt | unknown_fields(top)
     raw_ts = p["ts"]
     ts = F.when(raw_ts.isNull() | (raw_ts == F.lit(ZERO_TS).cast("timestamp")), F.col("ingest_ts")) \
         .otherwise(raw_ts)  # V12
@@ -122,7 +123,7 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
                .when(reason_signal.isNotNull(), "invalid_signal")
                .otherwise("accepted"))
     reason = (F.when(outcome == "invalid_json",
-                     F.when(not_object, "not_an_object").when(p[CORRUPT].isNotNull(), "malformed")
+                     F.when(not_object, "not_an_object").when(corrupt, "malformed")
                      .otherwise("unknown_field"))
               .when(outcome == "invalid_signal", reason_signal)
               .otherwise(outcome))

@@ -57,7 +57,7 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def append_features(features: DataFrame, path: str) -> None:
     """Plain append (not idempotent)."""
-    _conform(features).repartition(*PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    _conform(features).hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def upsert_features(features: DataFrame, path: str, staging_root: str | None = None) -> None:
@@ -70,8 +70,8 @@ def upsert_features(features: DataFrame, path: str, staging_root: str | None = N
     kept = current.join(incoming.select(*FEATURE_KEYS), FEATURE_KEYS, "left_anti")
     merged = kept.unionByName(incoming)
     stage = f"{(staging_root or os.path.dirname(path.rstrip('/')))}/_staging-{uuid.uuid4().hex[:12]}"
-    merged.repartition(*PARTITIONS).write.partitionBy(*PARTITIONS).parquet(stage)
-    (read_features(spark, stage).repartition(*PARTITIONS).write.mode("overwrite")
+    merged.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(stage)
+    (read_features(spark, stage).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from signalspark.schema import LANDED, QUARANTINE
 
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # JSON sinks keep microseconds
+
 LANDED_FILES = StructType(LANDED.fields + [StructField("batch_id", LongType())])
 QUARANTINE_FILES = StructType(QUARANTINE.fields + [StructField("batch_id", LongType())])
 
@@ -21,7 +23,8 @@ QUARANTINE_FILES = StructType(QUARANTINE.fields + [StructField("batch_id", LongT
 def write_landed(good: DataFrame, path: str, batch_id: int) -> None:
     """Append good rows as Parquet partitioned by tenant_id, dt (idempotent per batch)."""
     (good.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .repartition("tenant_id", "dt")  # one file per partition per batch, not one per task
+         # few files per partition, but AQE splits a hot (tenant, dt) across tasks
+         .hint("rebalance", "tenant_id", "dt")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tenant_id", "dt", "batch_id").parquet(path))
 
@@ -29,17 +32,17 @@ def write_landed(good: DataFrame, path: str, batch_id: int) -> None:
 def write_quarantine(bad: DataFrame, path: str, batch_id: int) -> None:
     """Quarantined rows as JSON lines with the raw text kept (idempotent per batch)."""
     (bad.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("timestampFormat", TS_FORMAT)
         .partitionBy("batch_id").json(path))
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """The landed table with its explicit schema (no type inference on partitions)."""
-    return spark.read.schema(LANDED_FILES).parquet(path).drop("batch_id")
+    return spark.read.schema(LANDED_FILES).parquet(path).select(*LANDED.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE_FILES).json(path)
+    return spark.read.schema(QUARANTINE_FILES).option("timestampFormat", TS_FORMAT).json(path)
 
 
 def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: int = 0,

@@ -82,18 +82,18 @@ def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_raw_files(raw: DataFrame, path: str, files: int | None = None) -> None:
     """Land raw entries as JSON-lines files (the file form of a stream source)."""
     out = raw.repartition(files) if files else raw
-    out.write.mode("overwrite").json(path)
+    out.write.mode("overwrite").option("timestampFormat", TS_FORMAT).json(path)
 
 
 def read_raw_files(spark: SparkSession, path: str, stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw entries from JSON-lines files; new files are picked up per trigger."""
     if stream:
-        r = spark.readStream.schema(RAW_ENVELOPE)
+        r = spark.readStream.schema(RAW_ENVELOPE).option("timestampFormat", TS_FORMAT)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.json(path)
-    return spark.read.schema(RAW_ENVELOPE).json(path)
+    return spark.read.schema(RAW_ENVELOPE).option("timestampFormat", TS_FORMAT).json(path)
 
 
 # Expected outcome per fault for the DuckDB oracle (same fixed table as above).
