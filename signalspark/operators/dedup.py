@@ -12,7 +12,9 @@ bucket can block anything in the current one. The fold therefore runs bucket
 by bucket (a handful of rounds for a nightly run): each round is a distributed
 join with the previous round's accepted keys and a ``min`` aggregate with
 map-side combine, so a key with millions of copies is never gathered in one
-task. Each round's accepted set is checkpointed to cut lineage.
+task. The narrow (key, time, bucket) table is written once, partitioned by
+bucket, under ``spark.checkpoint.dir``, so a round reads one bucket only; each
+round's accepted set is checkpointed to cut lineage.
 
 Stream form: ``dropDuplicatesWithinWatermark`` with a ``ttl`` watermark. It is
 close to, not equal to, the fold (it may also drop a repeat that arrives after
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.functions.windows import interval_micros
+from signalspark.session import work_dir
 from signalspark.schema import REPLAY_TTL_HOURS
 
 TTL = f"{REPLAY_TTL_HOURS} hours"
@@ -43,10 +46,14 @@ def replay_guard(entries: DataFrame, keys: Sequence[str] = ("tenant_id", "event_
     ttl_us = interval_micros(ttl)
     spark = entries.sparkSession
     order = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("i"))
-    e = entries.select(*keys, order.alias("_o"),
-                       F.floor(F.unix_micros(time_col) / F.lit(ttl_us)).alias("_bkt"))
-    # materialise the narrow (key, time, tie, bucket) table once; rounds read it by bucket
-    e = e.checkpoint(eager=True)
+    us = F.unix_micros(time_col)
+    e = entries.select(*keys, order.alias("_o"), ((us - F.pmod(us, F.lit(ttl_us))) / F.lit(ttl_us))
+                       .cast("bigint").alias("_bkt"))
+    # write the narrow (key, time, tie, bucket) table once to the shared checkpoint
+    # folder, partitioned by bucket: each round then reads only its own bucket
+    path = work_dir(spark, "replay-guard")
+    e.write.partitionBy("_bkt").parquet(path)
+    e = spark.read.schema(e.schema).parquet(path)
     buckets = [r[0] for r in e.select("_bkt").distinct().orderBy("_bkt").collect()]
 
     accepted = None

@@ -132,8 +132,9 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
                    p["device"].alias("device"), p["behavioral"].alias("behavioral"))
     if wire_compat:
         sig = wire_normalise(sig)
+    body = F.struct(*[p[f].alias(f) for f in SIGNAL.fieldNames()])  # values as sent
     return df.withColumn("sig", sig).withColumn("outcome", outcome).withColumn("reason", reason) \
-        .drop("_p", "_top")
+        .withColumn("body", body).drop("_p", "_top")
 
 
 def parse_and_split(raw: DataFrame, strict: bool = True, wire_compat: bool = False):
@@ -143,15 +144,18 @@ def parse_and_split(raw: DataFrame, strict: bool = True, wire_compat: bool = Fal
     is the original landing rule: parsed and ``event_id`` present, body values
     kept as sent.
     """
-    c = classify(raw, wire_compat)
+    return split_classified(classify(raw, wire_compat), strict)
+
+
+def split_classified(c: DataFrame, strict: bool = True):
+    """:func:`parse_and_split` on an already classified frame."""
     if strict:
         ok = F.col("outcome") == "accepted"
         good_sig = F.col("sig")
     else:
-        pp = F.from_json("data", SIGNAL)
-        ok = pp["event_id"].isNotNull()
-        c = c.withColumn("_pp", pp)
-        good_sig = F.col("_pp")
+        # the original landing rule: parsed with an event id, body values as sent
+        ok = F.col("body.event_id").isNotNull()
+        good_sig = F.col("body")
     good = c.filter(ok).select(good_sig.alias("s")).select("s.*").withColumn("dt", F.to_date("ts"))
     bad = c.filter(~ok).select(
         "tenant_id_hint", F.col("data").alias("raw"),

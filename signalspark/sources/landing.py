@@ -47,18 +47,24 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: int = 0,
                strict: bool = True, dedup: bool = False) -> dict:
-    """Classify a raw frame once, then write both sinks from the persisted result."""
-    from signalspark.operators.ingest import classify, parse_and_split
-    from signalspark.operators.dedup import apply_guard
-    src = raw
-    if dedup:
-        c = apply_guard(classify(raw))
-        src = c.filter(F.col("outcome") != "duplicate").select(*raw.columns)
-    src = src.persist()
+    """Classify a raw frame once, persist it, then write both sinks from it.
+
+    ``dedup`` also applies the replay guard: repeats are dropped from the
+    landed rows (they are not quarantined; they are counted as outcomes).
+    """
+    from signalspark.operators.dedup import replay_guard
+    from signalspark.operators.ingest import classify, split_classified
+    c = classify(raw).persist()
     try:
-        good, bad = parse_and_split(src, strict=strict)
+        good, bad = split_classified(c, strict=strict)
+        if dedup:
+            ok = c.filter(F.col("outcome") == "accepted").select(
+                "stream", "entry_id", "ingest_ts", F.col("sig.tenant_id").alias("tenant_id"),
+                F.col("sig.event_id").alias("event_id"))
+            repeats = replay_guard(ok).filter(~F.col("first_seen")).select("stream", "entry_id")
+            good, _ = split_classified(c.join(repeats, ["stream", "entry_id"], "left_anti"), strict=strict)
         write_landed(good, landed_path, batch_id)
         write_quarantine(bad, bad_path, batch_id)
     finally:
-        src.unpersist()
+        c.unpersist()
     return {"landed": landed_path, "quarantine": bad_path, "batch_id": batch_id}
