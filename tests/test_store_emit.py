@@ -112,3 +112,22 @@ def test_emit_limit_keeps_ties(spark):
                           [("t1", "s9", t1 + timedelta(minutes=1), "session")])
     assert em.read_since(feats, t1 - timedelta(hours=1), limit=2).count() == 3
     assert em.read_since(feats, t1 - timedelta(hours=1), limit=2, with_ties=False).count() == 2
+
+
+def test_cli_land_backfill_emit(spark):
+    from signalspark import jobs
+    root = _tmp()
+    write_raw_files(load_raw(spark, SF), f"{root}/raw", files=2)
+    jobs.main(["land", "--raw", f"{root}/raw", "--landed", f"{root}/landed", "--bad", f"{root}/bad", "--dedup"])
+    landed = land.read_landed(spark, f"{root}/landed")
+    assert landed.count() > 0
+    # repeats within 24 h are dropped; the copy re-sent after 30 h (id % 97 = 10) is accepted again
+    twice = {r.event_id for r in landed.groupBy("event_id").count().filter("count > 1").collect()}
+    assert twice and all(int(e[1:]) % 97 == 10 for e in twice)
+    assert landed.groupBy("event_id").count().agg(F.max("count")).first()[0] == 2
+    jobs.main(["backfill", "--raw", f"{root}/landed", "--table", f"{root}/table", "--format", "parquet"])
+    n = store.read_features(spark, f"{root}/table").count()
+    assert n == fs.build_feature_set(landed).count()
+    jobs.main(["emit", "--table", f"{root}/table", "--cursor", f"{root}/cursor", "--sink", f"{root}/out",
+               "--limit", "0"])
+    assert spark.read.text(f"{root}/out").count() == n
