@@ -466,8 +466,7 @@ BACKFILL_TENANT = "t1"
 SELECT * FROM fs WHERE tenant_id = '{BACKFILL_TENANT}'"""))
 def q_backfill_slice(spark, sf_dir):
     """one tenant, one dt range, read from the landed table with look-back."""
-    root = _landed(spark, sf_dir)
-    # the landed fixture keeps every accepted raw entry; feature inputs are the signals themselves
+    root = work_dir(spark, "backfill")
     landed = signals(spark, sf_dir).withColumn("dt", F.to_date("ts"))
     land.write_landed(landed, f"{root}/signals", 0)
     src = land.read_landed(spark, f"{root}/signals")
@@ -553,19 +552,18 @@ def q_emit_ticks(spark, sf_dir):
     return spark.read.text(f"{root}/out")
 
 
-@query("exported_rows")
+@query("exported_rows", _feature_set_sql())
 def q_exported_rows(spark, sf_dir):
-    """Feature rows exported as JSON lines (plus a blank and a broken line), read back."""
+    """Feature rows exported as JSON lines (nested ``features``), found recursively and read back;
+    files without a .json / .jsonl name (here: a text file of junk lines) are ignored."""
     root = work_dir(spark, "export")
     feats = fs.build_feature_set(signals(spark, sf_dir))
+    values = [c for c in feats.columns if c.startswith(("events_", "distinct_", "typing_", "mouse_", "geo_"))]
     exp = feats.select("tenant_id", "session_id", "window_end", "feature_window",
-                       F.struct(*[c for c in feats.columns if c.startswith(("events_", "distinct_", "typing_",
-                                                                            "mouse_", "geo_"))]).alias("features"))
-    exp.select(F.to_json(F.struct("*"), {"timestampFormat": em.PAYLOAD_TS_FORMAT}).alias("v")) \
-        .unionByName(spark.range(1).select(F.lit("").alias("v"))) \
-        .unionByName(spark.range(1).select(F.lit("{broken").alias("v"))) \
-        .write.text(f"{root}/x.jsonl")
-    return em.flatten_exported(em.read_exported(spark, root))
+                       F.struct(*values).alias("features"))
+    exp.write.option("timestampFormat", em.PAYLOAD_TS_FORMAT).json(f"{root}/a/b")
+    spark.range(2).select(F.lit("{broken").alias("v")).write.text(f"{root}/junk")
+    return round_doubles(em.flatten_exported(em.read_exported(spark, root)))
 
 
 # ----------------------------------------------------------------- quality --

@@ -131,3 +131,16 @@ def test_cli_land_backfill_emit(spark):
     jobs.main(["emit", "--table", f"{root}/table", "--cursor", f"{root}/cursor", "--sink", f"{root}/out",
                "--limit", "0"])
     assert spark.read.text(f"{root}/out").count() == n
+
+
+def test_export_reader_skips_blank_and_broken_lines(spark):
+    root = _tmp()
+    os.makedirs(f"{root}/x/y")
+    good = {"tenant_id": "t1", "session_id": "s1", "window_end": "2026-05-01T12:00:00.000000Z",
+            "feature_window": "session", "features": {"events_1m": 3}}
+    with open(f"{root}/x/y/part.jsonl", "w") as f:
+        f.write(json.dumps(good) + "\n\n{broken\n")
+    with open(f"{root}/x/ignored.txt", "w") as f:
+        f.write(json.dumps(good) + "\n")
+    rows = em.flatten_exported(em.read_exported(spark, root)).collect()
+    assert len(rows) == 1 and rows[0].events_1m == 3 and rows[0].window_end == datetime(2026, 5, 1, 12, 0)
