@@ -27,17 +27,20 @@ CURSOR_FILES = StructType(CURSOR.fields + [StructField("v", StringType())])
 def read_since(features: DataFrame, since, limit: int = 0, with_ties: bool = True) -> DataFrame:
     """A1 + A2: rows with ``window_end > since``; first ``limit`` by ``window_end`` (<= 0: all).
 
-    The cut is found with a distributed top-k (``orderBy().limit()`` keeps at
-    most ``limit`` rows per partition before merging); rows tied with the last
-    one are kept when ``with_ties``.
+    The cut is one scalar found with a distributed top-k (``orderBy().limit()``
+    keeps at most ``limit`` rows per partition before merging); the rows are
+    then a plain range filter that reaches the Parquet scan. Rows tied with
+    the last one are kept when ``with_ties``.
     """
     newer = features.filter(F.col("window_end") > F.lit(since).cast("timestamp"))
     if limit is None or limit <= 0:
         return newer
     if not with_ties:
         return newer.orderBy("window_end", "tenant_id", "session_id").limit(limit)
-    cut = newer.select("window_end").orderBy("window_end").limit(limit).agg(F.max("window_end").alias("_cut"))
-    return newer.join(cut, F.col("window_end") <= F.col("_cut"), "left_semi")
+    cut = newer.select("window_end").orderBy("window_end").limit(limit).agg(F.max("window_end")).first()[0]
+    if cut is None:
+        return newer.limit(0)
+    return newer.filter(F.col("window_end") <= F.lit(cut))
 
 
 def payload_struct(features: DataFrame, emitted_at=None) -> DataFrame:

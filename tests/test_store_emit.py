@@ -144,3 +144,29 @@ def test_export_reader_skips_blank_and_broken_lines(spark):
         f.write(json.dumps(good) + "\n")
     rows = em.flatten_exported(em.read_exported(spark, root)).collect()
     assert len(rows) == 1 and rows[0].events_1m == 3 and rows[0].window_end == datetime(2026, 5, 1, 12, 0)
+
+
+def test_landing_start_from_drops_older_entries(spark):
+    root = _tmp()
+    raw = load_raw(spark, SF)
+    cut = raw.agg(F.expr("percentile_approx(ingest_ts, 0.5)")).first()[0]
+    write_raw_files(raw, f"{root}/raw", files=2)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True), f"{root}/landed", f"{root}/bad",
+                      f"{root}/_ck", start_from=cut)
+    q.awaitTermination(300)
+    expected, _ = __import__("signalspark.operators.ingest", fromlist=["x"]).parse_and_split(
+        raw.filter(F.col("ingest_ts") >= F.lit(cut)))
+    got = land.read_landed(spark, f"{root}/landed")
+    assert got.count() == expected.count() > 0
+
+
+def test_stream_emit_writes_one_payload_per_row(spark):
+    from signalspark.streaming.emit import start_emit
+    root = _tmp()
+    feats = _feature_rows(spark, [("t1", "s1", datetime(2026, 5, 1, 12), "session", 3),
+                                  ("t2", "s2", datetime(2026, 5, 2, 12), "session", 4)])
+    store.upsert_features(feats, f"{root}/table")
+    q = start_emit(spark, f"{root}/table", f"{root}/out", f"{root}/_ck")
+    q.awaitTermination(300)
+    payloads = [json.loads(r.value) for r in spark.read.text(f"{root}/out").collect()]
+    assert sorted(p["features"]["events_1m"] for p in payloads) == [3, 4]
