@@ -30,6 +30,21 @@ def _run(spark, fn, sf_dir) -> float:
     return time.perf_counter() - t
 
 
+def plan_report(spark, sf_dir: str) -> str:
+    """Markdown table of executed-plan facts per registered query."""
+    lines = ["| query | exchanges | file scans | python nodes | pushed filters |", "| --- | --- | --- | --- | --- |"]
+    for name, fn in sorted(Q.QUERIES.items()):
+        df = fn(spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        py = sum(plan.count(k) for k in ("ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas",
+                                         "MapInPandas"))
+        pushed = "yes" if "PushedFilters: [" in plan and "PushedFilters: []" not in plan else "no"
+        lines.append(f"| {name} | {plan.count('Exchange ') + plan.count('Exchange(')} | "
+                     f"{plan.count('FileScan')} | {py} | {pushed} |")
+    return "\n".join(lines)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -39,6 +54,10 @@ def main() -> None:
                           conf={"spark.checkpoint.dir": f"{scratch}/ckpt", "spark.driver.memory": "8g",
                                 "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     spark.sparkContext.setLogLevel("ERROR")
+    if "--plans" in sys.argv:
+        print(plan_report(spark, sf_dir))
+        spark.stop()
+        return
 
     def outer_join_form(spark, d):
         return fs.build_feature_set_joins(Q.signals(spark, d))

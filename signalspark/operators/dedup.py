@@ -83,18 +83,28 @@ def replay_guard_stream(entries: DataFrame, keys: Sequence[str] = ("tenant_id",
     return entries.withWatermark(time_col, ttl).dropDuplicatesWithinWatermark(list(keys))
 
 
+NARROW = ["stream", "entry_id", "ingest_ts", "tenant_id_hint", "outcome", "reason"]
+
+
 def apply_guard(classified: DataFrame) -> DataFrame:
-    """Turn validation-accepted entries that the guard rejects into ``duplicate``.
+    """Narrow outcome frame with validation-accepted repeats turned into ``duplicate``.
 
-    Only entries that passed every other rule take part, as at the edge.
+    Columns: stream, entry_id, ingest_ts, tenant_id_hint, outcome, reason.
+    Only entries that passed every other rule take part, as at the edge. The
+    classified frame is projected to its narrow columns and written once under
+    ``spark.checkpoint.dir``, so each payload is parsed once although the
+    guard and the final join both read it.
     """
-    ok = classified.filter(F.col("outcome") == "accepted").select(
-        "stream", "entry_id", "ingest_ts", F.col("sig.tenant_id").alias("tenant_id"),
-        F.col("sig.event_id").alias("event_id"))
-    guarded = replay_guard(ok)
-    flags = guarded.select("stream", "entry_id", "first_seen")
-    out = classified.join(flags, ["stream", "entry_id"], "left")
-    dup = (F.col("outcome") == "accepted") & ~F.coalesce(F.col("first_seen"), F.lit(True))
-    return out.withColumn("outcome", F.when(dup, "duplicate").otherwise(F.col("outcome"))) \
-              .withColumn("reason", F.when(dup, "duplicate").otherwise(F.col("reason"))) \
-              .drop("first_seen")
+    spark = classified.sparkSession
+    path = work_dir(spark, "outcomes")
+    classified.select(*NARROW, F.col("sig.tenant_id").alias("tenant_id"),
+                      F.col("sig.event_id").alias("event_id")).write.parquet(path)
+    narrow = spark.read.parquet(path)
+    ok = narrow.filter(F.col("outcome") == "accepted").select(
+        "stream", "entry_id", "ingest_ts", "tenant_id", "event_id")
+    flags = replay_guard(ok).filter(~F.col("first_seen")).select("stream", "entry_id", "first_seen")
+    out = narrow.join(flags, ["stream", "entry_id"], "left")
+    dup = F.col("first_seen").isNotNull()
+    return out.select("stream", "entry_id", "ingest_ts", "tenant_id_hint",
+                      F.when(dup, "duplicate").otherwise(F.col("outcome")).alias("outcome"),
+                      F.when(dup, "duplicate").otherwise(F.col("reason")).alias("reason"))

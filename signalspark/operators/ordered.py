@@ -15,26 +15,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalspark.session import checkpoint_root
+
 
 def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                 value_cols: Sequence[str], bucket: Column, prefix: str = "prior_") -> DataFrame:
+                 value_cols: Sequence[str], bucket: Column, prefix: str = "prior_",
+                 materialize: bool = False) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row by ``order_cols``.
 
     ``bucket`` must be monotone in the first order column (e.g. ``date_trunc``
-    of the time) so that bucket order agrees with row order.
+    of the time) so that bucket order agrees with row order. The input is read
+    twice (window, per-bucket last row); ``materialize`` checkpoints it first
+    when it is an expensive plan rather than a stored table.
     """
     pcols = list(partition_cols)
     order = [F.col(c) for c in order_cols]
     vals = F.struct(*[F.col(c) for c in value_cols])
     keyed = df.withColumn("_bkt", bucket).withColumn("_vals", vals)
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        keyed = keyed.checkpoint(eager=True)
 
     w_in = Window.partitionBy(*pcols, "_bkt").orderBy(*order)
     inner = keyed.withColumn("_prev", F.lag("_vals").over(w_in)) \
                  .withColumn("_first", F.row_number().over(w_in) == 1)
 
     # one row per (key, bucket): its last row; then the previous bucket's last row
-    last = keyed.groupBy(*pcols, "_bkt").agg(
-        F.max_by("_vals", F.struct(*order)).alias("_last"))
+    last = keyed.groupBy(*pcols, "_bkt").agg(F.max_by("_vals", F.struct(*order)).alias("_last"))
     carry = last.select(*pcols, "_bkt", F.lag("_last").over(
         Window.partitionBy(*pcols).orderBy("_bkt")).alias("_carry"))
 

@@ -159,7 +159,7 @@ def q_haversine_prior(spark, sf_dir):
     from signalspark.operators.ordered import bucketed_lag
     s = fx.session_geo_starts(signals(spark, sf_dir))
     p = bucketed_lag(s, ["tenant_id"], ["session_start", "session_id"], ["lat", "lon"],
-                     bucket=F.date_trunc("hour", "session_start"))
+                     bucket=F.date_trunc("hour", "session_start"), materialize=True)
     return round_doubles(p.select("tenant_id", "session_id", "session_start", "lat", "lon", "prior_lat",
                                   "prior_lon", haversine_km("prior_lat", "prior_lon", "lat", "lon")
                                   .alias("geo_distance_km_prior")))
