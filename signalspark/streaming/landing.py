@@ -12,22 +12,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalspark.operators.ingest import parse_and_split
+from signalspark.operators.dedup import TTL
+from signalspark.operators.ingest import classify, split_classified
 from signalspark.sources.landing import write_landed, write_quarantine
 
 
 def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkpoint: str,
                   strict: bool = True, start_from=None, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
-    """Start the landing query; ``start_from`` drops entries that arrived earlier (S3)."""
+                  processing_time: str | None = None, dedup: bool = False) -> StreamingQuery:
+    """Start the landing query; ``start_from`` drops entries that arrived earlier (S3).
+
+    ``dedup`` adds the stream form of the replay guard: accepted entries are
+    keyed by (tenant, event_id), all others by their unique entry, and
+    ``dropDuplicatesWithinWatermark`` keeps the first of each key for 24 h of
+    arrival time (state is bounded by one TTL of keys).
+    """
     src = raw_stream
     if start_from is not None:
         src = src.filter(F.col("ingest_ts") >= F.lit(start_from).cast("timestamp"))
+    src = classify(src)
+    if dedup:
+        key = F.when(F.col("outcome") == "accepted",
+                     F.concat_ws("\u0000", F.lit("k"), "sig.tenant_id", "sig.event_id")) \
+            .otherwise(F.concat_ws("\u0000", F.lit("e"), "stream", "entry_id"))
+        src = src.withColumn("_dk", key).withWatermark("ingest_ts", TTL) \
+            .dropDuplicatesWithinWatermark(["_dk"]).drop("_dk")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            good, bad = parse_and_split(b, strict=strict)
+            good, bad = split_classified(b, strict=strict)
             write_landed(good, landed_path, batch_id)
             write_quarantine(bad, bad_path, batch_id)
         finally:

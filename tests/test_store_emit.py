@@ -170,3 +170,15 @@ def test_stream_emit_writes_one_payload_per_row(spark):
     q.awaitTermination(300)
     payloads = [json.loads(r.value) for r in spark.read.text(f"{root}/out").collect()]
     assert sorted(p["features"]["events_1m"] for p in payloads) == [3, 4]
+
+
+def test_stream_landing_with_replay_guard(spark):
+    root = _tmp()
+    write_raw_files(load_raw(spark, SF), f"{root}/raw", files=2)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True), f"{root}/landed", f"{root}/bad",
+                      f"{root}/_ck", dedup=True)
+    q.awaitTermination(300)
+    landed = land.read_landed(spark, f"{root}/landed")
+    assert landed.count() > 0
+    assert landed.groupBy("tenant_id", "event_id").count().filter("count > 1").count() == 0
+    assert land.read_quarantine(spark, f"{root}/bad").count() > 0
