@@ -61,8 +61,10 @@ def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
     Both parses sit in one ``Generate`` (inline of a one-element array): later
     filters and projections refer to its output and are never pushed below
     it, so each payload is parsed exactly twice however many rules use it.
+    Payloads over the size cap are not parsed at all: that outcome precedes
+    every parse-based one.
     """
-    d = F.col(data)
+    d = F.when(F.octet_length(F.col(data)) <= MAX_PAYLOAD_BYTES, F.col(data))
     parsed = F.struct(F.from_json(d, PARSE_SCHEMA, PARSE_OPTS).alias("_p"),
                       F.from_json(d, "map<string,string>").alias("_top"))
     return raw.select("*", F.inline(F.array(parsed)))
@@ -101,40 +103,51 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
     p, top = F.col("_p"), F.col("_top")
     trimmed = F.trim(data)
     is_null_literal = trimmed == "null"  # decodes to an empty signal, no error
-    too_large = F.octet_length(data) > MAX_PAYLOAD_BYTES
-    empty = data.isNull() | (trimmed == "")
-    not_object = top.isNull() & ~is_null_literal
-    corrupt = p[CORRUPT].isNotNull() & ~is_null_literal
-    bad_json = not_object | corrupt | unknown_fields(top)
     raw_ts = p["ts"]
     ts = F.when(raw_ts.isNull() | (raw_ts == F.lit(ZERO_TS).cast("timestamp")), F.col("ingest_ts")) \
         .otherwise(raw_ts)  # V12
     tenant = F.col("tenant_id_hint")  # V11: the authenticated tenant wins
     future = ts > F.col("ingest_ts") + F.expr(f"INTERVAL {MAX_CLOCK_SKEW}")  # V7
-    reason_signal = (F.when(_blank(p["event_id"]), "missing_event_id")
-                     .when(_blank(tenant), "missing_tenant")
-                     .when(_blank(p["session_id"]), "missing_session")
-                     .when(future, "future_timestamp"))  # V6 precedence
+    # every rule is evaluated once per row, inside a Generate; outcome and reason
+    # below only combine these plain columns
+    rules = F.struct(
+        (F.octet_length(data) > MAX_PAYLOAD_BYTES).alias("_too_large"),
+        (data.isNull() | (trimmed == "")).alias("_empty"),
+        (top.isNull() & ~is_null_literal).alias("_not_object"),
+        (p[CORRUPT].isNotNull() & ~is_null_literal).alias("_corrupt"),
+        unknown_fields(top).alias("_unknown"),
+        ts.alias("_ts"),
+        (F.when(_blank(p["event_id"]), "missing_event_id")
+         .when(_blank(tenant), "missing_tenant")
+         .when(_blank(p["session_id"]), "missing_session")
+         .when(future, "future_timestamp")).alias("_reason_signal"),  # V6 precedence
+    )
+    df = df.select("*", F.inline(F.array(rules)))
+    not_object, corrupt = F.col("_not_object"), F.col("_corrupt")
+    reason_signal = F.col("_reason_signal")
+    bad_json = not_object | corrupt | F.col("_unknown")
     outcome = (F.when(tenant.isNull(), "no_tenant")
                .when(F.lit(False) if admitted is None else ~admitted, "rate_limited")
-               .when(too_large, "payload_too_large")
-               .when(empty, "empty_body")
+               .when(F.col("_too_large"), "payload_too_large")
+               .when(F.col("_empty"), "empty_body")
                .when(bad_json, "invalid_json")
                .when(reason_signal.isNotNull(), "invalid_signal")
                .otherwise("accepted"))
-    reason = (F.when(outcome == "invalid_json",
-                     F.when(not_object, "not_an_object").when(corrupt, "malformed")
-                     .otherwise("unknown_field"))
-              .when(outcome == "invalid_signal", reason_signal)
-              .otherwise(outcome))
+    df = df.withColumn("outcome", outcome)
+    reason = (F.when(F.col("outcome") == "invalid_json",
+                     F.when(not_object, "not_an_object").when(corrupt, "malformed").otherwise("unknown_field"))
+              .when(F.col("outcome") == "invalid_signal", reason_signal)
+              .otherwise(F.col("outcome")))
+    ts = F.col("_ts")
     sig = F.struct(p["event_id"].alias("event_id"), tenant.alias("tenant_id"),
                    p["session_id"].alias("session_id"), ts.alias("ts"),
                    p["device"].alias("device"), p["behavioral"].alias("behavioral"))
     if wire_compat:
         sig = wire_normalise(sig)
     body = F.struct(*[p[f].alias(f) for f in SIGNAL.fieldNames()])  # values as sent
-    return df.withColumn("sig", sig).withColumn("outcome", outcome).withColumn("reason", reason) \
-        .withColumn("body", body).drop("_p", "_top")
+    return df.withColumn("sig", sig).withColumn("reason", reason).withColumn("body", body) \
+        .drop("_p", "_top", "_too_large", "_empty", "_not_object", "_corrupt", "_unknown", "_ts",
+              "_reason_signal")
 
 
 def parse_and_split(raw: DataFrame, strict: bool = True, wire_compat: bool = False):

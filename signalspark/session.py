@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     # partition values such as tenant_id=007 must stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints cut lineage of shared sub-plans; drop them once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
