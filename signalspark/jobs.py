@@ -26,7 +26,8 @@ def _args(argv=None) -> argparse.Namespace:
     a.add_argument("--raw", required=True, help="JSON-lines raw entries (stream, entry_id, data, ingest_ts)")
     a.add_argument("--landed", required=True)
     a.add_argument("--bad", required=True)
-    a.add_argument("--batch-id", type=int, default=0)
+    a.add_argument("--batch-id", required=False, default=None,
+                   help="unique id of this batch (default: name of the raw folder)")
     a.add_argument("--dedup", action="store_true")
     a.add_argument("--lenient", action="store_true", help="original landing rule (event_id present)")
     a.add_argument("--stream", action="store_true")
@@ -66,7 +67,8 @@ def main(argv=None) -> None:
                               available_now=False, processing_time="2 seconds")
             q.awaitTermination()
         else:
-            out = land_batch(read_raw_files(spark, args.raw), args.landed, args.bad, args.batch_id,
+            bid = args.batch_id or args.raw.rstrip("/").split("/")[-1]
+            out = land_batch(read_raw_files(spark, args.raw), args.landed, args.bad, bid,
                              strict=not args.lenient, dedup=args.dedup)
             log.info(json.dumps({"event": "landed", **out}))
     elif args.job == "backfill":

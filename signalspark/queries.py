@@ -363,7 +363,7 @@ STREAM_TIMEOUT_S = 600
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """Land the raw fixture once (batch path) and return the landed table path."""
     root = work_dir(spark, "landed")
-    land.land_batch(load_raw(spark, sf_dir), f"{root}/landed", f"{root}/bad", batch_id=0)
+    land.land_batch(load_raw(spark, sf_dir), f"{root}/landed", f"{root}/bad", batch_id="fixture")
     return root
 
 
@@ -408,7 +408,7 @@ def q_stream_landing(spark, sf_dir):
 
 def _signals_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Signals written as landed files, then read back as a stream."""
-    land.write_landed(signals(spark, sf_dir).withColumn("dt", F.to_date("ts")), f"{root}/landed", 0)
+    land.write_landed(signals(spark, sf_dir).withColumn("dt", F.to_date("ts")), f"{root}/landed", "signals")
     return sf.read_landed_stream(spark, f"{root}/landed")
 
 
@@ -468,7 +468,7 @@ def q_backfill_slice(spark, sf_dir):
     """one tenant, one dt range, read from the landed table with look-back."""
     root = work_dir(spark, "backfill")
     landed = signals(spark, sf_dir).withColumn("dt", F.to_date("ts"))
-    land.write_landed(landed, f"{root}/signals", 0)
+    land.write_landed(landed, f"{root}/signals", "signals")
     src = land.read_landed(spark, f"{root}/signals")
     days = src.agg(F.min("dt"), F.max("dt")).first()
     return round_doubles(bf.backfill_features(src, days[0], days[1], BACKFILL_TENANT))

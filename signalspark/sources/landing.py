@@ -4,34 +4,47 @@ Layout: ``{root}/tenant_id=../dt=../batch_id=../part-*.parquet`` and
 ``{bad}/batch_id=../part-*.json``. Writes use dynamic partition overwrite, so
 re-running a batch (a retried micro-batch, a replayed day) replaces exactly the
 partitions that batch wrote: landing is idempotent per ``batch_id``.
+
+``batch_id`` is a string that must be unique per batch across every writer of
+the table: stream batches use ``{run}-{epoch}`` with ``run`` derived from the
+checkpoint folder (stable across restarts of one query, different between
+queries), so a new stream never overwrites an older one's batch 0.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from signalspark.schema import LANDED, QUARANTINE
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # JSON sinks keep microseconds
 
-LANDED_FILES = StructType(LANDED.fields + [StructField("batch_id", LongType())])
-QUARANTINE_FILES = StructType(QUARANTINE.fields + [StructField("batch_id", LongType())])
+LANDED_FILES = StructType(LANDED.fields + [StructField("batch_id", StringType())])
+QUARANTINE_FILES = StructType(QUARANTINE.fields + [StructField("batch_id", StringType())])
+
+
+def stream_batch_id(checkpoint: str, epoch: int) -> str:
+    """Batch id of a micro-batch: stable for one query, distinct between queries."""
+    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    return f"{run}-{epoch:012d}"
 
 
-def write_landed(good: DataFrame, path: str, batch_id: int) -> None:
+def write_landed(good: DataFrame, path: str, batch_id: str) -> None:
     """Append good rows as Parquet partitioned by tenant_id, dt (idempotent per batch)."""
-    (good.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    (good.withColumn("batch_id", F.lit(str(batch_id)))
          # few files per partition, but AQE splits a hot (tenant, dt) across tasks
          .hint("rebalance", "tenant_id", "dt")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tenant_id", "dt", "batch_id").parquet(path))
 
 
-def write_quarantine(bad: DataFrame, path: str, batch_id: int) -> None:
+def write_quarantine(bad: DataFrame, path: str, batch_id: str) -> None:
     """Quarantined rows as JSON lines with the raw text kept (idempotent per batch)."""
-    (bad.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    (bad.withColumn("batch_id", F.lit(str(batch_id)))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("timestampFormat", TS_FORMAT)
         .partitionBy("batch_id").json(path))
 
@@ -45,7 +58,7 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_FILES).option("timestampFormat", TS_FORMAT).json(path)
 
 
-def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: int = 0,
+def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: str,
                strict: bool = True, dedup: bool = False) -> dict:
     """Classify a raw frame once, persist it, then write both sinks from it.
 

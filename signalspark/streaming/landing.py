@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from signalspark.operators.dedup import TTL
 from signalspark.operators.ingest import classify, split_classified
-from signalspark.sources.landing import write_landed, write_quarantine
+from signalspark.sources.landing import stream_batch_id, write_landed, write_quarantine
 
 
 def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkpoint: str,
@@ -42,8 +42,9 @@ def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkp
         b = batch.persist()
         try:
             good, bad = split_classified(b, strict=strict)
-            write_landed(good, landed_path, batch_id)
-            write_quarantine(bad, bad_path, batch_id)
+            bid = stream_batch_id(checkpoint, batch_id)
+            write_landed(good, landed_path, bid)
+            write_quarantine(bad, bad_path, bid)
         finally:
             b.unpersist()
 

@@ -60,8 +60,8 @@ def test_unknown_format_rejected(spark):
 def test_stream_landing_equals_batch_landing(spark):
     root = _tmp()
     raw = load_raw(spark, SF)
-    land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id=7)
-    land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id=7)  # retried batch: no duplicates
+    land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id="b7")
+    land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id="b7")  # retried batch: no duplicates
     write_raw_files(raw, f"{root}/raw", files=3)
     q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=1),
                       f"{root}/s/landed", f"{root}/s/bad", f"{root}/s/_ck")
@@ -77,7 +77,7 @@ def test_stream_landing_equals_batch_landing(spark):
 def test_backfill_lookback_keeps_prior_session(spark):
     root = _tmp()
     sig = load_signals(spark, SF).withColumn("ts", F.col("ts") + F.expr("INTERVAL 12 HOURS"))
-    land.write_landed(sig.withColumn("dt", F.to_date("ts")), f"{root}/landed", 0)
+    land.write_landed(sig.withColumn("dt", F.to_date("ts")), f"{root}/landed", "b0")
     landed = land.read_landed(spark, f"{root}/landed")
     days = sorted(r.dt for r in landed.select("dt").distinct().collect())
     assert len(days) == 2
@@ -182,3 +182,15 @@ def test_stream_landing_with_replay_guard(spark):
     assert landed.count() > 0
     assert landed.groupBy("tenant_id", "event_id").count().filter("count > 1").count() == 0
     assert land.read_quarantine(spark, f"{root}/bad").count() > 0
+
+
+def test_two_streams_do_not_overwrite_each_other(spark):
+    root = _tmp()
+    raw = load_raw(spark, SF)
+    write_raw_files(raw, f"{root}/raw", files=1)
+    for ck in ("a", "b"):  # two queries, both start at epoch 0
+        q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True), f"{root}/landed", f"{root}/bad",
+                          f"{root}/_ck_{ck}")
+        q.awaitTermination(300)
+    once, _ = __import__("signalspark.operators.ingest", fromlist=["x"]).parse_and_split(raw)
+    assert land.read_landed(spark, f"{root}/landed").count() == 2 * once.count()
