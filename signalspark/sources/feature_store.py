@@ -12,7 +12,9 @@ between partitions and the upsert is partition-local:
 4. overwrite just those partitions from the staging copy (dynamic overwrite).
 
 Other partitions are never touched; running the same upsert twice gives the
-same table. NULL keys never match, as with SQL ``=``; strict landing keeps
+same table. Before step 4 the staging folder is recorded in a marker inside the
+table; a run lost during the overwrite is completed by the next upsert (or
+``recover_upsert``) from that complete staging copy. NULL keys never match, as with SQL ``=``; strict landing keeps
 them out. Delta or Iceberg ``MERGE`` is used when requested and available.
 """
 
@@ -60,10 +62,46 @@ def append_features(features: DataFrame, path: str) -> None:
     _conform(features).hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
+MARKER = "_pending_upsert"  # leading underscore: ignored by Parquet readers
+
+
+def _pending(spark: SparkSession, path: str) -> str | None:
+    try:
+        rows = spark.read.text(f"{path}/{MARKER}").collect()
+    except AnalysisException:
+        return None
+    return rows[0][0] if rows else None
+
+
+def _set_pending(spark: SparkSession, path: str, stage: str | None) -> None:
+    rows = [(stage,)] if stage else []
+    spark.createDataFrame(rows, "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{MARKER}")
+
+
+def _overwrite_from(spark: SparkSession, stage: str, path: str) -> None:
+    (read_features(spark, stage).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+
+
+def recover_upsert(spark: SparkSession, path: str) -> bool:
+    """Finish an upsert whose final overwrite did not complete (driver lost mid-commit).
+
+    The staging copy holds the complete merged partitions, so replaying the
+    overwrite from it is idempotent. Returns True if something was replayed.
+    """
+    stage = _pending(spark, path)
+    if not stage:
+        return False
+    _overwrite_from(spark, stage, path)
+    _set_pending(spark, path, None)
+    return True
+
+
 def upsert_features(features: DataFrame, path: str, staging_root: str | None = None) -> None:
     """MERGE on (tenant_id, session_id, window_end, feature_window) into Parquet."""
     spark = features.sparkSession
     create_table(spark, path)
+    recover_upsert(spark, path)
     incoming = _conform(features)
     touched = incoming.select(*PARTITIONS).distinct()
     current = read_features(spark, path).join(touched, PARTITIONS, "left_semi")
@@ -71,8 +109,9 @@ def upsert_features(features: DataFrame, path: str, staging_root: str | None = N
     merged = kept.unionByName(incoming)
     stage = f"{(staging_root or os.path.dirname(path.rstrip('/')))}/_staging-{uuid.uuid4().hex[:12]}"
     merged.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(stage)
-    (read_features(spark, stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+    _set_pending(spark, path, stage)  # from here on a lost run is finished by recover_upsert
+    _overwrite_from(spark, stage, path)
+    _set_pending(spark, path, None)
 
 
 def _merge_sql(spark: SparkSession, features: DataFrame, table: str, fmt: str) -> None:

@@ -194,3 +194,17 @@ def test_two_streams_do_not_overwrite_each_other(spark):
         q.awaitTermination(300)
     once, _ = __import__("signalspark.operators.ingest", fromlist=["x"]).parse_and_split(raw)
     assert land.read_landed(spark, f"{root}/landed").count() == 2 * once.count()
+
+
+def test_upsert_recovers_lost_overwrite(spark):
+    path = f"{_tmp()}/table"
+    t0 = datetime(2026, 5, 1, 10, 0)
+    store.upsert_features(_feature_rows(spark, [("t1", "s1", t0, "session", 1)]), path)
+    # simulate a run that staged its merge but died before the overwrite
+    stage = f"{_tmp()}/stage"
+    merged = _feature_rows(spark, [("t1", "s1", t0, "session", 5)]).withColumn("dt", F.to_date("window_end"))
+    merged.write.partitionBy("tenant_id", "dt").parquet(stage)
+    store._set_pending(spark, path, stage)
+    assert store.recover_upsert(spark, path)
+    assert [r.events_1m for r in store.read_features(spark, path).collect()] == [5]
+    assert not store.recover_upsert(spark, path)
