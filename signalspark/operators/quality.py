@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalspark.schema import (
+from signalspark.schema import (  # noqa: F401  (re-exported for the SQL oracle)
     BEHAVIORAL_KINDS,
     HISTOGRAM_BOUNDS,
     MAX_ID_LEN,

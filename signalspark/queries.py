@@ -222,11 +222,11 @@ from signalspark.operators import dedup as dd  # noqa: E402
 from signalspark.operators import ingest as ing  # noqa: E402
 from signalspark.operators import quota as qa  # noqa: E402
 from signalspark.operators import sessions as sx  # noqa: E402
-from signalspark.sources.raw import ENTRIES_SQL, load_raw  # noqa: E402
+from signalspark.sources.raw import entries_sql, load_raw  # noqa: E402
 
 
 def _ingest_sql(body: str) -> str:
-    return with_signals(ENTRIES_SQL + body, recursive=True)
+    return with_signals(entries_sql() + body, recursive=True)
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,12 +254,16 @@ _GOOD_COLS = ["event_id", "tenant_id", "session_id", "ts", "dt", "os", "ip", "fi
               "geo_lat", "geo_lon", "n_behavioral"]
 
 
-@query("parse_good", _ingest_sql(f"""
-SELECT s.event_id, s.tenant_id, s.session_id,
-       CASE WHEN s.eid % 97 = 7 THEN s.ts + INTERVAL 1 SECOND ELSE s.ts END AS ts,
-       CAST(CASE WHEN s.eid % 97 = 7 THEN s.ts + INTERVAL 1 SECOND ELSE s.ts END AS DATE) AS dt,
-       s.os, s.ip, s.fingerprint, s.battery, s.geo_lat, s.geo_lon, s.n_behavioral
-FROM ent e JOIN sig s ON e.event_id = s.event_id WHERE e.v_outcome = 'accepted'"""))
+@query("parse_good", _ingest_sql("""
+SELECT event_id, tenant_id, session_id, eff_ts AS ts, CAST(eff_ts AS DATE) AS dt,
+       json_extract_string(obj, '$.device.os') AS os, json_extract_string(obj, '$.device.ip') AS ip,
+       json_extract_string(obj, '$.device.fingerprint') AS fingerprint,
+       CAST(json_extract_string(obj, '$.device.battery') AS DOUBLE) AS battery,
+       CAST(json_extract_string(obj, '$.device.geo_lat') AS DOUBLE) AS geo_lat,
+       CAST(json_extract_string(obj, '$.device.geo_lon') AS DOUBLE) AS geo_lon,
+       CASE WHEN json_type(obj, '$.behavioral') = 'ARRAY'
+            THEN CAST(json_array_length(obj, '$.behavioral') AS INTEGER) END AS n_behavioral
+FROM ent WHERE v_outcome = 'accepted'"""))
 def q_parse_good(spark, sf_dir):
     """V1-V13 + V2: rows that pass every edge rule, as landed (SIGNAL + dt)."""
     good, _ = ing.parse_and_split(load_raw(spark, sf_dir))
@@ -368,10 +372,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 
 _LANDED_COUNTS_SQL = _ingest_sql("""
-SELECT tenant_id, CAST(CASE WHEN eid % 97 = 7 THEN s_ts + INTERVAL 1 SECOND ELSE s_ts END AS DATE) AS dt,
-       count(*) AS n
-FROM (SELECT e.*, s.ts AS s_ts FROM ent e JOIN sig s ON e.event_id = s.event_id WHERE e.v_outcome = 'accepted')
-GROUP BY 1, 2""")
+SELECT tenant_id, CAST(eff_ts AS DATE) AS dt, count(*) AS n FROM ent WHERE v_outcome = 'accepted' GROUP BY 1, 2""")
 
 
 @query("landed_counts_by_partition", _LANDED_COUNTS_SQL)
@@ -583,11 +584,40 @@ def q_dwell_histogram(spark, sf_dir):
     return round_doubles(ql.fixed_histogram(x, "v"))
 
 
-@query("contract_violations", _ingest_sql("""
-SELECT stream, entry_id, CASE eid % 97 WHEN 3 THEN 'session_id_length' WHEN 11 THEN 'event_id_required'
-                                       WHEN 7 THEN 'ts_required' END AS violation
-FROM ent WHERE v_outcome NOT IN ('payload_too_large', 'empty_body', 'invalid_json') AND eid % 97 IN (3, 7, 11)
-  AND entry_id LIKE '%-0'"""))
+def _contract_sql() -> str:
+    kinds = ", ".join(f"'{k}'" for k in ql.BEHAVIORAL_KINDS)
+    checks = {
+        "event_id_required": "json_extract_string(obj, '$.event_id') IS NULL",
+        "event_id_length": f"length(json_extract_string(obj, '$.event_id')) NOT BETWEEN 1 AND {ql.MAX_ID_LEN}",
+        "session_id_required": "json_extract_string(obj, '$.session_id') IS NULL",
+        "session_id_length": f"length(json_extract_string(obj, '$.session_id')) NOT BETWEEN 1 AND {ql.MAX_ID_LEN}",
+        "ts_required": "json_extract_string(obj, '$.ts') IS NULL",
+        "device_required": "coalesce(json_type(obj, '$.device'), 'NULL') = 'NULL'",
+        "battery_range": "CAST(json_extract_string(obj, '$.device.battery') AS DOUBLE) NOT BETWEEN 0 AND 1",
+        "geo_lat_range": "abs(CAST(json_extract_string(obj, '$.device.geo_lat') AS DOUBLE)) > 90",
+        "geo_lon_range": "abs(CAST(json_extract_string(obj, '$.device.geo_lon') AS DOUBLE)) > 180",
+        "ip_format": f"NOT regexp_full_match(json_extract_string(obj, '$.device.ip'), '{ql.IPV4[1:-1]}')",
+        "kind_required": "list_bool_or(list_transform(b, lambda e: json_extract_string(e, '$.kind') IS NULL))",
+        "kind_enum": f"list_bool_or(list_transform(b, lambda e: json_extract_string(e, '$.kind') NOT IN ({kinds})))",
+        "dwell_ms_negative": "list_bool_or(list_transform(b, lambda e: CAST(json_extract_string(e, '$.dwell_ms') AS DOUBLE) < 0))",
+        "typing_cps_negative":
+            "list_bool_or(list_transform(b, lambda e: CAST(json_extract_string(e, '$.typing_cps') AS DOUBLE) < 0))",
+        "mouse_entropy_negative":
+            "list_bool_or(list_transform(b, lambda e: CAST(json_extract_string(e, '$.mouse_entropy') AS DOUBLE) < 0))",
+        "target_elem_length": f"list_bool_or(list_transform(b, lambda e: length(json_extract_string(e, '$.target_elem'))"
+                              f" > {ql.MAX_TARGET_ELEM_LEN}))",
+    }
+    union = "\nUNION ALL\n".join(f"SELECT stream, entry_id, '{name}' AS violation FROM wf WHERE coalesce({cond}, false)"
+                                  for name, cond in checks.items())
+    return _ingest_sql(f"""
+, wf AS (
+  SELECT stream, entry_id, obj, json_extract(obj, '$.behavioral[*]') AS b FROM ent
+  WHERE v_outcome NOT IN ('payload_too_large', 'empty_body', 'invalid_json')
+)
+{union}""")
+
+
+@query("contract_violations", _contract_sql())
 def q_contract(spark, sf_dir):
     """Published-contract violations of every well-formed payload, one row per violation."""
     raw = load_raw(spark, sf_dir)

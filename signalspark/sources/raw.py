@@ -96,36 +96,89 @@ def read_raw_files(spark: SparkSession, path: str, stream: bool = False,
     return spark.read.schema(RAW_ENVELOPE).option("timestampFormat", TS_FORMAT).json(path)
 
 
-# Expected outcome per fault for the DuckDB oracle (same fixed table as above).
-OUTCOME_SQL = f"""
-CASE eid % {FAULT_MOD}
-  WHEN {F_NOT_JSON} THEN 'invalid_json' WHEN {F_EMPTY} THEN 'empty_body'
-  WHEN {F_NO_SESSION} THEN 'invalid_signal' WHEN {F_FUTURE} THEN 'invalid_signal'
-  WHEN {F_UNKNOWN_KEY} THEN 'invalid_json' WHEN {F_BAD_TS} THEN 'invalid_json'
-  WHEN {F_TOO_LARGE} THEN 'payload_too_large' WHEN {F_NO_EVENT} THEN 'invalid_signal'
-  ELSE 'accepted' END"""
-
-REASON_SQL = f"""
-CASE eid % {FAULT_MOD}
-  WHEN {F_NOT_JSON} THEN 'not_an_object' WHEN {F_EMPTY} THEN 'empty_body'
-  WHEN {F_NO_SESSION} THEN 'missing_session' WHEN {F_FUTURE} THEN 'future_timestamp'
-  WHEN {F_UNKNOWN_KEY} THEN 'unknown_field' WHEN {F_BAD_TS} THEN 'malformed'
-  WHEN {F_TOO_LARGE} THEN 'payload_too_large' WHEN {F_NO_EVENT} THEN 'missing_event_id'
-  ELSE 'accepted' END"""
-
-# DuckDB: the raw entries (after ``SIGNALS_SQL``) with their expected validation
-# outcome, before the replay guard; re-sent copies carry the original payload.
-ENTRIES_SQL = f"""
-, ent AS (
-  SELECT '{STREAM_PREFIX}' || tenant_id AS stream, eid || '-0' AS entry_id, tenant_id, event_id, eid,
-         ts + INTERVAL 1 SECOND AS ingest_ts, {OUTCOME_SQL} AS v_outcome, {REASON_SQL} AS v_reason
-  FROM sig
+# --- DuckDB oracle: its own payload text, classified by its own JSON functions ---
+JSON_TS = "%Y-%m-%dT%H:%M:%S.%fZ"
+
+
+def _not_in(keys) -> str:
+    return "(" + ", ".join(f"'{k}'" for k in keys) + ")"
+
+
+def entries_sql() -> str:
+    """DuckDB CTEs (after ``SIGNALS_SQL``): ``ent`` = every raw entry with its outcome
+    before the replay guard, ``ge``/``gr`` = the guard as a recursive fold,
+    ``outc`` = final outcome. Payloads are built with ``json_object`` and checked
+    with ``json_valid``, ``json_type``, ``json_keys`` and casts, independently of Spark."""
+    from signalspark.schema import BEHAVIORAL, DEVICE, MAX_PAYLOAD_BYTES, SIGNAL
+    from signalspark.sources.events import OS_VERSION
+    m = FAULT_MOD
+    top, dev, beh = _not_in(SIGNAL.fieldNames()), _not_in(DEVICE.fieldNames()), _not_in(BEHAVIORAL.fieldNames())
+    return f"""
+, pay AS (
+  SELECT s.*, CAST(json_object(
+      'event_id', CASE WHEN eid % {m} = {F_NO_EVENT} THEN NULL ELSE event_id END,
+      'tenant_id', tenant_id,
+      'session_id', CASE WHEN eid % {m} = {F_NO_SESSION} THEN '' ELSE session_id END,
+      'ts', CASE eid % {m} WHEN {F_FUTURE} THEN strftime(ts + INTERVAL 10 MINUTE, '{JSON_TS}')
+                           WHEN {F_BAD_TS} THEN 'garbage' WHEN {F_NO_TS} THEN NULL
+                           ELSE strftime(ts, '{JSON_TS}') END,
+      'device', json_object('os', os, 'os_version', '{OS_VERSION}', 'ip', ip, 'fingerprint', fingerprint,
+                            'battery', battery, 'geo_lat', geo_lat, 'geo_lon', geo_lon),
+      'behavioral', CASE event_type
+        WHEN 'click' THEN json_array(json_object('kind', 'click', 'dwell_ms', k * 10))
+        WHEN 'purchase' THEN json_array(json_object('kind', 'submit'),
+                                        json_object('kind', 'type', 'typing_cps', value / 50.0::DOUBLE))
+        WHEN 'error' THEN json_array(json_object('kind', 'scroll', 'mouse_entropy', k / 100.0::DOUBLE),
+                                     json_object('kind', 'type', 'typing_cps', value / 50.0::DOUBLE))
+        WHEN 'view' THEN json_array() END) AS VARCHAR) AS body
+  FROM sig s
+), raw_e AS (
+  SELECT '{STREAM_PREFIX}' || tenant_id AS stream, eid || '-0' AS entry_id, eid, ts + INTERVAL 1 SECOND AS ingest_ts,
+         CASE eid % {m} WHEN {F_NOT_JSON} THEN 'not-json' WHEN {F_EMPTY} THEN ''
+                        WHEN {F_UNKNOWN_KEY} THEN CAST(json_merge_patch(body, '{{"extra_field":1}}') AS VARCHAR)
+                        WHEN {F_TOO_LARGE} THEN body || repeat(' ', {PAD_BYTES}) ELSE body END AS data
+  FROM pay
   UNION ALL
-  SELECT '{STREAM_PREFIX}' || tenant_id, eid || '-' || hv.h, tenant_id, event_id, eid,
-         ts + INTERVAL 1 SECOND + to_hours(CAST(hv.h AS BIGINT)), 'accepted', 'accepted'
-  FROM sig, (VALUES (1), (20), (30)) hv(h)
-  WHERE (eid % {FAULT_MOD} = {F_RESEND_1H} AND hv.h = 1)
-     OR (eid % {FAULT_MOD} = {F_RESEND_20_30H} AND hv.h IN (20, 30))
+  SELECT '{STREAM_PREFIX}' || tenant_id, eid || '-' || hv.h, eid,
+         ts + INTERVAL 1 SECOND + to_hours(CAST(hv.h AS BIGINT)), body
+  FROM pay, (VALUES (1), (20), (30)) hv(h)
+  WHERE (eid % {m} = {F_RESEND_1H} AND hv.h = 1) OR (eid % {m} = {F_RESEND_20_30H} AND hv.h IN (20, 30))
+), js AS (
+  SELECT *, strlen(data) > {MAX_PAYLOAD_BYTES} AS too_large, trim(data) = '' AS empty,
+         CASE WHEN strlen(data) <= {MAX_PAYLOAD_BYTES} AND json_valid(data) AND json_type(data) = 'OBJECT'
+              THEN data END AS obj
+  FROM raw_e
+), cls AS (
+  SELECT *, string_split(stream, ':')[-1] AS tenant_id, obj IS NULL AS not_object,
+         json_extract_string(obj, '$.event_id') AS p_event_id,
+         json_extract_string(obj, '$.session_id') AS p_session_id,
+         json_extract_string(obj, '$.ts') AS p_ts_text,
+         timezone('UTC', try_cast(json_extract_string(obj, '$.ts') AS TIMESTAMPTZ)) AS p_ts,
+         coalesce(len(list_filter(json_keys(obj), lambda x: lower(x) NOT IN {top})) > 0, false)
+           OR coalesce(len(list_filter(json_keys(obj, '$.device'), lambda x: lower(x) NOT IN {dev})) > 0, false)
+           OR coalesce(list_bool_or(list_transform(json_extract(obj, '$.behavioral[*]'),
+                lambda e: len(list_filter(json_keys(e), lambda x: lower(x) NOT IN {beh})) > 0)), false) AS unknown
+  FROM js
+), cls2 AS (
+  SELECT *, p_ts_text IS NOT NULL AND p_ts IS NULL AS malformed, coalesce(p_ts, ingest_ts) AS eff_ts FROM cls
+), cls3 AS (
+  SELECT *, CASE WHEN coalesce(p_event_id, '') = '' THEN 'missing_event_id'
+                 WHEN coalesce(tenant_id, '') = '' THEN 'missing_tenant'
+                 WHEN coalesce(p_session_id, '') = '' THEN 'missing_session'
+                 WHEN eff_ts > ingest_ts + INTERVAL 5 MINUTE THEN 'future_timestamp' END AS reason_signal,
+            CASE WHEN too_large THEN 'payload_too_large' WHEN empty THEN 'empty_body'
+                 WHEN not_object OR malformed OR unknown THEN 'invalid_json' END AS early
+  FROM cls2
+), ent AS (
+  SELECT stream, entry_id, tenant_id, p_event_id AS event_id, p_session_id AS session_id, eid, ingest_ts,
+         eff_ts, obj,
+         coalesce(early, CASE WHEN reason_signal IS NOT NULL THEN 'invalid_signal' ELSE 'accepted' END)
+           AS v_outcome,
+         CASE WHEN early = 'invalid_json' THEN CASE WHEN not_object THEN 'not_an_object'
+                                                   WHEN malformed THEN 'malformed' ELSE 'unknown_field' END
+              WHEN early IS NOT NULL THEN early
+              ELSE coalesce(reason_signal, 'accepted') END AS v_reason
+  FROM cls3
 ), ge AS (
   SELECT tenant_id, event_id, entry_id, ingest_ts,
          row_number() OVER (PARTITION BY tenant_id, event_id ORDER BY ingest_ts, entry_id) AS rn
