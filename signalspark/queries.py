@@ -14,10 +14,22 @@ from pyspark.sql import functions as F
 
 from signalspark.functions.geo import haversine_sql
 from signalspark.functions.windows import WINDOWS, window_end_sql
+from signalspark.operators import dedup as dd
+from signalspark.operators import emit as em
 from signalspark.operators import features as fx
+from signalspark.operators import ingest as ing
+from signalspark.operators import quality as ql
+from signalspark.operators import quota as qa
+from signalspark.operators import sessions as sx
+from signalspark.plans import backfill as bf
 from signalspark.plans import feature_set as fs
-from signalspark.session import ensure_utc
+from signalspark.session import ensure_utc, work_dir
+from signalspark.sources import feature_store as store
+from signalspark.sources import landing as land
 from signalspark.sources.events import load_signals, with_signals
+from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
+from signalspark.streaming import features as sf
+from signalspark.streaming.landing import start_landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -218,11 +230,6 @@ def q_feature_set(spark, sf_dir):
 
 # ------------------------------------------------------------------ ingest --
 
-from signalspark.operators import dedup as dd  # noqa: E402
-from signalspark.operators import ingest as ing  # noqa: E402
-from signalspark.operators import quota as qa  # noqa: E402
-from signalspark.operators import sessions as sx  # noqa: E402
-from signalspark.sources.raw import entries_sql, load_raw  # noqa: E402
 
 
 def _ingest_sql(body: str) -> str:
@@ -351,15 +358,6 @@ def q_quota(spark, sf_dir):
 
 # ------------------------------------------------- landing, store and emit --
 
-from signalspark.operators import emit as em  # noqa: E402
-from signalspark.operators import quality as ql  # noqa: E402
-from signalspark.plans import backfill as bf  # noqa: E402
-from signalspark.session import work_dir  # noqa: E402
-from signalspark.sources import feature_store as store  # noqa: E402
-from signalspark.sources import landing as land  # noqa: E402
-from signalspark.sources.raw import read_raw_files, write_raw_files  # noqa: E402
-from signalspark.streaming import features as sf  # noqa: E402
-from signalspark.streaming.landing import start_landing  # noqa: E402
 
 STREAM_TIMEOUT_S = 600
 
