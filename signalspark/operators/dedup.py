@@ -14,7 +14,7 @@ join with the previous round's accepted keys and a ``min`` aggregate with
 map-side combine, so a key with millions of copies is never gathered in one
 task. The narrow (key, time, bucket) table is written once, partitioned by
 bucket, under ``spark.checkpoint.dir``, so a round reads one bucket only; each
-round's accepted set is checkpointed to cut lineage.
+round's accepted set is written the same way to cut lineage.
 
 Stream form: ``dropDuplicatesWithinWatermark`` with a ``ttl`` watermark. It is
 close to, not equal to, the fold (it may also drop a repeat that arrives after
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.functions.windows import interval_micros
-from signalspark.session import work_dir
+from signalspark.session import checkpoint_table, work_dir
 from signalspark.schema import REPLAY_TTL_HOURS
 
 TTL = f"{REPLAY_TTL_HOURS} hours"
@@ -64,7 +64,7 @@ def replay_guard(entries: DataFrame, keys: Sequence[str] = ("tenant_id", "event_
         if state is not None and prev == b - 1:
             cur = cur.join(state, keys, "left").filter(
                 F.col("_until").isNull() | (F.col("_o.t") >= F.col("_until")))
-        acc = cur.groupBy(*keys).agg(F.min("_o").alias("_o")).checkpoint(eager=True)
+        acc = checkpoint_table(cur.groupBy(*keys).agg(F.min("_o").alias("_o")), "replay-guard-round")
         state = acc.select(*keys, (F.col("_o.t") + F.expr(f"INTERVAL {ttl}")).alias("_until"))
         accepted = acc if accepted is None else accepted.unionByName(acc)
         prev = b

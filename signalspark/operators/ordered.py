@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalspark.session import checkpoint_root
+from signalspark.session import checkpoint_table
 
 
 def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
@@ -25,7 +25,7 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
 
     ``bucket`` must be monotone in the first order column (e.g. ``date_trunc``
     of the time) so that bucket order agrees with row order. The input is read
-    twice (window, per-bucket last row); ``materialize`` checkpoints it first
+    twice (window, per-bucket last row); ``materialize`` writes it once first
     when it is an expensive plan rather than a stored table.
     """
     pcols = list(partition_cols)
@@ -33,8 +33,7 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     vals = F.struct(*[F.col(c) for c in value_cols])
     keyed = df.withColumn("_bkt", bucket).withColumn("_vals", vals)
     if materialize:
-        checkpoint_root(df.sparkSession)
-        keyed = keyed.checkpoint(eager=True)
+        keyed = checkpoint_table(keyed, "lag-input")
 
     w_in = Window.partitionBy(*pcols, "_bkt").orderBy(*order)
     inner = keyed.withColumn("_prev", F.lag("_vals").over(w_in)) \

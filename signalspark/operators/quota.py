@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.schema import DEFAULT_QUOTA_BURST, DEFAULT_QUOTA_RPS
-from signalspark.session import checkpoint_root
+from signalspark.session import checkpoint_table
 
 SECONDS_PER_DAY = 86_400
 
@@ -86,8 +86,7 @@ def per_second_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS,
     ).agg(F.count(F.lit(1)).alias("n")).withColumn("day", F.floor(F.col("sec") / SECONDS_PER_DAY))
     # both passes read the per-second table (at most 86,400 rows per tenant-day):
     # compute it once and cut the lineage
-    checkpoint_root(requests.sparkSession)
-    per_sec = per_sec.checkpoint(eager=True)
+    per_sec = checkpoint_table(per_sec, "quota-per-second")
 
     first = per_sec.groupBy("tenant_id", "day").applyInPandas(_pass(rps, burst, False), _OUT)
     ends = first.groupBy("tenant_id", "day").agg(

@@ -36,7 +36,7 @@ from signalspark.operators.features import (
     velocity_counts,
 )
 from signalspark.schema import FEATURE_VALUE_COLUMNS
-from signalspark.session import checkpoint_root
+from signalspark.session import checkpoint_table
 
 KEYS = ["tenant_id", "session_id", "window_end"]
 FEATURE_WINDOW = "session"
@@ -133,14 +133,13 @@ def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "
     The session roll-up feeds three consumers (cardinality/mouse, typing, geo
     with its bucketed lag). Column pruning gives each a slightly different plan,
     so Spark would recompute the roll-up, and scan the events, once per
-    consumer. ``materialize`` runs it once and checkpoints it to the shared
-    ``spark.checkpoint.dir`` (one row per session, far smaller than the
-    events); every consumer then reads that copy, and lineage stays short.
+    consumer. ``materialize`` runs it once and writes it as Parquet under the
+    shared ``spark.checkpoint.dir`` (one row per session, far smaller than
+    the events); every consumer then reads that copy, and lineage stays short.
     """
     sessions = session_rollup(events, exact)
     if materialize and not events.isStreaming:
-        checkpoint_root(events.sparkSession)
-        sessions = sessions.checkpoint(eager=True)
+        sessions = checkpoint_table(sessions, "session-rollup")
     card_mouse = sessions.select(
         *SESSION_KEYS, F.col("last_ts").alias("window_end"),
         "distinct_fingerprints", "distinct_ips", "distinct_os", "mouse_entropy_avg")

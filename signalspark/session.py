@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC_CONF = {"spark.sql.session.timeZone": "UTC"}
 
@@ -78,3 +78,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one job's tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/signalspark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used where one sub-plan feeds several consumers (which Spark would
+    otherwise recompute) and to cut lineage between rounds. Unlike an RDD
+    checkpoint the copy is columnar and carries file statistics, so later
+    plans prune columns and AQE sizes joins from real numbers.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
