@@ -6,9 +6,9 @@ between partitions and the upsert is partition-local:
 
 1. read only the partitions the incoming rows touch (partition pruning via a
    semi join on ``(tenant_id, dt)``),
-2. keep existing rows whose key is not incoming (``left_anti``), add incoming,
-3. write the result to a staging folder next to the table (this cuts the
-   lineage to the files about to be replaced),
+2. write the incoming rows to a staging folder next to the table, then append
+   the existing rows whose key is not incoming (``left_anti``); the staging
+   copy cuts the lineage to the files about to be replaced,
 4. overwrite just those partitions from the staging copy (dynamic overwrite).
 
 Other partitions are never touched; running the same upsert twice gives the
@@ -98,17 +98,21 @@ def recover_upsert(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_features(features: DataFrame, path: str, staging_root: str | None = None) -> None:
-    """MERGE on (tenant_id, session_id, window_end, feature_window) into Parquet."""
+    """MERGE on (tenant_id, session_id, window_end, feature_window) into Parquet.
+
+    The incoming rows are computed once, written straight into the staging
+    folder; touched partitions and the keys to replace are read back from it.
+    """
     spark = features.sparkSession
     create_table(spark, path)
     recover_upsert(spark, path)
-    incoming = _conform(features)
+    stage = f"{(staging_root or os.path.dirname(path.rstrip('/')))}/_staging-{uuid.uuid4().hex[:12]}"
+    _conform(features).hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(stage)
+    incoming = read_features(spark, stage)  # file listing taken now, before the append below
     touched = incoming.select(*PARTITIONS).distinct()
     current = read_features(spark, path).join(touched, PARTITIONS, "left_semi")
     kept = current.join(incoming.select(*FEATURE_KEYS), FEATURE_KEYS, "left_anti")
-    merged = kept.unionByName(incoming)
-    stage = f"{(staging_root or os.path.dirname(path.rstrip('/')))}/_staging-{uuid.uuid4().hex[:12]}"
-    merged.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(stage)
+    kept.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(stage)
     _set_pending(spark, path, stage)  # from here on a lost run is finished by recover_upsert
     _overwrite_from(spark, stage, path)
     _set_pending(spark, path, None)
