@@ -458,19 +458,16 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-BACKFILL_TENANT = "t1"
-
-
-@query("backfill_slice", with_signals(feature_set_ctes() + f"""
-SELECT * FROM fs WHERE tenant_id = '{BACKFILL_TENANT}'"""))
+@query("backfill_slice", _feature_set_sql())
 def q_backfill_slice(spark, sf_dir):
-    """one tenant, one dt range, read from the landed table with look-back."""
+    """replay of the landed table's whole date range (dt partition filters, one day of
+    look-back), every tenant."""
     root = work_dir(spark, "backfill")
     landed = signals(spark, sf_dir).withColumn("dt", F.to_date("ts"))
     land.write_landed(landed, f"{root}/signals", "signals")
     src = land.read_landed(spark, f"{root}/signals")
     days = src.agg(F.min("dt"), F.max("dt")).first()
-    return round_doubles(bf.backfill_features(src, days[0], days[1], BACKFILL_TENANT))
+    return round_doubles(bf.backfill_features(src, days[0], days[1]))
 
 
 UPSERT_CUT = "2024-01-01 07:00:00"

@@ -208,3 +208,17 @@ def test_upsert_recovers_lost_overwrite(spark):
     assert store.recover_upsert(spark, path)
     assert [r.events_1m for r in store.read_features(spark, path).collect()] == [5]
     assert not store.recover_upsert(spark, path)
+
+
+def test_backfill_tenant_slice_prunes_and_matches(spark):
+    root = _tmp()
+    sig = load_signals(spark, SF)
+    land.write_landed(sig.withColumn("dt", F.to_date("ts")), f"{root}/landed", "b0")
+    landed = land.read_landed(spark, f"{root}/landed")
+    d = landed.agg(F.min("dt")).first()[0]
+    sliced = bf.backfill_features(landed, d, d, tenant="t1")
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tenant_id" in plan or "(tenant_id" in plan
+    full = fs.build_feature_set(landed).filter(F.col("tenant_id") == "t1")
+    r = lambda x: x.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in x.dtypes])  # noqa
+    assert r(sliced).exceptAll(r(full)).count() == 0 and r(full).exceptAll(r(sliced)).count() == 0
