@@ -401,7 +401,7 @@ def q_stream_landing(spark, sf_dir):
     write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
     q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2),
                       f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint")
-    q.awaitTermination(STREAM_TIMEOUT_S)
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -419,7 +419,7 @@ def q_stream_velocity(spark, sf_dir):
     """F2 on a stream: 5-minute counts, 10-minute watermark, closed windows appended."""
     root = work_dir(spark, "stream-velocity")
     q = sf.start_velocity(_signals_files(spark, sf_dir, root), WINDOWS["5m"], f"{root}/out", f"{root}/_ck")
-    q.awaitTermination(STREAM_TIMEOUT_S)
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
     return spark.read.parquet(f"{root}/out")
 
 
@@ -441,7 +441,7 @@ def q_stream_sessions(spark, sf_dir):
     """F10 on a stream: session_window, 10-minute watermark, closed sessions appended."""
     root = work_dir(spark, "stream-sessions")
     q = sf.start_sessions(_signals_files(spark, sf_dir, root), f"{root}/out", f"{root}/_ck")
-    q.awaitTermination(STREAM_TIMEOUT_S)
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
     return spark.read.parquet(f"{root}/out")
 
 
@@ -454,7 +454,7 @@ def q_stream_dedup(spark, sf_dir):
     e = c.select(F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"),
                  "entry_id", "ingest_ts")
     q = sf.start_append(dd.replay_guard_stream(e), f"{root}/out", f"{root}/_ck")
-    q.awaitTermination(STREAM_TIMEOUT_S)
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
     return spark.read.parquet(f"{root}/out")
 
 

@@ -44,3 +44,12 @@ def start_velocity(events: DataFrame, window: str, sink_path: str, checkpoint: s
 def start_sessions(events: DataFrame, sink_path: str, checkpoint: str, **kw) -> StreamingQuery:
     """Closed gap sessions appended to a Parquet sink."""
     return start_append(session_aggregates(events), sink_path, checkpoint, **kw)
+
+
+def run_to_end(query: StreamingQuery, timeout_s: float) -> None:
+    """Wait for an ``availableNow`` query to drain its source; fail loudly if it does not."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s} s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
