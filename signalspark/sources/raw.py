@@ -75,6 +75,21 @@ def raw_from_signals(signals: DataFrame) -> DataFrame:
     return base.select(*RAW_ENVELOPE.fieldNames()).unionByName(copies)
 
 
+def raw_from_records(records: DataFrame, stream_col: str = "topic", value_col: str = "value",
+                     time_col: str = "timestamp", id_cols: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
+    """Any record frame (e.g. a Kafka-shaped ``topic, partition, offset, value, timestamp``)
+    to the RAW columns. Payload bytes are decoded as UTF-8 with invalid sequences
+    replaced (S4); the entry id is built from ``id_cols``. Works on batch and stream frames.
+    """
+    eid = F.concat_ws("-", *[F.col(c).cast("string") for c in id_cols])
+    return records.select(
+        F.col(stream_col).cast("string").alias("stream"),
+        eid.alias("entry_id"),
+        F.make_valid_utf8(F.col(value_col).cast("string")).alias("data"),
+        F.col(time_col).cast("timestamp").alias("ingest_ts"),
+    )
+
+
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_signals(load_signals(spark, sf_dir))
 
