@@ -23,8 +23,8 @@ from signalspark.plans import feature_set as fs  # noqa: E402
 from signalspark.session import build_session  # noqa: E402
 
 HEADLINE = ["feature_set", "session_aggregates", "upsert_features", "stream_landing"]
-OTHERS = ["velocity_1m", "cardinality_exact", "geo_distance", "outcomes", "replay_guard", "quota_admission",
-          "emit_since", "retain_last_n"]
+OTHERS = ["landed_counts_by_partition", "velocity_1m", "cardinality_exact", "geo_distance", "outcomes",
+          "replay_guard", "quota_admission", "emit_since", "retain_last_n"]
 
 
 def _run(spark, fn, sf_dir) -> float:
@@ -81,6 +81,7 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "stream_landing_rows_per_sec": round(n_raw / times["stream_landing"], 1),
+        "batch_landing_rows_per_sec": round(n_raw / times["landed_counts_by_partition"], 1),
         "feature_set_speedup_vs_outer_joins": round(times["feature_set_outer_joins"] / times["feature_set"], 2),
         "events": n_events,
         "cpus": int(cpus),

@@ -47,13 +47,14 @@ def replay_guard(entries: DataFrame, keys: Sequence[str] = ("tenant_id", "event_
     spark = entries.sparkSession
     order = F.struct(F.col(time_col).alias("t"), F.col(tie_col).alias("i"))
     us = F.unix_micros(time_col)
-    e = entries.select(*keys, order.alias("_o"), ((us - F.pmod(us, F.lit(ttl_us))) / F.lit(ttl_us))
-                       .cast("bigint").alias("_bkt"))
-    # write the narrow (key, time, tie, bucket) table once to the shared checkpoint
-    # folder, partitioned by bucket: each round then reads only its own bucket
+    tagged = entries.withColumn("_o", order).withColumn(
+        "_bkt", ((us - F.pmod(us, F.lit(ttl_us))) / F.lit(ttl_us)).cast("bigint"))
+    # write the input once to the shared checkpoint folder, partitioned by bucket:
+    # each round reads only its own bucket, and the final join reads the same copy
     path = work_dir(spark, "replay-guard")
-    e.write.partitionBy("_bkt").parquet(path)
-    e = spark.read.schema(e.schema).parquet(path)
+    tagged.write.partitionBy("_bkt").parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
+    e = tagged.select(*keys, "_o", "_bkt")
     buckets = [r[0] for r in e.select("_bkt").distinct().orderBy("_bkt").collect()]
 
     accepted = None
@@ -69,12 +70,11 @@ def replay_guard(entries: DataFrame, keys: Sequence[str] = ("tenant_id", "event_
         accepted = acc if accepted is None else accepted.unionByName(acc)
         prev = b
 
-    tagged = entries.withColumn("_o", order)
     if accepted is None:
-        return tagged.withColumn(flag, F.lit(False)).drop("_o")
+        return tagged.withColumn(flag, F.lit(False)).drop("_o", "_bkt")
     hit = accepted.select(*keys, "_o", F.lit(True).alias(flag))
     out = tagged.join(hit, keys + ["_o"], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    return out.drop("_o")
+    return out.drop("_o", "_bkt")
 
 
 def replay_guard_stream(entries: DataFrame, keys: Sequence[str] = ("tenant_id", "event_id"),
