@@ -85,9 +85,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SIGNAL frame for one scale-factor directory."""
-    return signals_from_events(read_table(spark, sf_dir, "events"))
+def load_signals(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """SIGNAL frame for one scale-factor directory.
+
+    ``partitions`` spreads the (small) event rows round-robin first; the raw
+    fixture uses it so payload building and parsing are not limited to the
+    one or two splits of a small test file.
+    """
+    events = read_table(spark, sf_dir, "events")
+    if partitions:
+        events = events.repartition(partitions)
+    return signals_from_events(events)
 
 
 # DuckDB text of the same mapping, used by the independent SQL oracle. It yields

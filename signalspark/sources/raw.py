@@ -91,7 +91,9 @@ def raw_from_records(records: DataFrame, stream_col: str = "topic", value_col: s
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from_signals(load_signals(spark, sf_dir))
+    """The raw-entry fixture, spread over the session's default parallelism like a
+    real many-partition source."""
+    return raw_from_signals(load_signals(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism))
 
 
 def write_raw_files(raw: DataFrame, path: str, files: int | None = None) -> None:
