@@ -356,6 +356,43 @@ def q_quota(spark, sf_dir):
     return qa.per_second_admission(raw, QUOTA_RPS, QUOTA_BURST)
 
 
+_QUOTA_CTES = """
+, ps AS (
+  SELECT tenant_id, CAST(floor(epoch_us(ingest_ts) / 1000000) AS BIGINT) AS sec, count(*) AS n
+  FROM ent GROUP BY 1, 2
+), po AS (
+  SELECT *, row_number() OVER (PARTITION BY tenant_id ORDER BY sec) AS rn FROM ps
+), qr AS (
+  SELECT tenant_id, rn, sec, n, CAST(least(n, floor(%(burst)s::DOUBLE)) AS BIGINT) AS admitted,
+         %(burst)s::DOUBLE - least(n, floor(%(burst)s::DOUBLE)) AS tokens
+  FROM po WHERE rn = 1
+  UNION ALL
+  SELECT po.tenant_id, po.rn, po.sec, po.n,
+         CAST(least(po.n, floor(least(%(burst)s::DOUBLE, qr.tokens + (po.sec - qr.sec) * %(rps)s::DOUBLE)))
+              AS BIGINT),
+         least(%(burst)s::DOUBLE, qr.tokens + (po.sec - qr.sec) * %(rps)s::DOUBLE)
+           - least(po.n, floor(least(%(burst)s::DOUBLE, qr.tokens + (po.sec - qr.sec) * %(rps)s::DOUBLE)))
+  FROM qr JOIN po ON po.tenant_id = qr.tenant_id AND po.rn = qr.rn + 1
+)
+"""
+
+
+@query("quota_requests", _ingest_sql(_QUOTA_CTES % {"burst": QUOTA_BURST, "rps": QUOTA_RPS} + """
+, rq AS (
+  SELECT entry_id, tenant_id, ingest_ts, CAST(floor(epoch_us(ingest_ts) / 1000000) AS BIGINT) AS sec,
+         row_number() OVER (PARTITION BY tenant_id, CAST(floor(epoch_us(ingest_ts) / 1000000) AS BIGINT)
+                            ORDER BY ingest_ts, entry_id) AS rk
+  FROM ent
+)
+SELECT rq.tenant_id, rq.entry_id, rq.rk <= qr.admitted AS admitted
+FROM rq JOIN qr ON rq.tenant_id = qr.tenant_id AND rq.sec = qr.sec"""))
+def q_quota_requests(spark, sf_dir):
+    """V18 per request: the first ``admitted`` requests of each tenant-second pass, the rest are
+    rate limited (the rank is cut at the bucket capacity before the shuffle)."""
+    raw = load_raw(spark, sf_dir).withColumn("tenant_id", ing.tenant_hint("stream"))
+    return qa.quota_admission(raw, QUOTA_RPS, QUOTA_BURST).select("tenant_id", "entry_id", "admitted")
+
+
 # ------------------------------------------------- landing, store and emit --
 
 
