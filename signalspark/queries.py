@@ -29,7 +29,7 @@ from signalspark.sources import landing as land
 from signalspark.sources.events import load_signals, with_signals
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.streaming import features as sf
-from signalspark.streaming.landing import start_landing
+from signalspark.streaming.landing import start_landing, start_outcome_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -482,6 +482,18 @@ def q_stream_sessions(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@query("stream_outcome_counts", _ingest_sql("""
+SELECT tenant_id, v_outcome AS outcome, count(*) AS n FROM ent GROUP BY 1, 2"""))
+def q_stream_outcome_counts(spark, sf_dir):
+    """V16 on a stream: complete-mode counters per (tenant, outcome), snapshot per micro-batch."""
+    root = work_dir(spark, "stream-outcomes")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    q = start_outcome_counts(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2),
+                             f"{root}/out", f"{root}/_ck")
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/out")
+
+
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """V14 stream form (dropDuplicatesWithinWatermark, 24 h); close to the fold: rows-only check."""

@@ -54,3 +54,21 @@ def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkp
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def start_outcome_counts(raw_stream: DataFrame, sink_path: str, checkpoint: str,
+                         available_now: bool = True, processing_time: str = "2 seconds") -> StreamingQuery:
+    """V16 on a stream: running entries per (tenant, outcome), before the replay guard.
+
+    A complete-mode aggregate (state = one row per tenant and outcome); every
+    micro-batch overwrites the sink with the current totals.
+    """
+    from signalspark.operators.ingest import outcome_counts
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink_path)
+
+    w = outcome_counts(classify(raw_stream)).writeStream.outputMode("complete").foreachBatch(sink) \
+        .option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
