@@ -17,6 +17,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 from pyspark.sql.types import StringType, StructField, StructType
 
 from signalspark.schema import LANDED, QUARANTINE
@@ -76,8 +77,10 @@ def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: str,
                 F.col("sig.event_id").alias("event_id"))
             repeats = replay_guard(ok).filter(~F.col("first_seen")).select("stream", "entry_id")
             good, _ = split_classified(c.join(repeats, ["stream", "entry_id"], "left_anti"), strict=strict)
-        write_landed(good, landed_path, batch_id)
-        write_quarantine(bad, bad_path, batch_id)
+        og, ob = Observation("landed"), Observation("quarantined")
+        write_landed(good.observe(og, F.count(F.lit(1)).alias("rows")), landed_path, batch_id)
+        write_quarantine(bad.observe(ob, F.count(F.lit(1)).alias("rows")), bad_path, batch_id)
     finally:
         c.unpersist()
-    return {"landed": landed_path, "quarantine": bad_path, "batch_id": batch_id}
+    return {"landed": landed_path, "quarantine": bad_path, "batch_id": batch_id,
+            "landed_rows": int(og.get.get("rows", 0)), "quarantined_rows": int(ob.get.get("rows", 0))}

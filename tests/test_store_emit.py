@@ -61,7 +61,9 @@ def test_stream_landing_equals_batch_landing(spark):
     root = _tmp()
     raw = load_raw(spark, SF)
     land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id="b7")
-    land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id="b7")  # retried batch: no duplicates
+    out = land.land_batch(raw, f"{root}/b/landed", f"{root}/b/bad", batch_id="b7")  # retried: no duplicates
+    assert out["landed_rows"] == land.read_landed(spark, f"{root}/b/landed").count()
+    assert out["quarantined_rows"] == land.read_quarantine(spark, f"{root}/b/bad").count() > 0
     write_raw_files(raw, f"{root}/raw", files=3)
     q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=1),
                       f"{root}/s/landed", f"{root}/s/bad", f"{root}/s/_ck")
