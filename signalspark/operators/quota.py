@@ -108,7 +108,8 @@ def quota_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS, burst:
     side (``WindowGroupLimit``) before the shuffle: a hot second is bounded.
     """
     from pyspark.sql import Window
-    adm = per_second_admission(requests, rps, burst, tenant_col, time_col)
+    # small (one row per tenant-second) and read twice below: written once
+    adm = checkpoint_table(per_second_admission(requests, rps, burst, tenant_col, time_col), "quota-admitted")
     r = requests.withColumn("_sec", F.unix_seconds(time_col)).join(
         adm.select(F.col("tenant_id").alias(tenant_col), F.col("sec").alias("_sec"),
                    F.col("n").alias("_n"), F.col("admitted").alias("_a")),
