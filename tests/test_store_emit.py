@@ -224,3 +224,39 @@ def test_backfill_tenant_slice_prunes_and_matches(spark):
     full = fs.build_feature_set(landed).filter(F.col("tenant_id") == "t1")
     r = lambda x: x.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in x.dtypes])  # noqa
     assert r(sliced).exceptAll(r(full)).count() == 0 and r(full).exceptAll(r(sliced)).count() == 0
+
+
+def test_partition_values_stay_strings(spark):
+    root = _tmp()
+    sig = load_signals(spark, SF).limit(5).withColumn("tenant_id", F.lit("007"))
+    land.write_landed(sig.withColumn("dt", F.to_date("ts")), f"{root}/landed", "b0")
+    got = land.read_landed(spark, f"{root}/landed")
+    assert dict(got.dtypes)["tenant_id"] == "string"
+    assert {r.tenant_id for r in got.select("tenant_id").distinct().collect()} == {"007"}
+
+
+def test_typing_scan_reads_only_used_leaves(spark):
+    from signalspark.operators import features as fx
+    root = _tmp()
+    land.write_landed(load_signals(spark, SF).withColumn("dt", F.to_date("ts")), f"{root}/landed", "b0")
+    plan = fx.typing_cadence_variance(land.read_landed(spark, f"{root}/landed"))._jdf.queryExecution() \
+        .executedPlan().toString()
+    schema = plan[plan.index("ReadSchema: "):].split("\n")[0]
+    assert "typing_cps" in schema and "kind" in schema
+    assert "mouse_entropy" not in schema and "dwell_ms" not in schema and "fingerprint" not in schema
+
+
+def test_stream_holds_back_open_windows(spark):
+    from signalspark.streaming import features as sfm
+    root = _tmp()
+    sig = load_signals(spark, SF)
+    land.write_landed(sig.withColumn("dt", F.to_date("ts")), f"{root}/landed", "b0")
+    q = sfm.start_velocity(sfm.read_landed_stream(spark, f"{root}/landed"), "5 minutes", f"{root}/out", f"{root}/_ck")
+    sfm.run_to_end(q, 300)
+    streamed = spark.read.parquet(f"{root}/out")
+    from signalspark.operators import features as fx
+    batch = fx.velocity_counts(sig, "5 minutes")
+    max_ts = sig.agg(F.max("ts")).first()[0]
+    closed = batch.filter(F.col("window_end") <= F.lit(max_ts - timedelta(minutes=10)))
+    assert streamed.count() == closed.count() < batch.count()
+    assert streamed.exceptAll(closed).count() == 0
