@@ -7,8 +7,9 @@ stage. Outcome precedence: no_tenant, rate_limited, payload_too_large,
 empty_body, invalid_json, invalid_signal, duplicate, accepted.
 
 Known differences to a strict Go decoder, documented rather than emulated: a
-JSON number in a string field is read as its text, and keys differing only in
-case from a known key are rejected as unknown rather than matched.
+JSON number in a string field is read as its text, and a key that differs only
+in case from a known key is not flagged as unknown, but its value is not read
+(Go would match it case-insensitively).
 """
 
 from __future__ import annotations
