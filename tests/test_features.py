@@ -116,9 +116,12 @@ def test_session_gap_is_inclusive(spark):
 
 def test_cells_equal_session_window(spark):
     sig = load_signals(spark, SF)
-    a = sx.session_aggregates(sig)
     b = sx.session_aggregates_window(sig)
-    assert a.count() == b.count() == 4880
+    assert b.count() == 4880
+    for limit in (sx.WINDOW_ROWS_LIMIT, 0):  # one-window path, then the bounded cells path
+        a = sx.session_aggregates(sig, window_rows_limit=limit)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a = sx.session_aggregates(sig, materialize=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

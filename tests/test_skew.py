@@ -45,7 +45,8 @@ def test_hot_session_is_a_third(spark):
 
 def test_gap_sessions_under_skew(spark):
     sig = _skewed_signals(spark)
-    assert _same(sx.session_aggregates(sig), sx.session_aggregates_window(sig))
+    for limit in (sx.WINDOW_ROWS_LIMIT, 0):
+        assert _same(sx.session_aggregates(sig, window_rows_limit=limit), sx.session_aggregates_window(sig))
 
 
 def test_feature_set_under_skew(spark):
