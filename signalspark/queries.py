@@ -29,6 +29,7 @@ from signalspark.sources import landing as land
 from signalspark.sources.events import load_signals, with_signals
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.streaming import features as sf
+from signalspark.streaming.guard import replay_guard_stateful
 from signalspark.streaming.landing import start_landing, start_outcome_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -494,6 +495,22 @@ def q_stream_outcome_counts(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@query("stream_replay_guard", _ingest_sql("""
+SELECT gr.tenant_id, gr.event_id, gr.entry_id, ge.ingest_ts, gr.first_seen
+FROM gr JOIN ge ON gr.entry_id = ge.entry_id AND gr.tenant_id = ge.tenant_id"""))
+def q_stream_replay_guard(spark, sf_dir):
+    """V14 on a stream, exact: the fold as applyInPandasWithState (one timestamp of state per key,
+    event-time timeout after the TTL)."""
+    root = work_dir(spark, "stream-guard")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    c = ing.classify(read_raw_files(spark, f"{root}/raw", stream=True)).filter(F.col("outcome") == "accepted")
+    e = c.select(F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"),
+                 "entry_id", "ingest_ts")
+    q = sf.start_append(replay_guard_stateful(e), f"{root}/out", f"{root}/_ck")
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/out")
+
+
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """V14 stream form (dropDuplicatesWithinWatermark, 24 h); close to the fold: rows-only check."""

@@ -260,3 +260,18 @@ def test_stream_holds_back_open_windows(spark):
     closed = batch.filter(F.col("window_end") <= F.lit(max_ts - timedelta(minutes=10)))
     assert streamed.count() == closed.count() < batch.count()
     assert streamed.exceptAll(closed).count() == 0
+
+
+def test_stateful_stream_guard_carries_state_across_batches(spark):
+    from signalspark.streaming.features import run_to_end, start_append
+    from signalspark.streaming.guard import replay_guard_stateful
+    root = _tmp()
+    schema = "tenant_id string, event_id string, entry_id string, ingest_ts timestamp"
+    t0 = datetime(2026, 5, 1, 0, 0)
+    for i, h in enumerate((0, 20, 30)):  # one micro-batch run per arrival
+        spark.createDataFrame([("t1", "e1", f"{h}", t0 + timedelta(hours=h)), ("t1", f"x{i}", "u", t0)], schema) \
+            .write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(schema).parquet(f"{root}/in")
+        run_to_end(start_append(replay_guard_stateful(src), f"{root}/out", f"{root}/_ck"), 300)
+    got = {r.entry_id: r.first_seen for r in spark.read.parquet(f"{root}/out").filter("event_id = 'e1'").collect()}
+    assert got == {"0": True, "20": False, "30": True}  # 20 h blocked by 0 h; 30 h accepted (no refresh)
