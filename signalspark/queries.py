@@ -29,6 +29,7 @@ from signalspark.sources import landing as land
 from signalspark.sources.events import load_signals, with_signals
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.streaming import features as sf
+from signalspark.streaming.emit import start_emit
 from signalspark.streaming.guard import replay_guard_stateful
 from signalspark.streaming.landing import start_landing, start_outcome_counts
 
@@ -603,6 +604,29 @@ def q_cursor_next(spark, sf_dir):
     return em.next_cursor(_emitted(spark, sf_dir), EMIT_SINCE)
 
 
+_PAYLOAD_SCHEMA = ("tenant_id string, session_id string, window_end timestamp, feature_window string, "
+                   "features struct<events_1m:bigint, events_5m:bigint, events_1h:bigint, "
+                   "distinct_fingerprints:bigint, distinct_ips:bigint, distinct_os:bigint, "
+                   "typing_cps_variance:double, typing_cps_mean:double, mouse_entropy_avg:double, "
+                   "geo_distance_km_prior:double>, schema_version string, emitted_at timestamp")
+
+
+@query("stream_payloads", with_signals(feature_set_ctes() + """
+SELECT tenant_id, session_id, window_end, feature_window, '1.0.0' AS schema_version,
+       events_1m, events_5m, events_1h, distinct_fingerprints, distinct_ips, distinct_os,
+       typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior
+FROM fs"""))
+def q_stream_payloads(spark, sf_dir):
+    """A5 stream form: new feature-table files -> one JSON payload per row (checkpointed text sink)."""
+    root = work_dir(spark, "stream-emit")
+    store.write_features(fs.build_feature_set(signals(spark, sf_dir)), f"{root}/table", fmt="parquet")
+    sf.run_to_end(start_emit(spark, f"{root}/table", f"{root}/out", f"{root}/_ck"), STREAM_TIMEOUT_S)
+    p = spark.read.text(f"{root}/out").select(
+        F.from_json("value", _PAYLOAD_SCHEMA, {"timestampFormat": em.PAYLOAD_TS_FORMAT}).alias("p"))
+    return round_doubles(p.select("p.tenant_id", "p.session_id", "p.window_end", "p.feature_window",
+                                  "p.schema_version", "p.features.*"))
+
+
 @query("emit_ticks")
 def q_emit_ticks(spark, sf_dir):
     """A5 + A6: ticks of 1000 from a committed cursor until nothing is left; payloads read back."""
