@@ -30,7 +30,7 @@ from signalspark.sources.events import load_signals, with_signals
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.streaming import features as sf
 from signalspark.streaming.emit import start_emit
-from signalspark.streaming.guard import replay_guard_stateful
+from signalspark.streaming.guard import quota_stateful, replay_guard_stateful
 from signalspark.streaming.landing import start_landing, start_outcome_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -512,6 +512,19 @@ def q_stream_replay_guard(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@query("stream_quota", _ingest_sql(_QUOTA_CTES % {"burst": QUOTA_BURST, "rps": QUOTA_RPS} + """
+SELECT tenant_id, sec, n, admitted FROM qr"""))
+def q_stream_quota(spark, sf_dir):
+    """V18 on a stream: the token bucket as a stateful fold per tenant (applyInPandasWithState)."""
+    root = work_dir(spark, "stream-quota")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    raw = read_raw_files(spark, f"{root}/raw", stream=True).withColumn("tenant_id", ing.tenant_hint("stream"))
+    q = sf.start_append(quota_stateful(raw, QUOTA_RPS, QUOTA_BURST), f"{root}/out", f"{root}/_ck")
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
+    out = spark.read.parquet(f"{root}/out")
+    return out.groupBy("tenant_id", "sec").agg(F.sum("n").alias("n"), F.sum("admitted").alias("admitted"))
+
+
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """V14 stream form (dropDuplicatesWithinWatermark, 24 h); close to the fold: rows-only check."""

@@ -275,3 +275,18 @@ def test_stateful_stream_guard_carries_state_across_batches(spark):
         run_to_end(start_append(replay_guard_stateful(src), f"{root}/out", f"{root}/_ck"), 300)
     got = {r.entry_id: r.first_seen for r in spark.read.parquet(f"{root}/out").filter("event_id = 'e1'").collect()}
     assert got == {"0": True, "20": False, "30": True}  # 20 h blocked by 0 h; 30 h accepted (no refresh)
+
+
+def test_stateful_stream_quota_across_batches(spark):
+    from signalspark.streaming.features import run_to_end, start_append
+    from signalspark.streaming.guard import quota_stateful
+    root = _tmp()
+    schema = "tenant_id string, ingest_ts timestamp"
+    t0 = datetime(2026, 5, 1, 0, 0)
+    for rows in ([("t", t0)] * 4, [("t", t0 + timedelta(seconds=1))] * 2):  # rate 1/s, capacity 3
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(schema).parquet(f"{root}/in")
+        run_to_end(start_append(quota_stateful(src, rps=1, burst=3), f"{root}/out", f"{root}/_ck"), 300)
+    got = sorted((r.sec, r.n, r.admitted) for r in spark.read.parquet(f"{root}/out").collect())
+    s0 = int(t0.replace(tzinfo=__import__("datetime").timezone.utc).timestamp())
+    assert got == [(s0, 4, 3), (s0 + 1, 2, 1)]
