@@ -6,10 +6,12 @@ column expressions over the raw frame, so classification is a single narrow
 stage. Outcome precedence: no_tenant, rate_limited, payload_too_large,
 empty_body, invalid_json, invalid_signal, duplicate, accepted.
 
-Known differences to a strict Go decoder, documented rather than emulated: a
-JSON number in a string field is read as its text, and a key that differs only
-in case from a known key is not flagged as unknown, but its value is not read
-(Go would match it case-insensitively).
+A JSON number, boolean, object or array where the contract has a string is
+malformed (Go's decoder rejects it, Spark's parser would read its text); the
+check is a pattern over the payload, since the string keys of the contract
+are unique across its levels. Known difference to Go, documented rather than
+emulated: a key that differs only in case from a known key is not flagged as
+unknown, but its value is not read (Go would match it case-insensitively).
 """
 
 from __future__ import annotations
@@ -29,6 +31,11 @@ BEHAVIORAL_KEYS = BEHAVIORAL.fieldNames()
 # Go's zero value for time.Time; a payload carrying it counts as "no time"
 ZERO_TS = "0001-01-01 00:00:00"
 NUMERIC_OMITEMPTY = ["battery", "geo_lat", "geo_lon"]
+# keys whose JSON value must be a string: the string fields, and ts (RFC 3339 text)
+STRING_KEYS = [f.name for st in (SIGNAL, DEVICE, BEHAVIORAL) for f in st.fields
+               if f.dataType.simpleString() in ("string", "timestamp")]
+# a string key followed by a value that is neither a string nor null
+NON_STRING_VALUE = r'"(' + "|".join(STRING_KEYS) + r')"\s*:\s*[-0-9tf\[{]'
 
 
 def tenant_hint(stream: Column | str = "stream") -> Column:
@@ -115,7 +122,8 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
         (F.octet_length(data) > MAX_PAYLOAD_BYTES).alias("_too_large"),
         (data.isNull() | (trimmed == "")).alias("_empty"),
         (top.isNull() & ~is_null_literal).alias("_not_object"),
-        (p[CORRUPT].isNotNull() & ~is_null_literal).alias("_corrupt"),
+        ((p[CORRUPT].isNotNull() & ~is_null_literal) | (top.isNotNull() & data.rlike(NON_STRING_VALUE)))
+        .alias("_corrupt"),
         unknown_fields(top).alias("_unknown"),
         ts.alias("_ts"),
         (F.when(_blank(p["event_id"]), "missing_event_id")

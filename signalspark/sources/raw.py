@@ -130,6 +130,15 @@ def entries_sql() -> str:
     from signalspark.sources.events import OS_VERSION
     m = FAULT_MOD
     top, dev, beh = _not_in(SIGNAL.fieldNames()), _not_in(DEVICE.fieldNames()), _not_in(BEHAVIORAL.fieldNames())
+    text_types = "('VARCHAR', 'NULL')"
+    wrong = [f"coalesce(json_type(obj, '$.{k}') NOT IN {text_types}, false)"
+             for k in ("event_id", "tenant_id", "session_id", "ts")]
+    wrong += [f"coalesce(json_type(obj, '$.device.{k}') NOT IN {text_types}, false)"
+              for k in ("os", "os_version", "ip", "fingerprint")]
+    wrong += [f"coalesce(list_bool_or(list_transform(json_extract(obj, '$.behavioral[*]'), "
+              f"lambda e: coalesce(json_type(e, '$.{k}') NOT IN {text_types}, false))), false)"
+              for k in ("kind", "target_elem")]
+    wrong_type = "(" + " OR ".join(wrong) + ")"
     return f"""
 , pay AS (
   SELECT s.*, CAST(json_object(
@@ -177,7 +186,8 @@ def entries_sql() -> str:
                 lambda e: len(list_filter(json_keys(e), lambda x: lower(x) NOT IN {beh})) > 0)), false) AS unknown
   FROM js
 ), cls2 AS (
-  SELECT *, p_ts_text IS NOT NULL AND p_ts IS NULL AS malformed, coalesce(p_ts, ingest_ts) AS eff_ts FROM cls
+  SELECT *, (p_ts_text IS NOT NULL AND p_ts IS NULL) OR {wrong_type} AS malformed,
+         coalesce(p_ts, ingest_ts) AS eff_ts FROM cls
 ), cls3 AS (
   SELECT *, CASE WHEN coalesce(p_event_id, '') = '' THEN 'missing_event_id'
                  WHEN coalesce(tenant_id, '') = '' THEN 'missing_tenant'
