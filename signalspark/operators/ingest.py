@@ -9,9 +9,7 @@ empty_body, invalid_json, invalid_signal, duplicate, accepted.
 A JSON number, boolean, object or array where the contract has a string is
 malformed (Go's decoder rejects it, Spark's parser would read its text); the
 check is a pattern over the payload, since the string keys of the contract
-are unique across its levels. Known difference to Go, documented rather than
-emulated: a key that differs only in case from a known key is not flagged as
-unknown, but its value is not read (Go would match it case-insensitively).
+are unique across its levels. Keys match the contract ignoring case, as in Go.
 """
 
 from __future__ import annotations
@@ -63,19 +61,43 @@ def unknown_fields(top: Column) -> Column:
             | F.coalesce(F.exists(beh, lambda m: _unknown(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
 
 
+def _case_variant(keys: Column, known: list[str]) -> Column:
+    allowed = F.array(*[F.lit(k) for k in known])
+    return F.coalesce(F.exists(keys, lambda k: F.array_contains(allowed, F.lower(k)) & ~F.array_contains(allowed, k)),
+                      F.lit(False))
+
+
+def _has_case_variant(top: Column) -> Column:
+    """True if some key equals a contract key only when case is ignored."""
+    dev = F.from_json(top["device"], "map<string,string>")
+    beh = F.from_json(top["behavioral"], "array<map<string,string>>")
+    return (_case_variant(F.map_keys(top), TOP_KEYS) | _case_variant(F.map_keys(dev), DEVICE_KEYS)
+            | F.coalesce(F.exists(beh, lambda m: _case_variant(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
+
+
+def _normalise_keys(d: Column) -> Column:
+    """Rewrite every contract key, in any letter case, to its contract spelling."""
+    for k in sorted(set(TOP_KEYS + DEVICE_KEYS + BEHAVIORAL_KEYS), key=len, reverse=True):
+        d = F.regexp_replace(d, f'"(?i:{k})"(\\s*:)', f'"{k}"$1')
+    return d
+
+
 def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
-    """Add ``_p`` (typed parse with corrupt-record flag) and ``_top`` (key map).
+    """Add ``_top`` (key map) and ``_p`` (typed parse with corrupt-record flag).
 
-    Both parses sit in one ``Generate`` (inline of a one-element array): later
+    Each parse sits in a ``Generate`` (inline of a one-element array): later
     filters and projections refer to its output and are never pushed below
     it, so each payload is parsed exactly twice however many rules use it.
     Payloads over the size cap are not parsed at all: that outcome precedes
-    every parse-based one.
+    every parse-based one. Keys are matched to the contract ignoring case, as
+    the Go decoder does: a payload with such a key has its keys normalised
+    before the typed parse (only those payloads pay for it).
     """
     d = F.when(F.octet_length(F.col(data)) <= MAX_PAYLOAD_BYTES, F.col(data))
-    parsed = F.struct(F.from_json(d, PARSE_SCHEMA, PARSE_OPTS).alias("_p"),
-                      F.from_json(d, "map<string,string>").alias("_top"))
-    return raw.select("*", F.inline(F.array(parsed)))
+    df = raw.select("*", F.inline(F.array(F.struct(F.from_json(d, "map<string,string>").alias("_top")))))
+    typed_input = F.when(_has_case_variant(F.col("_top")), _normalise_keys(d)).otherwise(d)
+    return df.select("*", F.inline(F.array(F.struct(
+        F.from_json(typed_input, PARSE_SCHEMA, PARSE_OPTS).alias("_p")))))
 
 
 def _blank(c: Column) -> Column:
