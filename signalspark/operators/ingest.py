@@ -61,18 +61,9 @@ def unknown_fields(top: Column) -> Column:
             | F.coalesce(F.exists(beh, lambda m: _unknown(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
 
 
-def _case_variant(keys: Column, known: list[str]) -> Column:
-    allowed = F.array(*[F.lit(k) for k in known])
-    return F.coalesce(F.exists(keys, lambda k: F.array_contains(allowed, F.lower(k)) & ~F.array_contains(allowed, k)),
-                      F.lit(False))
-
-
-def _has_case_variant(top: Column) -> Column:
-    """True if some key equals a contract key only when case is ignored."""
-    dev = F.from_json(top["device"], "map<string,string>")
-    beh = F.from_json(top["behavioral"], "array<map<string,string>>")
-    return (_case_variant(F.map_keys(top), TOP_KEYS) | _case_variant(F.map_keys(dev), DEVICE_KEYS)
-            | F.coalesce(F.exists(beh, lambda m: _case_variant(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
+_ALL_KEYS = "|".join(sorted(set(TOP_KEYS + DEVICE_KEYS + BEHAVIORAL_KEYS), key=len, reverse=True))
+# a JSON key equal to a contract key when case is ignored, but not spelled exactly like it
+CASE_VARIANT_KEY = f'"(?!(?:{_ALL_KEYS})")(?i:(?:{_ALL_KEYS}))"\\s*:'
 
 
 def _normalise_keys(d: Column) -> Column:
@@ -95,7 +86,7 @@ def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
     """
     d = F.when(F.octet_length(F.col(data)) <= MAX_PAYLOAD_BYTES, F.col(data))
     df = raw.select("*", F.inline(F.array(F.struct(F.from_json(d, "map<string,string>").alias("_top")))))
-    typed_input = F.when(_has_case_variant(F.col("_top")), _normalise_keys(d)).otherwise(d)
+    typed_input = F.when(d.rlike(CASE_VARIANT_KEY), _normalise_keys(d)).otherwise(d)
     return df.select("*", F.inline(F.array(F.struct(
         F.from_json(typed_input, PARSE_SCHEMA, PARSE_OPTS).alias("_p")))))
 
