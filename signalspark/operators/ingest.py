@@ -33,7 +33,7 @@ NUMERIC_OMITEMPTY = ["battery", "geo_lat", "geo_lon"]
 STRING_KEYS = [f.name for st in (SIGNAL, DEVICE, BEHAVIORAL) for f in st.fields
                if f.dataType.simpleString() in ("string", "timestamp")]
 # a string key followed by a value that is neither a string nor null
-NON_STRING_VALUE = r'"(' + "|".join(STRING_KEYS) + r')"\s*:\s*[-0-9tf\[{]'
+NON_STRING_VALUE = r'"(?i:' + "|".join(STRING_KEYS) + r')"\s*:\s*[-0-9tf\[{]'
 
 
 def tenant_hint(stream: Column | str = "stream") -> Column:
@@ -74,21 +74,22 @@ def _normalise_keys(d: Column) -> Column:
 
 
 def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
-    """Add ``_top`` (key map) and ``_p`` (typed parse with corrupt-record flag).
+    """Add ``_p`` (typed parse with corrupt-record flag) and ``_top`` (key map).
 
-    Each parse sits in a ``Generate`` (inline of a one-element array): later
+    Both parses sit in one ``Generate`` (inline of a one-element array): later
     filters and projections refer to its output and are never pushed below
     it, so each payload is parsed exactly twice however many rules use it.
     Payloads over the size cap are not parsed at all: that outcome precedes
     every parse-based one. Keys are matched to the contract ignoring case, as
     the Go decoder does: a payload with such a key has its keys normalised
-    before the typed parse (only those payloads pay for it).
+    before parsing (one pattern test per payload; only those payloads pay for
+    the rewrite).
     """
     d = F.when(F.octet_length(F.col(data)) <= MAX_PAYLOAD_BYTES, F.col(data))
-    df = raw.select("*", F.inline(F.array(F.struct(F.from_json(d, "map<string,string>").alias("_top")))))
-    typed_input = F.when(d.rlike(CASE_VARIANT_KEY), _normalise_keys(d)).otherwise(d)
-    return df.select("*", F.inline(F.array(F.struct(
-        F.from_json(typed_input, PARSE_SCHEMA, PARSE_OPTS).alias("_p")))))
+    d = F.when(d.rlike(CASE_VARIANT_KEY), _normalise_keys(d)).otherwise(d)
+    parsed = F.struct(F.from_json(d, PARSE_SCHEMA, PARSE_OPTS).alias("_p"),
+                      F.from_json(d, "map<string,string>").alias("_top"))
+    return raw.select("*", F.inline(F.array(parsed)))
 
 
 def _blank(c: Column) -> Column:
