@@ -290,3 +290,10 @@ def test_stateful_stream_quota_across_batches(spark):
     got = sorted((r.sec, r.n, r.admitted) for r in spark.read.parquet(f"{root}/out").collect())
     s0 = int(t0.replace(tzinfo=__import__("datetime").timezone.utc).timestamp())
     assert got == [(s0, 4, 3), (s0 + 1, 2, 1)]
+
+
+def test_read_since_nothing_newer(spark):
+    feats = _feature_rows(spark, [("t1", "s1", datetime(2026, 5, 1, 12), "session", 1)])
+    assert em.read_since(feats, datetime(2026, 5, 2), limit=10).count() == 0
+    assert em.next_cursor(em.read_since(feats, datetime(2026, 5, 2), limit=10), datetime(2026, 5, 2)) \
+        .first()["cursor"] == datetime(2026, 5, 2)  # never moves back
