@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +49,30 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from signalspark.llm.warc import archive_pages
 
     return archive_pages(table(spark, sf_dir, "pages"))
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file; ``SIGNALSPARK_TOKENIZERS`` names another folder."""
+    folder = os.environ.get("SIGNALSPARK_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.packing import pack_documents
+
+    packed = pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+@query("op10_token_ids")
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.binary_ids import store_ids
+
+    stored = store_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
