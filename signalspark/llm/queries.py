@@ -76,3 +76,38 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     stored = store_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op5_decontaminate", f"""
+WITH d AS (
+  SELECT doc_id, {_ITEM_WORDS.format("text")} AS w FROM documents
+), b AS (
+  SELECT item_id, {_ITEM_WORDS.format("text")} AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), h AS (
+  SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw USING (n, g)
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(x, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.decontaminate import REPORT, contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(*REPORT)
