@@ -111,3 +111,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from signalspark.llm.decontaminate import REPORT, contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(*REPORT)
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.quality import classify
+
+    scored = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
