@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import table, text_of
+from signalspark.llm.common import ship, table, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,12 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle:
             ORACLES[name] = oracle
         return fn
@@ -119,3 +125,31 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     scored = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op1_substring_dedup", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
+), r AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM g)
+  WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r
+), kept AS (
+  SELECT doc_id, p, w[p] AS word, gone.p IS NOT NULL AS out
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) LEFT JOIN gone USING (doc_id, p)
+), s AS (
+  SELECT doc_id, count(*) FILTER (out) AS n, string_agg(word, ' ' ORDER BY p) FILTER (NOT out) AS t
+  FROM kept GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)""")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.substrings import remove_repeats
+
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
