@@ -153,3 +153,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.neighbours import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
