@@ -26,17 +26,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-MEMO = 250_000
+MEMO = 350_000
 #: one run of Latin letters and the ASCII punctuation after it: two pre-tokens in both vocabularies
-_SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-#: a space whose predecessor is not surely a visible character
-_UNSURE = re.compile(rb"(?:\A|[^!-~\x80-\xbf]|[\xc2\xe1-\xe3][\x80-\xbf]{1,2}) ")
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)").fullmatch
+#: bytes that may belong to white space other than a space or a line break
+_ODD = bytes({*range(0x20), 0x7F, 0xC2, 0xE1, 0xE2, 0xE3} - {0x0A})
+_PLAIN = bytes(sorted({*range(256)} - {*_ODD}))
 _SURE = re.compile(rb"(?:[!-~]|[\xc3-\xdf][\x80-\xbf])\Z")
-_LINE = re.compile(r"([!-~À-ÖØ-öø-ÿ])\n(?=[!-~À-ÖØ-öø-ÿ])")
+_LINE = re.compile(rb"((?:[!-~]|[\xc3-\xdf][\x80-\xbf])\n)(?=[!-~]|[\xc3-\xdf])")
 
 
 class Encoder:
-    """Ids of whole texts as little-endian uint32 bytes."""
+    """Ids of whole texts as little-endian uint32 bytes.
+
+    In byte-level vocabularies a chunk that starts with a line break stands for itself and
+    any other for a space and itself; a text starts as if a line break came before it.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,76 +49,117 @@ class Encoder:
 
         self._lib = Tokenizer.from_file(path)
         self._words = self._lib.normalizer is not None
+        self._lead = b"" if self._words else b" "
         self._memo: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._letters: dict[bytes, bytes] = {}  # with the leading space, if any
+        self._bare: dict[bytes, bytes] = {}
+        self._break = b"" if self._words else self.direct("\n")
 
     def direct(self, text: str) -> bytes:
-        return np.array(self._lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self._lib.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _chunks(self, text: bytes) -> list[bytes]:
+    def _cut(self, text: bytes) -> list[bytes] | None:
+        """The text's chunks; None if its white space needs care."""
         if self._words:
             return text.split()
+        if (text.translate(None, _PLAIN) or b"  " in text or b"\n " in text or b" \n" in text
+                or b"\n\n" in text or text[:1] in (b" ", b"\n", b"")):
+            return None
+        return (b"\n" + text.replace(b"\n", b" \n")).split(b" ")
+
+    def _careful(self, text: bytes) -> bytes:
+        """Ids of a byte-level text with any white space, cut only where that is surely allowed."""
         parts = text.split(b" ")
-        if not _UNSURE.search(text):
-            return [parts[0], *[b" " + p for p in parts[1:]]]
-        out = parts[:1]
+        out, lead, last = [], b"", parts[0]
         for p in parts[1:]:
-            if _SURE.search(out[-1]):
-                out.append(b" " + p)
-            else:
-                out[-1] += b" " + p
-        return out
-
-    def _plan(self, chunk: str) -> list[str]:
-        """The chunk cut further where that is surely a pre-token boundary."""
-        out: list[str] = []
-        lines = _LINE.sub("\\1\n\x00", chunk).split("\n\x00") if "\n" in chunk and "\x00" not in chunk else [chunk]
-        for i, line in enumerate(lines):
-            if i:
-                out.append("\n")
-            if m := _SIMPLE.fullmatch(line):
-                out.append(m[1] + (m[2].lower() if self._words else m[2]))
-                if m[3]:
-                    out.append(m[3])
+            if _SURE.search(last):
+                out.append(self._lines(last, lead))
+                lead, last = b" ", p
             else:
-                out.append(line)
-        return out
+                last += b" " + p
+        return b"".join([*out, self._lines(last, lead)])
+
+    def _encode(self, pieces: list[bytes], into: dict[bytes, bytes], lead: bytes) -> None:
+        for i in range(0, len(pieces), 4096):
+            some = pieces[i:i + 4096]
+            texts = [(lead + p).decode() for p in some]
+            for p, e in zip(some, self._lib.encode_batch_fast(texts, add_special_tokens=False)):
+                into[p] = array("I", e.ids).tobytes()
 
     def _learn(self, chunks: set[bytes]) -> None:
-        memo, plans, wanted = self._memo, [], set()
+        if len(self._letters) > MEMO:
+            self._letters.clear()
+        if len(self._bare) > MEMO:
+            self._bare.clear()
+        memo, old, letters, bare, words = self._memo, self._old, self._letters, self._bare, self._words
+        later, new, bare_new, whole = [], set(), set(), []
         for c in chunks:
-            if (known := self._old.get(c)) is not None:
-                memo[c] = known
-            else:
-                plan = self._plan(c.decode())
-                plans.append((c, plan))
-                wanted.update(plan)
-        pieces = {p: self._pieces[p] for p in wanted if p in self._pieces}
-        new = [p for p in wanted if p not in pieces]
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for p, e in zip(some, self._lib.encode_batch_fast(some, add_special_tokens=False)):
-                pieces[p] = array("I", e.ids).tobytes()
-        if len(self._pieces) > 2 * MEMO:
-            self._pieces.clear()
-        self._pieces.update(pieces)
-        for c, plan in plans:
-            memo[c] = pieces[plan[0]] if len(plan) == 1 else b"".join([pieces[p] for p in plan])
+            ids = old.get(c)
+            if ids is None:
+                line = c[:1] == b"\n" and not words  # a line break, then no space
+                if (m := _SIMPLE(c[1:] if line else c)) is None:
+                    whole.append(c)
+                    continue
+                a, b = m.groups()
+                if words:
+                    a = a.lower()
+                ids = (bare if line else letters).get(a)
+                if b and ids is not None:
+                    ids = ids + bare[b] if b in bare else None
+                if ids is None:
+                    later.append((c, a, b, line))
+                    (bare_new if line else new).add(a)
+                    if b:
+                        bare_new.add(b)
+                    continue
+                if line:
+                    ids = self._break + ids
+            memo[c] = ids
+        self._encode([x for x in new if x not in letters], letters, self._lead)
+        self._encode([x for x in bare_new if x not in bare], bare, b"")
+        for c, a, b, line in later:
+            ids = self._break + bare[a] if line else letters[a]
+            memo[c] = ids + bare[b] if b else ids
+        self._encode([c for c in whole if c[:1] != b"\n" or words], memo, self._lead)
+        for c in whole:
+            if c[:1] == b"\n" and not words:
+                memo[c] = self._break + self.direct(c[1:].decode())
+
+    def _lines(self, chunk: bytes, lead: bytes) -> bytes:
+        """Ids of a chunk that may span line breaks."""
+        parts = _LINE.sub(rb"\1\0", chunk).split(b"\n\0") if b"\0" not in chunk else [chunk]
+        return b"".join([self._piece(b"\n", b"") * (i > 0) + self._piece(p, b"" if i else lead)
+                         for i, p in enumerate(parts)])
+
+    def _piece(self, p: bytes, lead: bytes) -> bytes:
+        """Ids of a piece without an inner cut."""
+        if lead:
+            if p in self._letters:
+                return self._letters[p]
+            if (m := _SIMPLE(p)) and m[1] in self._letters and m[2] in self._bare:
+                return self._letters[m[1]] + self._bare[m[2]]
+            return self.direct((lead + p).decode())
+        if (m := _SIMPLE(p)) and m[2]:
+            return self._piece(m[1], b"") + self._piece(m[2], b"")
+        if p not in self._bare:
+            self._bare[p] = self.direct(p.decode())
+        return self._bare[p]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, given in UTF-8."""
         if len(self._memo) > MEMO:
             self._old, self._memo = self._memo, {}
         memo = self._memo
-        chunked = [self._chunks(t) for t in texts]
-        if new := {c for chunks in chunked for c in chunks if c not in memo}:
+        cut = [self._cut(t) for t in texts]
+        if new := {c for chunks in cut if chunks for c in chunks if c not in memo}:
             gc.disable()  # many small tuples, no cycles
             try:
                 self._learn(new)
             finally:
                 gc.enable()
-        return [b"".join(map(memo.__getitem__, chunks)) for chunks in chunked]
+        skip, get = len(self._break), memo.__getitem__
+        return [self._careful(t) if c is None else b"".join(map(get, c))[skip:] for t, c in zip(texts, cut)]
 
 
 if sys.byteorder != "little" or array("I").itemsize != 4:  # ids are written as little-endian uint32
