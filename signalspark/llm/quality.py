@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from signalspark.llm.common import hashed_sample
 from signalspark.llm.grams import NOT_SPACE, text_buffers, texts_of_words, word_names, word_spans
 from signalspark.llm.tokens import small_batches
 
@@ -98,7 +99,7 @@ def features(texts: pa.Array) -> np.ndarray:
         shape = ((kind[starts].astype(np.int64) * 6 + kind[ends - 1]) * 2 + turns) % SHAPES
         counts = np.bincount(owner * SHAPES + shape, minlength=n * SHAPES).reshape(n, SHAPES)
         out[:, STYLE:] = counts / many[:, None]
-    return out
+    return np.sqrt(out)  # steadies the spread of small shares
 
 
 @dataclass
@@ -139,7 +140,7 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, delta: float = 0.1) -> floa
     return float(np.clip(u[best] / p[best], 0.02, 0.98))
 
 
-def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 400, rate: float = 0.05, l2: float = 1e-3) -> Model | None:
+def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 800, rate: float = 0.02, l2: float = 1e-3) -> Model | None:
     """The non-negative risk minimiser; None without positives or unlabelled rows."""
     if not len(pos) or not len(unl):
         return None
@@ -189,14 +190,14 @@ def _feature_rows(texts: DataFrame) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
     """Fit on the training folds' trusted positives and on unlabelled texts of the training folds."""
-    h = F.xxhash64(F.lit(SEED), F.col(key))
-    trusted = (labels.filter((F.col(label) == 1) & F.col(key).isNotNull() & ~held_out(key))
-               .select(key).distinct().select(F.col(key).alias("_k"), h.alias("h")).orderBy("h").limit(positives))
-    web = (docs.filter(F.col(key).isNotNull() & ~held_out(key)).select(key).distinct()
-           .select(F.col(key).alias("_k"), F.xxhash64(F.lit(SEED + 1), F.col(key)).alias("h")).orderBy("h").limit(unlabelled))
+    known = F.col(key).isNotNull() & ~held_out(key)
+    trusted = labels.filter((F.col(label) == 1) & known).select(F.col(key).alias("_k")).distinct()
+    web = docs.filter(known).select(F.col(key).alias("_k")).distinct()
     texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("text"))
-    sample = lambda ids: _feature_rows(texts.join(ids, "_k").select("h", "text"))
-    return fit(sample(trusted), sample(web))
+    sample = lambda ids, n, seed: _feature_rows(
+        texts.join(hashed_sample(ids, "_k", n, seed), "_k")
+        .groupBy(F.col("_h").alias("h")).agg(F.min("text").alias("text")))
+    return fit(sample(trusted, positives, SEED), sample(web, unlabelled, SEED + 1))
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", column: str = "score") -> DataFrame:
