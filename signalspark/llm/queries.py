@@ -160,3 +160,12 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from signalspark.llm.neighbours import search
 
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op2_near_duplicates")
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.near import classes
+
+    found = classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("place").alias("doc_id"), "class_id", "links",
+                        (F.col("place") == F.col("class_id")).alias("kept"))
