@@ -169,3 +169,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("place").alias("doc_id"), "class_id", "links",
                         (F.col("place") == F.col("class_id")).alias("kept"))
+
+
+@query("op7_line_dedup")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.lines import report
+
+    return report(table(spark, sf_dir, "documents"))
