@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from signalspark.llm.common import hashed_sample, utf8
 from signalspark.llm.tokens import encoder, small_batches
-from signalspark.llm.common import utf8
 from signalspark.session import work_dir
 
 MAGIC = b"TOKIDZ01"
@@ -47,6 +47,7 @@ DICT_BYTES = 64 << 10
 TRAIN_DOCS = 1000
 TRAIN_IDS = 4096
 LEVEL = 3
+SEED = 10_010
 FILE_BYTES = 32 << 20
 FILES = "file_no long, first_id long, last_id long, documents long, tokens long, doc_ids binary, null_ids long, blob binary"
 
@@ -54,10 +55,11 @@ FILES = "file_no long, first_id long, last_id long, documents long, tokens long,
 def train_dictionary(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text",
                      n_docs: int = TRAIN_DOCS) -> bytes:
     """Dictionary bytes; empty when the sample is too small to train on."""
-    sample = (docs.filter(F.octet_length(text) > 0)
-              .select(F.xxhash64(F.col(key)).alias("h"), F.substring(text, 1, 8 * TRAIN_IDS).alias("t"))
-              .orderBy("h", "t").limit(n_docs).collect())
-    ids = encoder(vocabulary).encode_all([r.t.encode() for r in sample])
+    ids_of = docs.filter(F.octet_length(text) > 0).select(F.col(key).alias("_k")).distinct()
+    chosen = hashed_sample(ids_of, "_k", n_docs, SEED)
+    sample = sorted(r.t for r in docs.select(F.col(key).alias("_k"), F.substring(text, 1, 8 * TRAIN_IDS).alias("t"))
+                    .join(chosen, "_k").groupBy("_k").agg(F.min("t").alias("t")).collect())
+    ids = encoder(vocabulary).encode_all([t.encode() for t in sample])
     try:
         return zstandard.train_dictionary(DICT_BYTES, [x[:4 * TRAIN_IDS] for x in ids if x]).as_bytes()
     except zstandard.ZstdError:
