@@ -19,8 +19,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from signalspark import queries as Q  # noqa: E402
-from signalspark.plans import feature_set as fs  # noqa: E402
 from signalspark.session import build_session  # noqa: E402
+from tests.joined_form import joined_feature_set  # noqa: E402
 
 HEADLINE = ["feature_set", "session_aggregates", "upsert_features", "stream_landing"]
 OTHERS = ["landed_counts_by_partition", "velocity_1m", "cardinality_exact", "geo_distance", "outcomes",
@@ -63,7 +63,7 @@ def main() -> None:
         return
 
     def outer_join_form(spark, d):
-        return fs.build_feature_set_joins(Q.signals(spark, d))
+        return joined_feature_set(Q.signals(spark, d))
 
     fns = {"feature_set": Q.QUERIES["feature_set"], "feature_set_outer_joins": outer_join_form}
     fns.update({name: Q.QUERIES[name] for name in HEADLINE[1:] + OTHERS})

@@ -12,16 +12,14 @@ def haversine_km(lat1: Column | str, lon1: Column | str, lat2: Column | str, lon
                  radius_km: float = EARTH_RADIUS_KM) -> Column:
     """Great-circle distance in km; NULL when any input is NULL.
 
-    The inner term is clamped to 1.0 so rounding never yields ``asin(>1) = NaN``;
-    the clamp sits under a NULL guard because ``least`` skips NULL arguments.
+    Half the chord, squared, may round to above 1 for opposite points; it is clamped
+    by comparison, which leaves NULL as NULL.
     """
-    lat1, lon1, lat2, lon2 = (F.col(c) if isinstance(c, str) else c for c in (lat1, lon1, lat2, lon2))
-    p1, p2 = F.radians(lat1), F.radians(lat2)
-    dp = F.radians(lat2 - lat1)
-    dl = F.radians(lon2 - lon1)
-    a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    a = F.when(a.isNotNull(), F.least(F.lit(1.0), a))
-    return F.lit(2 * radius_km) * F.asin(F.sqrt(a))
+    here, there = [tuple(F.col(c) if isinstance(c, str) else c for c in point) for point in ((lat1, lon1), (lat2, lon2))]
+    north, east = (F.sin(F.radians(to - frm) / 2) for frm, to in zip(here, there))
+    chord = north * north + east * east * F.cos(F.radians(here[0])) * F.cos(F.radians(there[0]))
+    angle = 2 * F.asin(F.sqrt(F.when(chord > 1, F.lit(1.0)).otherwise(chord)))
+    return angle * F.lit(radius_km)
 
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = EARTH_RADIUS_KM) -> str:

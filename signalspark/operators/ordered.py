@@ -44,7 +44,10 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     carry = last.select(*pcols, "_bkt", F.lag("_last").over(
         Window.partitionBy(*pcols).orderBy("_bkt")).alias("_carry"))
 
-    joined = inner.join(carry, on=pcols + ["_bkt"], how="left")
+    # a NULL key is a partition of its own, as in a window
+    renamed = carry.toDF(*[f"_c_{c}" for c in pcols], "_c_bkt", "_carry")
+    same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in pcols] + [F.col("_bkt") == F.col("_c_bkt")]
+    joined = inner.join(renamed, same, "left").drop(*[f"_c_{c}" for c in pcols], "_c_bkt")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
     out = joined.withColumn("_p", prev)
     for c in value_cols:

@@ -4,36 +4,37 @@ Each component keeps its own ``window_end`` (window ends for velocity, last
 signal for cardinality and mouse, last typing signal for typing, first geo
 signal for geo), exactly as the original six full outer joins produced it.
 
-Plan here (two scans of the input, no joins on the big side):
+Plan here: four narrow scans of the input (each reads only the leaves it needs), no joins
+on the big side, every large aggregate a hash aggregate with map-side combine:
 
 1. ``minute_counts``: one aggregate at 1 minute. The 5-minute and 1-hour counts
    are sums of it (1m divides 5m divides 1h, windows are epoch aligned), so the
    signals are counted once and the coarser levels move only reduced rows.
-2. ``session_rollup``: one aggregate per session gives cardinality, mouse,
-   typing and the geo start together. Typing elements come from an
-   ``explode_outer`` of only the ``type`` elements; per-signal mouse sums are
-   taken on the first exploded row of each signal so nothing is counted twice.
-3. Geo ``lag`` runs on session rows (bucketed, skew-safe).
-4. All component rows are unioned and merged by one ``groupBy`` on the keys.
-
-``build_feature_set_joins`` is the literal outer-join form, kept as test oracle.
+2. ``session_rollup``: one aggregate per session gives mouse and typing. Typing speeds
+   come from an ``explode_outer`` of only the ``type`` elements; per-signal mouse sums
+   are taken on the first exploded row of each signal so nothing is counted twice.
+3. Distinct counts on rows that hold the keys and three short values.
+4. The geo start on signals with a position only, then a bucketed, skew-safe ``lag``.
+
+All component rows are unioned and merged by one ``groupBy`` on the keys. No component is
+joined by session, so a session with a NULL key keeps all its features.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.functions.windows import WINDOWS, window_end
 from signalspark.operators.features import (
     SESSION_KEYS,
+    TYPING,
     _mouse_parts,
     device_ip_fp_cardinality,
-    distance_to_prior,
     geo_distance_vs_prior,
-    mouse_entropy_avg,
-    typing_cadence_variance,
-    velocity_counts,
+    typed_speeds,
 )
 from signalspark.schema import FEATURE_VALUE_COLUMNS
 from signalspark.session import checkpoint_table
@@ -61,61 +62,19 @@ def velocity_rows(events: DataFrame) -> DataFrame:
                     *[F.when(F.col("l.lvl") == lbl, F.col("n")).alias(f"events_{lbl}") for lbl in WINDOWS])
 
 
-def session_distincts(events: DataFrame, exact: bool = True) -> DataFrame:
-    """Distinct fingerprint / ip / os per session, in an aggregate of its own.
-
-    Three exact distinct counts make Spark ``Expand`` every input row per
-    distinct column; kept apart from the other aggregates, the expanded rows
-    carry only the key and one small value, and map-side partial aggregation
-    de-duplicates them before the shuffle.
-    """
-    cnt = F.count_distinct if exact else F.approx_count_distinct
-    return events.groupBy(*SESSION_KEYS).agg(
-        cnt("device.fingerprint").alias("distinct_fingerprints"),
-        cnt("device.ip").alias("distinct_ips"),
-        cnt("device.os").alias("distinct_os"))
-
-
-def session_rollup(events: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per session with every non-velocity component's inputs.
-
-    Two session-level aggregates (distinct counts; everything else) joined on
-    the session key; both are hash-partitioned on that key already, so the
-    join adds no exchange of its own (AQE may broadcast one side when its
-    runtime size is under the threshold). Session keys must be non-null.
-    """
-    ms, mn = _mouse_parts(events)
-    zipped = F.arrays_zip(F.col("behavioral.kind").alias("kind"),
-                          F.col("behavioral.typing_cps").alias("typing_cps"))
-    typed = F.filter(zipped, lambda z: z["kind"] == "type")
-    geo_ok = F.col("device.geo_lat").isNotNull() & F.col("device.geo_lon").isNotNull()
-    base = events.select(
-        *SESSION_KEYS, "ts", "event_id",
-        F.when(geo_ok, F.struct(F.col("device.geo_lat").alias("lat"),
-                                F.col("device.geo_lon").alias("lon"))).alias("geo"),
-        ms.alias("ms"), mn.alias("mn"),
-        F.posexplode_outer(typed).alias("pos", "t"),
-    )
-    first = F.col("pos").isNull() | (F.col("pos") == 0)
-    agg = base.groupBy(*SESSION_KEYS).agg(
-        F.max("ts").alias("last_ts"),
-        F.sum(F.when(first, F.col("ms"))).alias("_ms"),
-        F.sum(F.when(first, F.col("mn"))).alias("_mn"),
-        F.var_samp("t.typing_cps").alias("typing_cps_variance"),
-        F.avg("t.typing_cps").alias("typing_cps_mean"),
-        F.max(F.when(F.col("t").isNotNull(), F.col("ts"))).alias("typing_end"),
-        F.min(F.when(F.col("geo").isNotNull(), F.col("ts"))).alias("geo_start"),
-        F.min_by("geo", F.when(F.col("geo").isNotNull(), F.struct("ts", "event_id"))).alias("_pt"),
-    )
-    # plain equality keeps the existing hash partitioning (a null-safe join
-    # would re-shuffle both sides on coalesced keys); keys are non-null after
-    # strict landing
-    agg = agg.join(session_distincts(events, exact), SESSION_KEYS, "inner")
-    return agg.select(
-        *SESSION_KEYS, "last_ts", "distinct_fingerprints", "distinct_ips", "distinct_os",
-        F.when(F.col("_mn") > 0, F.col("_ms") / F.col("_mn")).alias("mouse_entropy_avg"),
-        "typing_cps_variance", "typing_cps_mean", "typing_end", "geo_start",
-        F.col("_pt.lat").alias("lat"), F.col("_pt.lon").alias("lon"))
+def session_rollup(events: DataFrame) -> DataFrame:
+    """One row per session with its last signal, mouse mean and typing features."""
+    mouse_sum, mouse_n = _mouse_parts(events)
+    rows = events.select(*SESSION_KEYS, "ts", mouse_sum.alias("ms"), mouse_n.alias("mn"),
+                         F.transform(typed_speeds(events), lambda c: F.struct(c.alias("cps"))).alias("typed")) \
+        .select(*SESSION_KEYS, "ts", "ms", "mn", F.posexplode_outer("typed").alias("pos", "t"))
+    once = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    agg = rows.groupBy(*SESSION_KEYS).agg(
+        F.max("ts").alias("last_ts"), F.sum(F.when(once, F.col("ms"))).alias("ms"),
+        F.sum(F.when(once, F.col("mn"))).alias("mn"),
+        *[how("t.cps").alias(name) for name, how in TYPING.items()],
+        F.max(F.when(F.col("t").isNotNull(), F.col("ts"))).alias("typing_end"))
+    return agg.withColumn("mouse_entropy_avg", F.when(F.col("mn") > 0, F.col("ms") / F.col("mn"))).drop("ms", "mn")
 
 
 def _pad(df: DataFrame) -> DataFrame:
@@ -128,43 +87,20 @@ def _pad(df: DataFrame) -> DataFrame:
 
 def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "hour",
                       materialize: bool = True) -> DataFrame:
-    """F9 (union form). Same rows and values as the outer-join form.
-
-    The session roll-up feeds three consumers (cardinality/mouse, typing, geo
-    with its bucketed lag). Column pruning gives each a slightly different plan,
-    so Spark would recompute the roll-up, and scan the events, once per
-    consumer. ``materialize`` runs it once and writes it as Parquet under the
-    shared ``spark.checkpoint.dir`` (one row per session, far smaller than
-    the events); every consumer then reads that copy, and lineage stays short.
+    """F9 (union form). Same rows and values as full outer joins of the components.
+
+    ``materialize`` writes the session roll-up once (one row per session) under the shared
+    checkpoint folder, since mouse and typing rows both read it.
     """
-    sessions = session_rollup(events, exact)
+    sessions = session_rollup(events)
     if materialize and not events.isStreaming:
         sessions = checkpoint_table(sessions, "session-rollup")
-    card_mouse = sessions.select(
-        *SESSION_KEYS, F.col("last_ts").alias("window_end"),
-        "distinct_fingerprints", "distinct_ips", "distinct_os", "mouse_entropy_avg")
+    mouse = sessions.select(*SESSION_KEYS, F.col("last_ts").alias("window_end"), "mouse_entropy_avg")
     typing = sessions.filter(F.col("typing_end").isNotNull()).select(
-        *SESSION_KEYS, F.col("typing_end").alias("window_end"), "typing_cps_variance", "typing_cps_mean")
-    geo = distance_to_prior(
-        sessions.filter(F.col("geo_start").isNotNull()).select(
-            *SESSION_KEYS, F.col("geo_start").alias("session_start"), "lat", "lon"), geo_bucket)
-    parts = [_pad(velocity_rows(events)), _pad(card_mouse), _pad(typing), _pad(geo)]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    sums = {"events_1m", "events_5m", "events_1h"}
-    merged = u.groupBy(*KEYS).agg(*[
-        (F.sum(c) if c in sums else F.max(c)).alias(c) for c in FEATURE_VALUE_COLUMNS])
-    return merged.select(*KEYS[:3], F.lit(FEATURE_WINDOW).alias("feature_window"), *FEATURE_VALUE_COLUMNS)
-
-
-def build_feature_set_joins(events: DataFrame, exact: bool = True) -> DataFrame:
-    """F9 as six full outer USING joins over separately computed components (oracle)."""
-    v = velocity_counts(events, WINDOWS["1m"])
-    for w in ("5m", "1h"):
-        v = v.join(velocity_counts(events, WINDOWS[w]), KEYS, "outer")
-    out = v
-    for comp in (device_ip_fp_cardinality(events, exact), typing_cadence_variance(events),
-                 mouse_entropy_avg(events), geo_distance_vs_prior(events)):
-        out = out.join(comp, KEYS, "outer")
-    return out.select(*KEYS, F.lit(FEATURE_WINDOW).alias("feature_window"), *FEATURE_VALUE_COLUMNS)
+        *SESSION_KEYS, F.col("typing_end").alias("window_end"), *TYPING)
+    parts = [velocity_rows(events), device_ip_fp_cardinality(events, exact), mouse, typing,
+             geo_distance_vs_prior(events, geo_bucket)]
+    rows = reduce(DataFrame.unionByName, [_pad(p) for p in parts])
+    merged = rows.groupBy(*KEYS).agg(*[
+        (F.sum(c) if c.startswith("events_") else F.max(c)).alias(c) for c in FEATURE_VALUE_COLUMNS])
+    return merged.select(*KEYS, F.lit(FEATURE_WINDOW).alias("feature_window"), *FEATURE_VALUE_COLUMNS)

@@ -16,6 +16,7 @@ from signalspark.operators import sessions as sx
 from signalspark.operators.ordered import bucketed_lag
 from signalspark.plans import feature_set as fs
 from signalspark.sources.events import read_table, signals_from_events
+from tests.joined_form import joined_feature_set
 
 SF = "/root/testdata/sf0.01"
 
@@ -45,13 +46,12 @@ def test_hot_session_is_a_third(spark):
 
 def test_gap_sessions_under_skew(spark):
     sig = _skewed_signals(spark)
-    for limit in (sx.WINDOW_ROWS_LIMIT, 0):
-        assert _same(sx.session_aggregates(sig, window_rows_limit=limit), sx.session_aggregates_window(sig))
+    assert _same(sx.session_aggregates(sig), sx.session_aggregates_window(sig))
 
 
 def test_feature_set_under_skew(spark):
     sig = _skewed_signals(spark)
-    assert _same(fs.build_feature_set(sig), fs.build_feature_set_joins(sig))
+    assert _same(fs.build_feature_set(sig), joined_feature_set(sig))
 
 
 def test_lag_under_hot_tenant(spark):
