@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-MEMO = 350_000
+MEMO = 450_000
 #: one run of Latin letters and the ASCII punctuation after it: two pre-tokens in both vocabularies
 _SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)").fullmatch
 #: bytes that may belong to white space other than a space or a line break
@@ -152,7 +152,7 @@ class Encoder:
             self._old, self._memo = self._memo, {}
         memo = self._memo
         cut = [self._cut(t) for t in texts]
-        if new := {c for chunks in cut if chunks for c in chunks if c not in memo}:
+        if new := {c for c in set().union(*[c for c in cut if c]) if c not in memo}:
             gc.disable()  # many small tuples, no cycles
             try:
                 self._learn(new)

@@ -6,10 +6,12 @@ column expressions over the raw frame, so classification is a single narrow
 stage. Outcome precedence: no_tenant, rate_limited, payload_too_large,
 empty_body, invalid_json, invalid_signal, duplicate, accepted.
 
-A JSON number, boolean, object or array where the contract has a string is
-malformed (Go's decoder rejects it, Spark's parser would read its text); the
-check is a pattern over the payload, since the string keys of the contract
-are unique across its levels. Keys match the contract ignoring case, as in Go.
+Decoding is strict: double quotes only, no NaN or Infinity, and ``ts`` is RFC 3339
+text with a zone. A JSON number, boolean, object or array where the contract has a
+string is malformed (Go's decoder rejects it, Spark's parser would read its text).
+A pattern over the payload finds the few entries where that may be so; only these
+have their first value's types checked, so data after it does not count. Keys match
+the contract ignoring case, as in Go.
 """
 
 from __future__ import annotations
@@ -21,8 +23,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from signalspark.schema import BEHAVIORAL, DEVICE, MAX_CLOCK_SKEW, MAX_PAYLOAD_BYTES, SIGNAL
 
 CORRUPT = "_corrupt_record"
-PARSE_SCHEMA = StructType(SIGNAL.fields + [StructField(CORRUPT, StringType())])
-PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+# ``ts`` is read as text and checked, since Spark's own parser takes looser forms
+PARSE_SCHEMA = StructType([StructField(f.name, StringType()) if f.name == "ts" else f for f in SIGNAL.fields]
+                          + [StructField(CORRUPT, StringType())])
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **STRICT}
+RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$"
+JSON_SPACE = " \t\n\r"
 TOP_KEYS = SIGNAL.fieldNames()
 DEVICE_KEYS = DEVICE.fieldNames()
 BEHAVIORAL_KEYS = BEHAVIORAL.fieldNames()
@@ -42,6 +49,25 @@ def tenant_hint(stream: Column | str = "stream") -> Column:
     return F.element_at(F.split(s, ":"), -1)
 
 
+def _not_text(values: Column, keys: list[str]) -> Column:
+    """Whether one of ``keys`` holds a value that is neither a string nor null."""
+    return F.exists(F.array(*[F.lit(k) for k in keys]), lambda k: F.coalesce(
+        ~F.schema_of_variant(F.element_at(values, k)).isin("STRING", "VOID"), F.lit(False)))
+
+
+def wrong_types(payload: Column) -> Column:
+    """True if a string field of the payload's first value holds another JSON type."""
+    def text_keys(fields: StructType) -> list[str]:
+        return [f.name for f in fields.fields if f.name in STRING_KEYS]
+
+    top = F.from_json(payload, "map<string,variant>", STRICT)
+    device = F.try_variant_get(top["device"], "$", "map<string,variant>")
+    elements = F.try_variant_get(top["behavioral"], "$", "array<map<string,variant>>")
+    return F.coalesce(
+        _not_text(top, text_keys(SIGNAL)) | F.coalesce(_not_text(device, text_keys(DEVICE)), F.lit(False))
+        | F.coalesce(F.exists(elements, lambda e: _not_text(e, text_keys(BEHAVIORAL))), F.lit(False)), F.lit(False))
+
+
 def _unknown(keys: Column, known: list[str]) -> Column:
     allowed = F.array(*[F.lit(k) for k in known])
     return F.exists(F.coalesce(keys, F.array().cast("array<string>")),
@@ -54,8 +80,8 @@ def unknown_fields(top: Column) -> Column:
     ``top`` is the payload parsed as ``map<string,string>``; nested objects
     arrive as their JSON text and are parsed only here (they are small).
     """
-    dev = F.from_json(top["device"], "map<string,string>")
-    beh = F.from_json(top["behavioral"], "array<map<string,string>>")
+    dev = F.from_json(top["device"], "map<string,string>", STRICT)
+    beh = F.from_json(top["behavioral"], "array<map<string,string>>", STRICT)
     return (_unknown(F.map_keys(top), TOP_KEYS)
             | _unknown(F.map_keys(dev), DEVICE_KEYS)
             | F.coalesce(F.exists(beh, lambda m: _unknown(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
@@ -74,11 +100,13 @@ def _normalise_keys(d: Column) -> Column:
 
 
 def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
-    """Add ``_p`` (typed parse with corrupt-record flag) and ``_top`` (key map).
+    """Add ``_p`` (typed parse with corrupt-record flag), ``_top`` (key map) and ``_wrong``
+    (a string field of another type).
 
-    Both parses sit in one ``Generate`` (inline of a one-element array): later
+    The parses sit in one ``Generate`` (inline of a one-element array): later
     filters and projections refer to its output and are never pushed below
-    it, so each payload is parsed exactly twice however many rules use it.
+    it, so each payload is parsed twice however many rules use it (its nested objects
+    once more for their keys).
     Payloads over the size cap are not parsed at all: that outcome precedes
     every parse-based one. Keys are matched to the contract ignoring case, as
     the Go decoder does: a payload with such a key has its keys normalised
@@ -88,7 +116,8 @@ def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
     d = F.when(F.octet_length(F.col(data)) <= MAX_PAYLOAD_BYTES, F.col(data))
     d = F.when(d.rlike(CASE_VARIANT_KEY), _normalise_keys(d)).otherwise(d)
     parsed = F.struct(F.from_json(d, PARSE_SCHEMA, PARSE_OPTS).alias("_p"),
-                      F.from_json(d, "map<string,string>").alias("_top"))
+                      F.from_json(d, "map<string,string>", STRICT).alias("_top"),
+                      F.when(d.rlike(NON_STRING_VALUE), wrong_types(d)).otherwise(False).alias("_wrong"))
     return raw.select("*", F.inline(F.array(parsed)))
 
 
@@ -123,9 +152,9 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
     data = F.col("data")
     df = parse_once(raw.withColumn("tenant_id_hint", tenant_hint("stream")))
     p, top = F.col("_p"), F.col("_top")
-    trimmed = F.trim(data)
+    trimmed = F.btrim(data, F.lit(JSON_SPACE))
     is_null_literal = trimmed == "null"  # decodes to an empty signal, no error
-    raw_ts = p["ts"]
+    raw_ts = F.when(p["ts"].rlike(RFC3339), p["ts"].try_cast("timestamp"))
     ts = F.when(raw_ts.isNull() | (raw_ts == F.lit(ZERO_TS).cast("timestamp")), F.col("ingest_ts")) \
         .otherwise(raw_ts)  # V12
     tenant = F.col("tenant_id_hint")  # V11: the authenticated tenant wins
@@ -136,8 +165,9 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
         (F.octet_length(data) > MAX_PAYLOAD_BYTES).alias("_too_large"),
         (data.isNull() | (trimmed == "")).alias("_empty"),
         (top.isNull() & ~is_null_literal).alias("_not_object"),
-        ((p[CORRUPT].isNotNull() & ~is_null_literal) | (top.isNotNull() & data.rlike(NON_STRING_VALUE)))
-        .alias("_corrupt"),
+        ((p[CORRUPT].isNotNull() & ~is_null_literal) | (p["ts"].isNotNull() & raw_ts.isNull())
+         | (top.isNotNull() & F.col("_wrong"))).alias("_corrupt"),
+        raw_ts.alias("_sent_ts"),
         unknown_fields(top).alias("_unknown"),
         ts.alias("_ts"),
         (F.when(_blank(p["event_id"]), "missing_event_id")
@@ -167,9 +197,10 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
                    p["device"].alias("device"), p["behavioral"].alias("behavioral"))
     if wire_compat:
         sig = wire_normalise(sig)
-    body = F.struct(*[p[f].alias(f) for f in SIGNAL.fieldNames()])  # values as sent
+    sent = {f: F.col("_sent_ts") if f == "ts" else p[f] for f in SIGNAL.fieldNames()}
+    body = F.struct(*[c.alias(f) for f, c in sent.items()])  # values as sent
     return df.withColumn("sig", sig).withColumn("reason", reason).withColumn("body", body) \
-        .drop("_p", "_top", "_too_large", "_empty", "_not_object", "_corrupt", "_unknown", "_ts",
+        .drop("_p", "_top", "_wrong", "_sent_ts", "_too_large", "_empty", "_not_object", "_corrupt", "_unknown", "_ts",
               "_reason_signal")
 
 

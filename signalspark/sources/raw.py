@@ -115,6 +115,7 @@ def read_raw_files(spark: SparkSession, path: str, stream: bool = False,
 
 # --- DuckDB oracle: its own payload text, classified by its own JSON functions ---
 JSON_TS = "%Y-%m-%dT%H:%M:%S.%fZ"
+RFC3339_SQL = r"[0-9]{4}(-[0-9][0-9]){2}T[0-9][0-9](:[0-9][0-9]){2}([.][0-9]+)?(Z|[-+][0-9][0-9]:[0-9][0-9])"
 
 
 def _not_in(keys) -> str:
@@ -170,7 +171,7 @@ def entries_sql() -> str:
   FROM pay, (VALUES (1), (20), (30)) hv(h)
   WHERE (eid % {m} = {F_RESEND_1H} AND hv.h = 1) OR (eid % {m} = {F_RESEND_20_30H} AND hv.h IN (20, 30))
 ), js AS (
-  SELECT *, strlen(data) > {MAX_PAYLOAD_BYTES} AS too_large, trim(data) = '' AS empty,
+  SELECT *, strlen(data) > {MAX_PAYLOAD_BYTES} AS too_large, trim(data, ' ' || chr(9) || chr(10) || chr(13)) = '' AS empty,
          CASE WHEN strlen(data) <= {MAX_PAYLOAD_BYTES} AND json_valid(data) AND json_type(data) = 'OBJECT'
               THEN data END AS obj
   FROM raw_e
@@ -179,7 +180,8 @@ def entries_sql() -> str:
          json_extract_string(obj, '$.event_id') AS p_event_id,
          json_extract_string(obj, '$.session_id') AS p_session_id,
          json_extract_string(obj, '$.ts') AS p_ts_text,
-         timezone('UTC', try_cast(json_extract_string(obj, '$.ts') AS TIMESTAMPTZ)) AS p_ts,
+         CASE WHEN regexp_full_match(json_extract_string(obj, '$.ts'), '{RFC3339_SQL}')
+              THEN timezone('UTC', try_cast(json_extract_string(obj, '$.ts') AS TIMESTAMPTZ)) END AS p_ts,
          coalesce(len(list_filter(json_keys(obj), lambda x: lower(x) NOT IN {top})) > 0, false)
            OR coalesce(len(list_filter(json_keys(obj, '$.device'), lambda x: lower(x) NOT IN {dev})) > 0, false)
            OR coalesce(list_bool_or(list_transform(json_extract(obj, '$.behavioral[*]'),
