@@ -40,7 +40,6 @@ def _args(argv=None) -> argparse.Namespace:
     b.add_argument("--end")
     b.add_argument("--tenant")
     b.add_argument("--format", default=None, help="parquet | delta | iceberg")
-    b.add_argument("--lookback-days", type=int, default=1)
     e = sub.add_parser("emit")
     e.add_argument("--table", required=True)
     e.add_argument("--sink", required=True)
@@ -73,8 +72,7 @@ def main(argv=None) -> None:
             log.info(json.dumps({"event": "landed", **out}))
     elif args.job == "backfill":
         from signalspark.plans.backfill import run_backfill
-        n = run_backfill(spark, args.raw, args.table, args.start, args.end, args.tenant, args.format,
-                         args.lookback_days)
+        n = run_backfill(spark, args.raw, args.table, args.start, args.end, args.tenant, args.format)
         log.info(json.dumps({"event": "backfill_complete", "table": args.table, "rows": n}))
     elif args.job == "emit":
         if args.stream:

@@ -86,9 +86,11 @@ def _pad(df: DataFrame) -> DataFrame:
 
 
 def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "hour",
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True, geo_events: DataFrame | None = None) -> DataFrame:
     """F9 (union form). Same rows and values as full outer joins of the components.
 
+    ``geo_events`` are the signals whose sessions count as prior ones (``events`` by default).
+
     ``materialize`` writes the session roll-up once (one row per session) under the shared
     checkpoint folder, since mouse and typing rows both read it.
     """
@@ -99,7 +101,7 @@ def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "
     typing = sessions.filter(F.col("typing_end").isNotNull()).select(
         *SESSION_KEYS, F.col("typing_end").alias("window_end"), *TYPING)
     parts = [velocity_rows(events), device_ip_fp_cardinality(events, exact), mouse, typing,
-             geo_distance_vs_prior(events, geo_bucket)]
+             geo_distance_vs_prior(events if geo_events is None else geo_events, geo_bucket)]
     rows = reduce(DataFrame.unionByName, [_pad(p) for p in parts])
     merged = rows.groupBy(*KEYS).agg(*[
         (F.sum(c) if c.startswith("events_") else F.max(c)).alias(c) for c in FEATURE_VALUE_COLUMNS])

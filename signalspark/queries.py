@@ -26,7 +26,7 @@ from signalspark.plans import feature_set as fs
 from signalspark.session import ensure_utc, work_dir
 from signalspark.sources import feature_store as store
 from signalspark.sources import landing as land
-from signalspark.sources.events import load_signals, with_signals
+from signalspark.sources.events import BASE_US, load_signals, with_signals
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.streaming import features as sf
 from signalspark.streaming.emit import start_emit
@@ -538,16 +538,26 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-@query("backfill_slice", _feature_set_sql())
+#: the fixture's day stretched over five, and the slice replayed from it
+STRETCH, SLICE = 5, ("2024-01-02", "2024-01-03")
+
+
+def _stretched_sql(name: str) -> str:
+    return (f"SELECT * REPLACE (make_timestamp({BASE_US} + (epoch_us(ts) - {BASE_US}) * {STRETCH}) AS ts) FROM {name}")
+
+
+@query("backfill_slice", with_signals(
+    f", sigm AS ({_stretched_sql('sig')}), behm AS ({_stretched_sql('beh')})"
+    + feature_set_ctes("sigm", "behm", "m_")
+    + f" SELECT * FROM m_fs WHERE CAST(window_end AS DATE) BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'"))
 def q_backfill_slice(spark, sf_dir):
-    """replay of the landed table's whole date range (dt partition filters, one day of
-    look-back), every tenant."""
+    """replay of two of the five days of a landed table, every tenant; the oracle computes all
+    days and cuts the slice from the result."""
     root = work_dir(spark, "backfill")
-    landed = signals(spark, sf_dir).withColumn("dt", F.to_date("ts"))
-    land.write_landed(landed, f"{root}/signals", "signals")
-    src = land.read_landed(spark, f"{root}/signals")
-    days = src.agg(F.min("dt"), F.max("dt")).first()
-    return round_doubles(bf.backfill_features(src, days[0], days[1]))
+    us = F.unix_micros("ts") - F.lit(BASE_US)
+    landed = signals(spark, sf_dir).withColumn("ts", F.timestamp_micros(F.lit(BASE_US) + us * STRETCH))
+    land.write_landed(landed.withColumn("dt", F.to_date("ts")), f"{root}/signals", "signals")
+    return round_doubles(bf.backfill_features(land.read_landed(spark, f"{root}/signals"), *SLICE))
 
 
 UPSERT_CUT = "2024-01-01 07:00:00"

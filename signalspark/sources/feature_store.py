@@ -94,13 +94,35 @@ def recover_upsert(spark: SparkSession, path: str) -> bool:
         return False
     _overwrite_from(spark, stage, path)
     _set_pending(spark, path, None)
+    _delete(spark, stage)
     return True
 
 
-def upsert_features(features: DataFrame, path: str, staging_root: str | None = None) -> None:
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the table's own file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _stale(rows: DataFrame, replace: tuple | None) -> DataFrame:
+    """Rows of the replaced sessions within the replaced dates; ``replace`` is (sessions _t/_s, start, end)."""
+    if replace is None:
+        return rows.filter(F.lit(False))
+    sessions, start, end = replace
+    if start is not None:
+        rows = rows.filter(F.col("dt") >= F.lit(start))
+    if end is not None:
+        rows = rows.filter(F.col("dt") <= F.lit(end))
+    return rows.join(sessions, F.col("tenant_id").eqNullSafe(F.col("_t")) & F.col("session_id").eqNullSafe(F.col("_s")),
+                     "left_semi")
+
+
+def upsert_features(features: DataFrame, path: str, staging_root: str | None = None,
+                    replace: tuple | None = None) -> None:
     """MERGE on (tenant_id, session_id, window_end, feature_window) into Parquet.
 
-    The incoming rows are computed once, written straight into the staging
+    With ``replace`` the rows of those sessions and dates that are not incoming go; a
+    partition that holds nothing else keeps them until its next row arrives. The incoming rows are computed once, written straight into the staging
     folder; touched partitions and the keys to replace are read back from it.
     """
     spark = features.sparkSession
@@ -109,13 +131,16 @@ def upsert_features(features: DataFrame, path: str, staging_root: str | None = N
     stage = f"{(staging_root or os.path.dirname(path.rstrip('/')))}/_staging-{uuid.uuid4().hex[:12]}"
     _conform(features).hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(stage)
     incoming = read_features(spark, stage)  # file listing taken now, before the append below
-    touched = incoming.select(*PARTITIONS).distinct()
-    current = read_features(spark, path).join(touched, PARTITIONS, "left_semi")
-    kept = current.join(incoming.select(*FEATURE_KEYS), FEATURE_KEYS, "left_anti")
+    table = read_features(spark, path)
+    gone = _stale(table, replace).select(*FEATURE_KEYS)
+    touched = incoming.select(*PARTITIONS).union(_stale(table, replace).select(*PARTITIONS)).distinct()
+    current = table.join(touched, PARTITIONS, "left_semi")
+    kept = current.join(incoming.select(*FEATURE_KEYS).union(gone), FEATURE_KEYS, "left_anti")
     kept.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(stage)
     _set_pending(spark, path, stage)  # from here on a lost run is finished by recover_upsert
     _overwrite_from(spark, stage, path)
     _set_pending(spark, path, None)
+    _delete(spark, stage)
 
 
 def _merge_sql(spark: SparkSession, features: DataFrame, table: str, fmt: str) -> None:
@@ -129,12 +154,16 @@ def _merge_sql(spark: SparkSession, features: DataFrame, table: str, fmt: str) -
               "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
 
 
-def write_features(features: DataFrame, table: str, fmt: str | None = None, mode: str = "upsert") -> None:
-    """Dispatch on format. ``parquet`` supports ``upsert`` and ``append``."""
+def write_features(features: DataFrame, table: str, fmt: str | None = None, mode: str = "upsert",
+                   replace: tuple | None = None) -> None:
+    """Dispatch on format. ``parquet`` supports ``upsert`` (with ``replace``) and ``append``."""
     fmt = fmt or os.environ.get("FEATURE_STORE_FORMAT", "parquet")
     if fmt not in FORMATS:
         raise ValueError(f"unknown FEATURE_STORE_FORMAT: {fmt}")
     if fmt == "parquet":
-        (upsert_features if mode == "upsert" else append_features)(features, table)
+        if mode == "upsert":
+            upsert_features(features, table, replace=replace)
+        else:
+            append_features(features, table)
     else:
         _merge_sql(features.sparkSession, features, table, fmt)

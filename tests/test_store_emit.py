@@ -91,6 +91,50 @@ def test_backfill_lookback_keeps_prior_session(spark):
     assert n == full.count() == store.read_features(spark, f"{root}/table").count()
 
 
+def _landed(spark, root, rows):
+    from signalspark.schema import SIGNAL
+    device = lambda ip, lat: (None, None, ip, "A", None, lat, 0.0 if lat is not None else None)
+    df = spark.createDataFrame([(e, "bank", s, datetime.fromisoformat(t), device(ip, lat), None)
+                                for e, s, t, ip, lat in rows], SIGNAL)
+    land.write_landed(df.withColumn("dt", F.to_date("ts")), f"{root}/landed", "b0")
+    return land.read_landed(spark, f"{root}/landed")
+
+
+def test_backfill_reads_what_the_slice_needs(spark):
+    """A prior session four days back, a session of several days and one that runs past the slice."""
+    landed = _landed(spark, _tmp(), [
+        ("a", "old", "2027-01-01T10:00:00", "1", 10.0), ("b", "u", "2027-01-05T10:00:00", "1", 50.0),
+        ("c", "long", "2027-01-03T23:00:00", "1", None), ("d", "long", "2027-01-05T11:00:00", "2", None),
+        ("e", "past", "2027-01-05T23:50:00", "1", None), ("f", "past", "2027-01-06T00:20:00", "2", None),
+        ("g", "edge", "2027-01-04T23:59:30", "1", None)])
+    full = fs.build_feature_set(landed)
+    for start, end in (("2027-01-05", "2027-01-05"), ("2027-01-04", None), (None, "2027-01-05"), ("2027-01-06", "2027-01-09")):
+        want = full
+        if start:
+            want = want.filter(F.to_date("window_end") >= F.lit(start).cast("date"))
+        if end:
+            want = want.filter(F.to_date("window_end") <= F.lit(end).cast("date"))
+        got = bf.backfill_features(landed, start, end)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    one = {r.session_id: r for r in bf.backfill_features(landed, "2027-01-05", "2027-01-05").collect()
+           if r.distinct_ips is not None}
+    assert one["u"].geo_distance_km_prior > 4000 and one["long"].distinct_ips == 2 and "past" not in one
+
+
+def test_backfill_drops_rows_of_a_shorter_input(spark):
+    root = _tmp()
+    rows = [("e", "past", "2027-01-05T23:50:00", "1", None), ("u", "other", "2027-01-05T08:00:00", "1", None)]
+    _landed(spark, f"{root}/early", rows)
+    _landed(spark, f"{root}/late", rows + [("f", "past", "2027-01-06T00:20:00", "2", None)])
+    days = ("2027-01-05", "2027-01-06")
+    bf.run_backfill(spark, f"{root}/early/landed", f"{root}/table", *days, fmt="parquet")
+    bf.run_backfill(spark, f"{root}/late/landed", f"{root}/table", *days, fmt="parquet")
+    table = store.read_features(spark, f"{root}/table").drop("dt")
+    want = fs.build_feature_set(land.read_landed(spark, f"{root}/late/landed")).select(table.columns)
+    assert sorted(map(str, table.collect())) == sorted(map(str, want.collect()))
+    assert not [f for f in os.listdir(root) if f.startswith("_staging")]
+
+
 def test_emit_tick(spark):
     root = _tmp()
     t1 = datetime(2026, 5, 1, 12, 0)
