@@ -10,10 +10,11 @@ bucket recurrence per ``(tenant, UTC day)`` in ``applyInPandas``. A group has
 at most 86,400 rows whatever the traffic. The recurrence is not expressible
 with built-in window functions (it is a clamped, floored scan), hence pandas.
 
-Day boundaries: pass 1 folds each day from a full bucket and records its end
-state; pass 2 folds again starting from the previous day's pass-1 end state.
-This is exact unless a tenant stays saturated, with no idle gap of
-``burst / rps`` seconds, through two whole consecutive days.
+Day boundaries: every day is first folded from a full bucket. A day's true start is the
+end state of the tenant's previous day with traffic, refilled over the gap; days whose
+start turns out lower are folded again, until no start changes. The first day of a chain
+is right at once and each pass settles at least the next one, so the result is the exact
+fold over all days; passes are as many as the longest chain of days that starts depleted.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import sys
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalspark.schema import DEFAULT_QUOTA_BURST, DEFAULT_QUOTA_RPS
@@ -40,37 +41,26 @@ except (ImportError, AttributeError, ValueError):  # older pickler: rely on --py
     pass
 
 
-def _fold(secs: np.ndarray, counts: np.ndarray, rps: float, burst: float, tokens: float, last: float | None):
+def _fold(secs: np.ndarray, counts: np.ndarray, rps: float, burst: float, tokens: float):
+    """(admitted, tokens left) when ``tokens`` are there at the first second."""
     admitted = np.zeros(len(secs), dtype=np.int64)
     for i in range(len(secs)):
-        s = float(secs[i])
-        if last is not None and s > last:
-            tokens = min(burst, tokens + (s - last) * rps)
-        last = s if last is None or s > last else last
-        a = min(int(counts[i]), int(math.floor(tokens)))
-        if a > 0:
-            tokens -= a
-        admitted[i] = a
-    return admitted, tokens, last
-
-
-def _pass(rps: float, burst: float, with_carry: bool):
+        if i:
+            tokens = min(burst, tokens + float(secs[i] - secs[i - 1]) * rps)
+        admitted[i] = min(int(counts[i]), int(math.floor(tokens)))
+        tokens -= float(admitted[i])
+    return admitted, tokens
+
+
+def _fold_day(rps: float, burst: float):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("sec")
-        tokens, last = burst, None
-        if with_carry and len(pdf) and pd.notna(pdf["carry_tokens"].iloc[0]):
-            tokens = float(pdf["carry_tokens"].iloc[0])
-            last = float(pdf["carry_last"].iloc[0])
-        adm, end_tokens, end_last = _fold(pdf["sec"].to_numpy(), pdf["n"].to_numpy(), rps, burst, tokens, last)
-        return pd.DataFrame({
-            "tenant_id": pdf["tenant_id"].to_numpy(), "day": pdf["day"].to_numpy(),
-            "sec": pdf["sec"].to_numpy(), "n": pdf["n"].to_numpy(), "admitted": adm,
-            "end_tokens": np.full(len(pdf), end_tokens), "end_last": np.full(len(pdf), end_last, dtype="float64"),
-        })
+        pdf = pdf.sort_values("sec").reset_index(drop=True)
+        admitted, left = _fold(pdf["sec"].to_numpy(), pdf["n"].to_numpy(), rps, burst, float(pdf["start"].iloc[0]))
+        return pdf.assign(admitted=admitted, left=left)[["tenant_id", "day", "sec", "n", "start", "admitted", "left"]]
     return fn
 
 
-_OUT = "tenant_id string, day bigint, sec bigint, n bigint, admitted bigint, end_tokens double, end_last double"
+_OUT = "tenant_id string, day bigint, sec bigint, n bigint, start double, admitted bigint, left double"
 
 
 def per_second_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS,
@@ -81,20 +71,34 @@ def per_second_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS,
         rps = 1000.0
     if burst <= 0:
         burst = 2 * rps
+    rps, burst = float(rps), float(burst)
     per_sec = requests.filter(F.col(tenant_col).isNotNull()).groupBy(
         F.col(tenant_col).alias("tenant_id"), F.unix_seconds(time_col).alias("sec")
     ).agg(F.count(F.lit(1)).alias("n")).withColumn("day", F.floor(F.col("sec") / SECONDS_PER_DAY))
-    # both passes read the per-second table (at most 86,400 rows per tenant-day):
-    # compute it once and cut the lineage
+    # every pass reads per-second rows (at most 86,400 a tenant-day): written once, lineage cut
     per_sec = checkpoint_table(per_sec, "quota-per-second")
 
-    first = per_sec.groupBy("tenant_id", "day").applyInPandas(_pass(rps, burst, False), _OUT)
-    ends = first.groupBy("tenant_id", "day").agg(
-        F.first("end_tokens").alias("carry_tokens"), F.first("end_last").alias("carry_last")) \
-        .withColumn("day", F.col("day") + 1)
-    seeded = per_sec.join(ends, ["tenant_id", "day"], "left")
-    second = seeded.groupBy("tenant_id", "day").applyInPandas(_pass(rps, burst, True), _OUT)
-    return second.select("tenant_id", "sec", "n", "admitted")
+    def folded(days: DataFrame, name: str) -> DataFrame:
+        rows = per_sec.join(days.select("tenant_id", "day", "start"), ["tenant_id", "day"])
+        return checkpoint_table(rows.groupBy("tenant_id", "day").applyInPandas(_fold_day(rps, burst), _OUT), name)
+
+    def by_day(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("tenant_id", "day").agg(
+            F.min("sec").alias("first_sec"), F.max("sec").alias("last_sec"),
+            F.max("start").alias("start"), F.max("left").alias("left"))
+
+    result = folded(per_sec.select("tenant_id", "day").distinct().withColumn("start", F.lit(burst)), "quota-fold")
+    while True:
+        days = Window.partitionBy("tenant_id").orderBy("day")
+        idle = (F.col("first_sec") - F.lag("last_sec").over(days)).cast("double")
+        true_start = F.least(F.lit(burst), F.lag("left").over(days) + idle * F.lit(rps))
+        starts = by_day(result).withColumn("true_start", F.coalesce(true_start, F.lit(burst)))
+        wrong = checkpoint_table(starts.filter("true_start <> start").select(
+            "tenant_id", "day", F.col("true_start").alias("start")), "quota-starts")
+        if wrong.isEmpty():
+            return result.select("tenant_id", "sec", "n", "admitted")
+        again = folded(wrong, "quota-refold")
+        result = checkpoint_table(result.join(wrong, ["tenant_id", "day"], "left_anti").unionByName(again), "quota-fold")
 
 
 def quota_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS, burst: float = DEFAULT_QUOTA_BURST,
@@ -107,7 +111,6 @@ def quota_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS, burst:
     at that constant and Spark keeps only that many rows per second on the map
     side (``WindowGroupLimit``) before the shuffle: a hot second is bounded.
     """
-    from pyspark.sql import Window
     # small (one row per tenant-second) and read twice below: written once
     adm = checkpoint_table(per_second_admission(requests, rps, burst, tenant_col, time_col), "quota-admitted")
     r = requests.withColumn("_sec", F.unix_seconds(time_col)).join(
