@@ -16,7 +16,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 2**64))
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P, _Q = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-_STEP = 1 << 20
+_STEP = 1 << 18
 _powers: tuple[np.ndarray, np.ndarray] | None = None
 
 #: ASCII white space separates; every other byte belongs to a word

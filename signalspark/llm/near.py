@@ -62,7 +62,7 @@ def order_min_hash(grams: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]
         grams = np.where(labels > 0, mix(grams + labels * np.uint64(0xA0761D6478BD642F)), grams)
     take = min(2 * SAMPLED, len(grams))
     keys, fine = np.empty(TABLES, np.uint64), np.empty(TABLES, np.uint64)
-    step = max(1, (1 << 21) // len(grams))  # bounded arrays for long texts
+    step = max(1, (1 << 19) // len(grams))  # bounded arrays for long texts
     for t in range(0, TABLES, step):
         v = grams[None, :] * _FACTORS[t:t + step, None]
         v ^= v >> np.uint64(29)
@@ -82,7 +82,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         ("keys", pa.list_(pa.int64())), ("fine", pa.list_(pa.int64()))])
     none = np.empty(0, np.int64)
     for batch in batches:
-        for part in small_batches(batch, "text"):
+        for part in small_batches(batch, "text", 1 << 20):
             buf, offsets = text_buffers(part.column("text"))
             buf = LOWER[buf]
             starts, ends = word_spans(buf, offsets, ALNUM)
@@ -162,15 +162,15 @@ def _words(text: bytes) -> list[int]:
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """``pairs`` (a, b) of nodes with ``near``, judged on their whole texts."""
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, list] = {}  # hubs recur in a task
+        hub, hub_words = None, []  # the join leaves a hub's pairs next to each other
         for batch in batches:
             out = []
-            for b, ta, tb in zip(batch.column("b").to_pylist(), utf8(batch.column("ta")), utf8(batch.column("tb"))):
-                if b not in known:
-                    if len(known) > 64:
-                        known.clear()
-                    known[b] = _words(tb)
-                out.append(near(_words(ta), known[b], threshold))
+            for i in range(0, batch.num_rows, 64):  # few texts at a time
+                part = batch.slice(i, 64)
+                for b, ta, tb in zip(part.column("b").to_pylist(), utf8(part.column("ta")), utf8(part.column("tb"))):
+                    if b != hub:
+                        hub, hub_words = b, _words(tb)
+                    out.append(near(_words(ta), hub_words, threshold))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out)],
                                              names=["a", "b", "near"])
 
