@@ -211,7 +211,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     def judged(pairs: DataFrame, name: str) -> DataFrame:
         pairs = checkpoint_table(pairs.distinct(), f"{name}-pairs")
         ends = pairs.select(F.col("a").alias("place")).union(pairs.select("b")).distinct()
-        own = checkpoint_table(numbered.join(ends, "place", "left_semi").groupBy("place").agg(F.min("text").alias("text")),
+        # the same plan at every size: few ends must not turn it into a broadcast that does not last
+        own = checkpoint_table(numbered.join(ends.hint("merge"), "place", "left_semi").groupBy("place").agg(F.min("text").alias("text")),
                                f"{name}-texts")
         return checkpoint_table(_verified(pairs, own, threshold), name)
 
