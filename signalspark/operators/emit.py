@@ -30,9 +30,14 @@ def read_since(features: DataFrame, since, limit: int = 0, with_ties: bool = Tru
     The cut is one scalar found with a distributed top-k (``orderBy().limit()``
     keeps at most ``limit`` rows per partition before merging); the rows are
     then a plain range filter that reaches the Parquet scan. Rows tied with
-    the last one are kept when ``with_ties``.
+    the last one are kept when ``with_ties``. On a table partitioned by ``dt`` both ends
+    are partition filters too.
     """
-    newer = features.filter(F.col("window_end") > F.lit(since).cast("timestamp"))
+    since = F.lit(since).cast("timestamp")
+    newer = features.filter(F.col("window_end") > since)
+    by_day = "dt" in features.columns
+    if by_day:
+        newer = newer.filter(F.col("dt") >= F.to_date(since))
     if limit is None or limit <= 0:
         return newer
     if not with_ties:
@@ -40,7 +45,8 @@ def read_since(features: DataFrame, since, limit: int = 0, with_ties: bool = Tru
     cut = newer.select("window_end").orderBy("window_end").limit(limit).agg(F.max("window_end")).first()[0]
     if cut is None:
         return newer.limit(0)
-    return newer.filter(F.col("window_end") <= F.lit(cut))
+    upto = newer.filter(F.col("window_end") <= F.lit(cut))
+    return upto.filter(F.col("dt") <= F.to_date(F.lit(cut))) if by_day else upto
 
 
 def payload_struct(features: DataFrame, emitted_at=None) -> DataFrame:

@@ -122,12 +122,22 @@ def unified_versions(*frames: DataFrame, schema=SIGNAL) -> DataFrame:
 
 
 def retain_last_n(df: DataFrame, n: int = STREAM_MAX_LEN, by: Sequence[str] = ("stream",),
-                  order: Sequence[str] = ("ingest_ts", "entry_id")) -> DataFrame:
+                  order: Sequence[str] = ("ingest_ts", "entry_id"), slice_unit: str = "minute") -> DataFrame:
     """Keep the newest ``n`` entries per stream (exact; the original trim is approximate).
 
-    ``row_number() <= n`` right after the window lets Spark plan a
-    ``WindowGroupLimit``: each map partition keeps at most ``n`` rows per
-    stream before the shuffle.
+    ``order`` starts with the time. Entries are counted per (stream, time slice) with
+    map-side combine; slices are kept whole from the newest on, and only the one slice
+    that the limit cuts is ranked. No stream meets in one task, whatever ``n`` is.
     """
-    w = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    cols, at = list(by), F.date_trunc(slice_unit, order[0]).alias("_slice")
+    counts = df.groupBy(*cols, at).agg(F.count(F.lit(1)).alias("_n"))
+    newest = Window.partitionBy(*cols).orderBy(F.col("_slice").desc())
+    before = F.coalesce(F.sum("_n").over(newest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept = counts.withColumn("_before", before).filter(F.col("_before") < n).select(
+        *[F.col(c).alias(f"_k_{c}") for c in cols], F.col("_slice").alias("_k_slice"), "_before",
+        (F.col("_before") + F.col("_n") <= n).alias("_whole"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols] + [F.col("_slice").eqNullSafe(F.col("_k_slice"))]
+    rows = df.withColumn("_slice", at).join(kept, same)
+    rank = F.row_number().over(Window.partitionBy(*cols, "_slice").orderBy(*[F.col(c).desc() for c in order]))
+    cut = rows.filter(~F.col("_whole")).withColumn("_rn", rank).filter(F.col("_rn") <= F.lit(n) - F.col("_before"))
+    return rows.filter("_whole").select(df.columns).unionByName(cut.select(df.columns))

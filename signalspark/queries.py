@@ -757,7 +757,7 @@ def q_version_share(spark, sf_dir):
     return round_doubles(ql.version_share(c, by=["tenant_id"]))
 
 
-RETAIN_N = 1000
+RETAIN_N = 1500  # above the limit up to which Spark itself bounds a rank
 
 
 @query("retain_last_n", _ingest_sql(f"""
@@ -765,5 +765,5 @@ SELECT stream, entry_id, ingest_ts FROM (
   SELECT *, row_number() OVER (PARTITION BY stream ORDER BY ingest_ts DESC, entry_id DESC) AS rn FROM ent)
 WHERE rn <= {RETAIN_N}"""))
 def q_retain(spark, sf_dir):
-    """Newest 1000 entries per tenant stream (exact trim)."""
+    """Newest entries per tenant stream (exact trim)."""
     return ql.retain_last_n(load_raw(spark, sf_dir), RETAIN_N).select("stream", "entry_id", "ingest_ts")
