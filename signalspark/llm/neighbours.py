@@ -102,21 +102,39 @@ _SCHEMA = pa.schema([("bucket", pa.int64()), ("ids", pa.binary()), ("counts", pa
                      ("vectors", pa.binary()), ("dim", pa.int32())])
 
 
-def _packed(buckets: np.ndarray, which: np.ndarray, ids: list[list[int]], x: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Chunks of the vectors ``which`` (with their ids) by bucket."""
-    order = np.argsort(buckets, kind="stable")
-    cut = np.flatnonzero(np.diff(buckets[order])) + 1
-    rows = [part[i:i + CHUNK] for part in np.split(order, cut) for i in range(0, len(part), CHUNK)]
-    for i in range(0, len(rows), 512):
-        some = [(buckets[r[0]], which[r]) for r in rows[i:i + 512]]
+def _flat(buckets: np.ndarray, which: np.ndarray, ids: list[list[int]], x: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each vector and bucket."""
+    names = [np.array(i, np.int64).tobytes() for i in ids]
+    counts = [np.array([len(i)], np.int32).tobytes() for i in ids]
+    vectors = [v.tobytes() for v in x]
+    for i in range(0, len(buckets), 4096):
+        some = which[i:i + 4096].tolist()
         yield pa.RecordBatch.from_arrays([
-            pa.array([b for b, _ in some], pa.int64()),
-            pa.array([np.array([v for k in w for v in ids[k]], np.int64).tobytes() for _, w in some], pa.binary()),
-            pa.array([np.array([len(ids[k]) for k in w], np.int32).tobytes() for _, w in some], pa.binary()),
-            pa.array([x[w].tobytes() for _, w in some], pa.binary()),
+            pa.array(buckets[i:i + 4096]), pa.array([names[w] for w in some], pa.binary()),
+            pa.array([counts[w] for w in some], pa.binary()), pa.array([vectors[w] for w in some], pa.binary()),
             pa.array([x.shape[1]] * len(some), pa.int32())], schema=_SCHEMA)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket and length, packed into chunks."""
+    key, rows = None, []
+
+    def flush() -> pa.RecordBatch:
+        parts = [b"".join(column) for column in zip(*rows)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip([key[0], *parts, key[1]], _SCHEMA)],
+                                          schema=_SCHEMA)
+
+    for batch in batches:
+        for bucket, *row, dim in zip(*(batch.column(c).to_pylist() for c in range(5))):
+            if rows and ((bucket, dim) != key or len(rows) == CHUNK):
+                yield flush()
+            key = (bucket, dim)
+            rows.append(row)
+    if rows:
+        yield flush()
+
+
 def _hashed(vectors: DataFrame, width: float, probes: int | None, blocks: int = 0) -> DataFrame:
     """Packed rows by bucket: of the index (``probes`` None) or of probing queries.
 
@@ -152,9 +170,11 @@ def _hashed(vectors: DataFrame, width: float, probes: int | None, blocks: int =
                             which.append(np.array([i]))
                     if steps:
                         found.append(_bucket(np.array(steps), t, dim))
-                yield from _packed(np.concatenate(found), np.concatenate(which), ids, x)
+                yield from _flat(np.concatenate(found), np.concatenate(which), ids, x)
 
-    return vectors.select("ids", "vector").mapInArrow(rows, PACKED)
+    # dealt by bucket and id, so that a large bucket spans tasks and a small one is one chunk
+    return (vectors.select("ids", "vector").mapInArrow(rows, PACKED).repartitionByRange("bucket", "ids")
+            .sortWithinPartitions("bucket", "dim").mapInArrow(_packed, PACKED))
 
 
 def _search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
