@@ -104,7 +104,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, dictiona
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for part in small_batches(batch, "text"):
+            for part in small_batches(batch, "text", 4 << 20):
                 for k, ids in zip(part.column("key").to_pylist(), lib.encode_all(utf8(part.column("text")))):
                     frame = z.compress(ids + tail)
                     if frames and size + len(frame) > FILE_BYTES:

@@ -79,7 +79,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, capacity: int =
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = encoder(vocabulary)
         for batch in batches:
-            for part in small_batches(batch, "text"):
+            for part in small_batches(batch, "text", 4 << 20):
                 rows = []
                 for k, ids in zip(part.column("key").to_pylist(), lib.encode_all(utf8(part.column("text")))):
                     ids += tail

@@ -176,7 +176,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def small_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def small_batches(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Slices of a batch whose text column holds about ``limit`` bytes each."""
     col = batch.column(column)
     sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
