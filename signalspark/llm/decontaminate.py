@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.llm.grams import ALNUM, LOWER, Windows, pair, room, text_buffers, texts_of_words, word_names, word_spans
-from signalspark.llm.tokens import small_batches
+from signalspark.llm.tokens import forget_encoders, small_batches
 from signalspark.session import checkpoint_table
 
 WINDOW, GRAM = 10, 5
@@ -114,6 +114,7 @@ def _document_rows(docs: DataFrame, key: str, text: str, lengths: list[int], sho
                         ("n", pa.int32()), ("at", pa.int32()), ("names", pa.list_(pa.int64()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in small_batches(batch, "text"):

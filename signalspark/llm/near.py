@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from signalspark.llm.common import utf8
 from signalspark.llm.grams import ALNUM, LOWER, Windows, mix, pair, text_buffers, texts_of_words, word_names, word_spans
-from signalspark.llm.tokens import small_batches
+from signalspark.llm.tokens import forget_encoders, small_batches
 from signalspark.session import checkpoint_table
 
 K, TABLES, SAMPLED = 5, 32, 2
@@ -81,6 +81,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("place", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("n_words", pa.int32()),
                         ("keys", pa.list_(pa.int64())), ("fine", pa.list_(pa.int64()))])
     none = np.empty(0, np.int64)
+    forget_encoders()
     for batch in batches:
         for part in small_batches(batch, "text"):
             buf, offsets = text_buffers(part.column("text"))

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from signalspark.llm.common import hashed_sample
 from signalspark.llm.grams import NOT_SPACE, text_buffers, texts_of_words, word_names, word_spans
-from signalspark.llm.tokens import small_batches
+from signalspark.llm.tokens import forget_encoders, small_batches
 
 POSITIVES, UNLABELLED = 4000, 8000
 THRESHOLD = 0.7
@@ -177,6 +177,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, steps: int = 800, rate: float = 0.02,
 
 def _feature_rows(texts: DataFrame) -> np.ndarray:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             for part in small_batches(batch, "text"):
                 x = features(part.column("text"))
@@ -209,6 +210,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", column: str
     schema = T.StructType([docs.schema[c] for c in names] + [T.StructField(column, T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             for part in small_batches(batch, text):
                 values = model.score(features(part.column(text)).astype(np.float64))

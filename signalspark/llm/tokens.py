@@ -176,6 +176,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget_encoders() -> None:
+    """Free this worker's memo; stages that do not encode call it, since workers outlive a stage."""
+    _encoders.clear()
+
+
 def small_batches(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Slices of a batch whose text column holds about ``limit`` bytes each."""
     col = batch.column(column)
