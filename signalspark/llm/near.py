@@ -9,12 +9,15 @@ similarity 1 - edits / longer length is ``THRESHOLD`` or more, which a bit-paral
 alignment in the band of the allowed edits decides.
 
 Texts with equal words form one node first; only nodes go on. In a bucket every node
-is compared with the bucket's smallest one. Nodes that fail there are compared again
-within the finer buckets of the next two minima of that table, which gathers near
-texts that met in a bucket by a passage they share with others. So each bucket costs
-as many comparisons as it has nodes, never all pairs; buckets and nodes have no cap.
-Classes are the connected components of the verified links, found by label
-propagation with pointer jumping in tables under the checkpoint folder.
+is compared with the bucket's smallest one, then every node of another component than
+the best-linked other one with that one, which finds groups around one text. Last, all
+pairs of a bucket that are still in different components are compared, so no link
+between nodes that met is lost for the classes; only this step can grow with the square
+of a bucket, for texts that share a passage without being near. Before any alignment
+the word parities of two texts bound their edits from below; the bound is exact and
+needs no texts. Buckets and nodes have no cap. Classes are the connected components of
+the verified links, found by label propagation with pointer jumping in tables under the
+checkpoint folder.
 
 Edge cases: null and empty texts have no words and form one class; a null id takes a
 place given by its text's hash; rows that repeat an id or a text fall in the class of
@@ -43,7 +46,9 @@ THRESHOLD = 0.8
 SEED = 2_002
 _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(1, 2**63, TABLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SKETCH = "place long, r1 long, r2 long, n_words int, keys array<long>, fine array<long>"
+PARITIES = 16  # longs of word parities a text
+BLOCK = 256  # nodes of a bucket that one group of the last step takes from each side
+_SKETCH = "place long, r1 long, r2 long, n_words int, keys array<long>, parities array<long>"
 
 
 def place(key: str, text: str) -> Column:
@@ -51,8 +56,8 @@ def place(key: str, text: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.xxhash64(F.col(text)))
 
 
-def order_min_hash(grams: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, finer bucket) of each table for one text's k-mers."""
+def order_min_hash(grams: np.ndarray, tag: int) -> np.ndarray:
+    """The bucket of each table for one text's k-mers."""
     _, first, label, count = np.unique(grams, return_index=True, return_inverse=True, return_counts=True)
     if len(first) < len(grams):  # occurrence labels: the n-th copy of a k-mer is a symbol of its own
         order = np.argsort(label, kind="stable")
@@ -60,26 +65,34 @@ def order_min_hash(grams: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]
         labels = np.empty(len(grams), np.uint64)
         labels[order] = nth.astype(np.uint64)
         grams = np.where(labels > 0, mix(grams + labels * np.uint64(0xA0761D6478BD642F)), grams)
-    take = min(2 * SAMPLED, len(grams))
-    keys, fine = np.empty(TABLES, np.uint64), np.empty(TABLES, np.uint64)
+    take = min(SAMPLED, len(grams))
+    keys = np.empty(TABLES, np.uint64)
     step = max(1, (1 << 19) // len(grams))  # bounded arrays for long texts
     for t in range(0, TABLES, step):
         v = grams[None, :] * _FACTORS[t:t + step, None]
         v ^= v >> np.uint64(29)
         v *= np.uint64(0xBF58476D1CE4E5B9)
         low = np.argpartition(v, take - 1, axis=1)[:, :take] if take < len(grams) else np.tile(np.arange(take), (len(v), 1))
-        low = np.take_along_axis(low, np.argsort(np.take_along_axis(v, low, 1), axis=1), 1)
-        for part, out in ((np.sort(low[:, :SAMPLED], axis=1), keys), (np.sort(low[:, SAMPLED:], axis=1), fine)):
-            name = (np.arange(t, t + len(v)) + tag).astype(np.uint64)
-            for c in range(part.shape[1]):
-                name = pair(name, grams[part[:, c]])
-            out[t:t + step] = name
-    return keys.view(np.int64), fine.view(np.int64)
+        low = np.sort(low, axis=1)
+        name = (np.arange(t, t + len(v)) + tag).astype(np.uint64)
+        for c in range(take):
+            name = pair(name, grams[low[:, c]])
+        keys[t:t + step] = name
+    return keys.view(np.int64)
+
+
+def word_parities(words: np.ndarray) -> np.ndarray:
+    """Bits that tell for each hashed class of words whether a text has an odd number of them.
+
+    A substitution flips at most two bits, an insertion or deletion one.
+    """
+    odd = np.bincount((mix(words) >> np.uint64(40)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("place", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("n_words", pa.int32()),
-                        ("keys", pa.list_(pa.int64())), ("fine", pa.list_(pa.int64()))])
+                        ("keys", pa.list_(pa.int64())), ("parities", pa.list_(pa.int64()))])
     none = np.empty(0, np.int64)
     forget_encoders()
     for batch in batches:
@@ -93,22 +106,22 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(words ^ mix(at + c)))]) for c in
                     (np.uint64(0x5EED), np.uint64(0xFACE))]
             r1, r2 = (mix(s[cut[1:]] - s[cut[:-1]] + counts.astype(np.uint64)) for s in sums)
-            keys, fine, seen = [], [], {}
+            keys, odd, seen = [], [], {}
             for i, n in enumerate(counts.tolist()):
                 root = (int(r1[i]), int(r2[i]))
                 if root not in seen:
-                    a, own = cut[i], [(none, none)]
+                    a, own = cut[i], [none]
                     if n >= K:
                         own.append(order_min_hash(grams[K][a:a + n - K + 1], 0))
                     if SHORT_K <= n < SHORT:
                         own.append(order_min_hash(grams[SHORT_K][a:a + n - SHORT_K + 1], TABLES))
-                    seen[root] = [np.concatenate(x) for x in zip(*own)]
+                    seen[root] = np.concatenate(own), word_parities(words[a:a + n])
                 keys.append(seen[root][0])
-                fine.append(seen[root][1])
+                odd.append(seen[root][1])
             yield pa.RecordBatch.from_arrays(
                 [part.column("place"), pa.array(r1.view(np.int64)), pa.array(r2.view(np.int64)),
                  pa.array(counts.astype(np.int32)), pa.array(keys, schema.field("keys").type),
-                 pa.array(fine, schema.field("fine").type)], schema=schema)
+                 pa.array(odd, schema.field("parities").type)], schema=schema)
 
 
 def edits_within(a: list, b: list, most: int) -> bool:
@@ -160,6 +173,15 @@ def _words(text: bytes) -> list[int]:
     return word_names(buf, starts, ends).tolist()
 
 
+def _possible(a: str, b: str, threshold: float) -> Column:
+    """Whether lengths and word parities of the structs ``a`` and ``b`` leave ``near`` possible."""
+    n, m = F.col(f"{a}.n_words"), F.col(f"{b}.n_words")
+    most = ((1 - threshold) * F.greatest(n, m) + 1e-9).cast("int")
+    apart = sum((F.bit_count(F.col(f"{a}.parities")[i].bitwiseXOR(F.col(f"{b}.parities")[i])) for i in range(PARITIES)),
+                F.lit(0))
+    return (F.abs(n - m) <= most) & (apart <= 2 * most)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """``pairs`` (a, b) of nodes with ``near``, judged on their whole texts."""
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +218,12 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def _degree(links: DataFrame) -> DataFrame:
+    """(node, links): the number of links of each node."""
+    return (links.select(F.col("a").alias("node")).unionAll(links.select("b"))
+            .groupBy("node").agg(F.count(F.lit(1)).alias("links")))
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``place`` (its id, or the stand-in of a null id), ``class_id`` (the smallest
     place of its class), ``links`` (verified links of its text) and ``n_words``."""
@@ -204,31 +232,57 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     nodes = sketches.groupBy("r1", "r2").agg(F.min("place").alias("node"))
     sketched = (sketches.join(nodes.select(F.col("node").alias("place"), "r1", "r2"), ["place", "r1", "r2"], "left_semi")
                 .dropDuplicates(["place"]))
-    entries = sketched.select(F.col("place").alias("node"), F.explode(F.arrays_zip("keys", "fine")).alias("e"))
-    entries = entries.select("node", F.col("e.keys").alias("key"), F.col("e.fine").alias("fine"))
+    entries = sketched.select(F.col("place").alias("node"), F.explode("keys").alias("key"))
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = checkpoint_table(entries.join(hubs.select("key", "hub"), "key").filter("node <> hub"), "met")
+    met = checkpoint_table(entries.join(hubs.select("key", "hub"), "key"), "met")
+    bounds = checkpoint_table(sketched.join(met.select(F.col("node").alias("place")).distinct(), "place", "left_semi")
+                              .select(F.col("place").alias("node"), F.struct("n_words", "parities").alias("bound")), "bounds")
 
     def judged(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = checkpoint_table(pairs.distinct(), f"{name}-pairs")
+        pairs = (pairs.distinct().join(bounds.toDF("a", "bound_a"), "a").join(bounds.toDF("b", "bound_b"), "b")
+                 .filter(_possible("bound_a", "bound_b", threshold)).select("a", "b"))
+        pairs = checkpoint_table(pairs, f"{name}-pairs")
         ends = pairs.select(F.col("a").alias("place")).union(pairs.select("b")).distinct()
         # the same plan at every size: few ends must not turn it into a broadcast that does not last
         own = checkpoint_table(numbered.join(ends.hint("merge"), "place", "left_semi").groupBy("place").agg(F.min("text").alias("text")),
                                f"{name}-texts")
         return checkpoint_table(_verified(pairs, own, threshold), name)
 
-    first = judged(met.select(F.col("node").alias("a"), F.col("hub").alias("b")), "links-hub")
-    failed = met.join(first.filter("not near").select(F.col("a").alias("node"), F.col("b").alias("hub")), ["node", "hub"])
-    finer = failed.groupBy("key", "fine").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = (failed.drop("hub").join(finer.drop("n"), ["key", "fine"]).filter("node <> hub")
-             .select(F.col("node").alias("a"), F.col("hub").alias("b"))
-             .join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    second = judged(again, "links-fine")
-    links = first.filter("near").unionByName(second.filter("near")).select("a", "b")
+    def unresolved(rows: DataFrame, label: DataFrame, name: str) -> DataFrame:
+        """``rows`` of the buckets that hold more than one component, with their labels and the bucket's size."""
+        rows = rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = (rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                         F.count(F.lit(1)).alias("size")).filter("low <> high"))
+        return checkpoint_table(rows.join(mixed.select("key", "size"), "key"), name)
+
+    first = judged(met.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), "links-hub")
+    links = first.filter("near").select("a", "b")
     label = components(links)
-    degree = (links.select(F.col("a").alias("node")).unionAll(links.select("b"))
-              .groupBy("node").agg(F.count(F.lit(1)).alias("links")))
-    named = (nodes.join(label, "node", "left").join(degree, "node", "left")
+    mixed = unresolved(met, label, "mixed")
+    rank = mixed.filter("node <> hub").join(_degree(links), "node", "left")
+    leaders = (rank.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("node")).alias("minus"),
+                                                      "label")).alias("l"))
+               .select("key", (-F.col("l.minus")).alias("leader"), F.col("l.label").alias("side")))
+    second = judged(mixed.join(leaders, "key").filter("node <> hub and label <> side")
+                    .select(F.col("node").alias("a"), F.col("leader").alias("b")), "links-leader")
+    more = second.filter("near").select("a", "b")
+    label = components(label.toDF("a", "b").unionByName(more))
+    rest = unresolved(mixed.drop("label", "size"), label, "rest").drop("hub").join(bounds, "node")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    left = rest.select("key", F.col("own").alias("i"), F.col("other").alias("j"), F.col("node").alias("a"),
+                       F.col("label").alias("label_a"), F.col("bound").alias("bound_a"))
+    right = rest.select("key", F.col("other").alias("i"), F.col("own").alias("j"), F.col("node").alias("b"),
+                        F.col("label").alias("label_b"), F.col("bound").alias("bound_b"))
+    last = (left.hint("merge").join(right, (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
+                                    & (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b"))
+                                    & _possible("bound_a", "bound_b", threshold)).select("a", "b").distinct())
+    done = first.unionByName(second).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    third = judged(last.join(done, ["a", "b"], "left_anti"), "links-rest").filter("near").select("a", "b")
+    label = components(label.toDF("a", "b").unionByName(third))
+    links = links.unionByName(more).unionByName(third).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    named = (nodes.join(label, "node", "left").join(_degree(links), "node", "left")
              .select("r1", "r2", F.coalesce("label", "node").alias("class_id"),
                      F.coalesce("links", F.lit(0)).cast("long").alias("links")))
     return sketches.select("place", "r1", "r2", "n_words").join(named, ["r1", "r2"]).select(

@@ -256,6 +256,19 @@ def test_near_duplicates(spark):
     assert near.classes(frame(spark, [])).count() == 0
 
 
+def test_near_duplicates_around_one_text(spark):
+    """Members at 0.87 to a centre and less than 0.8 to most others: links run through the centre, of a middle id."""
+    rng = random.Random(23)
+    centre, rows = prose(rng, 300, 4000).split(), []
+    for i in range(200):
+        words = list(centre)
+        for slot in rng.sample(range(23), 3):  # three runs of 13 words
+            words[13 * slot:13 * slot + 13] = [f"m{i}x{slot}x{c}" for c in range(13)]
+        rows.append((i if i < 100 else i + 1, " ".join(words)))
+    rows.append((100, " ".join(centre)))
+    assert {r.class_id for r in near.classes(frame(spark, rows)).collect()} == {0}
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(17)
     parts = ["a", "B", "é", "ñ", " ", "  ", "\n", "\t", "\r\n", " ", "　", " ", "1", "23", "'s", "'", "!",
