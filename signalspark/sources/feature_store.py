@@ -93,6 +93,7 @@ def recover_upsert(spark: SparkSession, path: str) -> bool:
     if not stage:
         return False
     _overwrite_from(spark, stage, path)
+    _drop_emptied(spark, stage)
     _set_pending(spark, path, None)
     _delete(spark, stage)
     return True
@@ -104,6 +105,20 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+EMPTIED = "_emptied"  # inside the staging folder: partition folders that lose all their rows
+
+
+def _drop_emptied(spark: SparkSession, stage: str) -> None:
+    """Remove the partitions recorded with the staging copy; a dynamic overwrite leaves them alone."""
+    try:
+        rows = spark.read.text(f"{stage}/{EMPTIED}").collect()
+    except AnalysisException:  # nothing recorded
+        return
+    for r in rows:
+        where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r[0]))
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _stale(rows: DataFrame, replace: tuple | None) -> DataFrame:
     """Rows of the replaced sessions within the replaced dates; ``replace`` is (sessions _t/_s, start, end)."""
     if replace is None:
@@ -121,8 +136,8 @@ def upsert_features(features: DataFrame, path: str, staging_root: str | None = N
                     replace: tuple | None = None) -> None:
     """MERGE on (tenant_id, session_id, window_end, feature_window) into Parquet.
 
-    With ``replace`` the rows of those sessions and dates that are not incoming go; a
-    partition that holds nothing else keeps them until its next row arrives. The incoming rows are computed once, written straight into the staging
+    With ``replace`` the rows of those sessions and dates that are not incoming go, and a
+    partition that holds nothing else with them. The incoming rows are computed once, written straight into the staging
     folder; touched partitions and the keys to replace are read back from it.
     """
     spark = features.sparkSession
@@ -137,8 +152,16 @@ def upsert_features(features: DataFrame, path: str, staging_root: str | None = N
     current = table.join(touched, PARTITIONS, "left_semi")
     kept = current.join(incoming.select(*FEATURE_KEYS).union(gone), FEATURE_KEYS, "left_anti")
     kept.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(stage)
+    if replace is not None:
+        folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+        emptied = (_stale(table.withColumn("_folder", folder), replace)
+                   .join(read_features(spark, stage).select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
+                   .filter("tenant_id IS NOT NULL AND dt IS NOT NULL"))  # NULL keys never match: their rows stay
+        emptied.select("_folder").distinct().coalesce(1).write.text(f"{stage}/{EMPTIED}")
     _set_pending(spark, path, stage)  # from here on a lost run is finished by recover_upsert
     _overwrite_from(spark, stage, path)
+    if replace is not None:
+        _drop_emptied(spark, stage)
     _set_pending(spark, path, None)
     _delete(spark, stage)
 

@@ -5,6 +5,7 @@ import os
 import tempfile
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from signalspark.operators import emit as em
@@ -135,6 +136,25 @@ def test_backfill_drops_rows_of_a_shorter_input(spark):
     assert not [f for f in os.listdir(root) if f.startswith("_staging")]
 
 
+def test_replace_empties_a_partition(spark, monkeypatch):
+    """All rows of the first day are stale; a run lost before they go is finished by the recovery."""
+    root, day = _tmp(), datetime(2027, 1, 5, 23, 50)
+    early = _feature_rows(spark, [("t 1/x", "past", day, "session", 1)])
+    late = _feature_rows(spark, [("t 1/x", "past", day + timedelta(hours=1), "session", 2)])
+    replace = (spark.createDataFrame([("t 1/x", "past")], "_t string, _s string"), day.date(), None)
+    left = lambda t: [r.events_1m for r in store.read_features(spark, f"{root}/{t}").collect()]
+    for table in ("table", "lost"):
+        store.upsert_features(early, f"{root}/{table}")
+    store.upsert_features(late, f"{root}/table", replace=replace)
+    assert left("table") == [2]
+    with monkeypatch.context() as m:
+        m.setattr(store, "_drop_emptied", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.upsert_features(late, f"{root}/lost", replace=replace)
+    assert sorted(left("lost")) == [1, 2] and store.recover_upsert(spark, f"{root}/lost")
+    assert left("lost") == [2]
+
+
 def test_emit_tick(spark):
     root = _tmp()
     t1 = datetime(2026, 5, 1, 12, 0)
