@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +257,24 @@ def test_near_duplicates(spark):
     assert near.classes(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 10, 20, 31, 32, 40, 64, 300, 1000])
+@pytest.mark.parametrize("spread", ["random", "even"])
+def test_near_pairs_at_the_threshold_meet(n, spread):
+    """Pairs at edit similarity 0.8 by scattered substitutions share a bucket in at least 98 of 100 cases."""
+    rng, pairs, rows = random.Random(31), 250, []
+    for i in range(pairs):
+        a = [f"p{i}w{c}" for c in range(n)]
+        b = list(a)
+        for c in rng.sample(range(n), n // 5) if spread == "random" else range(2, 5 * (n // 5), 5):
+            b[c] = f"x{c}"
+        rows += [" ".join(a), " ".join(b)]
+    batch = pa.RecordBatch.from_pydict({"place": list(range(len(rows))), "text": rows})
+    keys = [set(k) for out in near._sketches(iter([batch])) for k in out.column("keys").to_pylist()]
+    met = sum(bool(keys[i] & keys[i + 1]) for i in range(0, len(keys), 2))
+    print(n, spread, met / pairs)
+    assert met >= 0.98 * pairs
+
+
 def test_near_duplicates_around_one_text(spark):
     """Members at 0.87 to a centre and less than 0.8 to most others: links run through the centre, of a middle id."""
     rng = random.Random(23)
