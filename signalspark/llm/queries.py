@@ -176,3 +176,105 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from signalspark.llm.lines import report
 
     return report(table(spark, sf_dir, "documents"))
+
+
+_TERMS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op11_lexical_search", f"""
+WITH d AS (
+  SELECT doc_id, {_TERMS.format("text")} AS t FROM documents
+), st AS (
+  SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d
+), tf AS (
+  SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY doc_id, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY 1), st
+), q AS (
+  SELECT item_id, unnest({_TERMS.format("text")}) AS term FROM benchmark
+), s AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // total))))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), st GROUP BY 1, 2
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _positions(kind: str, pattern: str, group: int, least: int) -> str:
+    """DuckDB spans of one kind: texts between the matches and the matches themselves add up to positions."""
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, gaps + texts AS s, gaps + texts + length(m) AS e FROM (
+    SELECT doc_id, unnest(m) AS m, unnest(g) AS g, unnest(list_transform(range(1, len(m) + 1),
+             lambda i: coalesce(list_sum(list_transform(gap[1:i], lambda x: length(x))), 0))) AS gaps,
+           unnest(list_transform(range(1, len(m) + 1),
+             lambda i: coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))) AS texts
+    FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gap, regexp_extract_all(t, '{pattern}') AS m,
+                 regexp_extract_all(t, '{pattern}', {group}) AS g
+          FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))) WHERE length(g) >= {least}"""
+
+
+_ASSIGN = ("((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
+           """|[aA][pP][iI]_?[kK][eE][yY]))["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+
+
+@query("op12_secret_scan", f"""
+WITH f AS ({_positions("assign", _ASSIGN, 2, 6)}
+  UNION ALL {_positions("access", "AKIA[A-Z0-9]+", 0, 20)}
+  UNION ALL {_positions("hex", "[0-9a-f]{24,}", 0, 24)}
+), p AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ','
+                    ORDER BY s, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END) AS spans
+  FROM f GROUP BY 1
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN p USING (doc_id)""")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.secrets import scan
+    from signalspark.session import work_dir
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), work_dir(spark, "secret-ledger"))
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")),
+                        F.sha2(listed.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
+
+
+@query("op13_hard_negatives", """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same)
+  WHERE r <= 5
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+WHERE rank <= 5""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from signalspark.llm.negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
