@@ -97,10 +97,12 @@ class Block:
         farthest = np.where(angles + low > np.pi, 2 * np.pi - angles - low, np.minimum(angles + high, np.pi)).min(1)
         upper = np.cos(np.clip(nearest - self.slack, 0, np.pi))
         lower = np.cos(np.clip(farthest + self.slack, 0, np.pi))
-        room = 1e-9 * norm * most + 1
+        with np.errstate(over="ignore", invalid="ignore"):  # norms whose product is no double bound nothing
+            room = 1e-9 * norm * most + 1
+            lo = norm * np.where(lower < 0, most, least) * lower - room
+            hi = norm * np.where(upper < 0, least, most) * upper + room
         # no further than the scores themselves are cut
-        return (np.clip(norm * np.where(lower < 0, most, least) * lower - room, -TOP, TOP),
-                np.clip(norm * np.where(upper < 0, least, most) * upper + room, -TOP, TOP))
+        return np.nan_to_num(np.clip(lo, -TOP, TOP), nan=-TOP), np.nan_to_num(np.clip(hi, -TOP, TOP), nan=TOP)
 
     def whole(self, norm: float, angles: np.ndarray) -> tuple[float, float]:
         """Least and largest score that any row of the block can have with an anchor."""
@@ -243,7 +245,7 @@ def find_positives(index: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
                 floor = max(floor, np.partition(lo, len(lo) - k)[len(lo) - k])
             at = at[hi >= floor]
             if len(at):
-                score = scores(block.vectors[at], vector, norm * block.most[0])
+                score = scores(block.vectors[at], vector, norm * float(block.most[0]))
                 best[tuple(numbers)] = _merged(found, score, block.ids[at], k)
         yield flush()
 
@@ -288,7 +290,7 @@ def find_negatives(index: DataFrame, anchors: DataFrame, n_positives: int, k: in
             at = at[overlaps]
             if not len(at):
                 continue
-            score, ids = scores(block.vectors[at], vector, norm * block.most[0]), block.ids[at]
+            score, ids = scores(block.vectors[at], vector, norm * float(block.most[0])), block.ids[at]
             for w in open_:
                 inside = (score >= w[0]) & (score <= w[1])
                 if inside.any():
