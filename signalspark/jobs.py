@@ -28,7 +28,11 @@ def _args(argv=None) -> argparse.Namespace:
     a.add_argument("--bad", required=True)
     a.add_argument("--batch-id", required=False, default=None,
                    help="unique id of this batch (default: name of the raw folder)")
-    a.add_argument("--dedup", action="store_true")
+    a.add_argument("--dedup", action="store_true", help="replay guard over all batches of the landed table")
+    a.add_argument("--rps", type=float, default=None, help="requests a second of each tenant; the rest is quarantined")
+    a.add_argument("--burst", type=float, default=None, help="capacity of each tenant's bucket (default: twice --rps)")
+    a.add_argument("--wire-compat", action="store_true", help="zero values as on the wire (omitted)")
+    a.add_argument("--start-from", default=None, help="stream: leave out entries that arrived before this time")
     a.add_argument("--lenient", action="store_true", help="original landing rule (event_id present)")
     a.add_argument("--stream", action="store_true")
     a.add_argument("--checkpoint")
@@ -58,17 +62,18 @@ def main(argv=None) -> None:
     if args.job == "land":
         from signalspark.sources.landing import land_batch
         from signalspark.sources.raw import read_raw_files
+        rules = {"strict": not args.lenient, "dedup": args.dedup, "wire_compat": args.wire_compat,
+                 "quota": (args.rps, args.burst or 2 * args.rps) if args.rps else None}
         if args.stream:
             from signalspark.streaming.landing import start_landing
             q = start_landing(read_raw_files(spark, args.raw, stream=True,
                                              max_files_per_trigger=args.max_files_per_trigger),
-                              args.landed, args.bad, args.checkpoint, strict=not args.lenient,
-                              available_now=False, processing_time="2 seconds")
+                              args.landed, args.bad, args.checkpoint, start_from=args.start_from,
+                              available_now=False, processing_time="2 seconds", **rules)
             q.awaitTermination()
         else:
             bid = args.batch_id or args.raw.rstrip("/").split("/")[-1]
-            out = land_batch(read_raw_files(spark, args.raw), args.landed, args.bad, bid,
-                             strict=not args.lenient, dedup=args.dedup)
+            out = land_batch(read_raw_files(spark, args.raw), args.landed, args.bad, bid, **rules)
             log.info(json.dumps({"event": "landed", **out}))
     elif args.job == "backfill":
         from signalspark.plans.backfill import run_backfill

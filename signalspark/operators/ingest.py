@@ -214,8 +214,8 @@ def parse_and_split(raw: DataFrame, strict: bool = True, wire_compat: bool = Fal
     return split_classified(classify(raw, wire_compat), strict)
 
 
-def split_classified(c: DataFrame, strict: bool = True):
-    """:func:`parse_and_split` on an already classified frame."""
+def split_classified(c: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()):
+    """:func:`parse_and_split` on an already classified frame; good rows also ``keep`` these columns."""
     if strict:
         ok = F.col("outcome") == "accepted"
         good_sig = F.col("sig")
@@ -223,7 +223,7 @@ def split_classified(c: DataFrame, strict: bool = True):
         # the original landing rule: parsed with an event id, body values as sent
         ok = F.col("body.event_id").isNotNull()
         good_sig = F.col("body")
-    good = c.filter(ok).select(good_sig.alias("s")).select("s.*").withColumn("dt", F.to_date("ts"))
+    good = c.filter(ok).select(good_sig.alias("s"), *keep).select("s.*", *keep).withColumn("dt", F.to_date("ts"))
     bad = c.filter(~ok).select(
         "tenant_id_hint", F.col("data").alias("raw"),
         F.when(F.col("outcome") == "accepted", "no_event_id").otherwise(F.col("reason")).alias("reason"),

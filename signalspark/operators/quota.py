@@ -60,23 +60,32 @@ def _fold_day(rps: float, burst: float):
     return fn
 
 
+BUCKET = "tenant_id string, tokens double, last_sec bigint"
 _OUT = "tenant_id string, day bigint, sec bigint, n bigint, start double, admitted bigint, left double"
 
 
-def per_second_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS,
-                         burst: float = DEFAULT_QUOTA_BURST, tenant_col: str = "tenant_id",
-                         time_col: str = "ingest_ts") -> DataFrame:
-    """``(tenant_id, sec, n, admitted)``: requests and admissions per tenant-second."""
-    if rps <= 0:
-        rps = 1000.0
-    if burst <= 0:
-        burst = 2 * rps
-    rps, burst = float(rps), float(burst)
-    per_sec = requests.filter(F.col(tenant_col).isNotNull()).groupBy(
-        F.col(tenant_col).alias("tenant_id"), F.unix_seconds(time_col).alias("sec")
+def _limits(rps: float, burst: float) -> tuple[float, float]:
+    rps = float(rps) if rps > 0 else 1000.0
+    return rps, float(burst) if burst > 0 else 2 * rps
+
+
+def _seconds(requests: DataFrame, tenant_col: str, time_col: str, initial: DataFrame | None) -> DataFrame:
+    """Requests with ``_sec``, the second at which the bucket sees them: never before its last one."""
+    sec = F.unix_seconds(time_col)
+    if initial is None:
+        return requests.withColumn("_sec", sec)
+    last = initial.select(F.col("tenant_id").alias(tenant_col), F.col("last_sec").alias("_last"))
+    return requests.join(last, tenant_col, "left").withColumn("_sec", F.greatest(sec, "_last")).drop("_last")
+
+
+def _folded(seconds: DataFrame, rps: float, burst: float, tenant_col: str, initial: DataFrame | None) -> DataFrame:
+    """``tenant_id, day, sec, n, start, admitted, left``: the bucket over all tenant-seconds."""
+    per_sec = seconds.filter(F.col(tenant_col).isNotNull()).groupBy(
+        F.col(tenant_col).alias("tenant_id"), F.col("_sec").alias("sec")
     ).agg(F.count(F.lit(1)).alias("n")).withColumn("day", F.floor(F.col("sec") / SECONDS_PER_DAY))
     # every pass reads per-second rows (at most 86,400 a tenant-day): written once, lineage cut
     per_sec = checkpoint_table(per_sec, "quota-per-second")
+    before = per_sec.sparkSession.createDataFrame([], BUCKET) if initial is None else initial.select("tenant_id", "tokens", "last_sec")
 
     def folded(days: DataFrame, name: str) -> DataFrame:
         rows = per_sec.join(days.select("tenant_id", "day", "start"), ["tenant_id", "day"])
@@ -90,41 +99,76 @@ def per_second_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS,
     result = folded(per_sec.select("tenant_id", "day").distinct().withColumn("start", F.lit(burst)), "quota-fold")
     while True:
         days = Window.partitionBy("tenant_id").orderBy("day")
-        idle = (F.col("first_sec") - F.lag("last_sec").over(days)).cast("double")
-        true_start = F.least(F.lit(burst), F.lag("left").over(days) + idle * F.lit(rps))
-        starts = by_day(result).withColumn("true_start", F.coalesce(true_start, F.lit(burst)))
+        rows = by_day(result).join(before.select("tenant_id", "tokens", F.col("last_sec").alias("seen_sec")), "tenant_id", "left")
+        idle = (F.col("first_sec") - F.coalesce(F.lag("last_sec").over(days), F.col("seen_sec"))).cast("double")
+        true_start = F.least(F.lit(burst), F.coalesce(F.lag("left").over(days), F.col("tokens")) + idle * F.lit(rps))
+        starts = rows.withColumn("true_start", F.coalesce(true_start, F.lit(burst)))
         wrong = checkpoint_table(starts.filter("true_start <> start").select(
             "tenant_id", "day", F.col("true_start").alias("start")), "quota-starts")
         if wrong.isEmpty():
-            return result.select("tenant_id", "sec", "n", "admitted")
+            return result
         again = folded(wrong, "quota-refold")
         result = checkpoint_table(result.join(wrong, ["tenant_id", "day"], "left_anti").unionByName(again), "quota-fold")
 
 
-def quota_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS, burst: float = DEFAULT_QUOTA_BURST,
-                    tenant_col: str = "tenant_id", time_col: str = "ingest_ts",
-                    order_col: str = "entry_id") -> DataFrame:
-    """Flag each request ``admitted``: the first ``admitted`` of its second by time, ``order_col``.
+def per_second_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS,
+                         burst: float = DEFAULT_QUOTA_BURST, tenant_col: str = "tenant_id",
+                         time_col: str = "ingest_ts") -> DataFrame:
+    """``(tenant_id, sec, n, admitted)``: requests and admissions per tenant-second."""
+    rps, burst = _limits(rps, burst)
+    seconds = requests.withColumn("_sec", F.unix_seconds(time_col))
+    return _folded(seconds, rps, burst, tenant_col, None).select("tenant_id", "sec", "n", "admitted")
+
+
+#: cells of a second in which the request rank is found
+CELLS = 1000
+
+
+def admit(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS, burst: float = DEFAULT_QUOTA_BURST,
+          tenant_col: str = "tenant_id", time_col: str = "ingest_ts", order_col: str = "entry_id",
+          initial: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(requests with admitted, buckets)``: one batch of a continuing fold.
 
-    Fully admitted and fully refused seconds need no ranking. In partly
-    admitted seconds at most ``burst`` requests can pass, so the rank is cut
-    at that constant and Spark keeps only that many rows per second on the map
-    side (``WindowGroupLimit``) before the shuffle: a hot second is bounded.
+    ``initial`` and the returned buckets hold ``tenant_id, tokens, last_sec``, one row per
+    tenant ever seen; a missing tenant starts with a full bucket. A request older than its
+    tenant's last second counts at that second, as it would on arrival.
+
+    In each second the first ``admitted`` requests by (``time_col``, ``order_col``) pass.
+    Only partly admitted seconds need a rank, and there only the millisecond in which the
+    admitted ones run out: counts per millisecond (at most 1000 a second, pre-aggregated)
+    decide all others, so a hot second is never sorted whole.
     """
-    # small (one row per tenant-second) and read twice below: written once
-    adm = checkpoint_table(per_second_admission(requests, rps, burst, tenant_col, time_col), "quota-admitted")
-    r = requests.withColumn("_sec", F.unix_seconds(time_col)).join(
-        adm.select(F.col("tenant_id").alias(tenant_col), F.col("sec").alias("_sec"),
-                   F.col("n").alias("_n"), F.col("admitted").alias("_a")),
-        [tenant_col, "_sec"], "left")
-    cap = int(math.ceil(burst if burst > 0 else 2 * (rps if rps > 0 else 1000.0)))
-    w = Window.partitionBy(tenant_col, "_sec").orderBy(time_col, order_col)
-    partial = r.filter((F.col("_a") > 0) & (F.col("_a") < F.col("_n")))
-    ranked = (partial.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap)
-              .filter(F.col("_rn") <= F.col("_a")).select(tenant_col, "_sec", order_col, F.lit(True).alias("_in")))
-    out = r.join(ranked, [tenant_col, "_sec", order_col], "left")
-    flag = (F.when(F.col("_a").isNull(), F.lit(True))
-            .when(F.col("_a") >= F.col("_n"), F.lit(True))
+    rps, burst = _limits(rps, burst)
+    r = _seconds(requests, tenant_col, time_col, initial)
+    folded = _folded(r, rps, burst, tenant_col, initial)
+    seconds = folded.select(F.col("tenant_id").alias(tenant_col), F.col("sec").alias("_sec"),
+                            F.col("n").alias("_n"), F.col("admitted").alias("_a"))
+    r = r.withColumn("_cell", F.floor(F.unix_micros(time_col) * CELLS / 1_000_000)).join(
+        seconds, [tenant_col, "_sec"], "left")
+    key = [tenant_col, "_sec"]
+    partial = (F.col("_a") > 0) & (F.col("_a") < F.col("_n"))
+    upto = Window.partitionBy(*key).orderBy("_cell")
+    cells = (r.filter(partial).groupBy(*key, "_cell", "_a").agg(F.count(F.lit(1)).alias("_m"))
+             .withColumn("_rest", F.col("_a") - F.sum("_m").over(upto) + F.col("_m")))  # left when the cell begins
+    cut = cells.filter((F.col("_rest") > 0) & (F.col("_rest") < F.col("_m"))).select(*key, "_cell", "_rest")
+    cut = checkpoint_table(cut, "quota-cut")  # at most one cell of each second
+    order = Window.partitionBy(*key).orderBy(time_col, order_col)
+    last = (r.filter(partial).join(cut, [*key, "_cell"]).withColumn("_rn", F.row_number().over(order))
+            .filter(F.col("_rn") <= F.col("_rest")).select(*key, order_col, F.lit(True).alias("_in")))
+    whole = cells.filter(F.col("_rest") >= F.col("_m")).select(*key, "_cell", F.lit(True).alias("_full"))
+    out = r.join(whole, [*key, "_cell"], "left").join(last, [*key, order_col], "left")
+    flag = (F.when(F.col("_a").isNull() | (F.col("_a") >= F.col("_n")), F.lit(True))
             .when(F.col("_a") == 0, F.lit(False))
-            .otherwise(F.coalesce(F.col("_in"), F.lit(False))))
-    return out.withColumn("admitted", flag).drop("_sec", "_n", "_a", "_in")
+            .otherwise(F.col("_full").isNotNull() | F.col("_in").isNotNull()))
+    flagged = out.withColumn("admitted", flag).drop("_sec", "_cell", "_n", "_a", "_full", "_in")
+    buckets = folded.groupBy("tenant_id").agg(F.max_by("left", "sec").alias("tokens"), F.max("sec").alias("last_sec"))
+    if initial is not None:
+        buckets = buckets.unionByName(initial.select(*buckets.columns).join(buckets, "tenant_id", "left_anti"))
+    return flagged, buckets
+
+
+def quota_admission(requests: DataFrame, rps: float = DEFAULT_QUOTA_RPS, burst: float = DEFAULT_QUOTA_BURST,
+                    tenant_col: str = "tenant_id", time_col: str = "ingest_ts",
+                    order_col: str = "entry_id") -> DataFrame:
+    """Flag each request ``admitted`` by the bucket (see :func:`admit`), all requests at once."""
+    return admit(requests, rps, burst, tenant_col, time_col, order_col)[0]

@@ -23,10 +23,12 @@ from signalspark.operators import quota as qa
 from signalspark.operators import sessions as sx
 from signalspark.plans import backfill as bf
 from signalspark.plans import feature_set as fs
-from signalspark.session import ensure_utc, work_dir
+from signalspark.session import checkpoint_table, ensure_utc, work_dir
 from signalspark.sources import feature_store as store
+from signalspark.sources import guarded as gd
 from signalspark.sources import landing as land
 from signalspark.sources.events import BASE_US, load_signals, with_signals
+from signalspark.sources.raw import TS_FORMAT as RAW_TS_FORMAT
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.streaming import features as sf
 from signalspark.streaming.emit import start_emit
@@ -525,17 +527,78 @@ def q_stream_quota(spark, sf_dir):
     return out.groupBy("tenant_id", "sec").agg(F.sum("n").alias("n"), F.sum("admitted").alias("admitted"))
 
 
-@query("stream_dedup")
-def q_stream_dedup(spark, sf_dir):
-    """V14 stream form (dropDuplicatesWithinWatermark, 24 h); close to the fold: rows-only check."""
-    root = work_dir(spark, "stream-dedup")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
-    c = ing.classify(read_raw_files(spark, f"{root}/raw", stream=True)).filter(F.col("outcome") == "accepted")
-    e = c.select(F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"),
-                 "entry_id", "ingest_ts")
-    q = sf.start_append(dd.replay_guard_stream(e), f"{root}/out", f"{root}/_ck")
+BATCHES = 4
+
+
+def _arrive(spark: SparkSession, sf_dir: str, path: str, in_order: bool) -> None:
+    """Raw entries as JSON files of ``BATCHES`` micro-batches, by arrival time or shuffled (up to 54 h late)."""
+    raw = checkpoint_table(load_raw(spark, sf_dir), "arriving")
+    if in_order:
+        # one second never spans two micro-batches, as a bucket judges a second at once
+        cuts = raw.select(F.unix_seconds("ingest_ts").alias("s")).approxQuantile("s", [i / BATCHES for i in range(1, BATCHES)], 0.01)
+        batch = sum((F.unix_seconds("ingest_ts") > c).cast("int") for c in cuts)
+    else:
+        batch = F.pmod(F.xxhash64("stream", "entry_id"), F.lit(BATCHES))
+    for i in range(BATCHES):
+        (raw.filter(batch == i).repartition(BATCHES).write.mode("append").option("timestampFormat", RAW_TS_FORMAT)
+         .json(path))
+
+
+def _guarded_stream(spark: SparkSession, sf_dir: str, name: str, quota=None) -> str:
+    """Stream landing behind the guards over several micro-batches; the landed table's path."""
+    root = work_dir(spark, name)
+    _arrive(spark, sf_dir, f"{root}/raw", in_order=quota is not None)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=BATCHES),
+                      f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint", dedup=True, quota=quota)
     sf.run_to_end(q, STREAM_TIMEOUT_S)
-    return spark.read.parquet(f"{root}/out")
+    return f"{root}/landed"
+
+
+@query("stream_dedup", _ingest_sql("""
+SELECT gr.tenant_id, gr.event_id, ge.entry_id, ge.ingest_ts, gr.first_seen
+FROM gr JOIN ge ON gr.entry_id = ge.entry_id AND gr.tenant_id = ge.tenant_id"""))
+def q_stream_dedup(spark, sf_dir):
+    """V14 inside stream landing: shuffled entries, many of them a day late, in several micro-batches;
+    the guard's decisions equal the fold over all of them."""
+    return gd.landed_decisions(spark, _guarded_stream(spark, sf_dir, "stream-dedup")).drop("stream")
+
+
+@query("stream_landing_guarded", _ingest_sql("""
+SELECT tenant_id, event_id, eff_ts AS ts, count(*) AS n FROM outc JOIN (SELECT entry_id, tenant_id, eff_ts FROM ent)
+USING (entry_id, tenant_id, eff_ts) WHERE outcome = 'accepted' GROUP BY 1, 2, 3"""))
+def q_stream_landing_guarded(spark, sf_dir):
+    """V14 + S5 + S7: what a reader finds landed after shuffled micro-batches, later decisions applied."""
+    landed = land.read_landed(spark, _guarded_stream(spark, sf_dir, "stream-guarded"))
+    return landed.groupBy("tenant_id", "event_id", "ts").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("landing_outcomes", _ingest_sql(_QUOTA_CTES % {"burst": QUOTA_BURST, "rps": QUOTA_RPS} + """
+, rq AS (
+  SELECT *, row_number() OVER (PARTITION BY tenant_id, sec ORDER BY ingest_ts, entry_id) AS rk
+  FROM (SELECT *, CAST(floor(epoch_us(ingest_ts) / 1000000) AS BIGINT) AS sec FROM ent)
+), ad AS (
+  SELECT rq.tenant_id, rq.event_id, rq.entry_id, rq.ingest_ts, rq.v_outcome, rq.rk <= qr.admitted AS admitted
+  FROM rq JOIN qr ON rq.tenant_id = qr.tenant_id AND rq.sec = qr.sec
+), ga AS (
+  SELECT *, row_number() OVER (PARTITION BY tenant_id, event_id ORDER BY ingest_ts, entry_id) AS rn
+  FROM ad WHERE admitted AND v_outcome = 'accepted'
+), fa AS (
+  SELECT tenant_id, event_id, entry_id, rn, ingest_ts AS last_acc, TRUE AS first_seen FROM ga WHERE rn = 1
+  UNION ALL
+  SELECT ga.tenant_id, ga.event_id, ga.entry_id, ga.rn,
+         CASE WHEN ga.ingest_ts >= fa.last_acc + INTERVAL 24 HOUR THEN ga.ingest_ts ELSE fa.last_acc END,
+         ga.ingest_ts >= fa.last_acc + INTERVAL 24 HOUR
+  FROM fa JOIN ga ON ga.tenant_id = fa.tenant_id AND ga.event_id = fa.event_id AND ga.rn = fa.rn + 1
+)
+SELECT tenant_id, outcome, count(*) AS n FROM (
+  SELECT ad.tenant_id, CASE WHEN NOT admitted THEN 'rate_limited' WHEN first_seen = FALSE THEN 'duplicate'
+                            ELSE v_outcome END AS outcome
+  FROM ad LEFT JOIN fa ON fa.tenant_id = ad.tenant_id AND fa.entry_id = ad.entry_id)
+GROUP BY 1, 2"""))
+def q_landing_outcomes(spark, sf_dir):
+    """V15 + V16 + V18 inside stream landing: bucket, rules and guard in the edge's order over several micro-batches."""
+    landed = _guarded_stream(spark, sf_dir, "landing-outcomes", quota=(QUOTA_RPS, QUOTA_BURST))
+    return gd.landed_outcomes(spark, landed)
 
 
 #: the fixture's day stretched over five, and the slice replayed from it

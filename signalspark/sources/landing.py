@@ -18,13 +18,19 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from signalspark.schema import LANDED, QUARANTINE
+from signalspark.sources import files
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # JSON sinks keep microseconds
 
 LANDED_FILES = StructType(LANDED.fields + [StructField("batch_id", StringType())])
+#: what names a raw entry; guarded batches keep it in their landed files
+ENTRY = ["stream", "entry_id", "ingest_ts"]
+ENTRY_FILES = StructType(LANDED_FILES.fields + [StructField("stream", StringType()), StructField("entry_id", StringType()),
+                                                StructField("ingest_ts", TimestampType())])
+FLIPS = "stream string, entry_id string, ingest_ts timestamp, accepted boolean, seq bigint"
 QUARANTINE_FILES = StructType(QUARANTINE.fields + [StructField("batch_id", StringType())])
 
 
@@ -50,9 +56,44 @@ def write_quarantine(bad: DataFrame, path: str, batch_id: str) -> None:
         .partitionBy("batch_id").json(path))
 
 
+def guard_path(landed: str) -> str:
+    """The guard's ledger of a landed table (see :mod:`signalspark.sources.guarded`)."""
+    return f"{landed.rstrip('/')}/_guard"
+
+
+def duplicates_path(landed: str) -> str:
+    return f"{landed.rstrip('/')}/_duplicates"
+
+
+def commits(spark: SparkSession, landed: str) -> list[tuple[int, str]]:
+    """Committed (sequence number, batch id) of guarded batches, oldest first."""
+    split = (n.partition("-") for n in files.names(spark, f"{guard_path(landed)}/commits"))
+    return [(int(seq), batch) for seq, _, batch in split]
+
+
+def ledger(spark: SparkSession, landed: str, name: str, schema: str, last: int) -> DataFrame:
+    """Rows of one of the ledger's tables up to sequence number ``last``."""
+    path = f"{guard_path(landed)}/{name}"
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).filter(F.col("seq") <= last)
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """The landed table with its explicit schema (no type inference on partitions)."""
-    return spark.read.schema(LANDED_FILES).parquet(path).select(*LANDED.fieldNames())
+    """The landed table with its explicit schema (no type inference on partitions).
+
+    Where late entries have changed the replay guard's earlier decisions, those are applied:
+    entries refused since are left out, repeats accepted since are read from their folder.
+    """
+    rows = spark.read.schema(LANDED_FILES).parquet(path)
+    if files.exists(spark, f"{guard_path(path)}/flips"):
+        done = commits(spark, path)
+        flips = ledger(spark, path, "flips", FLIPS, done[-1][0] if done else 0)
+        now = flips.groupBy(*ENTRY).agg(F.max_by("accepted", "seq").alias("accepted"))
+        rows = spark.read.schema(ENTRY_FILES).parquet(path).join(now.filter(~F.col("accepted")), ENTRY, "left_anti")
+        again = spark.read.schema(ENTRY_FILES).parquet(duplicates_path(path))
+        rows = rows.unionByName(again.join(now.filter(F.col("accepted")), ENTRY, "left_semi"))
+    return rows.select(*LANDED.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
@@ -60,23 +101,20 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: str,
-               strict: bool = True, dedup: bool = False) -> dict:
+               strict: bool = True, dedup: bool = False, quota: tuple[float, float] | None = None,
+               wire_compat: bool = False) -> dict:
     """Classify a raw frame once, persist it, then write both sinks from it.
 
-    ``dedup`` also applies the replay guard: repeats are dropped from the
-    landed rows (they are not quarantined; they are counted as outcomes).
+    ``dedup`` and ``quota`` (requests per second, burst) land through the replay guard and
+    the token bucket, both of which continue over all batches of the table.
     """
-    from signalspark.operators.dedup import replay_guard
+    if dedup or quota:
+        from signalspark.sources.guarded import land_guarded
+        return land_guarded(raw, landed_path, bad_path, batch_id, strict, quota, wire_compat)
     from signalspark.operators.ingest import classify, split_classified
-    c = classify(raw).persist()
+    c = classify(raw, wire_compat).persist()
     try:
         good, bad = split_classified(c, strict=strict)
-        if dedup:
-            ok = c.filter(F.col("outcome") == "accepted").select(
-                "stream", "entry_id", "ingest_ts", F.col("sig.tenant_id").alias("tenant_id"),
-                F.col("sig.event_id").alias("event_id"))
-            repeats = replay_guard(ok).filter(~F.col("first_seen")).select("stream", "entry_id")
-            good, _ = split_classified(c.join(repeats, ["stream", "entry_id"], "left_anti"), strict=strict)
         og, ob = Observation("landed"), Observation("quarantined")
         write_landed(good.observe(og, F.count(F.lit(1)).alias("rows")), landed_path, batch_id)
         write_quarantine(bad.observe(ob, F.count(F.lit(1)).alias("rows")), bad_path, batch_id)

@@ -12,41 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalspark.operators.dedup import TTL
-from signalspark.operators.ingest import classify, split_classified
-from signalspark.sources.landing import stream_batch_id, write_landed, write_quarantine
+from signalspark.operators.ingest import classify
+from signalspark.sources.landing import land_batch, stream_batch_id
 
 
 def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkpoint: str,
                   strict: bool = True, start_from=None, available_now: bool = True,
-                  processing_time: str | None = None, dedup: bool = False) -> StreamingQuery:
+                  processing_time: str | None = None, dedup: bool = False,
+                  quota: tuple[float, float] | None = None, wire_compat: bool = False) -> StreamingQuery:
     """Start the landing query; ``start_from`` drops entries that arrived earlier (S3).
 
-    ``dedup`` adds the stream form of the replay guard: accepted entries are
-    keyed by (tenant, event_id), all others by their unique entry, and
-    ``dropDuplicatesWithinWatermark`` keeps the first of each key for 24 h of
-    arrival time (state is bounded by one TTL of keys).
+    With ``dedup`` or ``quota`` (requests per second, burst) every micro-batch lands through the
+    replay guard and the tenants' token buckets (:mod:`signalspark.sources.guarded`). Their state is
+    the table's own ledger, so it survives restarts, is shared with batch landing, and an entry
+    that arrives days late is judged like any other.
     """
     src = raw_stream
     if start_from is not None:
         src = src.filter(F.col("ingest_ts") >= F.lit(start_from).cast("timestamp"))
-    src = classify(src)
-    if dedup:
-        key = F.when(F.col("outcome") == "accepted",
-                     F.concat_ws("\u0000", F.lit("k"), "sig.tenant_id", "sig.event_id")) \
-            .otherwise(F.concat_ws("\u0000", F.lit("e"), "stream", "entry_id"))
-        src = src.withColumn("_dk", key).withWatermark("ingest_ts", TTL) \
-            .dropDuplicatesWithinWatermark(["_dk"]).drop("_dk")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            good, bad = split_classified(b, strict=strict)
-            bid = stream_batch_id(checkpoint, batch_id)
-            write_landed(good, landed_path, bid)
-            write_quarantine(bad, bad_path, bid)
-        finally:
-            b.unpersist()
+        land_batch(batch, landed_path, bad_path, stream_batch_id(checkpoint, batch_id), strict, dedup, quota, wire_compat)
 
     w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
