@@ -4,17 +4,16 @@ Each component keeps its own ``window_end`` (window ends for velocity, last
 signal for cardinality and mouse, last typing signal for typing, first geo
 signal for geo), exactly as the original six full outer joins produced it.
 
-Plan here: four narrow scans of the input (each reads only the leaves it needs), no joins
-on the big side, every large aggregate a hash aggregate with map-side combine:
+Plan here: three narrow scans of the input (each reads only the leaves it needs), no joins
+on the big side. Their results are written once and at the same time, as none needs another:
 
-1. ``minute_counts``: one aggregate at 1 minute. The 5-minute and 1-hour counts
-   are sums of it (1m divides 5m divides 1h, windows are epoch aligned), so the
-   signals are counted once and the coarser levels move only reduced rows.
+1. ``cells``: one hash aggregate at (session, minute, fingerprint, IP, OS). All three
+   velocity levels are sums of its counts (1m divides 5m divides 1h, windows are epoch
+   aligned), and distinct counts look at its rows instead of the signals.
 2. ``session_rollup``: one aggregate per session gives mouse and typing. Typing speeds
    come from an ``explode_outer`` of only the ``type`` elements; per-signal mouse sums
    are taken on the first exploded row of each signal so nothing is counted twice.
-3. Distinct counts on rows that hold the keys and three short values.
-4. The geo start on signals with a position only, then a bucketed, skew-safe ``lag``.
+3. The geo start on signals with a position only, then a bucketed, skew-safe ``lag``.
 
 All component rows are unioned and merged by one ``groupBy`` on the keys. No component is
 joined by session, so a session with a NULL key keeps all its features.
@@ -29,39 +28,45 @@ from pyspark.sql import functions as F
 
 from signalspark.functions.windows import WINDOWS, window_end
 from signalspark.operators.features import (
+    DISTINCT_FIELDS,
     SESSION_KEYS,
     TYPING,
     _mouse_parts,
-    device_ip_fp_cardinality,
     geo_distance_vs_prior,
     typed_speeds,
 )
 from signalspark.schema import FEATURE_VALUE_COLUMNS
-from signalspark.session import checkpoint_table
+from signalspark.session import checkpoint_table, together
 
 KEYS = ["tenant_id", "session_id", "window_end"]
 FEATURE_WINDOW = "session"
 
 
-def minute_counts(events: DataFrame) -> DataFrame:
-    """(tenant, session, minute start) -> signal count."""
-    return (events.groupBy(*SESSION_KEYS, F.window("ts", WINDOWS["1m"]).alias("w"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(*SESSION_KEYS, F.col("w.start").alias("minute"), "n"))
+def cells(events: DataFrame) -> DataFrame:
+    """(session, minute start, fingerprint, IP, OS) -> signal count and last signal."""
+    device = [F.col(f"device.{field}").alias(name) for name, field in DISTINCT_FIELDS.items()]
+    return (events.select(*SESSION_KEYS, "ts", *device)
+            .groupBy(*SESSION_KEYS, F.date_trunc("minute", "ts").alias("minute"), *DISTINCT_FIELDS)
+            .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts")))
 
 
-def velocity_rows(events: DataFrame) -> DataFrame:
-    """All three velocity levels as rows (keys, events_1m, events_5m, events_1h)."""
-    m = minute_counts(events)
+def velocity_rows(counted: DataFrame) -> DataFrame:
+    """All three velocity levels as rows (keys, events_1m, events_5m, events_1h) from cells; counts of a key add up."""
     levels = F.array(*[
         F.struct(F.lit(lbl).alias("lvl"), window_end("minute", w).alias("window_end"))
         for lbl, w in WINDOWS.items()
     ])
-    x = m.select(*SESSION_KEYS, "n", F.explode(levels).alias("l"))
+    x = counted.select(*SESSION_KEYS, "n", F.explode(levels).alias("l"))
     return x.select(*SESSION_KEYS, F.col("l.window_end").alias("window_end"),
                     *[F.when(F.col("l.lvl") == lbl, F.col("n")).alias(f"events_{lbl}") for lbl in WINDOWS])
 
 
+def cardinality_rows(counted: DataFrame, exact: bool) -> DataFrame:
+    """F4 from cells."""
+    how = F.count_distinct if exact else F.approx_count_distinct
+    return counted.groupBy(*SESSION_KEYS).agg(F.max("last_ts").alias("window_end"), *[how(c).alias(c) for c in DISTINCT_FIELDS])
+
+
 def session_rollup(events: DataFrame) -> DataFrame:
     """One row per session with its last signal, mouse mean and typing features."""
     mouse_sum, mouse_n = _mouse_parts(events)
@@ -91,17 +96,22 @@ def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "
 
     ``geo_events`` are the signals whose sessions count as prior ones (``events`` by default).
 
-    ``materialize`` writes the session roll-up once (one row per session) under the shared
-    checkpoint folder, since mouse and typing rows both read it.
+    ``materialize`` writes cells, session roll-up and geo starts once under the shared checkpoint
+    folder, all at the same time; cells and roll-up feed two components each.
     """
-    sessions = session_rollup(events)
+    geo_events = events if geo_events is None else geo_events
+    pieces = [lambda: cells(events), lambda: session_rollup(events)]
     if materialize and not events.isStreaming:
-        sessions = checkpoint_table(sessions, "session-rollup")
+        names = ("signal-cells", "session-rollup")
+        counted, sessions, geo = together(
+            events.sparkSession, *[lambda n=n, p=p: checkpoint_table(p(), n) for n, p in zip(names, pieces)],
+            lambda: geo_distance_vs_prior(geo_events, geo_bucket))
+    else:
+        (counted, sessions), geo = [p() for p in pieces], geo_distance_vs_prior(geo_events, geo_bucket)
     mouse = sessions.select(*SESSION_KEYS, F.col("last_ts").alias("window_end"), "mouse_entropy_avg")
     typing = sessions.filter(F.col("typing_end").isNotNull()).select(
         *SESSION_KEYS, F.col("typing_end").alias("window_end"), *TYPING)
-    parts = [velocity_rows(events), device_ip_fp_cardinality(events, exact), mouse, typing,
-             geo_distance_vs_prior(events if geo_events is None else geo_events, geo_bucket)]
+    parts = [velocity_rows(counted), cardinality_rows(counted, exact), mouse, typing, geo]
     rows = reduce(DataFrame.unionByName, [_pad(p) for p in parts])
     merged = rows.groupBy(*KEYS).agg(*[
         (F.sum(c) if c.startswith("events_") else F.max(c)).alias(c) for c in FEATURE_VALUE_COLUMNS])

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 UTC_CONF = {"spark.sql.session.timeZone": "UTC"}
@@ -92,3 +95,14 @@ def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *work: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of independent pieces of work whose Spark jobs run at the same time.
+
+    The tail of one job leaves executors idle that another one can use. The first call of
+    ``checkpoint_root`` happens before the threads start.
+    """
+    checkpoint_root(spark)
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [r.result() for r in [pool.submit(inheritable_thread_target(spark)(w)) for w in work]]
