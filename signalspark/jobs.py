@@ -49,6 +49,7 @@ def _args(argv=None) -> argparse.Namespace:
     e.add_argument("--sink", required=True)
     e.add_argument("--cursor")
     e.add_argument("--limit", type=int, default=1000)
+    e.add_argument("--changed", action="store_true", help="only rows that differ from what was emitted (no cursor)")
     e.add_argument("--stream", action="store_true")
     e.add_argument("--checkpoint")
     return p.parse_args(argv)
@@ -82,7 +83,13 @@ def main(argv=None) -> None:
     elif args.job == "emit":
         if args.stream:
             from signalspark.streaming.emit import start_emit
-            start_emit(spark, args.table, args.sink, args.checkpoint, available_now=False).awaitTermination()
+            start_emit(spark, args.table, args.sink, args.checkpoint, available_now=False,
+                       changed_only=args.changed).awaitTermination()
+        elif args.changed:
+            from signalspark.operators.emit import emit_changed
+            from signalspark.sources.feature_store import read_features
+            n = emit_changed(spark, read_features(spark, args.table), f"{args.sink}/_emitted", args.sink)
+            log.info(json.dumps({"event": "emitted", "rows": n}))
         else:
             from signalspark.operators.emit import emit_since
             from signalspark.sources.feature_store import read_features

@@ -12,16 +12,16 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
-from signalspark.schema import EXPORTED_FEATURE_ROW, FEATURE_VALUE_COLUMNS, SCHEMA_VERSION
+from signalspark.schema import EXPORTED_FEATURE_ROW, FEATURE_KEYS, FEATURE_VALUE_COLUMNS, SCHEMA_VERSION
+from signalspark.session import checkpoint_table
+from signalspark.sources import files
 
 PAYLOAD_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 CURSOR = StructType([StructField("cursor", TimestampType())])
-CURSOR_FILES = StructType(CURSOR.fields + [StructField("v", StringType())])
 
 
 def read_since(features: DataFrame, since, limit: int = 0, with_ties: bool = True) -> DataFrame:
@@ -73,18 +73,90 @@ def next_cursor(emitted: DataFrame, since) -> DataFrame:
 
 def load_cursor(spark: SparkSession, cursor_path: str, default=None):
     """Latest committed cursor (A6); ``default`` when none was committed yet."""
-    try:
-        states = spark.read.schema(CURSOR_FILES).parquet(cursor_path)
-    except AnalysisException:  # nothing committed yet
-        return default
-    row = states.orderBy(F.col("v").desc()).limit(1).collect()
-    return row[0]["cursor"] if row else default
+    for state in reversed(files.names(spark, cursor_path)[-2:]):  # the newest may be incomplete
+        row = spark.read.schema(CURSOR).parquet(f"{cursor_path}/{state}").first()
+        if row:
+            return row["cursor"]
+    return default
 
 
 def save_cursor(spark: SparkSession, cursor_path: str, cursor) -> None:
-    """A new state folder per commit; readers take the newest."""
+    """A new state folder per commit; readers take the newest, all but two go."""
     v = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:6]}"
     spark.createDataFrame([(cursor,)], CURSOR).write.parquet(f"{cursor_path}/v={v}")
+    for old in files.names(spark, cursor_path)[:-2]:
+        files.delete(spark, f"{cursor_path}/{old}")
+
+
+#: features equal to so many places have not changed: recomputed sums differ in their last bits
+DIGEST_PLACES = 6
+#: ledger folders after which a tick merges them
+LEDGER_FOLDERS = 50
+LEDGER_SCHEMA = "tenant_id string, session_id string, window_end timestamp, feature_window string, digest string, " \
+                "seq bigint, dt date"
+
+
+def row_digest(features: DataFrame) -> Column:
+    """What a payload says about its key: a digest of the feature values."""
+    kinds = dict(features.dtypes)
+    values = [F.round(F.col(c).try_cast("decimal(38,12)"), DIGEST_PLACES) if kinds[c] == "double" else F.col(c)
+              for c in FEATURE_VALUE_COLUMNS]
+    return F.sha2(F.to_json(F.struct(*[v.alias(c) for c, v in zip(FEATURE_VALUE_COLUMNS, values)]),
+                            {"ignoreNullFields": "false"}), 256)
+
+
+def _emitted_digests(spark: SparkSession, ledger: str, before: int) -> DataFrame:
+    """Latest digest of every emitted key, by the ticks before ``before``."""
+    known = spark.createDataFrame([], LEDGER_SCHEMA)
+    if files.exists(spark, ledger):
+        known = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("seq") < before)
+    return known.groupBy(*FEATURE_KEYS, "dt").agg(F.max_by("digest", "seq").alias("known"))
+
+
+def _ledger_ticks(spark: SparkSession, ledger: str) -> list[int]:
+    return sorted(int(n[4:]) for n in files.names(spark, ledger) if n.startswith("seq="))
+
+
+def compact_ledger(spark: SparkSession, ledger: str) -> None:
+    """Merge all folders but the newest, which a repeated tick may still overwrite.
+
+    The merged rows are added to the second newest, then older folders go. A run lost on
+    the way leaves rows that say the same twice, which changes nothing.
+    """
+    ticks = _ledger_ticks(spark, ledger)
+    if len(ticks) < 3:
+        return
+    merged = checkpoint_table(_emitted_digests(spark, ledger, ticks[-1]).withColumnRenamed("known", "digest"), "emit-ledger")
+    merged.write.mode("append").partitionBy("dt").parquet(f"{ledger}/seq={ticks[-2]}")
+    for old in ticks[:-2]:
+        files.delete(spark, f"{ledger}/seq={old}")
+
+
+def emit_changed(spark: SparkSession, features: DataFrame, ledger: str, sink_path: str, tick: int | None = None) -> int:
+    """A5 without repeats: a payload for every row that is new or says something else than its last payload.
+
+    ``features`` are rows to look at: a whole table, or those of new files, which after an
+    upsert also hold every untouched row of the rewritten partitions. The ledger keeps one digest
+    for each emitted key, in folders by tick and ``dt``; the join reads only the dates at hand.
+    Payloads are written first, then the ledger, both under the tick's number, so a repeated tick
+    (a retried micro-batch, a lost run) overwrites its own: every change is emitted at least once
+    and, without a failure, exactly once. NULL keys equal each other here. One job at a time.
+    """
+    tick = (_ledger_ticks(spark, ledger) or [-1])[-1] + 1 if tick is None else tick
+    rows = features.withColumn("dt", F.to_date("window_end")).withColumn("digest", row_digest(features))
+    known = _emitted_digests(spark, ledger, tick).toDF(*[f"k_{c}" for c in (*FEATURE_KEYS, "dt")], "known")
+    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in (*FEATURE_KEYS, "dt")]
+    changed = rows.join(known, same, "left").filter(F.col("known").isNull() | (F.col("known") != F.col("digest")))
+    changed = checkpoint_table(changed.select(*features.columns, *([] if "dt" in features.columns else ["dt"]), "digest"),
+                               "emit-changed")
+    n = changed.count()
+    if n:
+        to_payload_json(payload_struct(changed)).select("value").write.mode("overwrite").text(f"{sink_path}/tick={tick}")
+        (changed.select(*FEATURE_KEYS, "dt", "digest").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("dt").parquet(f"{ledger}/seq={tick}"))
+        if len(_ledger_ticks(spark, ledger)) > LEDGER_FOLDERS:
+            compact_ledger(spark, ledger)
+    return n
 
 
 def emit_since(spark: SparkSession, features: DataFrame, cursor_path: str, sink_path: str,

@@ -652,9 +652,13 @@ _EMIT_CTES = feature_set_ctes() + f"""
 , emitted AS (SELECT * FROM newer WHERE window_end <= (SELECT c FROM cut))"""
 
 
+def _stored_features(spark, sf_dir) -> DataFrame:
+    """The feature set as the jobs see it: a stored table, computed once."""
+    return checkpoint_table(fs.build_feature_set(signals(spark, sf_dir)), "features")
+
+
 def _emitted(spark, sf_dir):
-    feats = fs.build_feature_set(signals(spark, sf_dir))
-    return em.read_since(feats, EMIT_SINCE, EMIT_LIMIT)
+    return em.read_since(_stored_features(spark, sf_dir), EMIT_SINCE, EMIT_LIMIT)
 
 
 @query("emit_since", with_signals(_EMIT_CTES + " SELECT * FROM emitted"))
@@ -663,26 +667,50 @@ def q_emit_since(spark, sf_dir):
     return round_doubles(_emitted(spark, sf_dir))
 
 
-@query("decision_payload", with_signals(_EMIT_CTES + """
-SELECT tenant_id, session_id, window_end, feature_window, '1.0.0' AS schema_version,
+_PAYLOAD_SCHEMA = ("tenant_id string, session_id string, window_end timestamp, feature_window string, "
+                   "features struct<events_1m:bigint, events_5m:bigint, events_1h:bigint, "
+                   "distinct_fingerprints:bigint, distinct_ips:bigint, distinct_os:bigint, "
+                   "typing_cps_variance:double, typing_cps_mean:double, mouse_entropy_avg:double, "
+                   "geo_distance_km_prior:double>, schema_version string, emitted_at timestamp")
+_PAYLOAD_COLS = """tenant_id, session_id, window_end, feature_window, '1.0.0' AS schema_version,
        events_1m, events_5m, events_1h, distinct_fingerprints, distinct_ips, distinct_os,
-       typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior
-FROM emitted"""))
-def q_decision_payload(spark, sf_dir):
-    """A3 + S13: JSON payloads written as text, read back and compared field by field."""
-    root = work_dir(spark, "payloads")
-    em.to_payload_json(em.payload_struct(_emitted(spark, sf_dir))).select("value").write.text(root)
-    schema = "tenant_id string, session_id string, window_end timestamp, feature_window string, " \
-             "features struct<events_1m:bigint, events_5m:bigint, events_1h:bigint, " \
-             "distinct_fingerprints:bigint, distinct_ips:bigint, distinct_os:bigint, " \
-             "typing_cps_variance:double, typing_cps_mean:double, mouse_entropy_avg:double, " \
-             "geo_distance_km_prior:double>, schema_version string, emitted_at timestamp"
-    p = spark.read.text(root).select(F.from_json("value", schema, {"timestampFormat": em.PAYLOAD_TS_FORMAT})
-                                     .alias("p"))
+       typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior"""
+
+
+def _payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Payload lines read back, field by field."""
+    p = spark.read.text(path).select(
+        F.from_json("value", _PAYLOAD_SCHEMA, {"timestampFormat": em.PAYLOAD_TS_FORMAT}).alias("p"))
     return round_doubles(p.select("p.tenant_id", "p.session_id", "p.window_end", "p.feature_window",
                                   "p.schema_version", "p.features.*"))
 
 
+@query("decision_payload", with_signals(_EMIT_CTES + f" SELECT {_PAYLOAD_COLS} FROM newer"))
+def q_decision_payload(spark, sf_dir):
+    """A3 + S13: JSON payloads of all rows since the cursor, written as text, read back and compared field by field."""
+    root = work_dir(spark, "payloads")
+    newer = em.read_since(_stored_features(spark, sf_dir), EMIT_SINCE)
+    em.to_payload_json(em.payload_struct(newer)).select("value").write.text(root)
+    return _payloads(spark, root)
+
+
+@query("emit_changed", with_signals(
+    f", sigp AS (SELECT * FROM sig WHERE ts < TIMESTAMP '{UPSERT_CUT}')"
+    f", behp AS (SELECT * FROM beh WHERE ts < TIMESTAMP '{UPSERT_CUT}')"
+    + feature_set_ctes() + feature_set_ctes("sigp", "behp", "p_") + f"""
+, twice AS (SELECT * FROM p_fs UNION ALL (SELECT * FROM fs EXCEPT SELECT * FROM p_fs))
+SELECT {_PAYLOAD_COLS} FROM twice"""))
+def q_emit_changed(spark, sf_dir):
+    """A5 without repeats: payloads of a table that holds the first 7 hours, then of its upsert with the whole
+    day, where rewritten partitions hold mostly rows that were emitted before."""
+    root = work_dir(spark, "emit-changed")
+    sig = signals(spark, sf_dir)
+    for part in (sig.filter(F.col("ts") < F.lit(UPSERT_CUT).cast("timestamp")), sig):
+        store.write_features(fs.build_feature_set(part), f"{root}/table", fmt="parquet")
+        sf.run_to_end(start_emit(spark, f"{root}/table", f"{root}/out", f"{root}/_ck", changed_only=True), STREAM_TIMEOUT_S)
+    return _payloads(spark, f"{root}/out")
+
+
 @query("cursor_next", with_signals(_EMIT_CTES + f"""
 SELECT greatest(max(window_end), TIMESTAMP '{EMIT_SINCE}') AS cursor FROM emitted"""))
 def q_cursor_next(spark, sf_dir):
@@ -690,27 +718,13 @@ def q_cursor_next(spark, sf_dir):
     return em.next_cursor(_emitted(spark, sf_dir), EMIT_SINCE)
 
 
-_PAYLOAD_SCHEMA = ("tenant_id string, session_id string, window_end timestamp, feature_window string, "
-                   "features struct<events_1m:bigint, events_5m:bigint, events_1h:bigint, "
-                   "distinct_fingerprints:bigint, distinct_ips:bigint, distinct_os:bigint, "
-                   "typing_cps_variance:double, typing_cps_mean:double, mouse_entropy_avg:double, "
-                   "geo_distance_km_prior:double>, schema_version string, emitted_at timestamp")
-
-
-@query("stream_payloads", with_signals(feature_set_ctes() + """
-SELECT tenant_id, session_id, window_end, feature_window, '1.0.0' AS schema_version,
-       events_1m, events_5m, events_1h, distinct_fingerprints, distinct_ips, distinct_os,
-       typing_cps_variance, typing_cps_mean, mouse_entropy_avg, geo_distance_km_prior
-FROM fs"""))
+@query("stream_payloads", with_signals(feature_set_ctes() + f" SELECT {_PAYLOAD_COLS} FROM fs"))
 def q_stream_payloads(spark, sf_dir):
     """A5 stream form: new feature-table files -> one JSON payload per row (checkpointed text sink)."""
     root = work_dir(spark, "stream-emit")
     store.write_features(fs.build_feature_set(signals(spark, sf_dir)), f"{root}/table", fmt="parquet")
     sf.run_to_end(start_emit(spark, f"{root}/table", f"{root}/out", f"{root}/_ck"), STREAM_TIMEOUT_S)
-    p = spark.read.text(f"{root}/out").select(
-        F.from_json("value", _PAYLOAD_SCHEMA, {"timestampFormat": em.PAYLOAD_TS_FORMAT}).alias("p"))
-    return round_doubles(p.select("p.tenant_id", "p.session_id", "p.window_end", "p.feature_window",
-                                  "p.schema_version", "p.features.*"))
+    return _payloads(spark, f"{root}/out")
 
 
 @query("emit_ticks")

@@ -363,3 +363,39 @@ def test_read_since_nothing_newer(spark):
     assert em.read_since(feats, datetime(2026, 5, 2), limit=10).count() == 0
     assert em.next_cursor(em.read_since(feats, datetime(2026, 5, 2), limit=10), datetime(2026, 5, 2)) \
         .first()["cursor"] == datetime(2026, 5, 2)  # never moves back
+
+
+def test_emit_only_what_changed(spark, monkeypatch):
+    root, t = _tmp(), datetime(2027, 4, 2, 9)
+    rows = [("shop", f"s{i}", t + timedelta(hours=i), "session", i) for i in range(30)]
+    store.upsert_features(_feature_rows(spark, rows), f"{root}/table")
+    tick = lambda **kw: em.emit_changed(spark, store.read_features(spark, f"{root}/table"), f"{root}/out/_emitted",
+                                        f"{root}/out", **kw)
+    assert tick() == 30 and tick() == 0
+    changed = [(*r[:4], r[4] + 100) for r in rows[5:8]] + [("shop", "new", t, "session", 1)] + rows[10:12]
+    store.upsert_features(_feature_rows(spark, changed), f"{root}/table")
+    assert tick() == 4 and tick() == 0
+    said = [json.loads(r.value) for r in spark.read.text(f"{root}/out").collect()]
+    assert len(said) == 34
+    assert {p["session_id"] for p in said if p["features"]["events_1m"] and p["features"]["events_1m"] >= 100} == {"s5", "s6", "s7"}
+    last = em._ledger_ticks(spark, f"{root}/out/_emitted")[-1]
+    store.upsert_features(_feature_rows(spark, [(*rows[0][:4], 7)]), f"{root}/table")
+    monkeypatch.setattr(em, "LEDGER_FOLDERS", 1)  # the tick also merges the ledger
+    assert tick(tick=last + 1) == 1 and tick(tick=last + 1) == 1  # a repeated tick overwrites its own
+    assert len(em._ledger_ticks(spark, f"{root}/out/_emitted")) == 2 and tick() == 0
+
+
+def test_changed_digest_ignores_last_bits_and_matches_null_keys(spark):
+    root = _tmp()
+    rows = _feature_rows(spark, [(None, "s", datetime(2027, 4, 2), "session", 1), ("t", None, None, "session", None)])
+    rows = rows.withColumn("typing_cps_mean", F.lit(0.1 + 0.2))
+    assert em.emit_changed(spark, rows, f"{root}/l", f"{root}/o") == 2
+    assert em.emit_changed(spark, rows.withColumn("typing_cps_mean", F.lit(0.3)), f"{root}/l", f"{root}/o") == 0
+    assert em.emit_changed(spark, rows.withColumn("typing_cps_mean", F.lit(0.31)), f"{root}/l", f"{root}/o") == 2
+
+
+def test_cursor_keeps_two_states(spark):
+    root = _tmp()
+    for h in range(5):
+        em.save_cursor(spark, root, datetime(2027, 1, 1, h))
+    assert len(os.listdir(root)) == 2 and em.load_cursor(spark, root) == datetime(2027, 1, 1, 4)
