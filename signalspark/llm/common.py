@@ -51,6 +51,13 @@ def unpacked(df: DataFrame, schema: T.StructType, added: list[str], name: str =
     return df.select(*keep, *added)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until it is no column of ``df``."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def utf8(col: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     if isinstance(col, pa.ChunkedArray):

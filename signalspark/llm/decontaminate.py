@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from signalspark.llm.common import record, text_of
 from signalspark.llm.grams import ALNUM, LOWER, Windows, pair, room, text_buffers, texts_of_words, word_names, word_spans
 from signalspark.llm.tokens import forget_encoders, small_batches
 from signalspark.session import checkpoint_table
@@ -198,10 +199,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window; all columns kept.
+    """``docs`` without the rows whose text holds a benchmark window; all columns kept.
 
-    Rows that share an id with a contaminated row go with it; null counts as one id.
+    A row is judged by its own text alone (named by a 64-bit hash), whatever its id: rows that
+    share an id, or have none, go or stay one by one.
     """
-    bad = (contamination(docs, benchmark, key, text).filter("contaminated")
-           .select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_bad")), "left_anti")
+    named = F.xxhash64(text_of(text))
+    bad = (contamination(docs.select(named.alias("doc_id"), F.col(text).alias("text")), benchmark).filter("contaminated")
+           .select(F.col("doc_id").alias("name")).distinct())
+    return docs.select(record(docs), named.alias("name")).join(bad, "name", "left_anti").select("_rec.*")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import utf8
+from signalspark.llm.common import record, utf8
 from signalspark.llm.grams import ALNUM, LOWER, Windows, mix, pair, text_buffers, texts_of_words, word_names, word_spans
 from signalspark.llm.tokens import forget_encoders, small_batches
 from signalspark.session import checkpoint_table
@@ -226,10 +226,8 @@ def _degree(links: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.count(F.lit(1)).alias("links")))
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: ``place`` (its id, or the stand-in of a null id), ``class_id`` (the smallest
-    place of its class), ``links`` (verified links of its text) and ``n_words``."""
-    numbered = docs.select(place(key, text).alias("place"), F.col(text).alias("text"))
+def _text_classes(numbered: DataFrame, threshold: float) -> DataFrame:
+    """(place, class_id, links, n_words) of ``numbered`` (place, text), whose places name their texts."""
     sketches = checkpoint_table(numbered.mapInArrow(_sketches, _SKETCH), "omh")
     nodes = sketches.groupBy("r1", "r2").agg(F.min("place").alias("node"))
     sketched = (sketches.join(nodes.select(F.col("node").alias("place"), "r1", "r2"), ["place", "r1", "r2"], "left_semi")
@@ -291,16 +289,41 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
         "place", "class_id", "links", "n_words")
 
 
+def _grouped(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """One row per document: ``place``, the name of its text, its class and the class's smallest place.
+
+    The search knows texts only, named by a 64-bit hash, so ids that repeat or are null never
+    bring texts together.
+    """
+    named = F.xxhash64(F.col(text))
+    found = _text_classes(docs.select(named.alias("place"), F.col(text).alias("text")), threshold).distinct()
+    found = checkpoint_table(found.toDF("name", "group", "links", "n_words"), "text-classes")
+    rows = checkpoint_table(docs.select(place(key, text).alias("place"), named.alias("name")).join(found, "name"), "placed")
+    first = rows.groupBy("group").agg(F.min("place").alias("class_id"))
+    return rows.join(first, "group")
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: ``place`` (its id, or the stand-in of a null id), ``class_id`` (the smallest
+    place of its class), ``links`` (verified links of its text) and ``n_words``."""
+    return _grouped(docs, key, text, threshold).select("place", "class_id", "links", "n_words")
+
+
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id; all columns kept.
+    """``docs`` with one document of each class, one of the smallest id; all columns kept.
 
-    Of rows that repeat this id and fall in its class one stays.
+    Every class keeps exactly one row, also where ids repeat or are null: of rows with the
+    smallest id the one whose text has the smallest hash, of equal rows any.
     """
-    found = checkpoint_table(classes(docs, key, text, threshold), "classes")
-    gone = found.filter("place <> class_id").select(F.col("place").alias("_p")).distinct()
-    repeated = found.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("place").alias("_p"))
-    kept = docs.withColumn("_p", place(key, text)).join(gone, "_p", "left_anti")
-    if not repeated.isEmpty():
-        twice = kept.join(repeated, "_p", "left_semi").dropDuplicates(["_p"])
-        kept = kept.join(repeated, "_p", "left_anti").unionByName(twice)
-    return kept.drop("_p")
+    found = checkpoint_table(_grouped(docs, key, text, threshold), "classes")
+    stay = checkpoint_table(found.filter("place = class_id").groupBy("group", "place").agg(F.min("name").alias("name"))
+                            .select("place", "name"), "stay")
+    rows = docs.select(record(docs), place(key, text).alias("place"), F.xxhash64(F.col(text)).alias("name"))
+    kept = rows.join(stay, ["place", "name"], "left_semi")
+    equal = (found.groupBy("place", "name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+             .join(stay, ["place", "name"], "left_semi"))
+    equal = checkpoint_table(equal.select("place", "name"), "equal-rows")
+    if not equal.isEmpty():
+        one = kept.join(equal, ["place", "name"], "left_semi").dropDuplicates(["place", "name"])
+        kept = kept.join(equal, ["place", "name"], "left_anti").unionByName(one)
+    return kept.select("_rec.*")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import text_of
+from signalspark.llm.common import free_name, text_of
 from signalspark.session import work_dir
 
 MIN_REVISIT = 1000
@@ -43,13 +43,14 @@ def resolve_revisits(pages: DataFrame, key: str = "page_id", payload: str = "htm
     pages = (pages.drop("payload_digest", "payload_bytes", "record_type", "refers_to")
              .withColumn("payload_digest", F.sha1(body.cast("binary")))
              .withColumn("payload_bytes", F.octet_length(body).cast("long")))
+    response = free_name(pages, "_response")
     groups = (pages.filter(F.col("payload_bytes") >= min_bytes)
-              .groupBy("payload_digest").agg(F.max(key).alias("_response"), F.count(F.lit(1)).alias("_n"))
-              .filter("_n > 1").select("payload_digest", "_response"))
-    revisit = F.col("_response").isNotNull() & ~F.col("_response").eqNullSafe(F.col(key))
+              .groupBy("payload_digest").agg(F.max(key).alias(response), F.count(F.lit(1)).alias("n"))
+              .filter("n > 1").select("payload_digest", response))
+    revisit = F.col(response).isNotNull() & ~F.col(response).eqNullSafe(F.col(key))
     return (pages.join(groups, "payload_digest", "left")
             .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
-            .withColumn("refers_to", F.when(revisit, F.col("_response"))).drop("_response"))
+            .withColumn("refers_to", F.when(revisit, F.col(response))).drop(response))
 
 
 def _uri(key: Column) -> Column:
