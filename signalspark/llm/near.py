@@ -11,7 +11,8 @@ similarity 1 - edits / longer length is ``THRESHOLD`` or more, which a bit-paral
 alignment in the band of the allowed edits decides.
 
 Texts with equal words form one node first; only nodes go on. In a bucket every node
-is compared with the bucket's smallest one, then every node of another component than
+is compared with the bucket's smallest one, unless an earlier share of the buckets has
+brought both into one component, then every node of another component than
 the best-linked other one with that one, which finds groups around one text. Last, all
 pairs of a bucket that are still in different components are compared, so no link
 between nodes that met is lost for the classes; only this step can grow with the square
@@ -22,8 +23,8 @@ the verified links, found by label propagation with pointer jumping in tables un
 checkpoint folder.
 
 Edge cases: null and empty texts have no words and form one class; a null id takes a
-place given by its text's hash; rows that repeat an id or a text fall in the class of
-that text; an empty table gives no rows; extra columns are ignored by ``classes`` and
+place given by its text's hash; a row falls in the class of its text, whatever its id, and
+equal rows in the same one; an empty table gives no rows; extra columns are ignored by ``classes`` and
 kept by ``deduplicate``.
 """
 
@@ -50,6 +51,8 @@ _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(1, 2**63, TABLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PARITIES = 16  # longs of word parities a text
 BLOCK = 256  # nodes of a bucket that one group of the last step takes from each side
+#: bounds of the shares of all buckets that the rounds take, the last one being all
+ROUNDS = (1, 4, 16)
 _SKETCH = "place long, r1 long, r2 long, n_words int, keys array<long>, parities array<long>"
 
 
@@ -227,7 +230,12 @@ def _degree(links: DataFrame) -> DataFrame:
 
 
 def _text_classes(numbered: DataFrame, threshold: float) -> DataFrame:
-    """(place, class_id, links, n_words) of ``numbered`` (place, text), whose places name their texts."""
+    """(place, class_id, n_words) of ``numbered`` (place, text), whose places name their texts.
+
+    The buckets are taken in ``ROUNDS`` shares. In each round the members of a bucket are compared
+    with its smallest one, but only those that earlier rounds left in another component: a large
+    group of copies costs each member a few pairs, not one for every table.
+    """
     sketches = checkpoint_table(numbered.mapInArrow(_sketches, _SKETCH), "omh")
     nodes = sketches.groupBy("r1", "r2").agg(F.min("place").alias("node"))
     sketched = (sketches.join(nodes.select(F.col("node").alias("place"), "r1", "r2"), ["place", "r1", "r2"], "left_semi")
@@ -255,9 +263,19 @@ def _text_classes(numbered: DataFrame, threshold: float) -> DataFrame:
                                          F.count(F.lit(1)).alias("size")).filter("low <> high"))
         return checkpoint_table(rows.join(mixed.select("key", "size"), "key"), name)
 
-    first = judged(met.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")), "links-hub")
-    links = first.filter("near").select("a", "b")
-    label = components(links)
+    share = F.pmod(F.xxhash64("key"), F.lit(ROUNDS[-1]))
+    done, links, label = None, None, None
+    for r, (low, high) in enumerate(zip((0, *ROUNDS), ROUNDS)):
+        part = met.filter((share >= low) & (share < high) & (F.col("node") != F.col("hub"))).select("node", "hub").distinct()
+        if label is not None:
+            sides = [label.toDF(c, f"{c}_label") for c in ("node", "hub")]
+            part = part.join(sides[0], "node", "left").join(sides[1], "hub", "left").filter(
+                F.coalesce("node_label", "node") != F.coalesce("hub_label", "hub"))
+        judged_now = judged(part.select(F.col("node").alias("a"), F.col("hub").alias("b")), f"links-hub{r}")
+        near_now = judged_now.filter("near").select("a", "b")
+        done = judged_now if done is None else done.unionByName(judged_now)
+        links = near_now if links is None else links.unionByName(near_now)
+        label = components(near_now if label is None else label.toDF("a", "b").unionByName(near_now))
     mixed = unresolved(met, label, "mixed")
     rank = mixed.filter("node <> hub").join(_degree(links), "node", "left")
     leaders = (rank.groupBy("key").agg(F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("node")).alias("minus"),
@@ -278,35 +296,41 @@ def _text_classes(numbered: DataFrame, threshold: float) -> DataFrame:
     last = (left.hint("merge").join(right, (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
                                     & (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b"))
                                     & _possible("bound_a", "bound_b", threshold)).select("a", "b").distinct())
-    done = first.unionByName(second).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    done = done.unionByName(second).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     third = judged(last.join(done, ["a", "b"], "left_anti"), "links-rest").filter("near").select("a", "b")
     label = components(label.toDF("a", "b").unionByName(third))
-    links = links.unionByName(more).unionByName(third).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    named = (nodes.join(label, "node", "left").join(_degree(links), "node", "left")
-             .select("r1", "r2", F.coalesce("label", "node").alias("class_id"),
-                     F.coalesce("links", F.lit(0)).cast("long").alias("links")))
-    return sketches.select("place", "r1", "r2", "n_words").join(named, ["r1", "r2"]).select(
-        "place", "class_id", "links", "n_words")
+    named = nodes.join(label, "node", "left").select("r1", "r2", F.coalesce("label", "node").alias("class_id"))
+    return sketches.select("place", "r1", "r2", "n_words").join(named, ["r1", "r2"]).select("place", "class_id", "n_words")
 
 
 def _grouped(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
-    """One row per document: ``place``, the name of its text, its class and the class's smallest place.
+    """One row per document: ``place``, ``own`` (a hash of its text), its class and the class's smallest place.
 
-    The search knows texts only, named by a 64-bit hash, so ids that repeat or are null never
-    bring texts together.
+    The search names a text by the place of a document that holds it. Where rows with different
+    texts share a place, ``own`` is their name instead, so no id brings texts together.
     """
-    named = F.xxhash64(F.col(text))
-    found = _text_classes(docs.select(named.alias("place"), F.col(text).alias("text")), threshold).distinct()
-    found = checkpoint_table(found.toDF("name", "group", "links", "n_words"), "text-classes")
-    rows = checkpoint_table(docs.select(place(key, text).alias("place"), named.alias("name")).join(found, "name"), "placed")
-    first = rows.groupBy("group").agg(F.min("place").alias("class_id"))
-    return rows.join(first, "group")
+    own = F.xxhash64(F.col(text)).alias("own")
+    rows = checkpoint_table(docs.select(place(key, text).alias("place"), own), "places")
+    clash = checkpoint_table(rows.groupBy("place").agg(F.min("own").alias("low"), F.max("own").alias("high"))
+                             .filter("low <> high").select("place", F.lit(True).alias("clash")), "clashing-places")
+    clashing = not clash.isEmpty()
+
+    def named(df: DataFrame) -> DataFrame:
+        if not clashing:
+            return df.withColumn("name", F.col("place"))
+        return df.join(clash, "place", "left").withColumn("name", F.when(F.col("clash"), F.col("own")).otherwise(F.col("place")))
+
+    texts = named(docs.select(place(key, text).alias("place"), own, F.col(text).alias("text")))
+    found = _text_classes(texts.select(F.col("name").alias("place"), "text"), threshold).distinct()
+    found = checkpoint_table(found.toDF("name", "group", "n_words"), "text-classes")
+    placed = checkpoint_table(named(rows).join(found, "name").select("place", "own", "group", "n_words"), "placed")
+    return placed.join(placed.groupBy("group").agg(F.min("place").alias("class_id")), "group")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``place`` (its id, or the stand-in of a null id), ``class_id`` (the smallest
-    place of its class), ``links`` (verified links of its text) and ``n_words``."""
-    return _grouped(docs, key, text, threshold).select("place", "class_id", "links", "n_words")
+    place of its class) and ``n_words``."""
+    return _grouped(docs, key, text, threshold).select("place", "class_id", "n_words")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -316,14 +340,14 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     smallest id the one whose text has the smallest hash, of equal rows any.
     """
     found = checkpoint_table(_grouped(docs, key, text, threshold), "classes")
-    stay = checkpoint_table(found.filter("place = class_id").groupBy("group", "place").agg(F.min("name").alias("name"))
-                            .select("place", "name"), "stay")
-    rows = docs.select(record(docs), place(key, text).alias("place"), F.xxhash64(F.col(text)).alias("name"))
-    kept = rows.join(stay, ["place", "name"], "left_semi")
-    equal = (found.groupBy("place", "name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-             .join(stay, ["place", "name"], "left_semi"))
-    equal = checkpoint_table(equal.select("place", "name"), "equal-rows")
+    names = ["place", "own"]
+    stay = checkpoint_table(found.filter("place = class_id").groupBy("group", "place").agg(F.min("own").alias("own"))
+                            .select(*names), "stay")
+    rows = docs.select(record(docs), place(key, text).alias("place"), F.xxhash64(F.col(text)).alias("own"))
+    kept = rows.join(stay, names, "left_semi")
+    equal = (found.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").join(stay, names, "left_semi"))
+    equal = checkpoint_table(equal.select(*names), "equal-rows")
     if not equal.isEmpty():
-        one = kept.join(equal, ["place", "name"], "left_semi").dropDuplicates(["place", "name"])
-        kept = kept.join(equal, ["place", "name"], "left_anti").unionByName(one)
+        one = kept.join(equal, names, "left_semi").dropDuplicates(names)
+        kept = kept.join(equal, names, "left_anti").unionByName(one)
     return kept.select("_rec.*")

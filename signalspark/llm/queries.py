@@ -167,8 +167,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from signalspark.llm.near import classes
 
     found = classes(table(spark, sf_dir, "documents"))
-    return found.select(F.col("place").alias("doc_id"), "class_id", "links",
-                        (F.col("place") == F.col("class_id")).alias("kept"))
+    return found.select(F.col("place").alias("doc_id"), "class_id", (F.col("place") == F.col("class_id")).alias("kept"))
 
 
 @query("op7_line_dedup")
