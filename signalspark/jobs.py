@@ -1,6 +1,7 @@
 """Command-line jobs: landing (batch or stream), backfill, emit.
 
     python -m signalspark.jobs land     --raw PATH --landed PATH --bad PATH [--stream --checkpoint PATH]
+    python -m signalspark.jobs replay   --bad PATH --landed PATH [--dedup]
     python -m signalspark.jobs backfill --raw LANDED --table PATH [--start D --end D --tenant T --format parquet]
     python -m signalspark.jobs emit     --table PATH --cursor PATH --sink PATH [--limit 1000 | --stream --checkpoint P]
 
@@ -37,6 +38,10 @@ def _args(argv=None) -> argparse.Namespace:
     a.add_argument("--stream", action="store_true")
     a.add_argument("--checkpoint")
     a.add_argument("--max-files-per-trigger", type=int, default=None)
+    r = sub.add_parser("replay")
+    r.add_argument("--bad", required=True, help="quarantine whose entries go through the rules again")
+    r.add_argument("--landed", required=True)
+    r.add_argument("--dedup", action="store_true")
     b = sub.add_parser("backfill")
     b.add_argument("--raw", required=True, help="landed table")
     b.add_argument("--table", required=True)
@@ -76,6 +81,10 @@ def main(argv=None) -> None:
             bid = args.batch_id or args.raw.rstrip("/").split("/")[-1]
             out = land_batch(read_raw_files(spark, args.raw), args.landed, args.bad, bid, **rules)
             log.info(json.dumps({"event": "landed", **out}))
+    elif args.job == "replay":
+        from signalspark.sources.replay import replay_quarantine
+        out = replay_quarantine(spark, args.bad, args.landed, dedup=args.dedup)
+        log.info(json.dumps({"event": "replayed", **out}))
     elif args.job == "backfill":
         from signalspark.plans.backfill import run_backfill
         n = run_backfill(spark, args.raw, args.table, args.start, args.end, args.tenant, args.format)

@@ -7,6 +7,7 @@ order of floating additions cannot change a hash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from signalspark.functions.geo import haversine_sql
 from signalspark.functions.windows import WINDOWS, window_end_sql
+from signalspark.operators import alerts as al
 from signalspark.operators import dedup as dd
 from signalspark.operators import emit as em
 from signalspark.operators import features as fx
@@ -21,6 +23,7 @@ from signalspark.operators import ingest as ing
 from signalspark.operators import quality as ql
 from signalspark.operators import quota as qa
 from signalspark.operators import sessions as sx
+from signalspark.operators import versions as vs
 from signalspark.plans import backfill as bf
 from signalspark.plans import feature_set as fs
 from signalspark.session import checkpoint_table, ensure_utc, work_dir
@@ -30,6 +33,7 @@ from signalspark.sources import landing as land
 from signalspark.sources.events import BASE_US, load_signals, with_signals
 from signalspark.sources.raw import TS_FORMAT as RAW_TS_FORMAT
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
+from signalspark.sources.replay import replay_quarantine
 from signalspark.streaming import features as sf
 from signalspark.streaming.emit import start_emit
 from signalspark.streaming.guard import quota_stateful, replay_guard_stateful
@@ -435,6 +439,28 @@ def q_quarantine_replay(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n")).select("tenant_id_hint", "reason", "outcome", "n")
 
 
+@query("quarantine_replay_landed", _ingest_sql("""
+SELECT 'landed' AS place, tenant_id, strftime(eff_ts, '%Y-%m-%d') AS what, count(*) AS n
+FROM ent WHERE v_reason IN ('accepted', 'unknown_field') GROUP BY 2, 3
+UNION ALL
+SELECT 'quarantined', tenant_id, v_reason, count(*) FROM ent WHERE v_reason NOT IN ('accepted', 'unknown_field') GROUP BY 2, 3"""))
+def q_quarantine_replay_landed(spark, sf_dir):
+    """After a fix for the unknown key the quarantine is replayed, twice: recovered rows have landed once and
+    left it, the others are still there."""
+    root = _landed(spark, sf_dir)
+
+    def fix(raw):
+        return raw.withColumn("data", F.replace("data", F.lit(',"extra_field":1}'), F.lit("}")))
+
+    for _ in range(2):
+        replay_quarantine(spark, f"{root}/bad", f"{root}/landed", fix)
+    landed = land.read_landed(spark, f"{root}/landed").select(
+        F.lit("landed").alias("place"), "tenant_id", F.date_format("dt", "yyyy-MM-dd").alias("what"))
+    left = land.read_quarantine(spark, f"{root}/bad").select(
+        F.lit("quarantined").alias("place"), F.col("tenant_id_hint").alias("tenant_id"), F.col("reason").alias("what"))
+    return landed.unionByName(left).groupBy("place", "tenant_id", "what").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("stream_landing", _LANDED_COUNTS_SQL)
 def q_stream_landing(spark, sf_dir):
     """File-source stream -> classify -> foreachBatch(landed, quarantine) with checkpoint."""
@@ -826,6 +852,48 @@ def q_ops_rates(spark, sf_dir):
     return round_doubles(ql.ops_rates(c))
 
 
+P99_LIMIT, P99_HOLD = 0.95, "10 minutes"
+_P99_CTES = f"""
+, lv AS (
+  SELECT tenant_id, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
+         CASE WHEN dwell_ms > 0 THEN CAST(ceil(ln(dwell_ms / 1000.0::DOUBLE) / {math.log(al.growth())!r}::DOUBLE) AS INTEGER)
+              ELSE {al.LOWEST} END AS bin
+  FROM beh WHERE dwell_ms IS NOT NULL
+), lr AS (
+  SELECT *, row_number() OVER (PARTITION BY tenant_id, window_end ORDER BY bin) AS r,
+         count(*) OVER (PARTITION BY tenant_id, window_end) AS n FROM lv
+), p99 AS (
+  SELECT tenant_id, window_end, n,
+         {r6(f"CASE WHEN bin = {al.LOWEST} THEN 0 ELSE {2 / (al.growth() + 1)!r}::DOUBLE * pow({al.growth()!r}::DOUBLE, bin) END")} AS p99
+  FROM lr WHERE r = ceil(0.99::DOUBLE * n)
+)"""
+
+
+def _p99(spark, sf_dir) -> DataFrame:
+    dwell = fx.explode_behavioral(signals(spark, sf_dir)).select("tenant_id", "ts", (F.col("b.dwell_ms") / F.lit(1000.0)).alias("v"))
+    return round_doubles(al.window_quantile(al.minute_bins(dwell, "v"), 0.99, name="p99"))
+
+
+@query("latency_p99", with_signals(_P99_CTES + " SELECT * FROM p99"))
+def q_latency_p99(spark, sf_dir):
+    """p99 (of dwell time, within 1 %) per tenant and 5 minutes, rolled up from minute sketches."""
+    return _p99(spark, sf_dir)
+
+
+@query("sustained_alerts", with_signals(_P99_CTES + f"""
+, hot AS (
+  SELECT *, CASE WHEN window_end - lag(window_end) OVER w = INTERVAL 5 MINUTE THEN 0 ELSE 1 END AS brk
+  FROM p99 WHERE p99 > {P99_LIMIT} WINDOW w AS (PARTITION BY tenant_id ORDER BY window_end)
+), g AS (
+  SELECT *, sum(brk) OVER (PARTITION BY tenant_id ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS grp FROM hot
+)
+SELECT tenant_id, min(window_end) - INTERVAL 5 MINUTE AS alert_start, max(window_end) AS alert_end, count(*) AS windows
+FROM g GROUP BY tenant_id, grp HAVING count(*) * 5 >= 10"""))
+def q_sustained_alerts(spark, sf_dir):
+    """Stretches in which a tenant's p99 stays over its limit for 10 minutes or longer."""
+    return al.sustained(_p99(spark, sf_dir), F.col("p99") > P99_LIMIT, "5 minutes", P99_HOLD)
+
+
 @query("version_share", _ingest_sql("""
 SELECT tenant_id, '1.0.0' AS schema_version, count(*) AS n, 1.0::DOUBLE AS share FROM ent GROUP BY 1"""))
 def q_version_share(spark, sf_dir):
@@ -834,6 +902,41 @@ def q_version_share(spark, sf_dir):
     return round_doubles(ql.version_share(c, by=["tenant_id"]))
 
 
+#: fields of the second version that the dual-write fixture compares
+VERSION_FIELDS = ["session_id", "os", "ip", "battery"]
+
+
+@query("version_reconciliation", with_signals("""
+, o AS (SELECT event_id, tenant_id, CAST(ts AS DATE) AS dt, session_id, os, ip, battery FROM sig WHERE eid % 13 <> 0),
+n AS (SELECT event_id, tenant_id, CAST(ts AS DATE) AS dt, session_id, CASE WHEN eid % 11 = 0 THEN upper(os) || '!' ELSE os END AS os,
+             CASE WHEN eid % 17 = 0 THEN NULL ELSE ip END AS ip, battery FROM sig WHERE eid % 5 <> 0),
+j AS (
+  SELECT coalesce(o.dt, n.dt) AS dt, coalesce(o.tenant_id, n.tenant_id) AS tenant_id,
+         n.event_id IS NULL AS only_old, o.event_id IS NULL AS only_new,
+         o.session_id IS DISTINCT FROM n.session_id OR o.os IS DISTINCT FROM n.os OR o.ip IS DISTINCT FROM n.ip
+           OR o.battery IS DISTINCT FROM n.battery AS differs,
+         o.os IS DISTINCT FROM n.os AS os_differs, o.ip IS DISTINCT FROM n.ip AS ip_differs
+  FROM o FULL OUTER JOIN n ON o.tenant_id = n.tenant_id AND o.event_id = n.event_id
+)
+SELECT tenant_id, dt, count(*) AS events, count(*) FILTER (only_old) AS only_old, count(*) FILTER (only_new) AS only_new,
+       count(*) FILTER (NOT only_old AND NOT only_new AND NOT differs) AS equal,
+       count(*) FILTER (NOT only_old AND NOT only_new AND differs) AS differing,
+       count(*) FILTER (NOT only_old AND NOT only_new AND os_differs) AS differing_os,
+       count(*) FILTER (NOT only_old AND NOT only_new AND ip_differs) AS differing_ip,
+       """ + r6("count(*) FILTER (only_old) / count(*)") + """ AS old_share, count(*) FILTER (only_old) / count(*) < 0.01 AS cut_over
+FROM j GROUP BY 1, 2"""))
+def q_version_reconciliation(spark, sf_dir):
+    """V21 + V22: a dual-write window. Both versions of each event side by side, per tenant and day, with the
+    share that only the old version has, which decides the cut-over."""
+    eid = F.substring("event_id", 2, 40).cast("bigint")
+    flat = signals(spark, sf_dir).select("event_id", "tenant_id", "ts", "session_id", "device.os", "device.ip", "device.battery")
+    old = flat.filter(eid % 13 != 0)
+    new = (flat.filter(eid % 5 != 0).withColumn("os", F.when(eid % 11 == 0, F.concat(F.upper("os"), F.lit("!"))).otherwise(F.col("os")))
+           .withColumn("ip", F.when(eid % 17 != 0, F.col("ip"))))
+    days = vs.daily_agreement(vs.reconcile(old, new, ["tenant_id", "event_id"], VERSION_FIELDS), VERSION_FIELDS)
+    return round_doubles(days.drop("differing_session_id", "differing_battery"))
+
+
 RETAIN_N = 1500  # above the limit up to which Spark itself bounds a rank
 
 

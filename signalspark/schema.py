@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 
 # --- fixed values of the wire contract (must match the published contract) ---
 SCHEMA_VERSION = "1.0.0"
+VERSION_CUT_OVER = 0.01  # the old version may go when less of the traffic is only its own
 BEHAVIORAL_KINDS = ["click", "type", "scroll", "focus", "blur", "submit"]
 MAX_PAYLOAD_BYTES = 65536
 MAX_CLOCK_SKEW = "5 minutes"
