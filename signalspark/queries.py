@@ -512,6 +512,35 @@ def q_stream_sessions(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@query("stream_session_features", with_signals(f"""
+, o AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 10 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS brk
+  FROM sig WINDOW w AS (PARTITION BY tenant_id, session_id ORDER BY ts)
+), g AS (
+  SELECT *, sum(brk) OVER (PARTITION BY tenant_id, session_id ORDER BY ts
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM o
+), d AS (
+  SELECT tenant_id, session_id, grp, min(ts) AS session_start, max(ts) AS session_end,
+         count(DISTINCT fingerprint) AS distinct_fingerprints, count(DISTINCT ip) AS distinct_ips,
+         count(DISTINCT os) AS distinct_os
+  FROM g GROUP BY ALL
+), e AS (
+  SELECT g.tenant_id, g.session_id, grp, {r6("var_samp(CASE WHEN kind = 'type' THEN typing_cps END)")} AS typing_cps_variance,
+         {r6("avg(CASE WHEN kind = 'type' THEN typing_cps END)")} AS typing_cps_mean, {r6("avg(mouse_entropy)")} AS mouse_entropy_avg
+  FROM g LEFT JOIN beh b ON b.event_id = g.event_id GROUP BY ALL
+)
+SELECT d.tenant_id, d.session_id, session_start, session_end, distinct_fingerprints, distinct_ips, distinct_os,
+       typing_cps_variance, typing_cps_mean, mouse_entropy_avg
+FROM d JOIN e ON d.tenant_id = e.tenant_id AND d.session_id = e.session_id AND d.grp = e.grp
+WHERE session_end + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM sig) - INTERVAL 10 MINUTE"""))
+def q_stream_session_features(spark, sf_dir):
+    """F4-F6 on a stream: distinct devices, typing and mouse features of closed gap sessions."""
+    root = work_dir(spark, "stream-session-features")
+    q = sf.start_session_features(_signals_files(spark, sf_dir, root), f"{root}/out", f"{root}/_ck")
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
+    return round_doubles(spark.read.parquet(f"{root}/out"))
+
+
 @query("stream_outcome_counts", _ingest_sql("""
 SELECT tenant_id, v_outcome AS outcome, count(*) AS n FROM ent GROUP BY 1, 2"""))
 def q_stream_outcome_counts(spark, sf_dir):

@@ -10,10 +10,11 @@ view and stay in the landed table for backfill).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalspark.operators.features import velocity_counts
-from signalspark.operators.sessions import session_aggregates
+from signalspark.operators.features import DISTINCT_FIELDS, SESSION_KEYS, TYPING, WATERMARK, velocity_counts
+from signalspark.operators.sessions import SESSION_GAP, session_aggregates
 from signalspark.schema import LANDED
 from signalspark.sources.landing import LANDED_FILES
 
@@ -46,6 +47,30 @@ def start_sessions(events: DataFrame, sink_path: str, checkpoint: str, **kw) ->
     return start_append(session_aggregates(events), sink_path, checkpoint, **kw)
 
 
+def session_features(events: DataFrame) -> DataFrame:
+    """F4-F6 per gap session: distinct devices, typing cadence and mouse entropy of each closed session.
+
+    A session's state holds its distinct values and moments, not its signals; it is dropped
+    when the watermark passes the session's end. Elements are exploded first: all of a signal's
+    rows carry its time, so the sessions are those of the signals. Also works in batch.
+    """
+    rows = events.withWatermark("ts", WATERMARK) if events.isStreaming else events
+    rows = rows.select(*SESSION_KEYS, "ts", *[F.col(f"device.{f}").alias(c) for c, f in DISTINCT_FIELDS.items()],
+                       F.explode_outer("behavioral").alias("b"))
+    typed = F.when(F.col("b.kind") == "type", F.col("b.typing_cps"))
+    found = rows.groupBy(*SESSION_KEYS, F.session_window("ts", SESSION_GAP).alias("w")).agg(
+        F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
+        *[F.size(F.collect_set(c)).cast("long").alias(c) for c in DISTINCT_FIELDS],
+        *[how(typed).alias(name) for name, how in TYPING.items()],
+        F.avg("b.mouse_entropy").alias("mouse_entropy_avg"))
+    return found.drop("w")
+
+
+def start_session_features(events: DataFrame, sink_path: str, checkpoint: str, **kw) -> StreamingQuery:
+    """Features of closed gap sessions appended to a Parquet sink."""
+    return start_append(session_features(events), sink_path, checkpoint, **kw)
+
+
 def run_to_end(query: StreamingQuery, timeout_s: float) -> None:
     """Wait for an ``availableNow`` query to drain its source; fail loudly if it does not."""
     if not query.awaitTermination(timeout_s):
