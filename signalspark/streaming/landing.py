@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalspark.operators.ingest import classify
-from signalspark.sources.landing import land_batch, stream_batch_id
+from signalspark.operators.ingest import classify, split_classified
+from signalspark.sources.landing import land_batch, stream_batch_id, write_landed, write_quarantine
 
 
 def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkpoint: str,
@@ -31,10 +31,23 @@ def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkp
     if start_from is not None:
         src = src.filter(F.col("ingest_ts") >= F.lit(start_from).cast("timestamp"))
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def guarded(batch: DataFrame, batch_id: int) -> None:
         land_batch(batch, landed_path, bad_path, stream_batch_id(checkpoint, batch_id), strict, dedup, quota, wire_compat)
 
-    w = src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    def plain(classified: DataFrame, batch_id: int) -> None:
+        rows = classified.persist()
+        try:
+            good, bad = split_classified(rows, strict=strict)
+            write_landed(good, landed_path, stream_batch_id(checkpoint, batch_id))
+            write_quarantine(bad, bad_path, stream_batch_id(checkpoint, batch_id))
+        finally:
+            rows.unpersist()
+
+    if dedup or quota:
+        w = src.writeStream.foreachBatch(guarded)
+    else:  # the rules are analysed once, with the query, not in every micro-batch
+        w = classify(src, wire_compat).writeStream.foreachBatch(plain)
+    w = w.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
