@@ -179,10 +179,13 @@ def _merge_sql(spark: SparkSession, features: DataFrame, table: str, fmt: str) -
 
 def write_features(features: DataFrame, table: str, fmt: str | None = None, mode: str = "upsert",
                    replace: tuple | None = None) -> None:
-    """Dispatch on format. ``parquet`` supports ``upsert`` (with ``replace``) and ``append``."""
+    """Dispatch on format. ``parquet`` supports ``upsert`` (with ``replace``) and ``append``; the others
+    only a plain upsert, and refuse anything else instead of leaving wrong rows."""
     fmt = fmt or os.environ.get("FEATURE_STORE_FORMAT", "parquet")
     if fmt not in FORMATS:
         raise ValueError(f"unknown FEATURE_STORE_FORMAT: {fmt}")
+    if fmt != "parquet" and (mode != "upsert" or replace is not None):
+        raise ValueError(f"{fmt} tables support a plain upsert only")
     if fmt == "parquet":
         if mode == "upsert":
             upsert_features(features, table, replace=replace)

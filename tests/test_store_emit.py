@@ -399,3 +399,10 @@ def test_cursor_keeps_two_states(spark):
     for h in range(5):
         em.save_cursor(spark, root, datetime(2027, 1, 1, h))
     assert len(os.listdir(root)) == 2 and em.load_cursor(spark, root) == datetime(2027, 1, 1, 4)
+
+
+@pytest.mark.parametrize("kw", [{"mode": "append"}, {"replace": (None, None, None)}])
+def test_formats_refuse_what_they_do_not_support(spark, kw):
+    rows = _feature_rows(spark, [("t", "s", datetime(2027, 4, 2), "session", 1)])
+    with pytest.raises(ValueError, match="plain upsert"):
+        store.write_features(rows, "t", fmt="delta", **kw)
