@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.functions.windows import WINDOWS, window_end
@@ -67,19 +67,26 @@ def cardinality_rows(counted: DataFrame, exact: bool) -> DataFrame:
     return counted.groupBy(*SESSION_KEYS).agg(F.max("last_ts").alias("window_end"), *[how(c).alias(c) for c in DISTINCT_FIELDS])
 
 
-def session_rollup(events: DataFrame) -> DataFrame:
-    """One row per session with its last signal, mouse mean and typing features."""
+def session_sums(events: DataFrame, *typing: Column) -> DataFrame:
+    """Per session: last signal, mouse sum ``ms`` and count ``mn``, last typing signal, ``typing`` aggregates of ``t.cps``."""
     mouse_sum, mouse_n = _mouse_parts(events)
     rows = events.select(*SESSION_KEYS, "ts", mouse_sum.alias("ms"), mouse_n.alias("mn"),
                          F.transform(typed_speeds(events), lambda c: F.struct(c.alias("cps"))).alias("typed")) \
         .select(*SESSION_KEYS, "ts", "ms", "mn", F.posexplode_outer("typed").alias("pos", "t"))
     once = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    agg = rows.groupBy(*SESSION_KEYS).agg(
+    return rows.groupBy(*SESSION_KEYS).agg(
         F.max("ts").alias("last_ts"), F.sum(F.when(once, F.col("ms"))).alias("ms"),
-        F.sum(F.when(once, F.col("mn"))).alias("mn"),
-        *[how("t.cps").alias(name) for name, how in TYPING.items()],
+        F.sum(F.when(once, F.col("mn"))).alias("mn"), *typing,
         F.max(F.when(F.col("t").isNotNull(), F.col("ts"))).alias("typing_end"))
-    return agg.withColumn("mouse_entropy_avg", F.when(F.col("mn") > 0, F.col("ms") / F.col("mn"))).drop("ms", "mn")
+
+
+def with_mouse_mean(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("mouse_entropy_avg", F.when(F.col("mn") > 0, F.col("ms") / F.col("mn"))).drop("ms", "mn")
+
+
+def session_rollup(events: DataFrame) -> DataFrame:
+    """One row per session with its last signal, mouse mean and typing features."""
+    return with_mouse_mean(session_sums(events, *[how("t.cps").alias(name) for name, how in TYPING.items()]))
 
 
 def _pad(df: DataFrame) -> DataFrame:
@@ -108,6 +115,11 @@ def build_feature_set(events: DataFrame, exact: bool = True, geo_bucket: str = "
             lambda: geo_distance_vs_prior(geo_events, geo_bucket))
     else:
         (counted, sessions), geo = [p() for p in pieces], geo_distance_vs_prior(geo_events, geo_bucket)
+    return merge_components(counted, sessions, geo, exact)
+
+
+def merge_components(counted: DataFrame, sessions: DataFrame, geo: DataFrame, exact: bool = True) -> DataFrame:
+    """F9 rows from cells (a cell may come in several rows), session roll-up and prior-session distances."""
     mouse = sessions.select(*SESSION_KEYS, F.col("last_ts").alias("window_end"), "mouse_entropy_avg")
     typing = sessions.filter(F.col("typing_end").isNotNull()).select(
         *SESSION_KEYS, F.col("typing_end").alias("window_end"), *TYPING)

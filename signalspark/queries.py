@@ -26,6 +26,7 @@ from signalspark.operators import sessions as sx
 from signalspark.operators import versions as vs
 from signalspark.plans import backfill as bf
 from signalspark.plans import feature_set as fs
+from signalspark.schema import LANDED
 from signalspark.session import checkpoint_table, ensure_utc, work_dir
 from signalspark.sources import feature_store as store
 from signalspark.sources import guarded as gd
@@ -34,6 +35,7 @@ from signalspark.sources.events import BASE_US, load_signals, with_signals
 from signalspark.sources.raw import TS_FORMAT as RAW_TS_FORMAT
 from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
 from signalspark.sources.replay import replay_quarantine
+from signalspark.streaming import feature_state as fstate
 from signalspark.streaming import features as sf
 from signalspark.streaming.emit import start_emit
 from signalspark.streaming.guard import quota_stateful, replay_guard_stateful
@@ -512,6 +514,36 @@ def q_stream_sessions(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+def _shuffled_signals(spark: SparkSession, sf_dir: str, root: str, batches: int = 3) -> DataFrame:
+    """Signals in files that hold times of the whole day, so every micro-batch after the first one is late."""
+    mixed = signals(spark, sf_dir).withColumn("dt", F.to_date("ts"))
+    for i in range(batches):
+        share = mixed.filter(F.pmod(F.xxhash64("event_id"), F.lit(batches)) == i)
+        land.write_landed(share.coalesce(1), f"{root}/landed/share={i}", "signals")
+    paths = f"{root}/landed/share=*/*/*/*"
+    files_of = len(spark.read.schema(land.LANDED_FILES).parquet(paths).inputFiles())
+    r = spark.readStream.schema(land.LANDED_FILES).option("maxFilesPerTrigger", max(1, -(-files_of // batches)))
+    return r.option("basePath", f"{root}/landed").parquet(f"{root}/landed/share=*").select(*LANDED.fieldNames())
+
+
+@query("stream_geo_distance", with_signals(_GEO_CTES + """
+SELECT tenant_id, session_id, window_end, geo_distance_km_prior FROM geo"""))
+def q_stream_geo(spark, sf_dir):
+    """F8 on a stream: three micro-batches whose signals come in no order of time, then the rows as of the last one."""
+    root = work_dir(spark, "stream-geo")
+    sf.run_to_end(fstate.start_distances(_shuffled_signals(spark, sf_dir, root), f"{root}/state", f"{root}/_ck"), STREAM_TIMEOUT_S)
+    return round_doubles(fstate.read_distances(spark, f"{root}/state"))
+
+
+@query("stream_feature_set", _feature_set_sql())
+def q_stream_feature_set(spark, sf_dir):
+    """F9 on a stream: three micro-batches whose signals come in no order of time, upserted into the feature table."""
+    root = work_dir(spark, "stream-features")
+    events = _shuffled_signals(spark, sf_dir, root)
+    sf.run_to_end(fstate.start_features(events, f"{root}/state", f"{root}/table", f"{root}/_ck"), STREAM_TIMEOUT_S)
+    return round_doubles(store.read_features(spark, f"{root}/table").drop("dt"))
+
+
 @query("stream_session_features", with_signals(f"""
 , o AS (
   SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 10 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS brk
