@@ -33,7 +33,7 @@ from signalspark.sources import guarded as gd
 from signalspark.sources import landing as land
 from signalspark.sources.events import BASE_US, load_signals, with_signals
 from signalspark.sources.raw import TS_FORMAT as RAW_TS_FORMAT
-from signalspark.sources.raw import entries_sql, load_raw, read_raw_files, write_raw_files
+from signalspark.sources.raw import entries_sql, load_raw, raw_from_records, read_raw_files, write_raw_files
 from signalspark.sources.replay import replay_quarantine
 from signalspark.streaming import feature_state as fstate
 from signalspark.streaming import features as sf
@@ -474,6 +474,58 @@ def q_stream_landing(spark, sf_dir):
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+LANDING_START = "2024-01-01 06:00:00"
+
+
+@query("stream_landing_from", _ingest_sql(f"""
+SELECT tenant_id, CAST(eff_ts AS DATE) AS dt, count(*) AS n FROM ent
+WHERE v_outcome = 'accepted' AND ingest_ts >= TIMESTAMP '{LANDING_START}' GROUP BY 1, 2"""))
+def q_stream_landing_from(spark, sf_dir):
+    """S3: stream landing from a start position; entries that arrived before it do not land."""
+    root = work_dir(spark, "stream-landing-from")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2), f"{root}/landed",
+                      f"{root}/bad", f"{root}/_checkpoint", start_from=LANDING_START)
+    sf.run_to_end(q, STREAM_TIMEOUT_S)
+    return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+BROKEN_MOD = 19  # records of the fixture whose value starts with a byte that is no UTF-8
+
+
+@query("record_reasons", _ingest_sql(f"""
+SELECT stream, entry_id, CASE WHEN eid % {BROKEN_MOD} = 0 AND v_reason <> 'payload_too_large' THEN 'not_an_object'
+                              ELSE v_reason END AS reason FROM ent"""))
+def q_record_reasons(spark, sf_dir):
+    """Entries as records of bytes (topic, partition, offset, value, timestamp), some of them no UTF-8, decoded
+    with replacement and judged by the edge's rules."""
+    number, copy = F.split_part("entry_id", F.lit("-"), F.lit(1)), F.split_part("entry_id", F.lit("-"), F.lit(2))
+    value = F.encode("data", "UTF-8")
+    records = load_raw(spark, sf_dir).select(
+        F.col("stream").alias("topic"), number.cast("int").alias("partition"), copy.cast("long").alias("offset"),
+        F.when(number.cast("long") % BROKEN_MOD == 0, F.concat(F.unhex(F.lit("FF")), value)).otherwise(value).alias("value"),
+        F.col("ingest_ts").alias("timestamp"))
+    return ing.classify(raw_from_records(records)).select("stream", "entry_id", "reason")
+
+
+@query("wire_landed", _ingest_sql("""
+SELECT event_id, tenant_id, eff_ts AS ts, coalesce(json_extract_string(obj, '$.device.os'), '') AS os,
+       nullif(CAST(json_extract_string(obj, '$.device.battery') AS DOUBLE), 0) AS battery,
+       nullif(CAST(json_extract_string(obj, '$.device.geo_lat') AS DOUBLE), 0) AS geo_lat,
+       nullif(CAST(json_extract_string(obj, '$.device.geo_lon') AS DOUBLE), 0) AS geo_lon,
+       nullif(CAST(json_extract_string(obj, '$.behavioral[0].dwell_ms') AS BIGINT), 0) AS dwell_ms,
+       nullif(CAST(json_extract_string(obj, '$.behavioral[0].mouse_entropy') AS DOUBLE), 0) AS mouse_entropy
+FROM ent WHERE v_outcome = 'accepted'"""))
+def q_wire_landed(spark, sf_dir):
+    """Landing with the wire's rule that zeros and empty optional texts are left out, read back."""
+    root = work_dir(spark, "wire-landed")
+    land.land_batch(load_raw(spark, sf_dir), f"{root}/landed", f"{root}/bad", batch_id="wire", wire_compat=True)
+    first = F.get("behavioral", F.lit(0))
+    return land.read_landed(spark, f"{root}/landed").select(
+        "event_id", "tenant_id", "ts", "device.os", "device.battery", "device.geo_lat", "device.geo_lon",
+        first["dwell_ms"].alias("dwell_ms"), first["mouse_entropy"].alias("mouse_entropy"))
+
+
 def _signals_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Signals written as landed files, then read back as a stream."""
     land.write_landed(signals(spark, sf_dir).withColumn("dt", F.to_date("ts")), f"{root}/landed", "signals")
@@ -710,6 +762,31 @@ def q_backfill_slice(spark, sf_dir):
     return round_doubles(bf.backfill_features(land.read_landed(spark, f"{root}/signals"), *SLICE))
 
 
+#: an earlier, shorter input of the table that the backfill job mends
+BACKFILL_CUT = "2024-01-02 12:00:00"
+
+
+@query("backfill_job", with_signals(
+    f", sigm AS ({_stretched_sql('sig')}), behm AS ({_stretched_sql('beh')})"
+    f", sigq AS (SELECT * FROM sigm WHERE ts < TIMESTAMP '{BACKFILL_CUT}')"
+    f", behq AS (SELECT * FROM behm WHERE ts < TIMESTAMP '{BACKFILL_CUT}')"
+    + feature_set_ctes("sigm", "behm", "m_") + feature_set_ctes("sigq", "behq", "q_") + f"""
+SELECT * FROM m_fs WHERE CAST(window_end AS DATE) BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'
+UNION ALL
+SELECT * FROM q_fs WHERE CAST(window_end AS DATE) NOT BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'"""))
+def q_backfill_job(spark, sf_dir):
+    """a table made from the first day and a half, then the job over two of five days of the whole landed table:
+    the slice is that of a full run, stale rows in it are gone, rows outside it are as they were."""
+    root = work_dir(spark, "backfill-job")
+    us = F.unix_micros("ts") - F.lit(BASE_US)
+    landed = signals(spark, sf_dir).withColumn("ts", F.timestamp_micros(F.lit(BASE_US) + us * STRETCH))
+    land.write_landed(landed.withColumn("dt", F.to_date("ts")), f"{root}/signals", "signals")
+    early = land.read_landed(spark, f"{root}/signals").filter(F.col("ts") < F.lit(BACKFILL_CUT).cast("timestamp"))
+    store.write_features(fs.build_feature_set(early), f"{root}/table", fmt="parquet")
+    bf.run_backfill(spark, f"{root}/signals", f"{root}/table", *SLICE, fmt="parquet")
+    return round_doubles(store.read_features(spark, f"{root}/table").drop("dt"))
+
+
 UPSERT_CUT = "2024-01-01 07:00:00"
 
 
@@ -732,6 +809,20 @@ def q_upsert(spark, sf_dir):
     return round_doubles(store.read_features(spark, f"{root}/table"))
 
 
+@query("append_features", with_signals(
+    f", sigp AS (SELECT * FROM sig WHERE ts < TIMESTAMP '{UPSERT_CUT}')"
+    f", behp AS (SELECT * FROM beh WHERE ts < TIMESTAMP '{UPSERT_CUT}')"
+    + feature_set_ctes() + feature_set_ctes("sigp", "behp", "p_") + """
+SELECT *, CAST(window_end AS DATE) AS dt FROM fs UNION ALL SELECT *, CAST(window_end AS DATE) AS dt FROM p_fs"""))
+def q_append(spark, sf_dir):
+    """Features of the first 7 hours and of the whole day appended to one table; keys may repeat."""
+    root = work_dir(spark, "append-features")
+    sig = signals(spark, sf_dir)
+    for part in (sig.filter(F.col("ts") < F.lit(UPSERT_CUT).cast("timestamp")), sig):
+        store.write_features(fs.build_feature_set(part), f"{root}/table", fmt="parquet", mode="append")
+    return round_doubles(store.read_features(spark, f"{root}/table"))
+
+
 EMIT_SINCE, EMIT_LIMIT = "2024-01-01 06:00:00", 1000
 _EMIT_CTES = feature_set_ctes() + f"""
 , newer AS (SELECT * FROM fs WHERE window_end > TIMESTAMP '{EMIT_SINCE}')
