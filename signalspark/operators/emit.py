@@ -50,9 +50,9 @@ def read_since(features: DataFrame, since, limit: int = 0, with_ties: bool = Tru
 
 
 def payload_struct(features: DataFrame, emitted_at=None) -> DataFrame:
-    """A3: keys, ``features`` struct, ``schema_version``, ``emitted_at``."""
+    """A3: keys, ``features``, ``schema_version``, ``emitted_at``; a ``features`` column (S12) is passed on as it is."""
     at = F.current_timestamp() if emitted_at is None else F.lit(emitted_at).cast("timestamp")
-    feats = F.struct(*[F.col(c) for c in FEATURE_VALUE_COLUMNS])
+    feats = F.col("features") if "features" in features.columns else F.struct(*[F.col(c) for c in FEATURE_VALUE_COLUMNS])
     return features.select("tenant_id", "session_id", "window_end", "feature_window",
                            feats.alias("features"), F.lit(SCHEMA_VERSION).alias("schema_version"),
                            at.alias("emitted_at"))
@@ -189,6 +189,36 @@ def read_exported(spark: SparkSession, root: str) -> DataFrame:
             .json(root).filter(F.col("window_end").isNotNull()))
 
 
+MAX_LINE_BYTES = 4 * 1024 * 1024
+#: RFC 3339, as a decoder of times takes it
+_TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d([.]\d+)?(Z|[+-]\d\d:\d\d)$"
+
+
+def read_exported_any(spark: SparkSession, root: str, max_line_bytes: int = MAX_LINE_BYTES) -> DataFrame:
+    """S12 for features of any name and shape: ``features`` is a VARIANT that reaches the payload unchanged.
+
+    Lines of ``*.json`` / ``*.jsonl`` files anywhere under ``root``. A line is skipped when it is blank, no JSON, no
+    object, or has a key text that is no text, a time that is none or ``features`` that are no object (NULL and absent
+    ones are allowed; a row without ``window_end`` is after no cursor and left out). A key that comes twice in an
+    object makes the line unreadable. A line over ``max_line_bytes`` fails the read: passing over it
+    would lose its row for good.
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").text(root))
+    too_long = F.raise_error(F.concat(F.lit("line of "), F.octet_length("value").cast("string"), F.lit(" bytes in exported rows")))
+    lines = lines.filter(F.when(F.octet_length("value") > max_line_bytes, too_long.cast("boolean")).otherwise(F.lit(True)))
+    names = ["tenant_id", "session_id", "window_end", "feature_window", "features"]
+    parsed = lines.select(F.try_parse_json("value").alias("v")).filter(F.schema_of_variant("v").startswith("OBJECT"))
+    parts = parsed.select(*[F.try_variant_get("v", f"$.{c}", "variant").alias(c) for c in names])
+    kinds = {c: F.coalesce(F.schema_of_variant(c), F.lit("VOID")) for c in names}
+    right = [kinds[c].isin("STRING", "VOID") for c in names[:4]]
+    right.append((kinds["features"] == "VOID") | kinds["features"].startswith("OBJECT"))
+    for ok in right:
+        parts = parts.filter(ok)
+    rows = parts.select(*[F.try_variant_get(c, "$", "string").alias(c) for c in names[:4]], "features")
+    at = F.when(F.col("window_end").rlike(_TIME), F.col("window_end").try_cast("timestamp"))
+    return rows.withColumn("window_end", at).filter("window_end IS NOT NULL")
+
+
 def flatten_exported(exported: DataFrame) -> DataFrame:
     """Exported rows back to flat feature columns."""
     return exported.select("tenant_id", "session_id", "window_end", "feature_window", "features.*")

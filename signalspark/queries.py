@@ -930,6 +930,34 @@ def q_exported_rows(spark, sf_dir):
     return round_doubles(em.flatten_exported(em.read_exported(spark, root)))
 
 
+@query("exported_payloads", with_signals(feature_set_ctes() + f"""
+SELECT tenant_id, session_id, window_end, feature_window, '1.0.0' AS schema_version, events_1m, events_1m * 3 AS burst,
+       session_id AS context_session, events_5m AS pair_second, mouse_entropy_avg
+FROM fs WHERE window_end > TIMESTAMP '{EMIT_SINCE}'"""))
+def q_exported_payloads(spark, sf_dir):
+    """S12 to S13 for features that the engine does not know: a number, an object and an array beside the usual
+    ones are exported as JSON lines, read since the cursor and found unchanged in the payloads."""
+    root = work_dir(spark, "exported-payloads")
+    feats = fs.build_feature_set(signals(spark, sf_dir))
+    free = F.struct("events_1m", (F.col("events_1m") * 3).alias("burst"), F.struct("session_id").alias("context"),
+                    F.array("events_1m", "events_5m").alias("pair"), "mouse_entropy_avg")
+    keys = ["tenant_id", "session_id", "window_end", "feature_window"]
+    feats.select(*keys, free.alias("features")).write.option("timestampFormat", em.PAYLOAD_TS_FORMAT).json(f"{root}/in/a")
+    rows = em.read_since(em.read_exported_any(spark, f"{root}/in"), EMIT_SINCE)
+    em.to_payload_json(em.payload_struct(rows)).select("value").write.text(f"{root}/out")
+    line = F.try_parse_json("value")
+
+    def field(path, kind):
+        return F.try_variant_get(line, path, kind)
+
+    return round_doubles(spark.read.text(f"{root}/out").select(
+        *[field(f"$.{c}", "timestamp" if c == "window_end" else "string").alias(c) for c in (*keys, "schema_version")],
+        field("$.features.events_1m", "bigint").alias("events_1m"), field("$.features.burst", "bigint").alias("burst"),
+        field("$.features.context.session_id", "string").alias("context_session"),
+        field("$.features.pair[1]", "bigint").alias("pair_second"),
+        field("$.features.mouse_entropy_avg", "double").alias("mouse_entropy_avg")))
+
+
 # ----------------------------------------------------------------- quality --
 
 @query("dwell_histogram", with_signals("""
