@@ -336,6 +336,32 @@ def test_packing(spark):
     assert packing.pack_documents(frame(spark, []), vocabulary("byte_bpe_50k.json"), 1).count() == 0
 
 
+def test_packing_groups_stay_small_for_long_documents_and_shared_ids(spark):
+    long_text = " ".join(f"w{i}" for i in range(4000))
+    rows = [(1, long_text)] + [(None, "same words here")] * 600 + [(7, None)] * 600 + [(8, f"a{i} b") for i in range(600)]
+    docs = frame(spark, rows).repartition(6).cache()
+    capacity, groups = 16, 40
+    pieces = packing.cut_documents(docs, vocabulary("byte_bpe_50k.json"), 1, capacity)
+    got = packing.pack(pieces, groups, capacity).collect()
+    assert len(got) == pieces.count()
+    assert sum(r.doc_tokens for r in got if r.start == 0) == sum(r.length for r in got)
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sequences.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= capacity
+    per_group = {}
+    for r in got:
+        per_group.setdefault(r.sequence_id >> packing.BIN_BITS, []).append(r)
+    # no group holds more than a few runs of the long document, or all rows of a shared id
+    assert max(sum(r.doc_id == 1 for r in g) for g in per_group.values()) <= 3 * packing.RUN
+    for shared in (None, 7):
+        assert sum(any(r.doc_id == shared for r in g) for g in per_group.values()) >= 4
+    docs.unpersist()
+
+
 def test_sharding(spark):
     rows = corpus(29)
     got = sharding.external_shuffle(frame(spark, rows), n_shards=7, bucket_bytes=3000).collect()
