@@ -10,8 +10,11 @@ other and are scattered apart.
 
 DataFrame functions only. Only two scalars reach the driver.
 
+A record's place follows from the rows and the seed alone: not from their order, nor from
+the session's number of shuffle partitions or how the input is split.
+
 Edge cases: null keys and texts are hashed like values; rows that repeat are
-each kept and placed; an empty table gives no rows; an input column named like
+each kept and placed, in one bucket if key and text are equal; an empty table gives no rows; an input column named like
 an added one (``shard``, ``slot``) is replaced.
 """
 
@@ -46,6 +49,18 @@ def _offsets(counts: DataFrame) -> DataFrame:
     return inner.join(totals, "_block").select("_b", (F.col("_in") + F.col("_out")).alias("_base"))
 
 
+def _tie(df: DataFrame) -> Column:
+    """Orders rows that share key and text by their other columns (those that Spark can hash)."""
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
+                if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    return F.xxhash64(*hashable)
+
+
+def _by_hash(a: Column, b: Column) -> Column:
+    before = (a["_h"] < b["_h"]) | ((a["_h"] == b["_h"]) & (a["_t"] < b["_t"]))
+    return F.when(before, -1).when((a["_h"] == b["_h"]) & (a["_t"] == b["_t"]), 0).otherwise(1)
+
+
 def external_shuffle(df: DataFrame, key: str = "doc_id", text: str = "text", n_shards: int = 40,
                      seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All columns of ``df`` plus ``shard`` (int) and ``slot`` (long); whole records are moved.
@@ -56,15 +71,13 @@ def external_shuffle(df: DataFrame, key: str = "doc_id", text: str = "text", n_s
     n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(record_size(text)), F.lit(0))).first()
     buckets = max(1, -(-size // bucket_bytes))
     mixed = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    scattered = df.select(F.pmod(mixed, F.lit(buckets)).alias("_b"), mixed.alias("_h"), record(df))
+    scattered = df.select(F.pmod(mixed, F.lit(buckets)).alias("_b"), mixed.alias("_h"), _tie(df).alias("_t"), record(df))
     base = _offsets(scattered.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
-    # sorted arrays and sorted buckets: a recomputed task draws the same permutation
-    bucket = (scattered.groupBy("_b")
-              .agg(F.array_sort(F.collect_list(F.struct("_h", "_rec")),
-                                lambda a, b: F.when(a["_h"] < b["_h"], -1)
-                                .when(a["_h"] > b["_h"], 1).otherwise(0)).alias("_rows"))
-              .join(base, "_b").sortWithinPartitions("_b")
-              .select("_base", F.shuffle("_rows", seed).alias("_rows")))
+    # one draw of a permutation depends on the task's number and the buckets before it there. Both follow from
+    # the bucket count alone: that many tasks by the bucket's hash, in each the buckets in order, rows sorted
+    bucket = (scattered.repartition(buckets, "_b").groupBy("_b")
+              .agg(F.array_sort(F.collect_list(F.struct("_h", "_t", "_rec")), _by_hash).alias("_rows"))
+              .sortWithinPartitions("_b").select("_b", F.shuffle("_rows", seed).alias("_rows")).join(base, "_b"))
     placed = (bucket.select("_base", F.posexplode("_rows").alias("_pos", "_row"))
               .select((F.col("_base") + F.col("_pos")).alias("_at"), F.col("_row._rec").alias("_rec")))
     shard = F.expr(f"(_at * {n_shards}) div {max(n, 1)}")

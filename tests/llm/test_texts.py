@@ -372,11 +372,28 @@ def test_sharding(spark):
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
     sizes = [len(by[s]) for s in range(7)]
     assert max(sizes) - min(sizes) <= 1 and set(by) == set(range(7))
-    again = sharding.external_shuffle(frame(spark, rows).repartition(5), n_shards=7, bucket_bytes=3000).collect()
-    assert sorted((str(r.doc_id), r.shard) for r in got)[:5] == sorted((str(r.doc_id), r.shard) for r in again)[:5]
     assert sharding.external_shuffle(frame(spark, [])).count() == 0
 
 
+def test_placement_follows_rows_and_seed_alone(spark):
+    twins = spark.createDataFrame([(None, "twin", "s", None, i % 5, None) for i in range(12)], SCHEMA)
+    docs = frame(spark, corpus(29) + corpus(29)[:9]).union(twins)
+    docs = docs.withColumn("extra", F.create_map(F.lit("k"), F.col("removed")))
+
+    def placed(df, partitions, seed=sharding.SEED):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            return {(r["shard"], r.slot): (r.doc_id, r.text, r.row, r.removed)
+                    for r in sharding.external_shuffle(df, n_shards=7, seed=seed, bucket_bytes=3000).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    got = placed(docs, 2)
+    assert got == placed(docs.repartition(5), 7) == placed(docs.orderBy(F.desc("text")).coalesce(1), 31)
+    assert got != placed(docs, 2, seed=1)
+
+
 def test_shards_written(spark, tmp_path):
     shuffled = sharding.external_shuffle(frame(spark, corpus(31)), n_shards=3, bucket_bytes=3000)
     sharding.write_shards(shuffled, str(tmp_path / "shards"))
