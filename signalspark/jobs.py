@@ -1,7 +1,8 @@
-"""Command-line jobs: landing (batch or stream), backfill, emit.
+"""Command-line jobs: landing (batch or stream), replay, compaction, backfill, emit.
 
     python -m signalspark.jobs land     --raw PATH --landed PATH --bad PATH [--stream --checkpoint PATH]
     python -m signalspark.jobs replay   --bad PATH --landed PATH [--dedup]
+    python -m signalspark.jobs compact  --landed PATH [--target-mb 128] [--vacuum-hours 24]
     python -m signalspark.jobs backfill --raw LANDED --table PATH [--start D --end D --tenant T --format parquet]
     python -m signalspark.jobs emit     --table PATH --cursor PATH --sink PATH [--limit 1000 | --stream --checkpoint P]
 
@@ -42,6 +43,10 @@ def _args(argv=None) -> argparse.Namespace:
     r.add_argument("--bad", required=True, help="quarantine whose entries go through the rules again")
     r.add_argument("--landed", required=True)
     r.add_argument("--dedup", action="store_true")
+    c = sub.add_parser("compact")
+    c.add_argument("--landed", required=True)
+    c.add_argument("--target-mb", type=int, default=128)
+    c.add_argument("--vacuum-hours", type=float, default=None, help="delete files that were replaced that long ago")
     b = sub.add_parser("backfill")
     b.add_argument("--raw", required=True, help="landed table")
     b.add_argument("--table", required=True)
@@ -85,6 +90,13 @@ def main(argv=None) -> None:
         from signalspark.sources.replay import replay_quarantine
         out = replay_quarantine(spark, args.bad, args.landed, dedup=args.dedup)
         log.info(json.dumps({"event": "replayed", **out}))
+    elif args.job == "compact":
+        from datetime import timedelta
+
+        from signalspark.sources.landing import compact_landed
+        keep = None if args.vacuum_hours is None else timedelta(hours=args.vacuum_hours)
+        for out in compact_landed(spark, args.landed, args.target_mb << 20, keep):
+            log.info(json.dumps({"event": "compacted", **out}))
     elif args.job == "backfill":
         from signalspark.plans.backfill import run_backfill
         n = run_backfill(spark, args.raw, args.table, args.start, args.end, args.tenant, args.format)

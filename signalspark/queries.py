@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -474,6 +475,22 @@ def q_stream_landing(spark, sf_dir):
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("compacted_landing", _ingest_sql("""
+SELECT tenant_id, CAST(eff_ts AS DATE) AS dt, event_id, eff_ts AS ts, count(*) AS n FROM ent WHERE v_outcome = 'accepted'
+GROUP BY 1, 2, 3, 4"""))
+def q_compacted_landing(spark, sf_dir):
+    """Rows that a reader finds after many micro-batches, a compaction, the removal of what it replaced, more batches
+    and a second compaction."""
+    root, raw = work_dir(spark, "compacted"), load_raw(spark, sf_dir)
+    arrived = F.xxhash64("entry_id") % 4 == 0
+    for part, rows in (("first", raw.filter(~arrived)), ("second", raw.filter(arrived))):
+        write_raw_files(rows, f"{root}/raw-{part}", files=3)
+        src = read_raw_files(spark, f"{root}/raw-{part}", stream=True, max_files_per_trigger=1)
+        sf.run_to_end(start_landing(src, f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint-{part}"), STREAM_TIMEOUT_S)
+        land.compact_landed(spark, f"{root}/landed", keep=timedelta())
+    return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt", "event_id", "ts").agg(F.count(F.lit(1)).alias("n"))
+
+
 LANDING_START = "2024-01-01 06:00:00"
 
 

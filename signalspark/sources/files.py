@@ -35,3 +35,14 @@ def put(spark: SparkSession, path: str) -> None:
 def rename(spark: SparkSession, path: str, to: str) -> bool:
     fs, where = _at(spark, path)
     return fs.rename(where, _at(spark, to)[1])
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """Milliseconds since 1970 of a file's last change."""
+    fs, where = _at(spark, path)
+    return fs.getFileStatus(where).getModificationTime()
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

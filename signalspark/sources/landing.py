@@ -9,11 +9,15 @@ partitions that batch wrote: landing is idempotent per ``batch_id``.
 the table: stream batches use ``{run}-{epoch}`` with ``run`` derived from the
 checkpoint folder (stable across restarts of one query, different between
 queries), so a new stream never overwrites an older one's batch 0.
+
+Small files are packed by ``compact_landed`` (:mod:`signalspark.sources.compaction`); read the
+table with ``read_landed``, which knows what was packed and what was replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from signalspark.schema import LANDED, QUARANTINE
 from signalspark.sources import files
+from signalspark.sources.compaction import TARGET_BYTES, compact, refuse_compacted, vacuum, visible
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # JSON sinks keep microseconds
 
@@ -41,6 +46,7 @@ def stream_batch_id(checkpoint: str, epoch: int) -> str:
 
 def write_landed(good: DataFrame, path: str, batch_id: str) -> None:
     """Append good rows as Parquet partitioned by tenant_id, dt (idempotent per batch)."""
+    refuse_compacted(good.sparkSession, path, str(batch_id))
     (good.withColumn("batch_id", F.lit(str(batch_id)))
          # few files per partition, but AQE splits a hot (tenant, dt) across tasks
          .hint("rebalance", "tenant_id", "dt")
@@ -84,17 +90,28 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     Where late entries have changed the replay guard's earlier decisions, those are applied:
     entries refused since are left out, repeats accepted since are read from their folder.
     """
-    rows = spark.read.schema(LANDED_FILES).parquet(path)
+    rows = visible(spark, path, LANDED_FILES)
     if files.exists(spark, f"{guard_path(path)}/flips"):
         done = commits(spark, path)
         flips = ledger(spark, path, "flips", FLIPS, done[-1][0] if done else 0)
         now = flips.groupBy(*ENTRY).agg(F.max_by("accepted", "seq").alias("accepted"))
-        rows = spark.read.schema(ENTRY_FILES).parquet(path).join(now.filter(~F.col("accepted")), ENTRY, "left_anti")
-        again = spark.read.schema(ENTRY_FILES).parquet(duplicates_path(path))
+        rows = visible(spark, path, ENTRY_FILES).join(now.filter(~F.col("accepted")), ENTRY, "left_anti")
+        again = visible(spark, duplicates_path(path), ENTRY_FILES)
         rows = rows.unionByName(again.join(now.filter(F.col("accepted")), ENTRY, "left_semi"))
     return rows.select(*LANDED.fieldNames())
 
 
+def compact_landed(spark: SparkSession, landed: str, target_bytes: int = TARGET_BYTES,
+                   keep: timedelta | None = None) -> list[dict]:
+    """Pack the small files of the table and of the guard's repeats; with ``keep``, delete what was replaced before."""
+    out = []
+    for root in (landed, duplicates_path(landed)):
+        out.append(compact(spark, root, target_bytes, landed))
+        if keep is not None:
+            out[-1]["deleted"] = vacuum(spark, root, keep)
+    return out
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_FILES).option("timestampFormat", TS_FORMAT).json(path)
 
