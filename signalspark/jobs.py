@@ -16,6 +16,8 @@ import argparse
 import json
 import logging
 
+from pyspark.sql import functions as F
+
 from signalspark.session import build_session, checkpoint_root
 
 log = logging.getLogger("signalspark")
@@ -38,6 +40,7 @@ def _args(argv=None) -> argparse.Namespace:
     a.add_argument("--lenient", action="store_true", help="original landing rule (event_id present)")
     a.add_argument("--stream", action="store_true")
     a.add_argument("--checkpoint")
+    a.add_argument("--per-stream", type=int, default=None, help="stream: entries a tick takes from one stream at most")
     a.add_argument("--max-files-per-trigger", type=int, default=None)
     r = sub.add_parser("replay")
     r.add_argument("--bad", required=True, help="quarantine whose entries go through the rules again")
@@ -77,10 +80,16 @@ def main(argv=None) -> None:
                  "quota": (args.rps, args.burst or 2 * args.rps) if args.rps else None}
         if args.stream:
             from signalspark.streaming.landing import start_landing
-            q = start_landing(read_raw_files(spark, args.raw, stream=True,
-                                             max_files_per_trigger=args.max_files_per_trigger),
-                              args.landed, args.bad, args.checkpoint, start_from=args.start_from,
-                              available_now=False, processing_time="2 seconds", **rules)
+            raw = read_raw_files(spark, args.raw, stream=True, max_files_per_trigger=args.max_files_per_trigger)
+            if args.per_stream:
+                from signalspark.streaming.admission import start_bounded_landing
+                if args.start_from:
+                    raw = raw.filter(F.col("ingest_ts") >= F.lit(args.start_from).cast("timestamp"))
+                q = start_bounded_landing(raw, args.landed, args.bad, args.checkpoint, args.per_stream,
+                                          available_now=False, **rules)
+            else:
+                q = start_landing(raw, args.landed, args.bad, args.checkpoint, start_from=args.start_from,
+                                  available_now=False, processing_time="2 seconds", **rules)
             q.awaitTermination()
         else:
             bid = args.batch_id or args.raw.rstrip("/").split("/")[-1]

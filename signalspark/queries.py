@@ -38,6 +38,7 @@ from signalspark.sources.raw import entries_sql, load_raw, raw_from_records, rea
 from signalspark.sources.replay import replay_quarantine
 from signalspark.streaming import feature_state as fstate
 from signalspark.streaming import features as sf
+from signalspark.streaming.admission import finish_landing, start_bounded_landing
 from signalspark.streaming.emit import start_emit
 from signalspark.streaming.guard import quota_stateful, replay_guard_stateful
 from signalspark.streaming.landing import start_landing, start_outcome_counts
@@ -491,6 +492,27 @@ def q_compacted_landing(spark, sf_dir):
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt", "event_id", "ts").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("stream_bounded_landing", _ingest_sql("""
+, bound AS (
+  SELECT CAST(floor(max(c) / 4) AS BIGINT) + 1 AS most FROM (SELECT count(*) AS c FROM ent GROUP BY stream)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY stream ORDER BY ingest_ts, entry_id) AS rn FROM ent
+)
+SELECT tenant_id, CAST((rn - 1) // most AS BIGINT) + 1 AS tick, count(*) AS n
+FROM placed, bound WHERE v_outcome = 'accepted' GROUP BY 1, 2"""))
+def q_stream_bounded_landing(spark, sf_dir):
+    """Rows landed by tick where a tick takes a quarter of the longest stream's entries, and no more, from every stream."""
+    root = work_dir(spark, "stream-bounded")
+    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    raw = read_raw_files(spark, f"{root}/raw")
+    most = raw.groupBy("stream").count().agg(F.max("count")).first()[0] // 4 + 1
+    paths = (f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint")
+    sf.run_to_end(start_bounded_landing(read_raw_files(spark, f"{root}/raw", stream=True), *paths, most), STREAM_TIMEOUT_S)
+    finish_landing(spark, *paths, most)
+    landed = spark.read.schema(land.LANDED_FILES).parquet(paths[0])
+    return landed.groupBy("tenant_id", F.substring("batch_id", 12, 12).cast("long").alias("tick")).agg(F.count(F.lit(1)).alias("n"))
+
+
 LANDING_START = "2024-01-01 06:00:00"
 
 
