@@ -7,14 +7,16 @@ a ``lag`` test.
 
 Batch form, exact and skew-safe: arrival time is cut into ``ttl``-wide buckets.
 Two accepted entries of a key are at least ``ttl`` apart, so each bucket holds
-at most one accepted entry per key, and only keys accepted in the previous
-bucket can block anything in the current one. The fold therefore runs bucket
-by bucket (a handful of rounds for a nightly run): each round is a distributed
-join with the previous round's accepted keys and a ``min`` aggregate with
-map-side combine, so a key with millions of copies is never gathered in one
-task. The narrow (key, time, bucket) table is written once, partitioned by
-bucket, under ``spark.checkpoint.dir``, so a round reads one bucket only; each
-round's accepted set is written the same way to cut lineage.
+at most one accepted entry per key, and only a key accepted in the bucket just
+before can block anything in the current one. Where a key has no entry in the
+bucket before, its first entry is accepted without more ado; so a key's buckets
+fall into runs of neighbours, and all runs of all keys are folded side by side:
+round ``r`` decides the ``r``-th bucket of every run that is that long. Rounds
+follow the longest run of one key, not the days of the input, and read only the
+entries of runs that have more than one bucket (written once, by round, under
+``spark.checkpoint.dir``). Every step is a ``min`` with map-side combine or a join
+with one row a key and bucket, so a key with millions of copies is never
+gathered in one task. Entries without a time or key are not accepted.
 
 Stream form: ``dropDuplicatesWithinWatermark`` with a ``ttl`` watermark. It is
 close to, not equal to, the fold (it may also drop a repeat that arrives after
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalspark.functions.windows import interval_micros
@@ -49,29 +51,26 @@ def replay_guard(entries: DataFrame, keys: Sequence[str] = ("tenant_id", "event_
     us = F.unix_micros(time_col)
     tagged = entries.withColumn("_o", order).withColumn(
         "_bkt", ((us - F.pmod(us, F.lit(ttl_us))) / F.lit(ttl_us)).cast("bigint"))
-    # write the input once to the shared checkpoint folder, partitioned by bucket:
-    # each round reads only its own bucket, and the final join reads the same copy
-    path = work_dir(spark, "replay-guard")
-    tagged.write.partitionBy("_bkt").parquet(path)
-    tagged = spark.read.schema(tagged.schema).parquet(path)
-    e = tagged.select(*keys, "_o", "_bkt")
-    buckets = [r[0] for r in e.select("_bkt").distinct().orderBy("_bkt").collect()]
-
-    accepted = None
-    state = None
-    prev = None
-    for b in buckets:
-        cur = e.filter(F.col("_bkt") == b)
-        if state is not None and prev == b - 1:
-            cur = cur.join(state, keys, "left").filter(
-                F.col("_until").isNull() | (F.col("_o.t") >= F.col("_until")))
-        acc = checkpoint_table(cur.groupBy(*keys).agg(F.min("_o").alias("_o")), "replay-guard-round")
-        state = acc.select(*keys, (F.col("_o.t") + F.expr(f"INTERVAL {ttl}")).alias("_until"))
-        accepted = acc if accepted is None else accepted.unionByName(acc)
-        prev = b
-
-    if accepted is None:
-        return tagged.withColumn(flag, F.lit(False)).drop("_o", "_bkt")
+    tagged = checkpoint_table(tagged, "replay-guard")  # the rounds and the final join read the same copy
+    e = tagged.select(*keys, "_o", "_bkt").filter(F.col("_bkt").isNotNull())
+    by_key = Window.partitionBy(*keys).orderBy("_bkt")  # one row a bucket, however many copies
+    first = e.groupBy(*keys, "_bkt").agg(F.min("_o").alias("_o")).withColumn("_run", F.col("_bkt") - F.row_number().over(by_key))
+    in_run = Window.partitionBy(*keys, "_run").orderBy("_bkt")
+    first = checkpoint_table(first.withColumn("_round", F.row_number().over(in_run) - 1).drop("_run"), "replay-guard-first")
+    accepted = last = first.filter("_round = 0").select(*keys, "_o", "_bkt")
+    rounds = first.agg(F.max("_round")).first()[0] or 0
+    if rounds:
+        path = work_dir(spark, "replay-guard-runs")
+        later = first.filter("_round > 0").select(*keys, "_bkt", "_round")
+        runs = e.join(later, [*keys, "_bkt"])
+        runs.write.partitionBy("_round").parquet(path)
+        runs = spark.read.schema(runs.schema).parquet(path)
+    for r in range(1, rounds + 1):
+        before = last.select(*keys, (F.col("_bkt") + 1).alias("_bkt"), (F.col("_o.t") + F.expr(f"INTERVAL {ttl}")).alias("_until"))
+        cur = runs.filter(F.col("_round") == r).drop("_round").join(before, [*keys, "_bkt"], "left")
+        cur = cur.filter(F.col("_until").isNull() | (F.col("_o.t") >= F.col("_until")))
+        last = checkpoint_table(cur.groupBy(*keys, "_bkt").agg(F.min("_o").alias("_o")).select(*keys, "_o", "_bkt"), "replay-guard-round")
+        accepted = accepted.unionByName(last)
     hit = accepted.select(*keys, "_o", F.lit(True).alias(flag))
     out = tagged.join(hit, keys + ["_o"], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
     return out.drop("_o", "_bkt")

@@ -82,3 +82,28 @@ def test_replay_guard_hot_key_matches_fold(spark):
     assert len(rows) * 3 >= base.count() - 3
     assert {k: got[k] for k in want} == want
     assert all(v for k, v in got.items() if k not in want)  # unique keys are always first
+
+
+def test_replay_guard_runs_of_many_days(spark):
+    """Keys with gaps and with entries on many days in a row: equal to the fold; rounds follow the longest run."""
+    import random
+    from datetime import datetime, timedelta
+
+    from signalspark.operators.dedup import replay_guard
+    rng, start, rows = random.Random(11), datetime(2027, 2, 1), []
+    for k in range(40):
+        at = rng.uniform(0, 100)
+        for _ in range(rng.randrange(1, 14)):
+            rows.append((f"t{k % 3}", f"e{k}", start + timedelta(hours=at), f"{len(rows)}"))
+            at += rng.choice([0, rng.uniform(0, 30), 24, rng.uniform(23, 25), 400])
+    rows += [("t0", "e0", None, "none"), ("t0", "far", start + timedelta(days=3000), "far")]
+    last, want = {}, {"none": False}
+    for tenant, event, at, entry in sorted((r for r in rows if r[2]), key=lambda r: (r[2], r[3])):
+        key = (tenant, event)
+        want[entry] = key not in last or at >= last[key] + timedelta(hours=24)
+        if want[entry]:
+            last[key] = at
+    df = spark.createDataFrame(rows, "tenant_id string, event_id string, ingest_ts timestamp, entry_id string")
+    assert {r.entry_id: r.first_seen for r in replay_guard(df).collect()} == want
+    empty = replay_guard(df.limit(0))
+    assert empty.count() == 0 and "first_seen" in empty.columns
