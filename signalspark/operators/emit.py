@@ -12,11 +12,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from signalspark.schema import EXPORTED_FEATURE_ROW, FEATURE_KEYS, FEATURE_VALUE_COLUMNS, SCHEMA_VERSION
+from signalspark.operators.ticks import tick_cuts
 from signalspark.session import checkpoint_table
 from signalspark.sources import files
 
@@ -49,21 +52,22 @@ def read_since(features: DataFrame, since, limit: int = 0, with_ties: bool = Tru
     return upto.filter(F.col("dt") <= F.to_date(F.lit(cut))) if by_day else upto
 
 
-def payload_struct(features: DataFrame, emitted_at=None) -> DataFrame:
-    """A3: keys, ``features``, ``schema_version``, ``emitted_at``; a ``features`` column (S12) is passed on as it is."""
+def payload_struct(features: DataFrame, emitted_at=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A3: keys, ``features``, ``schema_version``, ``emitted_at``; a ``features`` column (S12) is passed on as it is.
+    Columns to ``keep`` follow."""
     at = F.current_timestamp() if emitted_at is None else F.lit(emitted_at).cast("timestamp")
     feats = F.col("features") if "features" in features.columns else F.struct(*[F.col(c) for c in FEATURE_VALUE_COLUMNS])
     return features.select("tenant_id", "session_id", "window_end", "feature_window",
                            feats.alias("features"), F.lit(SCHEMA_VERSION).alias("schema_version"),
-                           at.alias("emitted_at"))
+                           at.alias("emitted_at"), *keep)
 
 
-def to_payload_json(payloads: DataFrame) -> DataFrame:
-    """JSON text per payload; NULL features are written as ``null``, not dropped."""
+def to_payload_json(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON text per payload; NULL features are written as ``null``, not dropped. Columns to ``keep`` stay beside it."""
     opts = {"ignoreNullFields": "false", "timestampFormat": PAYLOAD_TS_FORMAT}
     return payloads.select(
         F.concat_ws(":", "tenant_id", "session_id").alias("key"),
-        F.to_json(F.struct(*payloads.columns), opts).alias("value"))
+        F.to_json(F.struct(*[c for c in payloads.columns if c not in keep]), opts).alias("value"), *keep)
 
 
 def next_cursor(emitted: DataFrame, since) -> DataFrame:
@@ -159,14 +163,47 @@ def emit_changed(spark: SparkSession, features: DataFrame, ledger: str, sink_pat
     return n
 
 
+#: rows that a task of a pass writes
+PASS_TASK_ROWS = 250_000
+
+
+def _emit_pass(spark: SparkSession, newer: DataFrame, cursor_path: str, sink_path: str, limit: int) -> int:
+    """All due ticks side by side: payloads in a folder a tick, then the cursor of the last."""
+    cuts, n = tick_cuts(newer, limit)
+    if not cuts:
+        return 0
+    bounds, run = spark.sparkContext.broadcast(np.array(cuts, dtype="int64")), uuid.uuid4().hex[:12]
+
+    def number(us: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds.value, us.to_numpy()))
+
+    last = F.timestamp_micros(F.lit(cuts[-1]))
+    upto = newer.filter(F.col("window_end") <= last)
+    if "dt" in newer.columns:
+        upto = upto.filter(F.col("dt") <= F.to_date(last))
+    at = F.pandas_udf(number, "bigint")(F.unix_micros("window_end"))
+    rows = upto.withColumn("tick", F.format_string(f"{run}-%08d", at))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PASS_TASK_ROWS)
+    # a tick's rows lie together; one with very many ties is split
+    rows = rows.repartitionByRange(min(tasks, max(1, n // limit)), "tick", "tenant_id", "session_id", "feature_window")
+    payloads = to_payload_json(payload_struct(rows, keep=("tick",)), keep=("tick",))
+    payloads.select("value", "tick").write.mode("append").partitionBy("tick").text(sink_path)
+    save_cursor(spark, cursor_path, spark.range(1).select(last).first()[0])
+    return n
+
+
 def emit_since(spark: SparkSession, features: DataFrame, cursor_path: str, sink_path: str,
-               limit: int = 1000, start=dt.datetime(1970, 1, 1)) -> int:
+               limit: int = 1000, start=dt.datetime(1970, 1, 1), all_due: bool = False) -> int:
     """A5: one tick. Emit, then commit the cursor only if something was emitted.
 
     A failed tick leaves the cursor where it was, so rows are emitted at least
     once. A missing cursor starts from ``start`` (the beginning), not "now".
+    With ``all_due`` the ticks that are due (up to ``ticks.PASS_TICKS``) are emitted in one pass, with the
+    rows that each would have had alone, and the cursor is committed after the last.
     """
     since = load_cursor(spark, cursor_path, start)
+    if all_due and limit is not None and limit > 0:
+        return _emit_pass(spark, read_since(features, since), cursor_path, sink_path, limit)
     rows = read_since(features, since, limit).persist()
     try:
         n = rows.count()

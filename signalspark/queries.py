@@ -946,11 +946,11 @@ def q_stream_payloads(spark, sf_dir):
 
 @query("emit_ticks")
 def q_emit_ticks(spark, sf_dir):
-    """A5 + A6: ticks of 1000 from a committed cursor until nothing is left; payloads read back."""
+    """A5 + A6: ticks of 1000 from a committed cursor until nothing is left, all that are due in a pass; payloads read back."""
     root = work_dir(spark, "emit")
     store.write_features(fs.build_feature_set(signals(spark, sf_dir)), f"{root}/table", fmt="parquet")
     feats = store.read_features(spark, f"{root}/table")
-    while em.emit_since(spark, feats, f"{root}/cursor", f"{root}/out", limit=EMIT_LIMIT) > 0:
+    while em.emit_since(spark, feats, f"{root}/cursor", f"{root}/out", limit=EMIT_LIMIT, all_due=True) > 0:
         pass
     return spark.read.text(f"{root}/out")
 
