@@ -74,17 +74,26 @@ def _unknown(keys: Column, known: list[str]) -> Column:
                     lambda k: ~F.array_contains(allowed, F.lower(k)))
 
 
+def _maybe_unknown(text: Column, known: list[str]) -> Column:
+    """Whether JSON text may hold a key, at any depth, that is not spelled as one of ``known``: most texts hold none
+    and need no parse for their keys."""
+    return text.rlike('"(?!(?:' + "|".join(known) + r')")[^"\\]*"\s*:') | F.contains(text, F.lit("\\"))
+
+
 def unknown_fields(top: Column) -> Column:
     """True if any object level carries a key outside the contract.
 
     ``top`` is the payload parsed as ``map<string,string>``; nested objects
-    arrive as their JSON text and are parsed only here (they are small).
+    arrive as their JSON text and are parsed only here (they are small), and only
+    if they may hold such a key.
     """
     dev = F.from_json(top["device"], "map<string,string>", STRICT)
     beh = F.from_json(top["behavioral"], "array<map<string,string>>", STRICT)
-    return (_unknown(F.map_keys(top), TOP_KEYS)
-            | _unknown(F.map_keys(dev), DEVICE_KEYS)
-            | F.coalesce(F.exists(beh, lambda m: _unknown(F.map_keys(m), BEHAVIORAL_KEYS)), F.lit(False)))
+    in_device = F.when(_maybe_unknown(top["device"], DEVICE_KEYS), _unknown(F.map_keys(dev), DEVICE_KEYS))
+    in_behavioral = F.when(_maybe_unknown(top["behavioral"], BEHAVIORAL_KEYS),
+                           F.exists(beh, lambda m: _unknown(F.map_keys(m), BEHAVIORAL_KEYS)))
+    return (_unknown(F.map_keys(top), TOP_KEYS) | F.coalesce(in_device, F.lit(False))
+            | F.coalesce(in_behavioral, F.lit(False)))
 
 
 _ALL_KEYS = "|".join(sorted(set(TOP_KEYS + DEVICE_KEYS + BEHAVIORAL_KEYS), key=len, reverse=True))
@@ -115,10 +124,12 @@ def parse_once(raw: DataFrame, data: str = "data") -> DataFrame:
     """
     d = F.when(F.octet_length(F.col(data)) <= MAX_PAYLOAD_BYTES, F.col(data))
     d = F.when(d.rlike(CASE_VARIANT_KEY), _normalise_keys(d)).otherwise(d)
+    raw = raw.select("*", F.inline(F.array(F.struct(d.alias("_d")))))  # three parses read it: tested for keys once
+    d = F.col("_d")
     parsed = F.struct(F.from_json(d, PARSE_SCHEMA, PARSE_OPTS).alias("_p"),
                       F.from_json(d, "map<string,string>", STRICT).alias("_top"),
                       F.when(d.rlike(NON_STRING_VALUE), wrong_types(d)).otherwise(False).alias("_wrong"))
-    return raw.select("*", F.inline(F.array(parsed)))
+    return raw.select("*", F.inline(F.array(parsed))).drop("_d")
 
 
 def _blank(c: Column) -> Column:
@@ -152,7 +163,9 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
     data = F.col("data")
     df = parse_once(raw.withColumn("tenant_id_hint", tenant_hint("stream")))
     p, top = F.col("_p"), F.col("_top")
-    trimmed = F.btrim(data, F.lit(JSON_SPACE))
+    too_large = F.octet_length(data) > MAX_PAYLOAD_BYTES
+    # a payload over the cap is neither blank nor a literal; trimming it costs more than all other rules
+    trimmed = F.when(too_large, data).otherwise(F.btrim(data, F.lit(JSON_SPACE)))
     is_null_literal = trimmed == "null"  # decodes to an empty signal, no error
     raw_ts = F.when(p["ts"].rlike(RFC3339), p["ts"].try_cast("timestamp"))
     ts = F.when(raw_ts.isNull() | (raw_ts == F.lit(ZERO_TS).cast("timestamp")), F.col("ingest_ts")) \
@@ -162,7 +175,7 @@ def classify(raw: DataFrame, wire_compat: bool = False, admitted: Column | None
     # every rule is evaluated once per row, inside a Generate; outcome and reason
     # below only combine these plain columns
     rules = F.struct(
-        (F.octet_length(data) > MAX_PAYLOAD_BYTES).alias("_too_large"),
+        too_large.alias("_too_large"),
         (data.isNull() | (trimmed == "")).alias("_empty"),
         (top.isNull() & ~is_null_literal).alias("_not_object"),
         ((p[CORRUPT].isNotNull() & ~is_null_literal) | (p["ts"].isNotNull() & raw_ts.isNull())
@@ -214,15 +227,25 @@ def parse_and_split(raw: DataFrame, strict: bool = True, wire_compat: bool = Fal
     return split_classified(classify(raw, wire_compat), strict)
 
 
+def lands(strict: bool = True) -> tuple[Column, str]:
+    """Whether a classified row lands, and the column that holds what lands of it."""
+    if strict:
+        return F.col("outcome") == "accepted", "sig"
+    # the original landing rule: parsed with an event id, body values as sent
+    return F.col("body.event_id").isNotNull(), "body"
+
+
+def landing_columns(c: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """What :func:`split_classified` needs of a classified frame: the signal of a row that lands, the raw text of others."""
+    ok, kept = lands(strict)
+    return c.select(*keep, *(["ingest_ts"] if "ingest_ts" not in keep else []), "tenant_id_hint", "outcome", "reason",
+                    F.when(ok, F.col(kept)).alias(kept), F.when(~ok, F.col("data")).alias("data"))
+
+
 def split_classified(c: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()):
     """:func:`parse_and_split` on an already classified frame; good rows also ``keep`` these columns."""
-    if strict:
-        ok = F.col("outcome") == "accepted"
-        good_sig = F.col("sig")
-    else:
-        # the original landing rule: parsed with an event id, body values as sent
-        ok = F.col("body.event_id").isNotNull()
-        good_sig = F.col("body")
+    ok, kept = lands(strict)
+    good_sig = F.col(kept)
     good = c.filter(ok).select(good_sig.alias("s"), *keep).select("s.*", *keep).withColumn("dt", F.to_date("ts"))
     bad = c.filter(~ok).select(
         "tenant_id_hint", F.col("data").alias("raw"),

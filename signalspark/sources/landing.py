@@ -127,15 +127,15 @@ def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: str,
     if dedup or quota:
         from signalspark.sources.guarded import land_guarded
         return land_guarded(raw, landed_path, bad_path, batch_id, strict, quota, wire_compat)
-    from signalspark.operators.ingest import classify, split_classified
-    c = classify(raw, wire_compat).persist()
+    from signalspark.operators.ingest import classify, landing_columns, lands, split_classified
+    c = landing_columns(classify(raw, wire_compat), strict).persist()
     try:
         good, bad = split_classified(c, strict=strict)
         write_landed(good, landed_path, batch_id)
         write_quarantine(bad, bad_path, batch_id)
         # counted from the persisted rows: an observation of a frame that turns out empty has no value
-        rows, refused = good.count(), bad.count()
+        rows, every = c.agg(F.count_if(lands(strict)[0]), F.count(F.lit(1))).first()
     finally:
         c.unpersist()
     return {"landed": landed_path, "quarantine": bad_path, "batch_id": batch_id, "landed_rows": rows,
-            "quarantined_rows": refused}
+            "quarantined_rows": every - rows}

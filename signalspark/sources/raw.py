@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalspark.schema import RAW_ENVELOPE, STREAM_PREFIX
-from signalspark.sources.events import load_signals
+from signalspark.sources.events import load_signals, read_table
 
 # --- fixed values of the raw fixture: event_id % 97 -> fault ---
 FAULT_MOD = 97
@@ -90,16 +90,29 @@ def raw_from_records(records: DataFrame, stream_col: str = "topic", value_col: s
     )
 
 
+#: events of a partition of raw entries: below 100 MB of payloads, however many events there are
+PARTITION_EVENTS = 50_000
+
+
+def raw_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of the fixture: the session's default parallelism, more when there are many events."""
+    events = read_table(spark, sf_dir, "events").count()  # from the files' footers
+    return max(spark.sparkContext.defaultParallelism, -(-events // PARTITION_EVENTS))
+
+
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw-entry fixture, spread over the session's default parallelism like a
-    real many-partition source."""
-    return raw_from_signals(load_signals(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism))
+    """The raw-entry fixture, spread like a real many-partition source."""
+    return raw_from_signals(load_signals(spark, sf_dir, partitions=raw_partitions(spark, sf_dir)))
+
 
+def write_raw_files(raw: DataFrame, path: str, files: int | None = None, share: int = 1) -> None:
+    """Land raw entries as JSON-lines files (the file form of a stream source).
 
-def write_raw_files(raw: DataFrame, path: str, files: int | None = None) -> None:
-    """Land raw entries as JSON-lines files (the file form of a stream source)."""
-    out = raw.repartition(files) if files else raw
-    out.write.mode("overwrite").option("timestampFormat", TS_FORMAT).json(path)
+    With ``share`` above 1 each of the ``files`` is that many, compressed and written where the rows are, unshuffled.
+    """
+    out = raw if not files else raw.repartition(files) if share == 1 else raw.coalesce(files * share)
+    w = out.write.mode("overwrite").option("timestampFormat", TS_FORMAT)
+    (w if share == 1 else w.option("compression", "gzip")).json(path)
 
 
 def read_raw_files(spark: SparkSession, path: str, stream: bool = False,

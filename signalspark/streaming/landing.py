@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalspark.operators.ingest import classify, split_classified
+from signalspark.operators.ingest import classify, landing_columns, split_classified
 from signalspark.sources.landing import land_batch, stream_batch_id, write_landed, write_quarantine
 
 
@@ -46,7 +46,7 @@ def start_landing(raw_stream: DataFrame, landed_path: str, bad_path: str, checkp
     if dedup or quota:
         w = src.writeStream.foreachBatch(guarded)
     else:  # the rules are analysed once, with the query, not in every micro-batch
-        w = classify(src, wire_compat).writeStream.foreachBatch(plain)
+        w = landing_columns(classify(src, wire_compat), strict).writeStream.foreachBatch(plain)
     w = w.option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
