@@ -34,7 +34,7 @@ from signalspark.sources import guarded as gd
 from signalspark.sources import landing as land
 from signalspark.sources.events import BASE_US, load_signals, with_signals
 from signalspark.sources.raw import TS_FORMAT as RAW_TS_FORMAT
-from signalspark.sources.raw import entries_sql, load_raw, raw_from_records, read_raw_files, write_raw_files
+from signalspark.sources.raw import entries_sql, load_raw, raw_from_records, raw_partitions, read_raw_files, write_raw_files
 from signalspark.sources.replay import replay_quarantine
 from signalspark.streaming import feature_state as fstate
 from signalspark.streaming import features as sf
@@ -411,6 +411,13 @@ def q_quota_requests(spark, sf_dir):
 STREAM_TIMEOUT_S = 600
 
 
+def _raw_files(spark: SparkSession, sf_dir: str, path: str, files: int, rows: DataFrame | None = None) -> int:
+    """Write the fixture (or some ``rows`` of it) as ``files`` times as many raw files as the number returned."""
+    share = max(1, raw_partitions(spark, sf_dir) // files)
+    write_raw_files(load_raw(spark, sf_dir) if rows is None else rows, path, files, share)
+    return share
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """Land the raw fixture once (batch path) and return the landed table path."""
     root = work_dir(spark, "landed")
@@ -469,8 +476,8 @@ def q_quarantine_replay_landed(spark, sf_dir):
 def q_stream_landing(spark, sf_dir):
     """File-source stream -> classify -> foreachBatch(landed, quarantine) with checkpoint."""
     root = work_dir(spark, "stream-landing")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
-    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2),
+    share = _raw_files(spark, sf_dir, f"{root}/raw", files=4)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2 * share),
                       f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint")
     sf.run_to_end(q, STREAM_TIMEOUT_S)
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
@@ -485,8 +492,8 @@ def q_compacted_landing(spark, sf_dir):
     root, raw = work_dir(spark, "compacted"), load_raw(spark, sf_dir)
     arrived = F.xxhash64("entry_id") % 4 == 0
     for part, rows in (("first", raw.filter(~arrived)), ("second", raw.filter(arrived))):
-        write_raw_files(rows, f"{root}/raw-{part}", files=3)
-        src = read_raw_files(spark, f"{root}/raw-{part}", stream=True, max_files_per_trigger=1)
+        share = _raw_files(spark, sf_dir, f"{root}/raw-{part}", files=3, rows=rows)
+        src = read_raw_files(spark, f"{root}/raw-{part}", stream=True, max_files_per_trigger=share)
         sf.run_to_end(start_landing(src, f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint-{part}"), STREAM_TIMEOUT_S)
         land.compact_landed(spark, f"{root}/landed", keep=timedelta())
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt", "event_id", "ts").agg(F.count(F.lit(1)).alias("n"))
@@ -503,7 +510,7 @@ FROM placed, bound WHERE v_outcome = 'accepted' GROUP BY 1, 2"""))
 def q_stream_bounded_landing(spark, sf_dir):
     """Rows landed by tick where a tick takes a quarter of the longest stream's entries, and no more, from every stream."""
     root = work_dir(spark, "stream-bounded")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    _raw_files(spark, sf_dir, f"{root}/raw", files=4)
     raw = read_raw_files(spark, f"{root}/raw")
     most = raw.groupBy("stream").count().agg(F.max("count")).first()[0] // 4 + 1
     paths = (f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint")
@@ -522,8 +529,8 @@ WHERE v_outcome = 'accepted' AND ingest_ts >= TIMESTAMP '{LANDING_START}' GROUP
 def q_stream_landing_from(spark, sf_dir):
     """S3: stream landing from a start position; entries that arrived before it do not land."""
     root = work_dir(spark, "stream-landing-from")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
-    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2), f"{root}/landed",
+    share = _raw_files(spark, sf_dir, f"{root}/raw", files=4)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2 * share), f"{root}/landed",
                       f"{root}/bad", f"{root}/_checkpoint", start_from=LANDING_START)
     sf.run_to_end(q, STREAM_TIMEOUT_S)
     return land.read_landed(spark, f"{root}/landed").groupBy("tenant_id", "dt").agg(F.count(F.lit(1)).alias("n"))
@@ -669,8 +676,8 @@ SELECT tenant_id, v_outcome AS outcome, count(*) AS n FROM ent GROUP BY 1, 2""")
 def q_stream_outcome_counts(spark, sf_dir):
     """V16 on a stream: complete-mode counters per (tenant, outcome), snapshot per micro-batch."""
     root = work_dir(spark, "stream-outcomes")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
-    q = start_outcome_counts(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2),
+    share = _raw_files(spark, sf_dir, f"{root}/raw", files=4)
+    q = start_outcome_counts(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=2 * share),
                              f"{root}/out", f"{root}/_ck")
     sf.run_to_end(q, STREAM_TIMEOUT_S)
     return spark.read.parquet(f"{root}/out")
@@ -683,7 +690,7 @@ def q_stream_replay_guard(spark, sf_dir):
     """V14 on a stream, exact: the fold as applyInPandasWithState (one timestamp of state per key,
     event-time timeout after the TTL)."""
     root = work_dir(spark, "stream-guard")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    _raw_files(spark, sf_dir, f"{root}/raw", files=4)
     c = ing.classify(read_raw_files(spark, f"{root}/raw", stream=True)).filter(F.col("outcome") == "accepted")
     e = c.select(F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"),
                  "entry_id", "ingest_ts")
@@ -697,7 +704,7 @@ SELECT tenant_id, sec, n, admitted FROM qr"""))
 def q_stream_quota(spark, sf_dir):
     """V18 on a stream: the token bucket as a stateful fold per tenant (applyInPandasWithState)."""
     root = work_dir(spark, "stream-quota")
-    write_raw_files(load_raw(spark, sf_dir), f"{root}/raw", files=4)
+    _raw_files(spark, sf_dir, f"{root}/raw", files=4)
     raw = read_raw_files(spark, f"{root}/raw", stream=True).withColumn("tenant_id", ing.tenant_hint("stream"))
     q = sf.start_append(quota_stateful(raw, QUOTA_RPS, QUOTA_BURST), f"{root}/out", f"{root}/_ck")
     sf.run_to_end(q, STREAM_TIMEOUT_S)
@@ -708,8 +715,9 @@ def q_stream_quota(spark, sf_dir):
 BATCHES = 4
 
 
-def _arrive(spark: SparkSession, sf_dir: str, path: str, in_order: bool) -> None:
-    """Raw entries as JSON files of ``BATCHES`` micro-batches, by arrival time or shuffled (up to 54 h late)."""
+def _arrive(spark: SparkSession, sf_dir: str, path: str, in_order: bool) -> int:
+    """Raw entries as JSON files of ``BATCHES`` micro-batches, by arrival time or shuffled (up to 54 h late); returns the
+    files of a micro-batch."""
     raw = checkpoint_table(load_raw(spark, sf_dir), "arriving")
     if in_order:
         # one second never spans two micro-batches, as a bucket judges a second at once
@@ -717,16 +725,18 @@ def _arrive(spark: SparkSession, sf_dir: str, path: str, in_order: bool) -> None
         batch = sum((F.unix_seconds("ingest_ts") > c).cast("int") for c in cuts)
     else:
         batch = F.pmod(F.xxhash64("stream", "entry_id"), F.lit(BATCHES))
+    share = max(1, raw_partitions(spark, sf_dir) // BATCHES // BATCHES)
     for i in range(BATCHES):
-        (raw.filter(batch == i).repartition(BATCHES).write.mode("append").option("timestampFormat", RAW_TS_FORMAT)
-         .json(path))
+        (raw.filter(batch == i).repartition(BATCHES * share).write.mode("append").option("timestampFormat", RAW_TS_FORMAT)
+         .option("compression", "gzip").json(path))
+    return BATCHES * share
 
 
 def _guarded_stream(spark: SparkSession, sf_dir: str, name: str, quota=None) -> str:
     """Stream landing behind the guards over several micro-batches; the landed table's path."""
     root = work_dir(spark, name)
-    _arrive(spark, sf_dir, f"{root}/raw", in_order=quota is not None)
-    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=BATCHES),
+    files = _arrive(spark, sf_dir, f"{root}/raw", in_order=quota is not None)
+    q = start_landing(read_raw_files(spark, f"{root}/raw", stream=True, max_files_per_trigger=files),
                       f"{root}/landed", f"{root}/bad", f"{root}/_checkpoint", dedup=True, quota=quota)
     sf.run_to_end(q, STREAM_TIMEOUT_S)
     return f"{root}/landed"
