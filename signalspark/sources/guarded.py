@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from signalspark.functions.windows import interval_micros
 from signalspark.operators.dedup import TTL, replay_guard
-from signalspark.operators.ingest import classify, split_classified, tenant_hint
+from signalspark.operators.ingest import classify, landing_columns, split_classified, tenant_hint
 from signalspark.operators.quota import BUCKET, admit
 from signalspark.session import checkpoint_table
 from signalspark.sources import files
@@ -102,7 +102,10 @@ def land_guarded(raw: DataFrame, landed: str, bad: str, batch_id: str, strict: b
         raw, buckets = admit(raw.withColumn("_tenant", tenant_hint("stream")), *quota, tenant_col="_tenant", initial=buckets)
         raw, admitted = raw.drop("_tenant"), F.col("admitted")
         _write(buckets, landed, "quota", seq)
-    entries = checkpoint_table(classify(raw, wire_compat, admitted), "landing-classified")
+    judged = classify(raw, wire_compat, admitted)
+    if strict:  # else what lands is the body as sent, and the guard needs the signal beside it
+        judged = landing_columns(judged, strict, tuple(ENTRY))
+    entries = checkpoint_table(judged, "landing-classified")
 
     ok = entries.filter(F.col("outcome") == "accepted").select(
         F.col("sig.tenant_id").alias("tenant_id"), F.col("sig.event_id").alias("event_id"), *ENTRY)
