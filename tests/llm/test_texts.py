@@ -197,6 +197,37 @@ def test_lines(spark):
     assert lines.report(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("narrow", [True, False])
+def test_lines_of_many_words_share_one_shuffle(spark, monkeypatch, narrow):
+    """Near copies around the length where parities fold, with places as longs and as decimals; one shuffle of entries."""
+    rng = random.Random(29)
+    base = [[f"l{i}w{c}" for c in range(rng.randint(36, 62))] for i in range(12)]
+    rows = []
+    for i in range(50):
+        some = []
+        for _ in range(3):
+            words = list(rng.choice(base))
+            for _ in range(rng.randint(0, 9)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(999)}"
+            some.append(" ".join(words[:len(words) - rng.randint(0, 4)]))
+        rows.append((7 * i - 100, "\n".join(some)))
+    if not narrow:
+        monkeypatch.setattr(lines, "_within", lambda *_: None)
+    plans, write = [], lines.checkpoint_table
+
+    def spy(df, name):
+        if name == "line-pairs" and not plans:
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(lines, "checkpoint_table", spy)
+    want = brute_lines(rows)
+    for r in lines.report(frame(spark, rows).drop("removed")).collect():
+        assert set(r.removed) == want[r.doc_id], r
+    assert "ReusedExchange" in plans[0]
+
+
 def test_alignment_in_the_band():
     def edits(a, b):
         row = list(range(len(b) + 1))
