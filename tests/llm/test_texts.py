@@ -332,6 +332,23 @@ def test_encoder_equals_the_library():
             assert lib.encode_all([t.encode() for t in some]) == [lib.direct(t) for t in some]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_full_memos_keep_what_is_met_again(monkeypatch, name):
+    """Runs of letters outlive a full memo; new ones are encoded together with the library's ids."""
+    from signalspark.llm import tokens
+
+    monkeypatch.setattr(tokens, "MEMO", 3)
+    monkeypatch.setattr(tokens, "LETTERS", 3)
+    lib, asked = Encoder(vocabulary(name)), []
+    encode = lib._encode_letters
+    monkeypatch.setattr(lib, "_encode_letters", lambda runs: (asked.extend(runs), encode(runs)))
+    first, second = "a haanth reoush hewh onahe Äöü", "b haanth, reoush. hewh! onahe? newrun Äöü;"
+    assert lib.encode_all([first.encode()]) == [lib.direct(first)]
+    asked.clear()
+    assert lib.encode_all([second.encode()]) == [lib.direct(second)]
+    assert b"newrun" in asked and not {b"haanth", b"reoush", b"hewh", b"onahe"} & {*asked}
+
+
 def test_first_fit_decreasing():
     rng = np.random.default_rng(19)
     lengths = rng.integers(1, 101, 300)
