@@ -14,11 +14,12 @@ Texts with equal words form one node first; only nodes go on. In a bucket every
 is compared with the bucket's smallest one, unless an earlier share of the buckets has
 brought both into one component, then every node of another component than
 the best-linked other one with that one, which finds groups around one text. Last, all
-pairs of a bucket that are still in different components are compared, so no link
-between nodes that met is lost for the classes; only this step can grow with the square
-of a bucket, for texts that share a passage without being near. Before any alignment
-the word parities of two texts bound their edits from below; the bound is exact and
-needs no texts. Buckets and nodes have no cap. Classes are the connected components of
+pairs of a bucket that are still in different components are held against an exact bound, and those
+it leaves open are aligned, each pair in the first bucket that both share only; so no link
+between nodes that met is lost for the classes. The bound needs no texts: the word parities of two
+texts bound their edits from below, in as many cells as long texts need. Its comparisons, a few words of
+memory each, still grow with the square of a bucket of several components; rows and alignments are made
+for the pairs that are near or almost so. Buckets and nodes have no cap. Classes are the connected components of
 the verified links, found by label propagation with pointer jumping in tables under the
 checkpoint folder.
 
@@ -50,10 +51,12 @@ SEED = 2_002
 _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(1, 2**63, TABLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PARITIES = 16  # longs of word parities a text
-BLOCK = 256  # nodes of a bucket that one group of the last step takes from each side
+CELLS = 8  # cells of the finer parities a word, at least
+MOST_CELLS = 1 << 16
+BLOCK = 2048  # nodes of a bucket that one group of the last step takes from each side
 #: bounds of the shares of all buckets that the rounds take, the last one being all
 ROUNDS = (1, 4, 16)
-_SKETCH = "place long, r1 long, r2 long, n_words int, keys array<long>, parities array<long>"
+_SKETCH = "place long, r1 long, r2 long, n_words int, keys array<long>, parities array<long>, fine binary"
 
 
 def place(key: str, text: str) -> Column:
@@ -61,15 +64,21 @@ def place(key: str, text: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.xxhash64(F.col(text)))
 
 
+def labelled(grams: np.ndarray) -> np.ndarray:
+    """The k-mers with occurrence labels: the n-th copy of one is a symbol of its own."""
+    _, first, label, count = np.unique(grams, return_index=True, return_inverse=True, return_counts=True)
+    if len(first) == len(grams):
+        return grams
+    order = np.argsort(label, kind="stable")
+    nth = np.arange(len(grams)) - np.repeat(np.cumsum(count) - count, count)
+    labels = np.empty(len(grams), np.uint64)
+    labels[order] = nth.astype(np.uint64)
+    return np.where(labels > 0, mix(grams + labels * np.uint64(0xA0761D6478BD642F)), grams)
+
+
 def order_min_hash(grams: np.ndarray, tag: int) -> np.ndarray:
     """The bucket of each table for one text's k-mers."""
-    _, first, label, count = np.unique(grams, return_index=True, return_inverse=True, return_counts=True)
-    if len(first) < len(grams):  # occurrence labels: the n-th copy of a k-mer is a symbol of its own
-        order = np.argsort(label, kind="stable")
-        nth = np.arange(len(grams)) - np.repeat(np.cumsum(count) - count, count)
-        labels = np.empty(len(grams), np.uint64)
-        labels[order] = nth.astype(np.uint64)
-        grams = np.where(labels > 0, mix(grams + labels * np.uint64(0xA0761D6478BD642F)), grams)
+    grams = labelled(grams)
     take = min(SAMPLED, len(grams))
     keys = np.empty(TABLES, np.uint64)
     step = max(1, (1 << 19) // len(grams))  # bounded arrays for long texts
@@ -87,17 +96,26 @@ def order_min_hash(grams: np.ndarray, tag: int) -> np.ndarray:
 
 
 def word_parities(words: np.ndarray) -> np.ndarray:
-    """Bits that tell for each hashed class of words whether a text has an odd number of them.
+    """Bits that tell for each hashed class of occurrence-labelled words whether a text has an odd number of them,
+    as bytes.
 
-    A substitution flips at most two bits, an insertion or deletion one.
+    A substitution flips at most two bits, an insertion or deletion one. Without the labels a word
+    that one text holds twice more than the other would not tell. There are at least ``CELLS`` classes a
+    word (up to ``MOST_CELLS``), else most differences of long texts would cancel out.
     """
-    odd = np.bincount((mix(words) >> np.uint64(40)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    cells = max(64 * PARITIES, min(MOST_CELLS, 1 << (CELLS * len(words)).bit_length()))
+    odd = np.bincount((mix(labelled(words)) >> np.uint64(40)).astype(np.int64) % cells, minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def folded(parities: np.ndarray) -> np.ndarray:
+    """The parities of the first ``64 * PARITIES`` classes, as longs."""
+    return np.bitwise_xor.reduce(parities.reshape(-1, 8 * PARITIES), axis=0).view(np.int64)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("place", pa.int64()), ("r1", pa.int64()), ("r2", pa.int64()), ("n_words", pa.int32()),
-                        ("keys", pa.list_(pa.int64())), ("parities", pa.list_(pa.int64()))])
+                        ("keys", pa.list_(pa.int64())), ("parities", pa.list_(pa.int64())), ("fine", pa.binary())])
     none = np.empty(0, np.int64)
     forget_encoders()
     for batch in batches:
@@ -111,7 +129,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(words ^ mix(at + c)))]) for c in
                     (np.uint64(0x5EED), np.uint64(0xFACE))]
             r1, r2 = (mix(s[cut[1:]] - s[cut[:-1]] + counts.astype(np.uint64)) for s in sums)
-            keys, odd, seen = [], [], {}
+            keys, odd, fine, seen = [], [], [], {}
             for i, n in enumerate(counts.tolist()):
                 root = (int(r1[i]), int(r2[i]))
                 if root not in seen:
@@ -120,13 +138,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         own.append(order_min_hash(grams[K][a:a + n - K + 1], 0))
                     if K <= n < SHORT:
                         own.append(order_min_hash(words[a:a + n], TABLES))
-                    seen[root] = np.concatenate(own), word_parities(words[a:a + n])
-                keys.append(seen[root][0])
-                odd.append(seen[root][1])
+                    bits = word_parities(words[a:a + n])
+                    seen[root] = np.concatenate(own), folded(bits), bits.tobytes()
+                for column, value in zip((keys, odd, fine), seen[root]):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [part.column("place"), pa.array(r1.view(np.int64)), pa.array(r2.view(np.int64)),
                  pa.array(counts.astype(np.int32)), pa.array(keys, schema.field("keys").type),
-                 pa.array(odd, schema.field("parities").type)], schema=schema)
+                 pa.array(odd, schema.field("parities").type), pa.array(fine, pa.binary())], schema=schema)
 
 
 def edits_within(a: list, b: list, most: int) -> bool:
@@ -184,7 +203,103 @@ def _possible(a: str, b: str, threshold: float) -> Column:
     most = ((1 - threshold) * F.greatest(n, m) + 1e-9).cast("int")
     apart = sum((F.bit_count(F.col(f"{a}.parities")[i].bitwiseXOR(F.col(f"{b}.parities")[i])) for i in range(PARITIES)),
                 F.lit(0))
-    return (F.abs(n - m) <= most) & (apart <= 2 * most)
+    # edits are at least the words that either text lacks, of which the longer one has |n - m| more
+    return (F.abs(n - m) <= most) & (apart + F.abs(n - m) <= 2 * most)
+
+
+def _halved(bits: int, cells: int, to: int) -> int:
+    """Parities of ``cells`` classes as those of ``to`` classes."""
+    while cells > to:
+        cells //= 2
+        bits = bits >> cells ^ bits & (1 << cells) - 1
+    return bits
+
+
+def open_pairs(key: int, across: bool, node: np.ndarray, label: np.ndarray, side: np.ndarray, n: np.ndarray,
+               coarse: np.ndarray, fine: list[bytes], keys: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Pairs (larger, smaller) of a bucket's nodes, of different components, that the bounds leave open.
+
+    ``across``: only pairs of nodes with different ``side``. A pair counts in the first bucket that both share.
+    """
+    order = np.argsort(n, kind="stable")
+    node, label, side, n, coarse = node[order], label[order], side[order], n[order], coarse[order]
+    most = ((1 - threshold) * n + 1e-9).astype(np.int64)
+    ends = np.searchsorted(n - most, n, side="right")  # longer texts that the lengths allow
+    room = lambda x, y: 2 * most[y] - (n[y] - n[x])  # noqa: E731  as in _possible
+    xs, ys = [], []
+    for x, end in enumerate(ends.tolist()):
+        may = label[x + 1:end] != label[x]
+        if across:
+            may &= side[x + 1:end] != side[x]
+        y = np.flatnonzero(may) + x + 1
+        y = y[np.bitwise_count(coarse[x] ^ coarse[y]).sum(axis=1, dtype=np.int64) <= room(x, y)]
+        xs.append(np.full(len(y), x))
+        ys.append(y)
+    xs, ys = np.concatenate(xs), np.concatenate(ys)
+    if not len(xs):
+        return []
+    width = max(len(keys[i]) for i in order)
+    table, known = np.zeros((len(order), width), np.int64), np.zeros((len(order), width), bool)
+    for r, i in enumerate(order):
+        table[r, :len(keys[i])], known[r, :len(keys[i])] = keys[i], True
+    whole: dict[tuple[int, int], int] = {}
+
+    def bits(x: int, cells: int) -> int:
+        if (x, cells) not in whole:
+            data = fine[order[x]]
+            whole[x, cells] = _halved(int.from_bytes(data, "little"), 8 * len(data), cells)
+        return whole[x, cells]
+
+    found = []
+    for at in range(0, len(xs), 1 << 14):  # bounded arrays
+        x, y = xs[at:at + (1 << 14)], ys[at:at + (1 << 14)]
+        same = (table[x] == table[y]) & known[x] & known[y]
+        first = same.argmax(axis=1)
+        here = (table[x, first] == key) | ~same[np.arange(len(x)), first]
+        for a, b in zip(x[here].tolist(), y[here].tolist()):
+            cells = 8 * min(len(fine[order[a]]), len(fine[order[b]]))
+            if (bits(a, cells) ^ bits(b, cells)).bit_count() <= room(a, b):
+                found.append((max(node[a], node[b]), min(node[a], node[b])))
+    return found
+
+
+def _open_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): ``open_pairs`` of all groups of ``rows`` (key, i, j, own, node, label, bound, fine, keys)."""
+    def of_group(name: tuple[int, int, int], parts: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+        t = pa.Table.from_batches(parts).combine_chunks()
+        node, label, own, n = (t.column(c).to_numpy() for c in ("node", "label", "own", "n_words"))
+        if label.min() == label.max():
+            return []
+        coarse = np.stack([np.asarray(p, np.int64) for p in t.column("parities").to_pylist()]).view(np.uint64)
+        keys = [np.asarray(k, np.int64) for k in t.column("keys").to_pylist()]
+        return open_pairs(name[0], name[1] != name[2], node, label, own, n.astype(np.int64), coarse,
+                          t.column("fine").to_pylist(), keys, threshold)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+
+        def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[c] for p in pairs], pa.int64()) for c in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            pairs = []
+            for low, high in zip(cuts, cuts[1:]):
+                name = tuple(names[:, low].tolist())
+                if name != now:
+                    pairs += of_group(now, parts) if parts else []
+                    now, parts = name, []
+                parts.append(batch.slice(low, high - low))
+            yield out(pairs)
+        if parts:
+            yield out(of_group(now, parts))
+
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.select("key", "i", "j", "own", "node", "label", "bound.n_words", "bound.parities", "fine", "keys").mapInArrow(
+        compare, "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -243,11 +358,12 @@ def _text_classes(numbered: DataFrame, threshold: float) -> DataFrame:
     entries = sketched.select(F.col("place").alias("node"), F.explode("keys").alias("key"))
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = checkpoint_table(entries.join(hubs.select("key", "hub"), "key"), "met")
-    bounds = checkpoint_table(sketched.join(met.select(F.col("node").alias("place")).distinct(), "place", "left_semi")
-                              .select(F.col("place").alias("node"), F.struct("n_words", "parities").alias("bound")), "bounds")
+    bounds = checkpoint_table(sketches.join(met.select(F.col("node").alias("place")).distinct(), "place", "left_semi")
+                              .dropDuplicates(["place"]).select(F.col("place").alias("node"), F.struct("n_words", "parities").alias("bound"), "fine", "keys"), "bounds")
+    short = bounds.select("node", "bound")
 
     def judged(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = (pairs.distinct().join(bounds.toDF("a", "bound_a"), "a").join(bounds.toDF("b", "bound_b"), "b")
+        pairs = (pairs.distinct().join(short.toDF("a", "bound_a"), "a").join(short.toDF("b", "bound_b"), "b")
                  .filter(_possible("bound_a", "bound_b", threshold)).select("a", "b"))
         pairs = checkpoint_table(pairs, f"{name}-pairs")
         ends = pairs.select(F.col("a").alias("place")).union(pairs.select("b")).distinct()
@@ -289,13 +405,8 @@ def _text_classes(numbered: DataFrame, threshold: float) -> DataFrame:
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    left = rest.select("key", F.col("own").alias("i"), F.col("other").alias("j"), F.col("node").alias("a"),
-                       F.col("label").alias("label_a"), F.col("bound").alias("bound_a"))
-    right = rest.select("key", F.col("other").alias("i"), F.col("own").alias("j"), F.col("node").alias("b"),
-                        F.col("label").alias("label_b"), F.col("bound").alias("bound_b"))
-    last = (left.hint("merge").join(right, (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-                                    & (F.col("a") > F.col("b")) & (F.col("label_a") != F.col("label_b"))
-                                    & _possible("bound_a", "bound_b", threshold)).select("a", "b").distinct())
+    rest = rest.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    last = _open_pairs(rest, threshold)
     done = done.unionByName(second).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     third = judged(last.join(done, ["a", "b"], "left_anti"), "links-rest").filter("near").select("a", "b")
     label = components(label.toDF("a", "b").unionByName(third))

@@ -319,6 +319,60 @@ def test_near_duplicates_around_one_text(spark):
     assert {r.class_id for r in near.classes(frame(spark, rows)).collect()} == {0}
 
 
+def test_bound_leaves_near_pairs_open():
+    """Word parities, in few or many cells, never rule out a near pair, and rule out long texts that differ by a third."""
+    rng, ruled_out = random.Random(29), 0
+    for trial in range(300):
+        n = rng.choice([40, 120, 130, 500, 1000])
+        a = [f"w{rng.randrange(n // 2)}" for _ in range(n)]
+        rate = rng.choice([0.1, 0.19, 0.34])
+        b = [x for x in ([f"x{rng.randrange(n)}"] if rng.random() < rate else [w] for w in a) for x in x if rng.random() > 0.02]
+        texts = [near._words(" ".join(t).encode()) for t in (a, b)]
+        bits = [near.word_parities(np.array(t, np.uint64)) for t in texts]
+        found = near.open_pairs(7, False, np.array([1, 2]), np.array([1, 2]), np.array([0, 0]), np.array([len(t) for t in texts]),
+                                np.stack([near.folded(b) for b in bits]).view(np.uint64), [b.tobytes() for b in bits],
+                                [np.array([5, 7, 8]), np.array([6, 7, 8])], near.THRESHOLD)
+        if near.near(*texts):
+            assert found == [(2, 1)]
+        ruled_out += n == 1000 and rate == 0.34 and not found
+    assert ruled_out >= 10
+
+
+@pytest.mark.parametrize("block", [near.BLOCK, 7])
+def test_pairs_of_long_texts_are_aligned_only_if_almost_near(spark, monkeypatch, block):
+    """Long texts that share most of their words, in one bucket, without being near; and a few that are."""
+    rng, rows, aligned = random.Random(37), [], []
+    centre = prose(rng, 800, 4000).split()
+    for i in range(60):
+        words = list(centre)
+        words[:160] = [f"m{i}x{c}" for c in range(160)]  # 0.8 to the centre's rest and 0.7 to each other
+        words[700:780] = [f"n{i // 2}x{c}" for c in range(80)]
+        rows.append((i, " ".join(words)))
+    for i in range(0, 60, 6):  # linked to one of them only
+        words = rows[i][1].split()
+        words[300:440] = [f"q{i}x{c}" for c in range(140)]
+        rows.append((len(rows), " ".join(words)))
+    judge = near._verified
+
+    def seen(pairs, texts, threshold):
+        aligned.append(pairs.count())
+        return judge(pairs, texts, threshold)
+
+    monkeypatch.setattr(near, "_verified", seen)
+    monkeypatch.setattr(near, "BLOCK", block)
+    words = [near._words(t.encode()) for _, t in rows]
+    label = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            if near.near(words[x], words[y]) and label[x] != label[y]:
+                low, high = sorted((label[x], label[y]))
+                label = [low if v == high else v for v in label]
+    placed = {r.place: r.class_id for r in near.classes(frame(spark, rows)).collect()}
+    assert placed == dict(enumerate(label))
+    assert len(set(label)) > 20
+    assert aligned[-1] <= len(rows)  # the last step's; the earlier ones make a few pairs a text and table
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(17)
     parts = ["a", "B", "é", "ñ", " ", "  ", "\n", "\t", "\r\n", " ", "　", " ", "1", "23", "'s", "'", "!",
