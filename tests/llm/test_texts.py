@@ -228,6 +228,30 @@ def test_lines_of_many_words_share_one_shuffle(spark, monkeypatch, narrow):
     assert "ReusedExchange" in plans[0]
 
 
+def line_plans(spark, monkeypatch):
+    """The physical plans of a line dedup, by the name of what they write."""
+    rng = random.Random(31)
+    base = [prose(rng, 20, 60) for _ in range(8)]
+    rows = [(i, "\n".join(rng.choice(base) + rng.choice(["", " more", " words"]) for _ in range(3))) for i in range(20)]
+    plans, write = {}, lines.checkpoint_table
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def spy(df, name):
+        plans[name] = plan(df)
+        return write(df, name)
+
+    monkeypatch.setattr(lines, "checkpoint_table", spy)
+    plans["report"] = plan(lines.report(frame(spark, rows).drop("removed")))
+    return plans
+
+
+def test_line_plans_hold_no_bitmaps(spark, monkeypatch):
+    """The driver prints and keeps every plan; the bitmaps of lines that met are no part of them."""
+    plans = line_plans(spark, monkeypatch)
+    assert "similar-lines" in plans
+    assert all(len(p) < 100_000 for name, p in plans.items() if name != "distinct-lines"), {n: len(p) for n, p in plans.items()}
+
+
 def test_alignment_in_the_band():
     def edits(a, b):
         row = list(range(len(b) + 1))
