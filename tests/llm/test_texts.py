@@ -252,6 +252,12 @@ def test_line_plans_hold_no_bitmaps(spark, monkeypatch):
     assert all(len(p) < 100_000 for name, p in plans.items() if name != "distinct-lines"), {n: len(p) for n, p in plans.items()}
 
 
+def test_lines_group_without_a_sort_and_are_read_once(spark, monkeypatch):
+    plans = line_plans(spark, monkeypatch)
+    assert "SortAggregate" not in plans["distinct-lines"]
+    assert "Generate posexplode" not in plans["similar-lines"] and "Generate posexplode" in plans["paired-lines"]
+
+
 def test_alignment_in_the_band():
     def edits(a, b):
         row = list(range(len(b) + 1))
