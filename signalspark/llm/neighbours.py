@@ -9,9 +9,9 @@ double precision, ties to the smaller id.
 
 The cell width is ``WIDTH`` times the median distance in a bounded sample of
 ``SAMPLE`` vectors; every vector is indexed. Buckets travel as packed chunks of
-vectors and of probing queries, joined by bucket, so a bucket that holds a third of
-all vectors is many rows that Spark may split; a task keeps only the best ``k`` of
-each query it meets. Equal vectors are indexed once with their ``k + 1`` smallest
+vectors and of probing queries, joined by bucket in a merge join (nothing that grows with
+the queries is broadcast), so a bucket that holds a third of all vectors is many rows that
+Spark may split; a task keeps only the best ``k`` of each query it meets. Equal vectors are indexed once with their ``k + 1`` smallest
 ids, which loses nothing because ties go to the smaller id. Queries that find fewer
 than ``k`` candidates are searched against all vectors, in blocks.
 
@@ -102,11 +102,11 @@ _SCHEMA = pa.schema([("bucket", pa.int64()), ("ids", pa.binary()), ("counts", pa
                      ("vectors", pa.binary()), ("dim", pa.int32())])
 
 
-def _flat(buckets: np.ndarray, which: np.ndarray, ids: list[list[int]], x: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each vector and bucket."""
+def _flat(buckets: np.ndarray, which: np.ndarray, ids: list[list[int]], x: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
+    """One row for each vector and bucket, with components of ``kind``."""
     names = [np.array(i, np.int64).tobytes() for i in ids]
     counts = [np.array([len(i)], np.int32).tobytes() for i in ids]
-    vectors = [v.tobytes() for v in x]
+    vectors = [v.tobytes() for v in x.astype(kind)]
     for i in range(0, len(buckets), 4096):
         some = which[i:i + 4096].tolist()
         yield pa.RecordBatch.from_arrays([
@@ -135,7 +135,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _hashed(vectors: DataFrame, width: float, probes: int | None, blocks: int = 0) -> DataFrame:
+def _hashed(vectors: DataFrame, width: float, probes: int | None, kind: str, blocks: int = 0) -> DataFrame:
     """Packed rows by bucket: of the index (``probes`` None) or of probing queries.
 
     With ``blocks`` the buckets are that many blocks: a vector is in one, a query in all.
@@ -170,17 +170,18 @@ def _hashed(vectors: DataFrame, width: float, probes: int | None, blocks: int =
                             which.append(np.array([i]))
                     if steps:
                         found.append(_bucket(np.array(steps), t, dim))
-                yield from _flat(np.concatenate(found), np.concatenate(which), ids, x)
+                yield from _flat(np.concatenate(found), np.concatenate(which), ids, x, kind)
 
     # dealt by bucket and id, so that a large bucket spans tasks and a small one is one chunk
     return (vectors.select("ids", "vector").mapInArrow(rows, PACKED).repartitionByRange("bucket", "ids")
             .sortWithinPartitions("bucket", "dim").mapInArrow(_packed, PACKED))
 
 
-def _search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _search(index: DataFrame, queries: DataFrame, k: int, kind: str) -> DataFrame:
     """Best ``k`` of each query in the buckets it shares, per task."""
     names = ("bucket", "q_ids", "q_counts", "q_vectors", "q_dim")
-    pairs = index.join(queries.toDF(*names), "bucket").filter("dim = q_dim")
+    # Spark takes a probing query's rows for as large as the query alone, and would send all probes through the driver
+    pairs = index.join(queries.toDF(*names).hint("merge"), "bucket").filter("dim = q_dim")
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, dict[int, float]] = {}
@@ -194,10 +195,10 @@ def _search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
         for batch in batches:
             for ids, counts, raw, dim, q_ids, q_raw in zip(*(batch.column(c).to_pylist() for c in range(6))):
-                x = np.frombuffer(raw).reshape(-1, dim)
+                x = np.frombuffer(raw, kind).reshape(-1, dim).astype(np.float64)
                 ids, counts = np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int32)
                 first = np.cumsum(counts) - counts
-                queries_here, qx = np.frombuffer(q_ids, np.int64), np.frombuffer(q_raw).reshape(-1, dim)
+                queries_here, qx = np.frombuffer(q_ids, np.int64), np.frombuffer(q_raw, kind).reshape(-1, dim).astype(np.float64)
                 size = (x * x).sum(1)
                 for i in range(0, len(qx), 256):
                     some = qx[i:i + 256]
@@ -245,11 +246,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id
     picked = hashed_sample(rows.select("id").distinct(), "id", SAMPLE, SEED)
     sample = rows.join(picked, "id").groupBy("id").agg(F.min("vector").alias("vector")).select("vector").collect()
     width = WIDTH * median_distance([r.vector for r in sample])
-    found = checkpoint_table(_search(_hashed(index, width, None), _hashed(queries, width, probes), k), "ann-found")
+    # floats travel as such: half the bytes, and the same doubles where they are compared
+    kind = "f4" if vectors.select(vector).dtypes[0][1] == "array<float>" else "f8"
+    found = checkpoint_table(_search(_hashed(index, width, None, kind), _hashed(queries, width, probes, kind), k, kind), "ann-found")
     enough = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).filter(F.col("n") >= k)
     short = queries.join(enough.select(F.array("query_id").alias("ids")), "ids", "left_anti")
     blocks = max(1, BLOCKS)
-    rest = _search(_hashed(index, width, None, blocks), _hashed(short, width, 0, blocks), k)
+    rest = _search(_hashed(index, width, None, kind, blocks), _hashed(short, width, 0, kind, blocks), k, kind)
     return _ranked(found.unionByName(rest), k)
 
 
@@ -259,6 +262,6 @@ def median_distance(vectors: list[list[float]]) -> float:
     for v in vectors:
         by_size.setdefault(len(v), []).append(v)
     x = np.array(max(by_size.values(), key=len)) if by_size else np.zeros((0, 1))
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))[np.triu_indices(len(x), 1)]
+    d = np.concatenate([np.zeros(0), *(np.sqrt(((x[i + 1:] - v) ** 2).sum(1)) for i, v in enumerate(x))])
     d = d[d > 0]
     return float(np.median(d)) if len(d) else 1.0

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -110,6 +111,35 @@ def test_neighbours_recall_on_the_table(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_probes_do_not_pass_through_the_driver(spark, monkeypatch):
+    """A query is some hundred probing rows: they are shuffled, however small the queries look to the planner."""
+    plans, write = {}, neighbours.checkpoint_table
+
+    def spy(df, name):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(neighbours, "checkpoint_table", spy)
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    for kind in ("array<float>", "array<double>"):
+        some = vectors.withColumn("embedding", F.col("embedding").cast(kind))
+        rows = neighbours.search(some, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+        assert rows == (first := plans.setdefault("rows", rows)) and first
+        assert "isFinalPlan=true" in plans["ann-found"]
+        assert "SortMergeJoin" in plans["ann-found"] and "Broadcast" not in plans["ann-found"]
+
+
+def test_median_distance_needs_no_square_of_vectors():
+    x = np.random.default_rng(9).normal(size=(512, 64))
+    want = np.median(np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))[np.triu_indices(len(x), 1)])
+    tracemalloc.start()
+    got = neighbours.median_distance(x.tolist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == want and peak < 16e6
+
+
 def test_probe_order():
     rng = random.Random(7)
     inside = [rng.random() for _ in range(4)]
