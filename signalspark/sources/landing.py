@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from signalspark.schema import LANDED, QUARANTINE
+from signalspark.session import work_dir
 from signalspark.sources import files
 from signalspark.sources.compaction import TARGET_BYTES, compact, refuse_compacted, vacuum, visible
 
@@ -35,6 +36,8 @@ ENTRY = ["stream", "entry_id", "ingest_ts"]
 ENTRY_FILES = StructType(LANDED_FILES.fields + [StructField("stream", StringType()), StructField("entry_id", StringType()),
                                                 StructField("ingest_ts", TimestampType())])
 FLIPS = "stream string, entry_id string, ingest_ts timestamp, accepted boolean, seq bigint"
+#: rows of a row group of the classified copy: a reader holds that many raw texts at most, however long a text is
+COPY_ROWS = 512
 QUARANTINE_FILES = StructType(QUARANTINE.fields + [StructField("batch_id", StringType())])
 
 
@@ -119,7 +122,7 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: str,
                strict: bool = True, dedup: bool = False, quota: tuple[float, float] | None = None,
                wire_compat: bool = False) -> dict:
-    """Classify a raw frame once, persist it, then write both sinks from it.
+    """Classify a raw frame once, write that copy to the shared checkpoint folder, then both sinks from it.
 
     ``dedup`` and ``quota`` (requests per second, burst) land through the replay guard and
     the token bucket, both of which continue over all batches of the table.
@@ -128,14 +131,18 @@ def land_batch(raw: DataFrame, landed_path: str, bad_path: str, batch_id: str,
         from signalspark.sources.guarded import land_guarded
         return land_guarded(raw, landed_path, bad_path, batch_id, strict, quota, wire_compat)
     from signalspark.operators.ingest import classify, landing_columns, lands, split_classified
-    c = landing_columns(classify(raw, wire_compat), strict).persist()
+    spark, judged = raw.sparkSession, landing_columns(classify(raw, wire_compat), strict)
+    copy = work_dir(spark, "landing-classified")
     try:
+        # not persisted: a cached partition that went to disk is read back whole, raw texts and all
+        judged.write.option("parquet.block.row.count.limit", COPY_ROWS).parquet(copy)
+        c = spark.read.schema(judged.schema).parquet(copy)
         good, bad = split_classified(c, strict=strict)
         write_landed(good, landed_path, batch_id)
         write_quarantine(bad, bad_path, batch_id)
-        # counted from the persisted rows: an observation of a frame that turns out empty has no value
+        # counted from the copy: an observation of a frame that turns out empty has no value
         rows, every = c.agg(F.count_if(lands(strict)[0]), F.count(F.lit(1))).first()
     finally:
-        c.unpersist()
+        files.delete(spark, copy)
     return {"landed": landed_path, "quarantine": bad_path, "batch_id": batch_id, "landed_rows": rows,
             "quarantined_rows": every - rows}

@@ -1,5 +1,6 @@
 """Landing: what a task holds does not follow the input, and each payload is judged without needless work."""
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from signalspark.operators import ingest as ing
@@ -47,6 +48,23 @@ def test_landed_and_quarantined_are_counted(spark):
     assert out["landed_rows"] + out["quarantined_rows"] == raw.count()
 
 
+def test_landing_keeps_its_classified_rows_on_disk(spark, monkeypatch):
+    """A cached partition that went to disk comes back whole; the copy is read a few rows at a time, then removed."""
+    root, raw, seen, write = work_dir(spark, "copied"), rw.load_raw(spark, SF).coalesce(2), {}, land.write_quarantine
+
+    def spy(bad, path, batch_id):
+        seen["plan"], seen["files"] = bad._jdf.queryExecution().executedPlan().toString(), bad.inputFiles()
+        groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in seen["files"]]
+        seen["rows"] = [m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)]
+        write(bad, path, batch_id)
+
+    monkeypatch.setattr(land, "write_quarantine", spy)
+    out = land.land_batch(raw, f"{root}/landed", f"{root}/bad", "b")
+    assert "InMemoryTableScan" not in seen["plan"]
+    assert max(seen["rows"]) <= land.COPY_ROWS < sum(seen["rows"]) == out["landed_rows"] + out["quarantined_rows"] == raw.count()
+    assert not any(files.exists(spark, f) for f in seen["files"])
+
+
 def test_reasons_of_blank_oversized_and_odd_keys(spark):
     body = '"event_id":"e","session_id":"s","tenant_id":"t"'
     odd = {" \n": "empty_body", " " * (MAX_PAYLOAD_BYTES + 1): "payload_too_large", " null ": "missing_event_id",
