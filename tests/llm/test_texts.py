@@ -1,6 +1,7 @@
 """Operators on document texts against brute force, with the edge cases their docstrings define."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -252,6 +253,18 @@ def test_line_plans_hold_no_bitmaps(spark, monkeypatch):
     assert all(len(p) < 100_000 for name, p in plans.items() if name != "distinct-lines"), {n: len(p) for n, p in plans.items()}
 
 
+def test_rarity_counts_every_word_of_every_document(spark):
+    docs = [(i, f"all w{i % 7}\n\nrare{i} all\tw{i % 7} ") for i in range(5000)] + [(5000, None), (5001, "")]
+    counts = Counter(w for _, t in docs for w in (t or "").split())
+    cells = spark.createDataFrame(list(counts.items()), "w string, n long").select(
+        F.xxhash64("w").bitwiseAND(F.lit(lines.CELLS - 1)).alias("cell"), "n").groupBy("cell").agg(F.sum("n").alias("n"))
+    want = [0] * lines.CELLS  # the class and one; no word, no class
+    for r in cells.collect():
+        want[r.cell] = round(8 * math.log2(r.n)) + 1
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert spark.range(1).select(lines.rarity_classes(df)).first()[0] == want
+
+
 def test_lines_group_without_a_sort_and_are_read_once(spark, monkeypatch):
     plans = line_plans(spark, monkeypatch)
     assert "SortAggregate" not in plans["distinct-lines"]
