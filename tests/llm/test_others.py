@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from signalspark.llm import binary_ids, neighbours, quality, warc
+from signalspark.llm import binary_ids, lines, neighbours, quality, warc
 from signalspark.llm.common import hashed_sample, ship
 from signalspark.llm.queries import ORACLES, QUERIES, vocabulary
 from signalspark.llm.tokens import Encoder
@@ -223,3 +223,22 @@ def test_pipeline_stages_on_an_empty_table(spark):
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
         docs = docs if "text" in docs.columns else None
+
+
+def test_line_order_of_the_pipeline_counts_all_words(spark, monkeypatch):
+    """The pipeline's line stage counts every document's words, not those of some."""
+    docs = spark.createDataFrame([(i, f"all rare{i} all", 1) for i in range(5000)], "doc_id long, text string, n_chars long")
+    cell = F.xxhash64(F.lit("all")).bitwiseAND(F.lit(lines.CELLS - 1)).cast("int")
+    seen, count = [], lines.rarity_classes
+
+    class Seen(Exception):
+        pass
+
+    def spy(*args):
+        seen.append(spark.range(1).select(F.get(count(*args), cell)).first()[0])
+        raise Seen
+
+    monkeypatch.setattr(lines, "rarity_classes", spy)
+    with pytest.raises(Seen):
+        corpus_pipeline.line_stage(spark, docs, "")
+    assert seen == [round(8 * np.log2(10_000)) + 1]
